@@ -9,6 +9,7 @@ line counts.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -47,6 +48,42 @@ def labelled_json(spec: DocumentSpec):
     return add
 
 
+def labelled_reader(spec: DocumentSpec):
+    """The same reading as a Python callable for ``CallableModel``: texts to JSON texts."""
+
+    def value(printed: str, kind: str):
+        printed = printed.strip(" ")
+        if printed in ("", '""'):
+            return None if printed == "" else ""
+        return int(printed) if kind == "integer" and re.match(WHOLE_NUMBER, printed) else printed
+
+    def read(text: str) -> str | None:
+        lines = text.replace("\r\n", "\n").split("\n")
+        header, rows = {}, []
+        for line in lines:
+            label, colon, rest = line.partition(":")
+            if spec.row_label and line.startswith(spec.row_label + "\t"):
+                rows.append(line.split("\t")[2:])
+            elif colon:
+                header.setdefault(label, rest)
+        record, found = {}, bool(rows)
+        for f in spec.fields:
+            if f.kind == "array":
+                record[f.name] = [
+                    {i.name: value(cell, i.kind) for i, cell in zip(f.fields, row)} for row in rows
+                ]
+                continue
+            inner = {i.name: value(header[i.label], i.kind) for i in f.fields if i.label in header}
+            if inner:
+                record[f.name] = inner
+            elif f.label in header:
+                record[f.name] = None if f.fields else value(header[f.label], f.kind)
+            found = found or f.name in record
+        return json.dumps(record, ensure_ascii=False) if found else None
+
+    return lambda texts: [read(text) for text in texts]
+
+
 def _labels(spec: DocumentSpec) -> dict[str, str]:
     """Column name and label of everything that is searched as a label line."""
     labels = {}

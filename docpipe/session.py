@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _STAGES: dict[tuple[str, str], str] = {}
 _LOCAL_ROOTS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def local_session(cpus: int = 8, name: str = "docpipe") -> SparkSession:
@@ -27,9 +30,23 @@ def local_session(cpus: int = 8, name: str = "docpipe") -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for the functions that run
+    there in Python. Not needed where it is installed on every node."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    root, name = os.path.split(package)
+    target = os.path.join(tempfile.mkdtemp(prefix="docpipe-package-"), name)
+    context.addPyFile(shutil.make_archive(target, "zip", root, name))
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
