@@ -270,7 +270,8 @@ EXPECTED: dict[str, str] = {
     "silver_distinct_texts": _receipts(_TYPED),
     "silver_sql": _receipts(_TYPED),
     "preview_extract": _receipts(f"{_TYPED} ORDER BY h.doc_id LIMIT 10"),
-    "lateral_alias": """SELECT doc_id, "text" AS input, length(input) AS n_input FROM documents""",
+    "lateral_alias": """SELECT doc_id, "text" AS input, CAST(length(input) AS INTEGER) AS n_input
+        FROM documents""",
     "silver_roundtrip": _receipts(
         """SELECT d.doc_id, CASE WHEN readable THEN issue_date END AS issue_date,
              CASE WHEN readable THEN supplier_zip END AS supplier_zip,
