@@ -6,7 +6,12 @@ def string_literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def quoted(name: str) -> str:
+    """One name in backticks, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def identifier(name: str) -> str:
-    """Quoted, possibly qualified name: ``a.b`` gives ```a`.`b```. Parts that are already
-    quoted stay as they are."""
-    return ".".join(p if p.startswith("`") else f"`{p.replace('`', '``')}`" for p in name.split("."))
+    """Possibly qualified name: ``a.b`` gives ```a`.`b```. Parts that are already quoted stay
+    as they are."""
+    return ".".join(p if p.startswith("`") else quoted(p) for p in name.split("."))

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import PySparkException
 
-from docpipe.functions.sqltext import identifier, string_literal
+from docpipe.functions.sqltext import identifier, quoted, string_literal
 from docpipe.spec import DocumentSpec
 
 log = logging.getLogger(__name__)
@@ -62,7 +62,7 @@ def document_table(
     comment_table(spark, table, comment)
     for name, text in column_comments.items():
         spark.sql(
-            f"ALTER TABLE {identifier(table)} ALTER COLUMN {identifier(name)} "
+            f"ALTER TABLE {identifier(table)} ALTER COLUMN {quoted(name)} "
             f"COMMENT {string_literal(text)}"
         )
 
@@ -94,7 +94,7 @@ def dictionary(df: DataFrame) -> DataFrame:
     and of NULLs. Counting is one aggregation over the table."""
     counted = df.agg(
         F.count("*").alias("_rows"),
-        *[F.count(F.col(identifier(f.name))).alias(f"_n{i}") for i, f in enumerate(df.schema)],
+        *[F.count(F.col(quoted(f.name))).alias(f"_n{i}") for i, f in enumerate(df.schema)],
     )
     listed = F.array(
         *[

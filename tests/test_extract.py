@@ -187,6 +187,11 @@ def test_labels_are_searched_once(texts):
     assert plan.count("regexp_extract(") == 11
 
 
+def test_a_filter_on_the_outcome_does_not_read_the_text_again(texts):
+    plan = plan_of(extract_fields(texts, EXPRESSION).where("response IS NOT NULL"))
+    assert plan.count("regexp_extract(") == 11
+
+
 def test_preview_limits_before_the_model(texts):
     plan = plan_of(extract_fields(preview(texts, "doc_id", 2), READER))
     assert plan.index("ArrowEvalPython") < plan.index("TakeOrderedAndProject")

@@ -1,0 +1,114 @@
+"""The corpus: orders of any size are printed whole, none of them in one task."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from docpipe.operators.extract import extract_fields
+from docpipe.operators.flatten import flatten
+from docpipe.operators.validate import violations
+from docpipe.plans.receipts import RECEIPT, receipt_texts
+from docpipe.plans.stages import receipt_model
+
+HOT, LIMIT = 1000, 50
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    """Order 1000 holds a third of all lines, half of them exact copies of one another."""
+    root = tmp_path_factory.mktemp("orders")
+    orders = spark.range(998, 1300).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "timestamp_ntz'1999-01-02' AS o_orderdate",
+        "'1-URGENT' AS o_orderpriority",
+    )
+    ordinary = spark.range(1200).selectExpr(
+        "1001 + id % 298 AS l_orderkey", "id % 20 AS l_partkey", "id % 5 AS l_suppkey",
+        "CAST(id % 6 + 1 AS INT) AS l_linenumber", "CAST(id % 50 + 1 AS DOUBLE) AS l_quantity",
+    )
+    hot = spark.range(600).selectExpr(
+        f"CAST({HOT} AS BIGINT) AS l_orderkey",
+        "CASE WHEN id < 300 THEN 3 ELSE id % 20 END AS l_partkey",
+        "CASE WHEN id < 300 THEN 2 ELSE id % 5 END AS l_suppkey",
+        "CASE WHEN id < 300 THEN 1 ELSE CAST(id AS INT) END AS l_linenumber",
+        "CASE WHEN id < 300 THEN 4D ELSE CAST(id % 50 + 1 AS DOUBLE) END AS l_quantity",
+    )
+    ordinary.unionByName(hot).repartition(3).write.parquet(str(root / "lineitem"))
+    frames = [
+        orders,
+        spark.read.parquet(str(root / "lineitem")),
+        spark.range(7).selectExpr("id AS c_custkey", "concat('customer ', id) AS c_name"),
+        spark.range(5).selectExpr(
+            "id AS s_suppkey", "concat('supplier ', id) AS s_name", "CAST(id % 2 AS INT) AS s_nationkey"
+        ),
+        spark.range(20).selectExpr(
+            "id AS p_partkey", "concat('part ', id) AS p_name", "900 + id / 10 AS p_retailprice"
+        ),
+        spark.range(2).selectExpr("CAST(id AS INT) AS n_nationkey", "'N' AS n_name",
+                                  "CAST(0 AS INT) AS n_regionkey"),
+        spark.range(1).selectExpr("CAST(id AS INT) AS r_regionkey", "'R' AS r_name"),
+    ]
+    receipt_texts(*frames, lines_per_receipt=LIMIT).write.parquet(str(root / "texts"))
+    receipt_texts(*frames).write.parquet(str(root / "whole"))
+    return frames, spark.read.parquet(str(root / "texts")), spark.read.parquet(str(root / "whole"))
+
+
+def lines_of(df):
+    return df.withColumn("n", F.size(F.regexp_extract_all("text", F.lit("(?m)^ITEM\t"), 0)))
+
+
+def test_every_line_is_printed_once(corpus):
+    frames, texts, _ = corpus
+    counted = lines_of(texts)
+    per_order = counted.groupBy(F.split("doc_id", "/")[0].cast("long").alias("k")).agg(
+        F.sum("n").alias("n")
+    )
+    expected = dict(frames[1].groupBy("l_orderkey").count().collect())
+    found = {r.k: r.n for r in per_order.collect() if r.k % 97}
+    orders = [r.o_orderkey for r in frames[0].collect()]
+    assert found == {k: expected.get(k, 0) for k in orders if k % 97}
+    assert expected[HOT] == 600
+
+
+def test_a_huge_order_is_continued(corpus):
+    _, texts, _ = corpus
+    hot = lines_of(texts.where(f"doc_id = '{HOT}' OR startswith(doc_id, '{HOT}/')")).collect()
+    assert len(hot) == 12
+    assert max(r.n for r in hot) < 2 * LIMIT  # copies spread like other lines
+    assert {r.doc_id for r in hot} == {str(HOT), *(f"{HOT}/{i}" for i in range(1, 12))}
+
+
+def test_ordinary_orders_do_not_depend_on_the_limit(corpus):
+    _, texts, whole = corpus
+    def ordinary(df):
+        return {r.doc_id: r.text for r in df.collect() if r.doc_id.split("/")[0] != str(HOT)}
+    assert ordinary(texts) == ordinary(whole)
+
+
+def test_the_parts_add_up(corpus):
+    """Sums of every part are its own; together they are those of the whole order."""
+    _, texts, whole = corpus
+    hot = texts.where(f"doc_id = '{HOT}' OR startswith(doc_id, '{HOT}/')")
+    silver = extract_fields(hot, receipt_model())
+    assert violations(silver, RECEIPT, rules=["line_amount", "subtotal", "total"]).count() == 0
+    one = extract_fields(whole.where(f"doc_id = '{HOT}'"), receipt_model())
+    subtotal = F.try_variant_get("response", "$.subtotal", "bigint")
+    parts = silver.agg(F.sum(subtotal)).head()[0]
+    assert parts == one.select(subtotal).head()[0]
+    gold = flatten(silver, RECEIPT).select("item_name", "item_qty", "item_amount")
+    assert gold.exceptAll(flatten(one, RECEIPT).select(*gold.columns)).count() == 0
+    assert gold.count() == 600
+
+
+def test_an_order_without_lines(corpus):
+    _, texts, _ = corpus
+    record = extract_fields(texts.where("doc_id = '999'"), receipt_model()).select(
+        F.to_json("response").alias("r")
+    ).head().r
+    record = json.loads(record)
+    assert record["supplier"] is None and record["details"] == [] and record["total_amount"] == 0
+
+
+def test_unreadable_scan(corpus):
+    _, texts, _ = corpus
+    assert texts.where("doc_id = '1067'").head().text == "unreadable scan 1067"

@@ -1,0 +1,25 @@
+"""The steps from text to flat rows are narrow, so they run unchanged on a stream."""
+
+from docpipe.operators.extract import extract_fields
+from docpipe.operators.flatten import flatten
+from docpipe.plans.receipts import RECEIPT
+from docpipe.plans.stages import bronze, receipt_model
+
+
+def test_same_rows_as_in_batch(spark, sf_dir, tmp_path):
+    texts = bronze(spark, sf_dir)
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    texts.repartition(3).write.parquet(folder)
+    incoming = spark.readStream.schema(texts.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    flat = flatten(extract_fields(incoming, receipt_model()), RECEIPT)
+    query = (
+        flat.writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "state"))
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    query.awaitTermination(120)
+    batch = flatten(extract_fields(texts, receipt_model()), RECEIPT)
+    written = spark.read.parquet(out)
+    assert written.count() == batch.count()
+    assert written.exceptAll(batch).count() == 0
