@@ -19,17 +19,6 @@ FIELD_RULES = (REQUIRED, TYPE, NOT_NULL, NOT_BLANK, FORMAT)
 
 VIOLATION = "array<struct<rule: string, field: string, pos: int, observed: string>>"
 
-# What schema_of_variant says about a value of each declared kind.
-TYPE_NAMES = {
-    "string": "^STRING$",
-    "integer": r"^(BIGINT|DECIMAL\([0-9]+,0\))$",
-    "number": r"^(BIGINT|DECIMAL\(.*\)|DOUBLE|FLOAT)$",
-    "boolean": "^BOOLEAN$",
-    "object": "^OBJECT<",
-    "array": "^ARRAY<",
-}
-
-
 def all_rules(spec: DocumentSpec) -> tuple[str, ...]:
     return FIELD_RULES + tuple(a.rule for a in spec.arithmetic)
 
@@ -126,8 +115,8 @@ def _opened(f: Field) -> Column:
 def _field_checks(spec: DocumentSpec, chosen: set[str]) -> list[Column]:
     checks = []
     if TYPE in chosen:
-        is_object = F.schema_of_variant("_root").rlike(TYPE_NAMES["object"])
-        checks.append(_listed([_violation(~is_object, TYPE, "$", F.to_json("_root"))]))
+        no_object = F.col("_top").isNull()
+        checks.append(_listed([_violation(no_object, TYPE, "$", F.to_json("_root"))]))
     for f in spec.fields:
         value = F.col(f"_top.{f.name}")
         checks.append(_listed(_value_checks(f, f.name, F.col("_top").isNotNull(), value, chosen)))
@@ -161,23 +150,24 @@ def _value_checks(
     value, and a value of the wrong type is not asked for its format."""
     observed = F.to_json(value)
     is_null = F.is_variant_null(value)
-    text = F.try_variant_get(value, "$", "string")
-    is_text = F.schema_of_variant(value) == "STRING"
+    text = F.when(_has_kind(value, "string"), F.try_variant_get(value, "$", "string"))
     checks = []
     if REQUIRED in chosen and f.required:
         checks.append(_violation(has_parent & value.isNull(), REQUIRED, path, None, pos))
     if TYPE in chosen:
-        wrong = ~is_null & ~F.schema_of_variant(value).rlike(TYPE_NAMES[f.kind])
+        # an object or array that could not be opened is none
+        right = F.col(f"_{f.name}").isNotNull() if f.fields else _has_kind(value, f.kind)
+        wrong = value.isNotNull() & ~is_null & ~right
         checks.append(_violation(wrong, TYPE, path, observed, pos))
     if NOT_NULL in chosen and not f.nullable:
         checks.append(_violation(is_null & value.isNotNull(), NOT_NULL, path, observed, pos))
     if NOT_BLANK in chosen and not f.nullable and f.kind == "string":
-        checks.append(_violation(is_text & (F.trim(text) == ""), NOT_BLANK, path, observed, pos))
+        checks.append(_violation(F.trim(text) == "", NOT_BLANK, path, observed, pos))
     if FORMAT in chosen and f.pattern:
         bad = ~text.rlike(f.pattern)
         if f.date_format:
             bad = bad | F.try_to_date(text, f.date_format).isNull()
-        checks.append(_violation(is_text & bad, FORMAT, path, observed, pos))
+        checks.append(_violation(text.isNotNull() & bad, FORMAT, path, observed, pos))
     return checks
 
 
@@ -210,8 +200,23 @@ def _arithmetic_check(a: Product | SumOf | PartsTotal) -> Column:
 
 def _whole(value: Column) -> Column:
     """Whole number as it stands in the record; NULL for text, fractions and null."""
-    is_whole = F.schema_of_variant(value).rlike(TYPE_NAMES["integer"])
-    return F.when(is_whole, F.try_variant_get(value, "$", "decimal(38,0)"))
+    return F.when(
+        _has_kind(value, "integer"), F.try_variant_get(value, "$", "decimal(38,0)")
+    )
+
+
+def _has_kind(value: Column, kind: str) -> Column:
+    """Whether a scalar VARIANT holds a value of the declared kind; null is of no kind."""
+    stored = F.schema_of_variant(value)
+    if kind == "string":
+        return stored == "STRING"
+    if kind == "boolean":
+        return stored == "BOOLEAN"
+    if kind == "integer":
+        return (stored == "BIGINT") | (
+            F.startswith(stored, F.lit("DECIMAL(")) & F.endswith(stored, F.lit(",0)"))
+        )
+    return stored.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(stored, F.lit("DECIMAL("))
 
 
 def _violation(condition: Column, rule: str, path: str, observed, pos=None) -> Column:

@@ -113,83 +113,89 @@ def receipt_texts(
     so on, each with its own sums, so no row or task has to hold all lines of a huge order.
     Whether there are such orders is looked up first: it decides the shape of the plan.
     """
-    lines = _priced_lines(lineitem, part)
     billed = orders.join(customer, orders.o_custkey == customer.c_custkey, "left").select(
         "o_orderkey", "o_orderdate", "o_orderpriority", "c_name"
     )
-    sellers = (
-        supplier.join(nation, supplier.s_nationkey == nation.n_nationkey, "left")
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        .select("s_suppkey", "s_name", "s_nationkey", "n_name", "r_name")
-    )
+    sellers = (supplier, nation, region)
     sizes = lineitem.groupBy(F.col("l_orderkey").alias("long_key")).agg(F.count("*").alias("n"))
     long_orders = sizes.where(F.col("n") > lines_per_receipt)
     if long_orders.isEmpty():
-        return _printed(billed, _gathered(lines.withColumn("sheet", F.lit(0))), sellers, "left")
+        return _printed(billed, _gathered(_priced(lineitem, part)), sellers, "left")
 
     long_orders = long_orders.withColumn(
         "sheets", F.ceil(F.col("n") / F.lit(lines_per_receipt)).cast("int")
     ).drop("n")
-    is_long = F.col("l_orderkey") == F.col("long_key")
-    short_lines = lines.join(long_orders, is_long, "left_anti").withColumn("sheet", F.lit(0))
+    # The sheet of a line depends on where its row is stored, so equal lines spread as well,
+    # and a task that is run again sees the same value.
+    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    of_long = F.col("l_orderkey") == F.col("long_key")
+    short_lines = lineitem.join(long_orders, of_long, "left_anti")
     long_lines = (
-        lines.join(long_orders, is_long)
-        .withColumn("sheet", F.pmod(F.col("line_hash"), F.col("sheets")).cast("int"))
-        .repartition("l_orderkey", "sheet")
+        lineitem.withColumn("place", place)
+        .join(long_orders, of_long)
+        .withColumn("sheet", F.pmod("place", "sheets").cast("int"))
     )
     is_long = F.col("o_orderkey") == F.col("long_key")
     return _printed(
-        billed.join(long_orders, is_long, "left_anti"), _gathered(short_lines), sellers, "left"
+        billed.join(long_orders, is_long, "left_anti"),
+        _gathered(_priced(short_lines, part)),
+        sellers,
+        "left",
     ).unionByName(
-        _printed(billed.join(long_orders, is_long, "left_semi"), _gathered(long_lines), sellers,
-                 "inner")
+        _printed(
+            billed.join(long_orders, is_long, "left_semi"),
+            _gathered(_priced(long_lines, part, "sheet"), "sheet"),
+            sellers,
+            "inner",
+        )
     )
 
 
-def _priced_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Lines with product name and amounts in cents. ``line_hash`` depends on where the row
-    is stored, so equal lines still spread, and a retried task sees the same value."""
+def _priced(lines: DataFrame, part: DataFrame, *more: str) -> DataFrame:
+    """Lines with product name and amounts in cents."""
     unit = F.round(F.col("p_retailprice") * 100).cast("bigint")
     quantity = F.col("l_quantity").cast("bigint")
-    return (
-        lineitem.withColumn(
-            "line_hash", F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-        )
-        .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-        .select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "line_hash",
-            F.translate("p_name", "\n\t\r", "   ").alias("name"),
-            quantity.alias("quantity"),
-            unit.alias("unit"),
-            (quantity * unit).alias("amount"),
-        )
+    return lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *more,
+        F.translate("p_name", "\n\t\r", "   ").alias("name"),
+        quantity.alias("quantity"),
+        unit.alias("unit"),
+        (quantity * unit).alias("amount"),
     )
 
 
-def _gathered(lines: DataFrame) -> DataFrame:
-    """Lines of one receipt, in an order that does not depend on the storage."""
-    return lines.groupBy("l_orderkey", "sheet").agg(
-        F.min("l_suppkey").alias("seller"),
-        F.sum("amount").alias("subtotal"),
-        F.array_sort(
-            F.collect_list(
-                F.struct("l_linenumber", "l_partkey", "l_suppkey", "quantity", "unit",
-                         "amount", "name")
-            )
-        ).alias("items"),
+def _gathered(lines: DataFrame, *sheet: str) -> DataFrame:
+    """Lines of one receipt, in an order that does not depend on the storage. Lists do not get
+    smaller by combining them early, so the lines are brought together first; the join with
+    the orders then finds them in place."""
+    return (
+        lines.repartition("l_orderkey", *sheet)
+        .groupBy("l_orderkey", *sheet)
+        .agg(
+            F.min("l_suppkey").alias("seller"),
+            F.sum("amount").alias("subtotal"),
+            F.array_sort(
+                F.collect_list(
+                    F.struct("l_linenumber", "l_partkey", "l_suppkey", "quantity", "unit",
+                             "amount", "name")
+                )
+            ).alias("items"),
+        )
     )
 
 
-def _printed(billed: DataFrame, gathered: DataFrame, sellers: DataFrame, how: str) -> DataFrame:
-    receipts = billed.join(gathered, F.col("o_orderkey") == F.col("l_orderkey"), how).join(
-        sellers, F.col("seller") == F.col("s_suppkey"), "left"
-    )
-    key = F.col("o_orderkey").cast("string")
-    sheet = F.coalesce(F.col("sheet"), F.lit(0))
-    return receipts.select(
-        F.when(sheet == 0, key).otherwise(F.concat_ws("/", key, sheet)).alias("doc_id"),
-        _text(F.col("o_orderkey")).alias("text"),
+def _printed(billed: DataFrame, gathered: DataFrame, sellers, how: str) -> DataFrame:
+    supplier, nation, region = sellers
+    receipts = (
+        billed.join(gathered, F.col("o_orderkey") == F.col("l_orderkey"), how)
+        .join(supplier, F.col("seller") == F.col("s_suppkey"), "left")
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
     )
+    doc_id = F.col("o_orderkey").cast("string")
+    if "sheet" in gathered.columns:
+        doc_id = F.when(F.col("sheet") == 0, doc_id).otherwise(F.concat_ws("/", doc_id, "sheet"))
+    return receipts.select(doc_id.alias("doc_id"), _text(F.col("o_orderkey")).alias("text"))
 
 
 def _line(label: str, value: Column) -> Column:
