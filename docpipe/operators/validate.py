@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from docpipe.functions.sqltext import quoted, string_literal
 from docpipe.spec import DocumentSpec, Field, PartsTotal, Product, SumOf
 
 REQUIRED, TYPE, NOT_NULL, NOT_BLANK, FORMAT = "required", "type", "not_null", "not_blank", "format"
 FIELD_RULES = (REQUIRED, TYPE, NOT_NULL, NOT_BLANK, FORMAT)
 
-VIOLATION = "array<struct<rule: string, field: string, pos: int, observed: string>>"
+NONE_FOUND = "CAST(array() AS ARRAY<STRUCT<rule: STRING, field: STRING, pos: INT, observed: STRING>>)"
 
 def all_rules(spec: DocumentSpec) -> tuple[str, ...]:
     return FIELD_RULES + tuple(a.rule for a in spec.arithmetic)
@@ -80,6 +81,8 @@ def _is_about(rule: str):
 
 
 def _with_violations(silver, spec, key, rules, response) -> DataFrame:
+    """Checked documents with their violations. The expressions are written as SQL text: there
+    are several hundred of them, and one text is one call to the JVM."""
     chosen = set(rules) if rules is not None else set(all_rules(spec))
     unknown = chosen - set(all_rules(spec))
     if unknown:
@@ -87,149 +90,143 @@ def _with_violations(silver, spec, key, rules, response) -> DataFrame:
     top = silver.where(F.col(response).isNotNull()).select(
         *key,
         F.col(response).alias("_root"),
-        _members(F.col(response), spec.fields).alias("_top"),
+        F.expr(_members(quoted(response), spec.fields)).alias("_top"),
     )
     nested = [f for f in spec.fields if f.fields]
-    opened = top.select("*", *[_opened(f).alias(f"_{f.name}") for f in nested])
+    opened = top.select("*", *[F.expr(_opened(f)).alias(f"_{f.name}") for f in nested])
     checks = _field_checks(spec, chosen)
     checks += [_arithmetic_check(a) for a in spec.arithmetic if a.rule in chosen]
-    return opened.select(*key, F.array_compact(F.concat(*checks)).alias("_violations"))
+    found = f"array_compact(concat({', '.join(checks)}))"
+    return opened.select(*key, F.expr(found).alias("_violations"))
 
 
-def _members(value: Column, fields: Sequence[Field]) -> Column:
+def _members(value: str, fields: Sequence[Field]) -> str:
     """All members of an object at once, still VARIANT: a missing key gives SQL NULL, a null
     value a VARIANT null. NULL where the value is no object."""
-    inner = ", ".join(f"`{f.name}`: variant" for f in fields)
-    return F.try_variant_get(value, "$", f"struct<{inner}>")
+    inner = ", ".join(f"{quoted(f.name)}: variant" for f in fields)
+    return f"try_variant_get({value}, '$', {string_literal(f'struct<{inner}>')})"
 
 
-def _opened(f: Field) -> Column:
-    value = F.col(f"_top.{f.name}")
+def _top(name: str) -> str:
+    return f"_top.{quoted(name)}"
+
+
+def _open(name: str) -> str:
+    return quoted(f"_{name}")
+
+
+def _opened(f: Field) -> str:
     if f.kind == "object":
-        return _members(value, f.fields)
-    return F.transform(
-        F.try_variant_get(value, "$", "array<variant>"), lambda x: _members(x, f.fields)
-    )
+        return _members(_top(f.name), f.fields)
+    elements = f"try_variant_get({_top(f.name)}, '$', 'array<variant>')"
+    return f"transform({elements}, x -> {_members('x', f.fields)})"
 
 
-def _field_checks(spec: DocumentSpec, chosen: set[str]) -> list[Column]:
+def _field_checks(spec: DocumentSpec, chosen: set[str]) -> list[str]:
     checks = []
     if TYPE in chosen:
-        no_object = F.col("_top").isNull()
-        checks.append(_listed([_violation(no_object, TYPE, "$", F.to_json("_root"))]))
+        checks.append(_listed([_violation("_top IS NULL", TYPE, "$", "to_json(_root)")]))
     for f in spec.fields:
-        value = F.col(f"_top.{f.name}")
-        checks.append(_listed(_value_checks(f, f.name, F.col("_top").isNotNull(), value, chosen)))
+        found = _value_checks(f, f.name, "_top IS NOT NULL", _top(f.name), chosen)
         if f.kind == "object":
-            parent = F.col(f"_{f.name}")
             for i in f.fields:
-                path = f"{f.name}.{i.name}"
-                checks.append(
-                    _listed(_value_checks(i, path, parent.isNotNull(), parent[i.name], chosen))
-                )
+                value = f"{_open(f.name)}.{quoted(i.name)}"
+                has_parent = f"{_open(f.name)} IS NOT NULL"
+                found += _value_checks(i, f"{f.name}.{i.name}", has_parent, value, chosen)
+        checks.append(_listed(found))
         if f.kind == "array":
             checks.append(_element_checks(f, chosen))
     return checks
 
 
-def _element_checks(f: Field, chosen: set[str]) -> Column:
-    def of_element(element: Column, pos: Column) -> Column:
-        found = []
-        for i in f.fields:
-            path = f"{f.name}[].{i.name}"
-            found += _value_checks(i, path, element.isNotNull(), element[i.name], chosen, pos)
-        return _listed(found)
-
-    return F.coalesce(F.flatten(F.transform(F.col(f"_{f.name}"), of_element)), _listed([]))
+def _element_checks(f: Field, chosen: set[str]) -> str:
+    found = []
+    for i in f.fields:
+        path = f"{f.name}[].{i.name}"
+        found += _value_checks(i, path, "x IS NOT NULL", f"x.{quoted(i.name)}", chosen, "i")
+    if not found:
+        return NONE_FOUND
+    per_element = f"transform({_open(f.name)}, (x, i) -> {_listed(found)})"
+    return f"coalesce(flatten({per_element}), {NONE_FOUND})"
 
 
 def _value_checks(
-    f: Field, path: str, has_parent: Column, value: Column, chosen: set[str], pos=None
-) -> list[Column]:
+    f: Field, path: str, has_parent: str, value: str, chosen: set[str], pos: str | None = None
+) -> list[str]:
     """Violations of one value. Each rule looks at one thing only: a missing key is no null
     value, and a value of the wrong type is not asked for its format."""
-    observed = F.to_json(value)
-    is_null = F.is_variant_null(value)
-    text = F.when(_has_kind(value, "string"), F.try_variant_get(value, "$", "string"))
+    observed = f"to_json({value})"
+    text = f"CASE WHEN {_has_kind(value, 'string')} THEN try_variant_get({value}, '$', 'string') END"
     checks = []
     if REQUIRED in chosen and f.required:
-        checks.append(_violation(has_parent & value.isNull(), REQUIRED, path, None, pos))
+        missing = f"{has_parent} AND {value} IS NULL"
+        checks.append(_violation(missing, REQUIRED, path, None, pos))
     if TYPE in chosen:
         # an object or array that could not be opened is none
-        right = F.col(f"_{f.name}").isNotNull() if f.fields else _has_kind(value, f.kind)
-        wrong = value.isNotNull() & ~is_null & ~right
+        right = f"{_open(f.name)} IS NOT NULL" if f.fields else _has_kind(value, f.kind)
+        wrong = f"{value} IS NOT NULL AND NOT is_variant_null({value}) AND NOT ({right})"
         checks.append(_violation(wrong, TYPE, path, observed, pos))
     if NOT_NULL in chosen and not f.nullable:
-        checks.append(_violation(is_null & value.isNotNull(), NOT_NULL, path, observed, pos))
+        checks.append(_violation(f"is_variant_null({value})", NOT_NULL, path, observed, pos))
     if NOT_BLANK in chosen and not f.nullable and f.kind == "string":
-        checks.append(_violation(F.trim(text) == "", NOT_BLANK, path, observed, pos))
+        checks.append(_violation(f"trim({text}) = ''", NOT_BLANK, path, observed, pos))
     if FORMAT in chosen and f.pattern:
-        bad = ~text.rlike(f.pattern)
+        bad = f"NOT ({text}) RLIKE {string_literal(f.pattern)}"
         if f.date_format:
-            bad = bad | F.try_to_date(text, f.date_format).isNull()
-        checks.append(_violation(text.isNotNull() & bad, FORMAT, path, observed, pos))
+            bad += f" OR try_to_date({text}, {string_literal(f.date_format)}) IS NULL"
+        is_text = _has_kind(value, "string")
+        checks.append(_violation(f"{is_text} AND ({bad})", FORMAT, path, observed, pos))
     return checks
 
 
-def _arithmetic_check(a: Product | SumOf | PartsTotal) -> Column:
+def _arithmetic_check(a: Product | SumOf | PartsTotal) -> str:
     """Compared only where every number is there; exact up to 38 digits."""
     if isinstance(a, Product):
-        def of_element(element: Column, pos: Column) -> Column:
-            product = _whole(element[a.factors[0]])
-            for name in a.factors[1:]:
-                product = F.try_multiply(product, _whole(element[name]))
-            result = element[a.result]
-            return _violation(
-                _whole(result) != product, a.rule, f"{a.array}[].{a.result}", F.to_json(result), pos
-            )
-
-        return F.coalesce(F.transform(F.col(f"_{a.array}"), of_element), _listed([]))
-    result = F.col(f"_top.{a.result}")
+        product = _whole(f"x.{quoted(a.factors[0])}")
+        for name in a.factors[1:]:
+            product = f"try_multiply({product}, {_whole(f'x.{quoted(name)}')})"
+        result = f"x.{quoted(a.result)}"
+        path = f"{a.array}[].{a.result}"
+        wrong = _violation(f"{_whole(result)} <> {product}", a.rule, path, f"to_json({result})", "i")
+        return f"coalesce(transform({_open(a.array)}, (x, i) -> {wrong}), {NONE_FOUND})"
+    result = _top(a.result)
     if isinstance(a, SumOf):
-        expected = F.aggregate(
-            F.col(f"_{a.array}"),
-            F.lit(0).cast("decimal(38,0)"),
-            lambda total, element: F.try_add(total, _whole(element[a.item])).cast("decimal(38,0)"),
-        )
+        added = f"CAST(try_add(total, {_whole(f'x.{quoted(a.item)}')}) AS DECIMAL(38,0))"
+        start = "CAST(0 AS DECIMAL(38,0))"
+        expected = f"aggregate({_open(a.array)}, {start}, (total, x) -> {added})"
     else:
-        expected = _whole(F.col(f"_top.{a.parts[0]}"))
+        expected = _whole(_top(a.parts[0]))
         for name in a.parts[1:]:
-            expected = F.try_add(expected, _whole(F.col(f"_top.{name}")))
-    return _listed([_violation(_whole(result) != expected, a.rule, a.result, F.to_json(result))])
+            expected = f"try_add({expected}, {_whole(_top(name))})"
+    differs = f"{_whole(result)} <> {expected}"
+    return _listed([_violation(differs, a.rule, a.result, f"to_json({result})")])
 
 
-def _whole(value: Column) -> Column:
+def _whole(value: str) -> str:
     """Whole number as it stands in the record; NULL for text, fractions and null."""
-    return F.when(
-        _has_kind(value, "integer"), F.try_variant_get(value, "$", "decimal(38,0)")
-    )
+    number = f"try_variant_get({value}, '$', 'decimal(38,0)')"
+    return f"CASE WHEN {_has_kind(value, 'integer')} THEN {number} END"
 
 
-def _has_kind(value: Column, kind: str) -> Column:
+def _has_kind(value: str, kind: str) -> str:
     """Whether a scalar VARIANT holds a value of the declared kind; null is of no kind."""
-    stored = F.schema_of_variant(value)
-    if kind == "string":
-        return stored == "STRING"
-    if kind == "boolean":
-        return stored == "BOOLEAN"
+    stored = f"schema_of_variant({value})"
     if kind == "integer":
-        return (stored == "BIGINT") | (
-            F.startswith(stored, F.lit("DECIMAL(")) & F.endswith(stored, F.lit(",0)"))
-        )
-    return stored.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(stored, F.lit("DECIMAL("))
-
-
-def _violation(condition: Column, rule: str, path: str, observed, pos=None) -> Column:
-    return F.when(
-        condition,
-        F.struct(
-            F.lit(rule).alias("rule"),
-            F.lit(path).alias("field"),
-            (F.lit(None) if pos is None else pos).cast("int").alias("pos"),
-            (F.lit(None) if observed is None else observed).cast("string").alias("observed"),
-        ),
+        return f"({stored} = 'BIGINT' OR {stored} LIKE 'DECIMAL(%,0)')"
+    if kind == "number":
+        return f"({stored} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR {stored} LIKE 'DECIMAL(%)')"
+    return f"({stored} = '{kind.upper()}')"
+
+
+def _violation(
+    condition: str, rule: str, path: str, observed: str | None, pos: str | None = None
+) -> str:
+    return (
+        f"CASE WHEN {condition} THEN named_struct('rule', {string_literal(rule)}, "
+        f"'field', {string_literal(path)}, 'pos', CAST({pos or 'NULL'} AS INT), "
+        f"'observed', CAST({observed or 'NULL'} AS STRING)) END"
     )
 
 
-def _listed(found: Sequence[Column]) -> Column:
-    return F.array(*found).cast(VIOLATION)
+def _listed(found: Sequence[str]) -> str:
+    return f"array({', '.join(found)})" if found else NONE_FOUND
