@@ -12,8 +12,9 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
+from docpipe.functions.sqltext import quoted, string_literal
 from docpipe.spec import DocumentSpec, Field
 
 WHOLE_NUMBER = "^-?(0|[1-9][0-9]*)$"
@@ -26,23 +27,21 @@ def labelled_json(spec: DocumentSpec):
     The steps are separate selects so that each label is searched once: a value that is used
     several times further up is not computed again by the optimizer.
     """
+    labels = _labels(spec)
+    arrays = [quoted(f"_{f.name}") for f in spec.fields if f.kind == "array"]
 
     def add(df: DataFrame, text: str, result: str) -> DataFrame:
-        kept = df.columns
-        page = F.concat(F.lit("\n"), F.replace(F.col(text), F.lit("\r\n"), F.lit("\n")))
-        found = df.select(*kept, page.alias("_page")).select(
-            *kept,
-            *[_found(label).alias(name) for name, label in _labels(spec).items()],
-            *[_rows(spec.row_label).alias(f"_{f.name}") for f in spec.fields if f.kind == "array"],
-        )
-        values = found.select(
-            *kept,
-            *[_printed(F.col(name)).alias(name) for name in _labels(spec)],
-            *[f"_{f.name}" for f in spec.fields if f.kind == "array"],
-        )
-        record = F.struct(*[_member(f).alias(f.name) for f in spec.fields])
-        return values.select(
-            *kept, F.when(_any_found(spec), F.to_json(record)).alias(result)
+        kept = [quoted(c) for c in df.columns]
+        page = f"concat('\\n', replace({quoted(text)}, '\\r\\n', '\\n')) AS _page"
+        found = [f"{_found(label)} AS {name}" for name, label in labels.items()]
+        rows = [f"{_rows(spec.row_label)} AS {name}" for name in arrays]
+        printed = [f"{_printed(name)} AS {name}" for name in labels]
+        record = f"CASE WHEN {_any_found(spec)} THEN to_json({_record(spec)}) END"
+        return (
+            df.selectExpr(*kept, page)
+            .selectExpr(*kept, *found, *rows)
+            .selectExpr(*kept, *printed, *arrays)
+            .selectExpr(*kept, f"{record} AS {quoted(result)}")
         )
 
     return add
@@ -89,72 +88,79 @@ def _labels(spec: DocumentSpec) -> dict[str, str]:
     labels = {}
     for f in spec.fields:
         if f.label is not None:
-            labels[f"_{f.name}"] = f.label
+            labels[quoted(f"_{f.name}")] = f.label
         if f.kind == "object":
-            labels.update({f"_{f.name}_{i.name}": i.label for i in f.fields})
+            labels.update({_inner(f, i): i.label for i in f.fields})
     return labels
 
 
-def _found(label: str) -> Column:
+def _inner(f: Field, i: Field) -> str:
+    return quoted(f"_{f.name}.{i.name}")
+
+
+def _found(label: str) -> str:
     """Rest of the label line with its colon; empty where the label does not occur."""
-    return F.regexp_extract("_page", f"\n{re.escape(label)}(:[^\n]*)", 1)
+    pattern = string_literal(f"\n{re.escape(label)}(:[^\n]*)")
+    return f"regexp_extract(_page, {pattern}, 1)"
 
 
-def _printed(found: Column) -> Column:
+def _printed(found: str) -> str:
     """Printed value of a label line; NULL where the label does not occur."""
-    return F.when(found != "", F.trim(F.substring(found, 2, 2**31 - 1)))
+    return f"CASE WHEN {found} <> '' THEN trim(substring({found}, 2)) END"
 
 
-def _rows(row_label: str) -> Column:
+def _rows(row_label: str) -> str:
     """Cells of every line item row."""
-    rows = F.filter(F.split("_page", "\n"), lambda line: F.startswith(line, F.lit(row_label + "\t")))
-    return F.transform(rows, lambda row: F.split(row, "\t"))
+    mark = string_literal(f"{row_label}\t")
+    rows = f"filter(split(_page, '\\n'), line -> startswith(line, {mark}))"
+    return f"transform({rows}, line -> split(line, '\\t'))"
 
 
-def _value(printed: Column, kind: str) -> Column:
+def _value(printed: str, kind: str) -> str:
     """VARIANT for a printed value, NULL for none. Only plain whole numbers become numbers;
     anything else printed in an integer field stays text, so that it can be reported later."""
-    text = printed.cast("variant")
-    value = F.when(printed == "", F.parse_json(F.lit("null"))).when(
-        printed == '""', F.lit("").cast("variant")
-    )
+    text = f"CAST({printed} AS VARIANT)"
+    number = ""
     if kind == "integer":
-        number = printed.try_cast("decimal(38,0)").cast("variant")
-        value = value.when(printed.rlike(WHOLE_NUMBER), F.coalesce(number, text))
-    return value.when(printed.isNotNull(), text)
+        whole = f"CAST(try_cast({printed} AS DECIMAL(38,0)) AS VARIANT)"
+        number = (
+            f"WHEN {printed} RLIKE {string_literal(WHOLE_NUMBER)} THEN coalesce({whole}, {text}) "
+        )
+    return (
+        f"CASE WHEN {printed} = '' THEN parse_json('null') "
+        f"WHEN {printed} = '\"\"' THEN CAST('' AS VARIANT) {number}"
+        f"WHEN {printed} IS NOT NULL THEN {text} END"
+    )
+
+
+def _struct(members: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"{string_literal(n)}, {v}" for n, v in members.items()) + ")"
 
 
-def _member(f: Field) -> Column:
-    """Member of the record. ``to_json`` leaves out SQL NULL (absent key) and prints a VARIANT
-    null as null."""
-    own = F.col(f"_{f.name}")
+def _record(spec: DocumentSpec) -> str:
+    """The record. ``to_json`` leaves out SQL NULL (absent key) and prints a VARIANT null as
+    null."""
+    return _struct({f.name: _member(f) for f in spec.fields})
+
+
+def _member(f: Field) -> str:
+    own = quoted(f"_{f.name}")
     if f.kind == "array":
-        return F.transform(
-            own,
-            lambda cells: F.struct(
-                *[
-                    _value(F.trim(F.get(cells, F.lit(i + 2))), inner.kind).alias(inner.name)
-                    for i, inner in enumerate(f.fields)
-                ]
-            ),
-        )
+        values = {
+            i.name: _value(f"trim(get(cells, {n}))", i.kind) for n, i in enumerate(f.fields, 2)
+        }
+        return f"transform({own}, cells -> {_struct(values)})"
     if f.kind == "object":
-        inner = F.to_json(
-            F.struct(*[_value(F.col(f"_{f.name}_{i.name}"), i.kind).alias(i.name) for i in f.fields])
-        )
-        return F.when(_inner_found(f), F.parse_json(inner)).when(
-            own.isNotNull(), F.parse_json(F.lit("null"))
+        inner = _struct({i.name: _value(_inner(f, i), i.kind) for i in f.fields})
+        any_inner = f"coalesce({', '.join(_inner(f, i) for i in f.fields)}) IS NOT NULL"
+        return (
+            f"CASE WHEN {any_inner} THEN parse_json(to_json({inner})) "
+            f"WHEN {own} IS NOT NULL THEN parse_json('null') END"
         )
     return _value(own, f.kind)
 
 
-def _inner_found(f: Field) -> Column:
-    return F.coalesce(*[F.col(f"_{f.name}_{i.name}") for i in f.fields]).isNotNull()
-
-
-def _any_found(spec: DocumentSpec) -> Column:
-    found = F.coalesce(*[F.col(name) for name in _labels(spec)]).isNotNull()
-    for f in spec.fields:
-        if f.kind == "array":
-            found = found | (F.size(f"_{f.name}") > 0)
-    return found
+def _any_found(spec: DocumentSpec) -> str:
+    found = [f"coalesce({', '.join(_labels(spec))}) IS NOT NULL"]
+    found += [f"size({quoted(f'_{f.name}')}) > 0" for f in spec.fields if f.kind == "array"]
+    return " OR ".join(found)

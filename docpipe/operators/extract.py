@@ -18,6 +18,9 @@ MALFORMED_JSON = "MALFORMED_JSON"
 WRONG_RESULT_COUNT = "WRONG_RESULT_COUNT"
 
 ANSWER = "result string, errorMessage string"
+# A text with more than one part in so many of all rows counts as hot.
+HOT_SHARES = 1000
+
 OUTCOME_COLUMNS = ("input", "response", "error")
 
 Caller = Callable[[Sequence[str]], Sequence[str | None]]
@@ -144,17 +147,41 @@ def extract_fields(
 
 
 def _called_once_per_text(df, model, text, fail_on_error) -> DataFrame:
-    """Copies of a text collapse before the shuffle (map-side), and the join back is an
-    ordinary equi-join whose skewed partitions adaptive execution splits."""
+    """One call per distinct text, joined back to all its copies.
+
+    Copies collapse map-side before the texts are shuffled. The join back would bring all
+    copies of a text into one task, so those with more than a thousandth of all rows, which
+    are fewer than a thousand texts, are spread over several: their answer is repeated once
+    per share. That bound is what allows to broadcast them.
+    """
+    kept = [c for c in df.columns if c != text]
     keyed = df.withColumn("_text_key", F.sha2(F.col(text), 256))
+    share = max(1, df.count() // HOT_SHARES)
+    hot = (
+        keyed.groupBy("_text_key")
+        .agg(F.count("*").alias("_copies"))
+        .where((F.col("_copies") > share) & F.col("_text_key").isNotNull())
+        .select("_text_key", F.ceil(F.col("_copies") / share).cast("int").alias("_shares"))
+    )
+    shares = F.coalesce("_shares", F.lit(1))
     texts = (
         keyed.where(F.col(text).isNotNull()).groupBy("_text_key").agg(F.first(text).alias("_text"))
     )
-    once = model.add_answer(texts, "_text", fail_on_error).drop("_text")
+    once = (
+        model.add_answer(texts, "_text", fail_on_error)
+        .join(F.broadcast(hot), "_text_key", "left")
+        .select("_text_key", "_answer", F.explode(F.sequence(F.lit(0), shares - 1)).alias("_share"))
+    )
+    # NULL texts meet nothing, but would all be sent to one task as well
+    own_shares = F.when(F.col("_text_key").isNull(), HOT_SHARES).otherwise(shares)
+    share_of_row = F.pmod(F.xxhash64(*(kept or [F.lit(0)])), own_shares).cast("int")
+    spread = keyed.join(F.broadcast(hot), "_text_key", "left").select(
+        *df.columns, "_text_key", share_of_row.alias("_share")
+    )
     unsent = F.struct(
         F.lit(None).cast("string").alias("result"), F.lit(NULL_INPUT).alias("errorMessage")
     )
-    return keyed.join(once, "_text_key", "left").withColumn(
+    return spread.join(once, ["_text_key", "_share"], "left").withColumn(
         "_answer", F.coalesce(F.col("_answer"), unsent)
     )
 

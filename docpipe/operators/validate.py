@@ -53,7 +53,7 @@ def violation_summary(
     found = _with_violations(silver, spec, (), names, response)
     per_rule = found.select(
         *[
-            F.size(F.filter("_violations", _is_about(r))).alias(f"_n{i}")
+            F.expr(f"size(filter(_violations, v -> v.rule = {string_literal(r)}))").alias(f"_n{i}")
             for i, r in enumerate(names)
         ]
     )
@@ -76,10 +76,6 @@ def violation_summary(
     return per_rule.agg(*sums).select(F.inline(rows))
 
 
-def _is_about(rule: str):
-    return lambda violation: violation["rule"] == rule
-
-
 def _with_violations(silver, spec, key, rules, response) -> DataFrame:
     """Checked documents with their violations. The expressions are written as SQL text: there
     are several hundred of them, and one text is one call to the JVM."""

@@ -8,6 +8,7 @@ from docpipe.functions.labelled import labelled_json, labelled_reader
 from docpipe.operators.extract import (
     CallableModel,
     ExpressionModel,
+    _called_once_per_text,
     extract_fields,
     preview,
     register_model,
@@ -172,6 +173,23 @@ def test_distinct_texts_saves_calls(spark):
     assert calls.value == 51
 
 
+def test_copies_of_a_hot_text_are_spread(spark):
+    """A third of 6000 rows is one text, a third NULL: they meet their answers in many groups."""
+    docs = spark.range(6000).selectExpr(
+        "id AS doc_id",
+        "CASE WHEN id < 2000 THEN 'Remarks: copy' WHEN id > 4000 THEN concat('Remarks: ', id) END"
+        " AS text",
+    )
+    called = _called_once_per_text(docs, EXPRESSION, "text", False)
+    largest = called.groupBy("_text_key", "_share").count().agg(F.max("count")).head()[0]
+    assert largest < 30
+    df = extract_fields(docs, EXPRESSION, distinct_texts=True)
+    plain = extract_fields(docs, EXPRESSION)
+    columns = ["doc_id", F.to_json("response").alias("r"), "error"]
+    assert df.count() == 6000
+    assert df.select(*columns).exceptAll(plain.select(*columns)).count() == 0
+
+
 def test_columns_that_would_be_hidden(spark):
     df = spark.createDataFrame([("x", "y")], "text string, input string")
     with pytest.raises(ValueError, match="input"):
