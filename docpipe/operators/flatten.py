@@ -129,4 +129,6 @@ def _identifier(kind: str, key: Sequence[str], pos: Column) -> Column:
         return F.uuid()
     if kind != "stable":
         raise ValueError(f"unknown identifier {kind!r}")
-    return F.sha2(F.concat_ws("|", *[F.col(c) for c in key], pos), 256)
+    # several columns are written as JSON, so that no two keys read the same when joined
+    document = F.col(key[0]) if len(key) == 1 else F.to_json(F.struct(*key))
+    return F.sha2(F.concat_ws("|", document, pos), 256)

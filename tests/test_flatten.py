@@ -108,6 +108,14 @@ def test_identifiers(records):
     assert len(set(random)) == 10 and all(len(i) == 36 for i in random)
 
 
+def test_keys_of_several_columns_do_not_run_together(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "a"), ("a", None)]
+    silver = spark.createDataFrame(rows, "x string, y string").selectExpr(
+        "*", """parse_json('{"details": [{}]}') AS response"""
+    )
+    assert flatten(silver, RECEIPT, key=("x", "y")).select("id").distinct().count() == 4
+
+
 def test_documents(records):
     df = flatten_documents(records(golden(), golden(details=None), "{bad"), RECEIPT)
     rows = {r.doc_id: r for r in df.collect()}

@@ -125,3 +125,11 @@ def test_whole_way(spark):
     noted = properties(spark, "paperwork.receipt_gold")
     assert noted[KEY_PROPERTY] == "id" and noted["tag.certified"] == "true"
     assert {r.column_name: r.comment for r in dictionary(gold).collect()} == COLUMN_COMMENTS
+    keys.assert_primary_key(gold, ["id"])
+
+
+def test_repeated_documents_are_refused_before_the_model(spark):
+    texts = spark.createDataFrame([("1", "{}"), ("1", "{}")], "doc_id string, text string")
+    with pytest.raises(keys.ConstraintViolation, match="not unique"):
+        build_tables(texts, RECEIPT, CallableModel(echo), "paperwork", "twice")
+    assert not spark.catalog.tableExists("paperwork.twice_silver")
