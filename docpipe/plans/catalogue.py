@@ -93,14 +93,14 @@ def q_silver_sql(spark, sf_dir):
     return _typed(
         spark.sql(
             """
-            WITH query_results AS (
-              SELECT doc_id, `text` AS input,
+            WITH answers AS (
+              SELECT doc_id, text AS input,
                      receipt_record(input, fail_on_error => false) AS answer
-              FROM (SELECT doc_id, text FROM {texts})
+              FROM {texts}
             )
-            SELECT doc_id, input, try_parse_json(answer.result) AS response,
-                   answer.errorMessage AS error
-            FROM query_results
+            SELECT doc_id, input, answer.errorMessage AS error,
+                   try_parse_json(answer.result) AS response
+            FROM answers
             """,
             texts=bronze(spark, sf_dir),
         )

@@ -185,6 +185,7 @@ def _stated(pattern: str, name: str) -> str:
 
 
 def _dictionary() -> str:
+    # The comments have to read as given.
     columns = [
         ("id", "string", "自動採番したユニークID"),
         ("issue_date", "string", "発行日"),
