@@ -4,9 +4,8 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-EXPECTED = entry_points.oracle_sql()
+from docpipe.plans.catalogue import QUERIES
+from docpipe.plans.expected import EXPECTED
 
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
 ROWS_ONLY = {"file_manifest", "embed_documents"}
@@ -18,6 +17,8 @@ def con(sf_dir):
 
 
 def test_every_query_has_expected_sql():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert EXPECTED.items() <= entry_points.oracle_sql().items()
     assert set(QUERIES) - set(EXPECTED) == ROWS_ONLY
     assert set(EXPECTED) <= set(QUERIES)
 
