@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docpipe.llm import covertree, packing, warc
+from docpipe.llm import covertree, linetemplates, packing, secrets, tokenfiles, warc
 from docpipe.plans.receipts import table
 
 
@@ -22,6 +22,12 @@ def op4_cover_tree_topk(spark, sf_dir):
     return covertree.topk(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5)
 
 
+def op7_token_files(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    path = tokenfiles.tokenizer_path("word_bpe_49k.json")
+    return tokenfiles.read_tokens(spark, tokenfiles.write_tokens(docs, path))
+
+
 def op8_warc_revisits(spark, sf_dir):
     pages = warc.resolve(table(spark, sf_dir, "pages"))
     records = warc.read_archives(spark, warc.write_archives(pages), bodies=False)
@@ -30,8 +36,20 @@ def op8_warc_revisits(spark, sf_dir):
     )
 
 
+def op9_secret_scan(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_line_templates(spark, sf_dir):
+    cleaned = linetemplates.drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", "dropped_lines")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_cover_tree_topk": op4_cover_tree_topk,
+    "op7_token_files": op7_token_files,
     "op8_warc_revisits": op8_warc_revisits,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_line_templates": op10_line_templates,
 }
