@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docpipe.llm import covertree, linetemplates, packing, secrets, tokenfiles, warc
+from docpipe.llm import covertree, linetemplates, packing, secrets, tokenfiles, toxicity, warc
 from docpipe.plans.receipts import table
 
 
@@ -17,6 +17,18 @@ def op1_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), word_count())
 
 
+def op3_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.with_toxicity(docs, labels, ["doc_id"]).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "threshold",
+        "toxic",
+    )
+
+
 def op4_cover_tree_topk(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return covertree.topk(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5)
@@ -47,6 +59,7 @@ def op10_line_templates(spark, sf_dir):
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_toxicity": op3_toxicity,
     "op4_cover_tree_topk": op4_cover_tree_topk,
     "op7_token_files": op7_token_files,
     "op8_warc_revisits": op8_warc_revisits,
