@@ -1,6 +1,30 @@
 """SQL for DuckDB that gives the rows of the queries, where SQL can express them."""
 
+# Five-word shingles as lists of words; a word ends at ASCII white space and punctuation.
+_SHINGLES = r"""
+        {name}_words AS (
+          SELECT {id}, string_split(trim(regexp_replace(lower(text),
+                   '[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+', ' ', 'g')), ' ') AS w
+          FROM {table} WHERE text IS NOT NULL
+        ), {name} AS (
+          SELECT DISTINCT {id}, list_slice(w, i, i + 4) AS s
+          FROM (SELECT {id}, w, unnest(range(1, len(w) - 3)) AS i FROM {name}_words)
+        )"""
+
+
+def _shingle_tables(name: str, id_column: str, table: str) -> str:
+    return _SHINGLES.format(name=name, id=id_column, table=table)
+
+
 EXPECTED = {
+    "op6_benchmark_containment": f"""
+        WITH {_shingle_tables("d", "doc_id", "documents")},
+        {_shingle_tables("b", "item_id", "benchmark")},
+        sizes AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id)
+        SELECT doc_id, item_id, count(*) / any_value(n) AS containment
+        FROM d JOIN b USING (s) JOIN sizes USING (item_id)
+        GROUP BY doc_id, item_id HAVING count(*) / any_value(n) >= 0.8
+    """,
     "op4_cover_tree_topk": """
         WITH whole AS (
           SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v

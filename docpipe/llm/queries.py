@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docpipe.llm import covertree, linetemplates, packing, secrets, tokenfiles, toxicity, warc
+from docpipe.llm import covertree, decontaminate, linetemplates, packing, secrets, tokenfiles, toxicity, warc
 from docpipe.plans.receipts import table
 
 
@@ -34,6 +34,11 @@ def op4_cover_tree_topk(spark, sf_dir):
     return covertree.topk(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5)
 
 
+def op6_benchmark_containment(spark, sf_dir):
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contained_items(docs, items)
+
+
 def op7_token_files(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     path = tokenfiles.tokenizer_path("word_bpe_49k.json")
@@ -61,6 +66,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_toxicity": op3_toxicity,
     "op4_cover_tree_topk": op4_cover_tree_topk,
+    "op6_benchmark_containment": op6_benchmark_containment,
     "op7_token_files": op7_token_files,
     "op8_warc_revisits": op8_warc_revisits,
     "op9_secret_scan": op9_secret_scan,
