@@ -183,9 +183,10 @@ def _frame(rows, names) -> pd.DataFrame:
 
 def resolved_records(records: DataFrame) -> DataFrame:
     """Every record with the payload size of the response it stands for: revisits are joined to
-    their responses by record id, headers only."""
+    their responses by record id, headers only. The headers are written first, so that the
+    archives are read once and Spark knows their size before it chooses a join."""
     kept = [c for c in records.columns if c not in ("html", "payload_bytes")]
-    own = records.select(*kept, "payload_bytes")
+    own = written(records.select(*kept, "payload_bytes"), "warc-headers")
     revisit = own.where("record_type = 'revisit'").drop("payload_bytes")
     named = (
         own.where("record_type = 'response'")
