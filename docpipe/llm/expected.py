@@ -17,6 +17,32 @@ def _shingle_tables(name: str, id_column: str, table: str) -> str:
 
 
 EXPECTED = {
+    # a text of one to four words is one shingle; equal texts are linked even without words
+    "op2_probminhash_classes": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, text, string_split(trim(regexp_replace(lower(text),
+                   '[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+', ' ', 'g')), ' ') AS w
+          FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL
+        ), d AS (
+          SELECT DISTINCT doc_id, list_slice(w, i, i + 4) AS s
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i
+                FROM w WHERE w <> [''])
+        ), n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+        common AS (
+          SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+          FROM d x JOIN d y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY ALL
+        ), links AS (
+          SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+          WHERE c / (na.n + nb.n - c) >= 0.8
+          UNION
+          SELECT x.doc_id, y.doc_id FROM w x JOIN w y USING (text) WHERE x.doc_id <> y.doc_id
+        ), reach AS (
+          SELECT DISTINCT doc_id AS a, doc_id AS b FROM documents WHERE doc_id IS NOT NULL
+          UNION
+          SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        ), class AS (SELECT a, min(b) AS class_id FROM reach GROUP BY a)
+        SELECT doc_id, class_id FROM documents LEFT JOIN class ON doc_id = a
+    """,
     "op6_benchmark_containment": f"""
         WITH {_shingle_tables("d", "doc_id", "documents")},
         {_shingle_tables("b", "item_id", "benchmark")},

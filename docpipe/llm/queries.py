@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docpipe.llm import covertree, decontaminate, linetemplates, packing, secrets, tokenfiles, toxicity, warc
+from docpipe.llm import covertree, decontaminate, linetemplates, packing, probminhash, secrets, tokenfiles, toxicity, warc
 from docpipe.plans.receipts import table
 
 
@@ -17,6 +17,10 @@ def op1_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), word_count())
 
 
+def op2_probminhash_classes(spark, sf_dir):
+    return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.with_toxicity(docs, labels, ["doc_id"]).select(
@@ -64,6 +68,7 @@ def op10_line_templates(spark, sf_dir):
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_probminhash_classes": op2_probminhash_classes,
     "op3_toxicity": op3_toxicity,
     "op4_cover_tree_topk": op4_cover_tree_topk,
     "op6_benchmark_containment": op6_benchmark_containment,
