@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from docpipe.llm.batches import text_parts
-from docpipe.llm.graph import components
+from docpipe.llm.linking import near_components
 from docpipe.llm.shingles import distinct, mixed, shingles, signed, words
 from docpipe.llm.staging import written
 from docpipe.session import ship
@@ -171,12 +171,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     ``similarity`` have the same class, named by its smallest id.
 
     1. Rows with equal words are one node, their smallest id; no copies are compared.
-    2. Nodes that share a band are a bucket. Every member is compared with the smallest and the
-       largest of its bucket: two pairs for each member, however large the bucket.
-    3. In buckets that are not one component after that, members outside the component of the
-       smallest are compared with those whose similarity to the smallest is near enough to
-       theirs for a link to be possible at all, by the triangle inequality of the Jaccard
-       distance. So no link between members of a bucket is lost.
+    2. Nodes that share a band are candidates (see :func:`near_components`).
 
     Texts of one to four words have one shingle, all of it. Texts without words are linked only
     to equal texts, NULL texts to none. Rows of one id are one document. NULL ids have a NULL
@@ -194,25 +189,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     banded = written(
         sketched.where("shingles > 0")
         .join(first, "doc_id", "left_semi")
-        .select("doc_id", "shingles", F.explode("bands").alias("band")),
+        .select(
+            F.col("doc_id").alias("node"), F.col("shingles").alias("size"),
+            F.explode("bands").alias("band"),
+        ),
         "bands",
-    )
-    buckets = (
-        banded.groupBy("band")
-        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-        .where("low < high")
-    )
-    shared = written(banded.join(buckets, "band"), "buckets")
-    hubs = shared.select("doc_id", F.explode(F.array("low", "high")).alias("hub")).where("doc_id <> hub")
-    pairs = hubs.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b"))
-    compared = written(exact_similarities(written(pairs.distinct(), "pairs"), ids), "compared")
-    links = compared.where(F.col("jaccard") >= similarity).select("a", "b")
-    roots = components(links)
-    rest = written(_possible_pairs(shared, compared, roots, similarity), "rest")
-    if not rest.isEmpty():
-        more = written(exact_similarities(rest, ids), "compared-rest")
-        links = links.unionByName(more.where(F.col("jaccard") >= similarity).select("a", "b"))
-        roots = components(links)
+    )
+    roots = near_components(banded, lambda pairs: exact_similarities(pairs, ids), similarity)
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
     # copies are named by their node, every other document by itself
     copies = members.where("doc_id <> node").distinct()
@@ -227,56 +210,6 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     )
 
 
-def _possible_pairs(shared, compared, roots, similarity) -> DataFrame:
-    """Pairs of one bucket and different components that could still be similar enough: at least
-    one is outside the component of the bucket's smallest member, their similarities to that
-    member differ by at most ``1 - similarity``, and so do their sizes in proportion."""
-    width = 1 - similarity + 1e-9
-    root = roots.select(F.col("node"), "root")
-    one = shared.join(root, F.col("doc_id") == F.col("node"), "left").select(
-        "band", "doc_id", "shingles", "low", F.coalesce("root", "doc_id").alias("root")
-    )
-    split = (
-        one.groupBy("band").agg(F.min("root").alias("r"), F.max("root").alias("s"))
-        .where("r < s").select("band")
-    )
-    to_low = compared.select(
-        F.col("a").alias("low"), F.col("b").alias("doc_id"), F.col("jaccard").alias("near")
-    )
-    open_ones = written(
-        one.join(split, "band", "left_semi")
-        .join(to_low, ["low", "doc_id"], "left")
-        .withColumn("near", F.when(F.col("doc_id") == F.col("low"), 1.0).otherwise(F.col("near")))
-        .withColumn("cell", F.floor(F.col("near") / width).cast("int")),
-        "open-buckets",
-    )
-    low_root = root.select(F.col("node").alias("low"), F.col("root").alias("low_root"))
-    outside = (
-        open_ones.join(low_root, "low", "left")
-        .where(F.col("root") != F.coalesce("low_root", "low"))
-        .where("doc_id <> low")
-    )
-    left = outside.select(
-        "band", F.col("doc_id").alias("x"), F.col("shingles").alias("nx"),
-        F.col("near").alias("jx"), F.col("root").alias("rx"),
-        F.explode(F.array(*[F.col("cell") + i for i in (-1, 0, 1)])).alias("cell"),
-    )
-    right = open_ones.where("doc_id <> low").select(
-        "band", "cell", F.col("doc_id").alias("y"), F.col("shingles").alias("ny"),
-        F.col("near").alias("jy"), F.col("root").alias("ry"),
-    )
-    possible = (
-        (F.col("rx") != F.col("ry"))
-        & (F.abs(F.col("jx") - F.col("jy")) <= width)
-        & (F.least("nx", "ny") >= F.greatest("nx", "ny") * similarity)
-    )
-    pairs = left.join(right, ["band", "cell"]).where(possible).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
-    ).distinct()
-    known = compared.select("a", "b")
-    return pairs.join(known, ["a", "b"], "left_anti")
-
-
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, whose document is the first of its class. Rows with a
     NULL id stay. Of several rows with one id, one stays."""

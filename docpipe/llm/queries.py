@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docpipe.llm import covertree, decontaminate, linetemplates, packing, probminhash, secrets, tokenfiles, toxicity, warc
+from docpipe.llm import covertree, decontaminate, linetemplates, packing, passages, probminhash, secrets, tokenfiles, toxicity, warc
 from docpipe.plans.receipts import table
 
 
@@ -38,6 +38,10 @@ def op4_cover_tree_topk(spark, sf_dir):
     return covertree.topk(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5)
 
 
+def op5_repeated_passages(spark, sf_dir):
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_containment(spark, sf_dir):
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.contained_items(docs, items)
@@ -71,6 +75,7 @@ QUERIES = {
     "op2_probminhash_classes": op2_probminhash_classes,
     "op3_toxicity": op3_toxicity,
     "op4_cover_tree_topk": op4_cover_tree_topk,
+    "op5_repeated_passages": op5_repeated_passages,
     "op6_benchmark_containment": op6_benchmark_containment,
     "op7_token_files": op7_token_files,
     "op8_warc_revisits": op8_warc_revisits,
