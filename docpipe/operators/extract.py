@@ -6,16 +6,21 @@ both. A failing document becomes an error row; it does not fail the job unless a
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from docpipe.functions.sqltext import quoted
+
 NULL_INPUT = "NULL_INPUT"
 NO_FIELDS_FOUND = "NO_FIELDS_FOUND"
 MALFORMED_JSON = "MALFORMED_JSON"
 WRONG_RESULT_COUNT = "WRONG_RESULT_COUNT"
+NOT_TEXT = "NOT_TEXT"
 
 ANSWER = "result string, errorMessage string"
 # A text with more than one part in so many of all rows counts as hot.
@@ -35,6 +40,10 @@ class ExpressionModel:
 
     def add_answer(self, df: DataFrame, text: str, fail_on_error: bool) -> DataFrame:
         kept = df.columns
+        # A text that "is not deterministic" keeps the optimizer from moving the model below a
+        # limit or a filter that was put in front of it.
+        guarded = F.when(F.rand(0) + 1 > 0, F.col(text)).alias(text)
+        df = df.select(*[guarded if c == text else F.col(quoted(c)) for c in kept])
         problem = F.when(F.col(text).isNull(), F.lit(NULL_INPUT)).when(
             F.col("_json").isNull(), F.lit(NO_FIELDS_FOUND)
         )
@@ -51,12 +60,20 @@ class CallableModel:
     """Model behind a Python callable, for clients that Spark has no expression for.
 
     ``factory`` runs once per task and returns a function from a list of texts to a list of
-    JSON texts of the same length. A batch that raises is tried again text by text, so that
-    one bad document costs one error row.
+    JSON texts of the same length; a factory that raises fails the job, since then nothing
+    works. A batch that raises or miscounts is tried again in halves, so that one bad document
+    costs one error row and few calls; a single text is tried ``tries`` times, with a growing
+    ``pause`` in seconds in between. When whole batches keep failing, each costs at most
+    ``2 * batch_size - 1`` calls of falling size. ``in_flight`` calls run at a time in a task,
+    for clients that wait for a service; such a client must allow calls from several threads.
+    An answer that is not text, or text that is not valid Unicode, is an error of its document.
     """
 
     factory: Callable[[], Caller]
     batch_size: int = 64
+    in_flight: int = 1
+    tries: int = 1
+    pause: float = 0.5
 
     def add_answer(self, df: DataFrame, text: str, fail_on_error: bool) -> DataFrame:
         return df.withColumn("_answer", self.udf()(F.col(text), F.lit(fail_on_error)))
@@ -64,7 +81,7 @@ class CallableModel:
     def udf(self):
         """``f(text, fail_on_error)``; never deterministic, so that a reference to both
         fields of the answer does not become two calls."""
-        factory, batch_size = self.factory, self.batch_size
+        factory, options = self.factory, (self.batch_size, self.in_flight, self.tries, self.pause)
         client: list[Caller] = []
 
         @F.pandas_udf(ANSWER)
@@ -72,19 +89,30 @@ class CallableModel:
             if not client:
                 client.append(factory())
             strict = bool(len(fail_on_error)) and bool(fail_on_error.iloc[0])
-            return call_in_batches(client[0], text, batch_size, strict)
+            return call_in_batches(client[0], text, strict, *options)
 
         return answer.asNondeterministic()
 
 
-def call_in_batches(call: Caller, text: pd.Series, size: int, strict: bool) -> pd.DataFrame:
+def call_in_batches(
+    call: Caller, text: pd.Series, strict: bool, size: int, in_flight: int, tries: int, pause: float
+) -> pd.DataFrame:
     """Answers for one Arrow batch, ``size`` texts per call; null texts are not sent."""
     results = pd.Series([None] * len(text), dtype=object)
     errors = pd.Series([NULL_INPUT] * len(text), dtype=object)
     sent = [i for i, value in enumerate(text) if value is not None]
-    for start in range(0, len(sent), size):
-        chunk = sent[start : start + size]
-        for i, (result, error) in zip(chunk, _call_chunk(call, [text.iloc[i] for i in chunk])):
+    chunks = [sent[start : start + size] for start in range(0, len(sent), size)]
+
+    def answers(chunk: list[int]):
+        return _call_chunk(call, [text.iloc[i] for i in chunk], tries, pause)
+
+    if in_flight > 1:
+        with ThreadPoolExecutor(in_flight) as pool:
+            answered = list(pool.map(answers, chunks))
+    else:
+        answered = map(answers, chunks)
+    for chunk, pairs in zip(chunks, answered):
+        for i, (result, error) in zip(chunk, pairs):
             results[i], errors[i] = result, error
     if strict:
         failed = errors.dropna()
@@ -93,16 +121,37 @@ def call_in_batches(call: Caller, text: pd.Series, size: int, strict: bool) -> p
     return pd.DataFrame({"result": results, "errorMessage": errors})
 
 
-def _call_chunk(call: Caller, texts: list[str]) -> list[tuple[str | None, str | None]]:
+def _call_chunk(
+    call: Caller, texts: list[str], tries: int, pause: float
+) -> list[tuple[str | None, str | None]]:
+    for n in range(max(tries, 1) if len(texts) == 1 else 1):
+        if n:
+            time.sleep(pause * 2 ** (n - 1))
+        try:
+            answers = list(call(texts))
+            if len(answers) != len(texts):
+                raise ValueError(WRONG_RESULT_COUNT)
+            return [_checked(a) for a in answers]
+        except Exception as problem:  # noqa: BLE001 - any client error is data here
+            failure = f"{type(problem).__name__}: {problem}"
+    if len(texts) == 1:
+        return [(None, failure.encode("utf-8", "replace").decode())]
+    half = len(texts) // 2
+    return [
+        pair for part in (texts[:half], texts[half:]) for pair in _call_chunk(call, part, tries, pause)
+    ]
+
+
+def _checked(answer) -> tuple[str | None, str | None]:
+    if answer is None:
+        return None, NO_FIELDS_FOUND
+    if not isinstance(answer, str):
+        return None, f"{NOT_TEXT}: {type(answer).__name__}"
     try:
-        answers = list(call(texts))
-        if len(answers) != len(texts):
-            raise ValueError(WRONG_RESULT_COUNT)
-    except Exception as problem:  # noqa: BLE001 - any client error is data here
-        if len(texts) == 1:
-            return [(None, f"{type(problem).__name__}: {problem}")]
-        return [pair for single in texts for pair in _call_chunk(call, [single])]
-    return [(a, None) if a is not None else (None, NO_FIELDS_FOUND) for a in answers]
+        answer.encode("utf-8")
+    except UnicodeEncodeError:
+        return None, f"{NOT_TEXT}: invalid Unicode"
+    return answer, None
 
 
 def extract_fields(
@@ -174,7 +223,8 @@ def _called_once_per_text(df, model, text, fail_on_error) -> DataFrame:
     )
     # NULL texts meet nothing, but would all be sent to one task as well
     own_shares = F.when(F.col("_text_key").isNull(), HOT_SHARES).otherwise(shares)
-    share_of_row = F.pmod(F.xxhash64(*(kept or [F.lit(0)])), own_shares).cast("int")
+    # rows of one text follow one another in the count, so their shares take turns
+    share_of_row = F.pmod(F.monotonically_increasing_id(), own_shares).cast("int")
     spread = keyed.join(F.broadcast(hot), "_text_key", "left").select(
         *df.columns, "_text_key", share_of_row.alias("_share")
     )
@@ -182,7 +232,7 @@ def _called_once_per_text(df, model, text, fail_on_error) -> DataFrame:
         F.lit(None).cast("string").alias("result"), F.lit(NULL_INPUT).alias("errorMessage")
     )
     return spread.join(once, ["_text_key", "_share"], "left").withColumn(
-        "_answer", F.coalesce(F.col("_answer"), unsent)
+        "_answer", F.when(F.col(text).isNull(), unsent).otherwise(F.col("_answer"))
     )
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docpipe.functions.sqltext import quoted
 from docpipe.spec import DocumentSpec
 
 CORRUPT = "_corrupt_record"
@@ -21,7 +22,7 @@ def parsed(response: Column, spec: DocumentSpec, reader: str = "json") -> Column
     * ``exact``: like ``variant``, whole numbers read as BIGINT, exact beyond 2^53.
     """
     if reader == "json":
-        return F.from_json(F.to_json(response), spec.ddl("double"))
+        return F.from_json(F.to_json(response), spec.struct_type("double"))
     if reader == "variant":
         return F.try_variant_get(response, "$", spec.ddl("double"))
     if reader == "exact":
@@ -44,8 +45,8 @@ def flatten(
     """One row per line item, header values repeated on every line.
 
     Documents without a response or without lines leave no row unless ``outer``.
-    ``identifier``: ``stable`` is a hash of document key and line position, the same on every
-    run; ``uuid`` is random, so the result has to be written before it is used twice.
+    ``identifier``: ``stable`` is a hash of document key and line position as JSON, the same on
+    every run; ``uuid`` is random, so the result has to be written before it is used twice.
     ``strict`` casts fail on overflow, otherwise they give NULL. ``keep_key`` puts the
     document key and the position in front.
     """
@@ -57,7 +58,7 @@ def flatten(
     # the test on the position drops exactly the rows an inner explode would not produce.
     documents = silver.select(*key, parsed(F.col(response), spec, reader).alias("_doc"))
     lines = documents.select(
-        *key, "_doc", F.posexplode_outer(F.col(f"_doc.{array.name}")).alias("_pos", "_item")
+        *key, "_doc", F.posexplode_outer(F.col(f"_doc.{quoted(array.name)}")).alias("_pos", "_item")
     )
     if not outer:
         lines = lines.where(F.col("_pos").isNotNull())
@@ -65,9 +66,9 @@ def flatten(
     columns = []
     for o in spec.outputs:
         path = (
-            f"_item.{o.path.removeprefix(prefix)}"
+            f"_item.{_quoted_path(o.path.removeprefix(prefix))}"
             if o.path.startswith(prefix)
-            else f"_doc.{o.path}"
+            else f"_doc.{_quoted_path(o.path)}"
         )
         columns.append(_output(F.col(path), o.type, strict).alias(o.column))
     front = [F.col(c) for c in key] + [F.col("_pos").alias("pos")] if keep_key else []
@@ -88,11 +89,11 @@ def flatten_documents(
     """One row per document: header values and, where there is an array, its length."""
     documents = silver.select(*key, parsed(F.col(response), spec, reader).alias("_doc"))
     columns = [
-        _output(F.col(f"_doc.{o.path}"), o.type, strict).alias(o.column)
+        _output(F.col(f"_doc.{_quoted_path(o.path)}"), o.type, strict).alias(o.column)
         for o in spec.header_outputs
     ]
     if spec.array is not None:
-        lines = F.col(f"_doc.{spec.array.name}")
+        lines = F.col(f"_doc.{quoted(spec.array.name)}")
         columns.append(F.when(lines.isNotNull(), F.size(lines)).alias("line_count"))
     return documents.select(*key, *columns)
 
@@ -108,7 +109,7 @@ def rejects(
     (``parsed``) and the text of the whole record."""
     schema = spec.struct_type("double").add(CORRUPT, "string")
     read = F.from_json(
-        F.to_json(F.col(response)), schema.simpleString(), {"columnNameOfCorruptRecord": CORRUPT}
+        F.to_json(F.col(response)), schema, {"columnNameOfCorruptRecord": CORRUPT}
     )
     return (
         silver.where(F.col(response).isNotNull())
@@ -118,6 +119,11 @@ def rejects(
     )
 
 
+def _quoted_path(path: str) -> str:
+    """Every part in backticks; parts are divided by dots, so a name must not hold one."""
+    return ".".join(quoted(p) for p in path.split("."))
+
+
 def _output(value: Column, type_name: str, strict: bool) -> Column:
     if type_name == "string":
         return value
@@ -129,6 +135,6 @@ def _identifier(kind: str, key: Sequence[str], pos: Column) -> Column:
         return F.uuid()
     if kind != "stable":
         raise ValueError(f"unknown identifier {kind!r}")
-    # several columns are written as JSON, so that no two keys read the same when joined
-    document = F.col(key[0]) if len(key) == 1 else F.to_json(F.struct(*key))
-    return F.sha2(F.concat_ws("|", document, pos), 256)
+    # as JSON with its nulls, so that no two keys and positions read the same
+    line = F.struct(*key, pos.alias("pos"))
+    return F.sha2(F.to_json(line, {"ignoreNullFields": "false"}), 256)

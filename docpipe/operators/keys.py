@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from docpipe.functions.sqltext import quoted
+
 
 class ConstraintViolation(ValueError):
     """A table does not satisfy a declared constraint."""
@@ -14,14 +16,14 @@ class ConstraintViolation(ValueError):
 def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their number of rows. Counts are combined
     before the shuffle, so a key that holds much of the table is one row per task."""
-    return df.groupBy(*columns).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)
+    return df.groupBy(*[quoted(c) for c in columns]).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: rows of the table, and rows in which the column is NULL."""
     counted = df.agg(
         F.count("*").alias("_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_nulls{i}") for i, c in enumerate(columns)],
+        *[F.count_if(F.col(quoted(c)).isNull()).alias(f"_nulls{i}") for i, c in enumerate(columns)],
     )
     listed = F.array(
         *[

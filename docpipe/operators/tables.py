@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import PySparkException
@@ -26,13 +27,34 @@ def create_or_replace(
     table: str,
     column_comments: Mapping[str, str] | None = None,
     comment: str | None = None,
+    check: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """Full rebuild of ``table`` from ``df``; column comments travel in the schema, so they
-    need no further statement. A table must not be rebuilt from itself."""
-    with_comments(df, column_comments or {}).write.mode("overwrite").saveAsTable(table)
+    need no further statement.
+
+    The new table is written beside the old one, ``check`` looks at it and raises if it is not
+    as it should be, and only then takes its place. Whatever fails, the old table is still
+    there, and no half-made one is left. ``df`` may read the table that is rebuilt.
+    """
     spark = df.sparkSession
-    if comment is not None:
-        comment_table(spark, table, comment)
+    described = with_comments(df, column_comments or {})
+    mark = uuid.uuid4().hex[:8]
+    new, old = f"{table}__new_{mark}", f"{table}__old_{mark}"
+    try:
+        described.write.mode("errorifexists").saveAsTable(new)
+        if check is not None:
+            check(spark.table(new))
+        if comment is not None:
+            comment_table(spark, new, comment)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {identifier(new)}")
+        raise
+    replaces = spark.catalog.tableExists(table)
+    if replaces:
+        spark.sql(f"ALTER TABLE {identifier(table)} RENAME TO {identifier(old)}")
+    spark.sql(f"ALTER TABLE {identifier(new)} RENAME TO {identifier(table)}")
+    if replaces:
+        spark.sql(f"DROP TABLE {identifier(old)}")
     return spark.table(table)
 
 

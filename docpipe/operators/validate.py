@@ -115,7 +115,8 @@ def _opened(f: Field) -> str:
     if f.kind == "object":
         return _members(_top(f.name), f.fields)
     elements = f"try_variant_get({_top(f.name)}, '$', 'array<variant>')"
-    return f"transform({elements}, x -> {_members('x', f.fields)})"
+    opened = f"named_struct('raw', x, 'open', {_members('x', f.fields)})"
+    return f"transform({elements}, x -> {opened})"
 
 
 def _field_checks(spec: DocumentSpec, chosen: set[str]) -> list[str]:
@@ -139,13 +140,21 @@ def _element_checks(f: Field, chosen: set[str]) -> str:
     found = []
     for i in f.fields:
         path = f"{f.name}[].{i.name}"
-        found += _value_checks(i, path, "x IS NOT NULL", f"x.{quoted(i.name)}", chosen, "i")
+        found += _value_checks(i, path, "x.open IS NOT NULL", _in_element(i.name), chosen, "i")
+    if TYPE in chosen:
+        # a null element passes, anything else has to be an object
+        loose = "x.open IS NULL AND x.raw IS NOT NULL AND NOT is_variant_null(x.raw)"
+        found.append(_violation(loose, TYPE, f"{f.name}[]", "to_json(x.raw)", "i"))
     if not found:
         return NONE_FOUND
     per_element = f"transform({_open(f.name)}, (x, i) -> {_listed(found)})"
     return f"coalesce(flatten({per_element}), {NONE_FOUND})"
 
 
+def _in_element(name: str) -> str:
+    return f"x.open.{quoted(name)}"
+
+
 def _value_checks(
     f: Field, path: str, has_parent: str, value: str, chosen: set[str], pos: str | None = None
 ) -> list[str]:
@@ -178,16 +187,16 @@ def _value_checks(
 def _arithmetic_check(a: Product | SumOf | PartsTotal) -> str:
     """Compared only where every number is there; exact up to 38 digits."""
     if isinstance(a, Product):
-        product = _whole(f"x.{quoted(a.factors[0])}")
+        product = _whole(_in_element(a.factors[0]))
         for name in a.factors[1:]:
-            product = f"try_multiply({product}, {_whole(f'x.{quoted(name)}')})"
-        result = f"x.{quoted(a.result)}"
+            product = f"try_multiply({product}, {_whole(_in_element(name))})"
+        result = _in_element(a.result)
         path = f"{a.array}[].{a.result}"
         wrong = _violation(f"{_whole(result)} <> {product}", a.rule, path, f"to_json({result})", "i")
         return f"coalesce(transform({_open(a.array)}, (x, i) -> {wrong}), {NONE_FOUND})"
     result = _top(a.result)
     if isinstance(a, SumOf):
-        added = f"CAST(try_add(total, {_whole(f'x.{quoted(a.item)}')}) AS DECIMAL(38,0))"
+        added = f"CAST(try_add(total, {_whole(_in_element(a.item))}) AS DECIMAL(38,0))"
         start = "CAST(0 AS DECIMAL(38,0))"
         expected = f"aggregate({_open(a.array)}, {start}, (total, x) -> {added})"
     else:
@@ -208,7 +217,14 @@ def _has_kind(value: str, kind: str) -> str:
     """Whether a scalar VARIANT holds a value of the declared kind; null is of no kind."""
     stored = f"schema_of_variant({value})"
     if kind == "integer":
-        return f"({stored} = 'BIGINT' OR {stored} LIKE 'DECIMAL(%,0)')"
+        # whole in any spelling: 10, 10.0 and 1e1
+        exact = f"try_variant_get({value}, '$', 'decimal(38,18)')"
+        rough = f"try_variant_get({value}, '$', 'double')"
+        return (
+            f"({stored} = 'BIGINT' OR {stored} LIKE 'DECIMAL(%,0)' "
+            f"OR ({stored} LIKE 'DECIMAL(%' AND coalesce({exact} % 1 = 0, false)) "
+            f"OR ({stored} IN ('DOUBLE', 'FLOAT') AND coalesce({rough} % 1 = 0, false)))"
+        )
     if kind == "number":
         return f"({stored} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR {stored} LIKE 'DECIMAL(%)')"
     return f"({stored} = '{kind.upper()}')"

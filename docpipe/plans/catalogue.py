@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docpipe.functions.labelled import labelled_reader
 from docpipe.operators import validate
-from docpipe.operators.embed import embed_text
+from docpipe.operators.embed import word_weights
 from docpipe.operators.extract import (
     CallableModel,
     ExpressionModel,
@@ -24,9 +24,9 @@ from docpipe.operators.keys import duplicate_keys, null_counts
 from docpipe.operators.nearest import vector_topk
 from docpipe.operators.tables import dictionary, output_comments, with_comments
 from docpipe.plans.receipts import RECEIPT, table
+from docpipe.spec import DocumentSpec, Field
 from docpipe.plans.stages import bronze, printed_receipts, receipt_model, silver
-from docpipe.sources.files import file_manifest
-from docpipe.sources.pages import PAGE, html_text, page_json
+from docpipe.sources.pages import PAGE, html_text, page_json, page_manifest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,9 +59,8 @@ def reader_model() -> CallableModel:
 # -- sources ---------------------------------------------------------------------------
 
 
-def q_file_manifest(spark, sf_dir):
-    files = file_manifest(spark, sf_dir, "*.parquet")
-    return files.select("name", "length", "modificationTime")
+def q_page_manifest(spark, sf_dir):
+    return page_manifest(table(spark, sf_dir, "pages"))
 
 
 def q_bronze_receipts(spark, sf_dir):
@@ -83,6 +82,11 @@ def q_silver_callable(spark, sf_dir):
     return _typed(extract_fields(bronze(spark, sf_dir), reader_model()))
 
 
+def q_silver_concurrent(spark, sf_dir):
+    model = CallableModel(lambda: labelled_reader(RECEIPT), batch_size=32, in_flight=4, tries=3)
+    return _typed(extract_fields(bronze(spark, sf_dir), model))
+
+
 def q_silver_distinct_texts(spark, sf_dir):
     texts = bronze(spark, sf_dir)
     return _typed(extract_fields(texts, receipt_model(), distinct_texts=True))
@@ -182,6 +186,43 @@ def _check(*rules: str) -> Query:
     return lambda spark, sf_dir: validate.violations(silver(spark, sf_dir), CHECKED, rules=rules)
 
 
+# Records made of order lines, some of whose elements are no objects or hold the wrong type.
+LOOSE_LINES = DocumentSpec(
+    name="loose lines",
+    fields=(
+        Field("lines", kind="array", fields=(Field("part", kind="integer"), Field("quantity", kind="integer"))),
+    ),
+)
+
+
+def q_check_element_types(spark, sf_dir):
+    part = F.col("l_partkey")
+    line = F.to_json(F.struct(part.alias("part"), F.col("each").alias("quantity")))
+    named = F.to_json(F.struct(part.cast("string").alias("part"), F.col("each").alias("quantity")))
+    element = (
+        F.when(part % 101 == 5, F.lit('"loose"'))
+        .when(part % 103 == 6, F.lit("[7]"))
+        .when(part % 107 == 7, named)
+        .otherwise(line)
+    )
+    each = F.col("l_quantity").cast("bigint")
+    order = F.struct("l_linenumber", "l_partkey", "l_suppkey", "each", "element")
+    records = (
+        table(spark, sf_dir, "lineitem")
+        .withColumn("each", each)
+        .withColumn("element", element)
+        .groupBy(F.col("l_orderkey").alias("order_id"))
+        .agg(F.array_sort(F.collect_list(order)).alias("lines"))
+        .select(
+            "order_id",
+            F.parse_json(
+                F.concat(F.lit('{"lines":['), F.array_join("lines.element", ","), F.lit("]}"))
+            ).alias("response"),
+        )
+    )
+    return validate.violations(records, LOOSE_LINES, key=("order_id",), rules=[validate.TYPE])
+
+
 def q_check_summary(spark, sf_dir):
     return validate.violation_summary(silver(spark, sf_dir), CHECKED)
 
@@ -195,6 +236,21 @@ def q_not_null_counts(spark, sf_dir):
     return null_counts(gold, ["id", "issue_date", "supplier_zip", "subtotal"])
 
 
+def q_gold_key_check(spark, sf_dir):
+    gold = flatten(silver(spark, sf_dir), RECEIPT, outer=True)
+    nulls = null_counts(gold, ["id", "issue_date", "item_name", "subtotal"]).select(
+        F.concat(F.lit("null "), "column_name").alias("problem"),
+        "n_rows",
+        F.col("n_nulls").alias("n_bad"),
+    )
+    repeated = gold.groupBy("id").agg(F.count("*").alias("n")).agg(
+        F.lit("repeated id").alias("problem"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_bad"),
+    )
+    return nulls.unionByName(repeated)
+
+
 # -- descriptions ----------------------------------------------------------------------
 
 
@@ -217,7 +273,7 @@ def q_inferred_schema(spark, sf_dir):
 
 
 def q_embed_documents(spark, sf_dir):
-    return embed_text(table(spark, sf_dir, "documents").select("doc_id", "text"), "text").drop("text")
+    return word_weights(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 def q_vector_topk(spark, sf_dir):
@@ -234,11 +290,12 @@ def q_vector_topk(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
-    "file_manifest": q_file_manifest,
+    "page_manifest": q_page_manifest,
     "bronze_receipts": q_bronze_receipts,
     "bronze_pages_text": q_bronze_pages_text,
     "silver_extract": q_silver_extract,
     "silver_callable": q_silver_callable,
+    "silver_concurrent": q_silver_concurrent,
     "silver_distinct_texts": q_silver_distinct_texts,
     "silver_sql": q_silver_sql,
     "preview_extract": q_preview_extract,
@@ -254,6 +311,7 @@ QUERIES: dict[str, Query] = {
     "parse_rejects": q_parse_rejects,
     "check_required": _check(validate.REQUIRED),
     "check_types": _check(validate.TYPE),
+    "check_element_types": q_check_element_types,
     "check_not_null": _check(validate.NOT_NULL, validate.NOT_BLANK),
     "check_formats": _check(validate.FORMAT),
     "check_line_amount": _check("line_amount"),
@@ -261,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "check_summary": q_check_summary,
     "key_violations": q_key_violations,
     "not_null_counts": q_not_null_counts,
+    "gold_key_check": q_gold_key_check,
     "gold_dictionary": q_gold_dictionary,
     "inferred_schema": q_inferred_schema,
     "embed_documents": q_embed_documents,

@@ -7,29 +7,35 @@ the order tables by joins, defects included. The two share no code.
 from __future__ import annotations
 
 _LINES = """
+merged AS (
+  SELECT l_orderkey AS k, (greatest(l_linenumber, 1) - 1) // 100 AS sheet, l_linenumber, l_partkey,
+         l_suppkey, CAST(CAST(l_quantity AS BIGINT) * count(*) AS BIGINT) AS qty
+  FROM lineitem
+  GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT)
+),
 line AS (
-  SELECT l_orderkey AS k, l_suppkey, p_name AS item_name,
-         CAST(l_quantity AS BIGINT) AS qty,
+  SELECT k, sheet, l_suppkey, p_name AS item_name, qty,
          CAST(round(p_retailprice * 100) AS BIGINT) AS unit,
          row_number() OVER (
-           PARTITION BY l_orderkey
-           ORDER BY l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT),
+           PARTITION BY k, sheet
+           ORDER BY l_linenumber, l_partkey, l_suppkey, qty,
                     CAST(round(p_retailprice * 100) AS BIGINT)
          ) - 1 AS pos
-  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
+  FROM merged LEFT JOIN part ON l_partkey = p_partkey
 ),
 item AS (
-  SELECT k, pos, item_name, qty, unit,
+  SELECT k, sheet, pos, item_name, qty, unit,
          qty * unit + CASE WHEN k % 67 = 6 AND pos = 0 THEN 1 ELSE 0 END AS amount
   FROM line
 ),
 per_order AS (
-  SELECT k, min(l_suppkey) AS seller, CAST(sum(qty * unit) AS BIGINT) AS subtotal,
+  SELECT k, sheet, min(l_suppkey) AS seller, CAST(sum(qty * unit) AS BIGINT) AS subtotal,
          count(*) AS n_lines
-  FROM line GROUP BY k
+  FROM line GROUP BY k, sheet
 ),
 doc AS (
-  SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS doc_id,
+  SELECT o_orderkey AS k, sheet,
+         CAST(o_orderkey AS VARCHAR) || CASE WHEN sheet > 0 THEN '/' || sheet ELSE '' END AS doc_id,
          o_orderkey % 97 <> 0 AS readable,
          n_lines IS NOT NULL AS has_lines,
          coalesce(n_lines, 0) AS n_lines,
@@ -60,7 +66,7 @@ doc AS (
 ),
 text AS (
   SELECT doc_id,
-         CASE WHEN NOT readable THEN 'unreadable scan ' || doc_id ELSE
+         CASE WHEN NOT readable THEN 'unreadable scan ' || k ELSE
            'Issue date: ' || issue_date || chr(10)
            || 'Billed to: ' || billing_name || chr(10)
            || CASE WHEN NOT has_lines THEN 'Supplier:' || chr(10) ELSE
@@ -72,7 +78,7 @@ text AS (
                 || (SELECT string_agg('ITEM' || chr(9) || pos || chr(9) || item_name || chr(9)
                                       || qty || chr(9) || unit || chr(9) || amount || chr(10), ''
                                       ORDER BY pos)
-                    FROM item WHERE item.k = doc.k) END
+                    FROM item WHERE item.k = doc.k AND item.sheet = doc.sheet) END
            || 'Subtotal: '
            || CASE WHEN commas THEN format('{:,}', true_subtotal)
                    ELSE CAST(true_subtotal AS VARCHAR) END || chr(10)
@@ -81,7 +87,7 @@ text AS (
   FROM doc
 ),
 header AS (
-  SELECT k, doc_id, readable, has_lines, n_lines,
+  SELECT k, sheet, doc_id, readable, has_lines, n_lines,
          CASE WHEN readable THEN issue_date END AS issue_date,
          CASE WHEN readable THEN billing_name END AS billing_name,
          CASE WHEN readable THEN supplier_zip END AS supplier_zip,
@@ -95,11 +101,11 @@ header AS (
   FROM doc
 ),
 gold AS (
-  SELECT h.doc_id, i.pos, sha256(h.doc_id || '|' || i.pos) AS id,
+  SELECT h.doc_id, i.pos, sha256('{"doc_id":"' || h.doc_id || '","pos":' || i.pos || '}') AS id,
          issue_date, billing_name, supplier_zip, supplier_address, supplier_company,
          supplier_department, item_name, qty AS item_qty, unit AS item_unit_price,
          amount AS item_amount, subtotal, consumption_tax, total_amount_with_tax, remarks
-  FROM header h JOIN item i ON h.k = i.k WHERE readable
+  FROM header h JOIN item i ON h.k = i.k AND h.sheet = i.sheet WHERE readable
 )
 """
 
@@ -107,6 +113,14 @@ _FLAT = """issue_date, billing_name, supplier_zip, supplier_address, supplier_co
   supplier_department, item_name, item_qty, item_unit_price, item_amount, subtotal,
   consumption_tax, total_amount_with_tax, remarks"""
 
+_OUTER = """SELECT h.doc_id, CAST(g.pos AS INTEGER) AS pos,
+              sha256('{"doc_id":"' || h.doc_id || '","pos":' || coalesce(CAST(g.pos AS VARCHAR), 'null')
+                     || '}') AS id, h.issue_date, h.billing_name,
+              h.supplier_zip, h.supplier_address, h.supplier_company, h.supplier_department,
+              g.item_name, g.item_qty, g.item_unit_price, g.item_amount, h.subtotal,
+              h.consumption_tax, h.total_amount_with_tax, h.remarks
+            FROM header h LEFT JOIN gold g ON h.doc_id = g.doc_id"""
+
 _VIOLATION = """
 violation AS (
   SELECT doc_id, 'required' AS rule, 'supplier.zip_code' AS field, CAST(NULL AS INTEGER) AS pos,
@@ -128,7 +142,7 @@ violation AS (
   FROM doc WHERE readable AND k % 73 = 4 AND supplier_zip IS NOT NULL
   UNION ALL
   SELECT doc_id, 'line_amount', 'details[].item_amount', 0, CAST(amount AS VARCHAR)
-  FROM doc JOIN item USING (k) WHERE readable AND pos = 0 AND k % 67 = 6
+  FROM doc JOIN item USING (k, sheet) WHERE readable AND pos = 0 AND k % 67 = 6
   UNION ALL
   SELECT doc_id, 'subtotal', 'subtotal', NULL, CAST(true_subtotal AS VARCHAR)
   FROM doc WHERE readable AND has_lines AND k % 67 = 6 AND NOT commas
@@ -237,6 +251,16 @@ def _not_null_counts() -> str:
     )
 
 
+def _key_check() -> str:
+    columns = ("id", "issue_date", "item_name", "subtotal")
+    nulls = " UNION ALL ".join(
+        f"SELECT 'null {c}' AS problem, count(*) AS n_rows, count(*) - count({c}) AS n_bad FROM o"
+        for c in columns
+    )
+    return f"""WITH {_LINES}, o AS ({_OUTER}) {nulls} UNION ALL
+      SELECT 'repeated id', count(*), count(*) - count(DISTINCT id) FROM o"""
+
+
 def _inferred() -> str:
     fixed = {
         "billing_name": "STRING", "consumption_tax": "BIGINT", "details": "ARRAY",
@@ -279,7 +303,7 @@ EXPECTED: dict[str, str] = {
              CASE WHEN readable THEN item_name END AS first_item,
              CASE WHEN NOT readable THEN NULL WHEN commas THEN format('{:,}', true_subtotal)
                   ELSE CAST(true_subtotal AS VARCHAR) END AS subtotal
-           FROM doc d LEFT JOIN item i ON d.k = i.k AND i.pos = 0"""
+           FROM doc d LEFT JOIN item i ON d.k = i.k AND d.sheet = i.sheet AND i.pos = 0"""
     ),
     "error_summary": _receipts(
         """SELECT CASE WHEN NOT readable THEN 'NO_FIELDS_FOUND' WHEN has_lines THEN 'flattened'
@@ -295,14 +319,7 @@ EXPECTED: dict[str, str] = {
     )
     + " FROM pages",
     "gold_flatten": _receipts(f"SELECT id, {_FLAT} FROM gold"),
-    "gold_flatten_outer": _receipts(
-        f"""SELECT h.doc_id, CAST(g.pos AS INTEGER) AS pos,
-              sha256(concat_ws('|', h.doc_id, g.pos)) AS id, h.issue_date, h.billing_name,
-              h.supplier_zip, h.supplier_address, h.supplier_company, h.supplier_department,
-              g.item_name, g.item_qty, g.item_unit_price, g.item_amount, h.subtotal,
-              h.consumption_tax, h.total_amount_with_tax, h.remarks
-            FROM header h LEFT JOIN gold g ON h.doc_id = g.doc_id"""
-    ),
+    "gold_flatten_outer": _receipts(_OUTER),
     "gold_flatten_variant": _receipts(
         f"SELECT doc_id, CAST(pos AS INTEGER) AS pos, id, {_FLAT} FROM gold"
     ),
@@ -330,7 +347,48 @@ EXPECTED: dict[str, str] = {
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "not_null_counts": _not_null_counts(),
     "gold_dictionary": _dictionary(),
+    "gold_key_check": _key_check(),
     "inferred_schema": _inferred(),
+    "page_manifest": r"""
+        WITH named AS (
+          SELECT page_id, strlen(html) AS length,
+                 nullif(regexp_extract(regexp_replace(url, '[?#].*$', ''), '[^/]*$'), '') AS name
+          FROM pages)
+        SELECT page_id, name, CAST(length AS BIGINT) AS length,
+               CASE WHEN name IS NOT NULL THEN count(*) OVER (PARTITION BY name) END AS same_name
+        FROM named""",
+    "check_element_types": """
+        WITH line AS (
+          SELECT l_orderkey, l_partkey,
+                 row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey,
+                                    l_suppkey, CAST(l_quantity AS BIGINT)) - 1 AS pos
+          FROM lineitem)
+        SELECT l_orderkey AS order_id, 'type' AS rule, 'lines[]' AS field,
+               CAST(pos AS INTEGER) AS pos,
+               CASE WHEN l_partkey % 101 = 5 THEN '"loose"' ELSE '[7]' END AS observed
+        FROM line WHERE l_partkey % 101 = 5 OR l_partkey % 103 = 6
+        UNION ALL
+        SELECT l_orderkey, 'type', 'lines[].part', CAST(pos AS INTEGER),
+               '"' || l_partkey || '"'
+        FROM line WHERE l_partkey % 107 = 7 AND NOT (l_partkey % 101 = 5 OR l_partkey % 103 = 6)""",
+    "silver_concurrent": _receipts(_TYPED),
+    "embed_documents": r"""
+        WITH token AS (
+          SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '\s+'),
+                                            lambda w: w <> '')) AS w
+          FROM documents),
+        counted AS (
+          SELECT doc_id, CAST(('0x' || substr(md5(w), 1, 8)) AS BIGINT) % 256 AS bucket,
+                 count(*) AS n
+          FROM token GROUP BY ALL),
+        frequency AS (SELECT bucket, count(*) AS f FROM counted GROUP BY bucket),
+        total AS (SELECT count(*) AS docs FROM documents),
+        weighed AS (
+          SELECT doc_id, bucket, n * ln((docs + 1) / (f + 1)) AS w
+          FROM counted JOIN frequency USING (bucket) CROSS JOIN total),
+        norm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY doc_id)
+        SELECT doc_id, CAST(bucket AS INTEGER) AS bucket, round(w / norm, 6) AS weight
+        FROM weighed JOIN norm USING (doc_id) WHERE w > 0""",
     "vector_topk": """
         WITH part AS (
           SELECT label, i AS dim, avg(CAST(embedding[i] AS DOUBLE)) AS x

@@ -88,8 +88,8 @@ RECEIPT = DocumentSpec(
     ),
 )
 
-# An order with more lines is printed as several receipts of about this many lines.
-LINES_PER_RECEIPT = 2000
+# Lines whose numbers fall into one block of this size are printed on one receipt.
+LINES_PER_RECEIPT = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,69 +108,40 @@ def receipt_texts(
 ) -> DataFrame:
     """``(doc_id, text)``: every order as printed receipts, with some defects (see ``_text``).
 
-    Ordinary orders give one receipt named by the order key. An order with more than
-    ``lines_per_receipt`` lines is continued on further receipts, ``<key>/1``, ``<key>/2`` and
-    so on, each with its own sums, so no row or task has to hold all lines of a huge order.
-    Whether there are such orders is looked up first: it decides the shape of the plan.
+    The sheet of a line is ``(line number - 1) div lines_per_receipt``, whatever the size of the
+    order. Sheet 0 is named by the order key, others ``<key>/<sheet>``; each has its own sums.
+    Fully equal lines are printed once, their quantities added up; that is summed before lines
+    are shuffled, so repeated rows of a huge order do not travel.
     """
+    sheet = F.expr(f"(greatest(l_linenumber, 1) - 1) div {int(lines_per_receipt)}")
+    merged = lineitem.groupBy(
+        "l_orderkey", sheet.alias("sheet"), "l_linenumber", "l_partkey", "l_suppkey",
+        F.col("l_quantity").cast("bigint").alias("each"),
+    ).agg((F.col("each") * F.count("*")).alias("quantity"))
     billed = orders.join(customer, orders.o_custkey == customer.c_custkey, "left").select(
         "o_orderkey", "o_orderdate", "o_orderpriority", "c_name"
     )
-    sellers = (supplier, nation, region)
-    sizes = lineitem.groupBy(F.col("l_orderkey").alias("long_key")).agg(F.count("*").alias("n"))
-    long_orders = sizes.where(F.col("n") > lines_per_receipt)
-    if long_orders.isEmpty():
-        return _printed(billed, _gathered(_priced(lineitem, part)), sellers, "left")
-
-    long_orders = long_orders.withColumn(
-        "sheets", F.ceil(F.col("n") / F.lit(lines_per_receipt)).cast("int")
-    ).drop("n")
-    # The sheet of a line depends on where its row is stored, so equal lines spread as well,
-    # and a task that is run again sees the same value.
-    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    of_long = F.col("l_orderkey") == F.col("long_key")
-    short_lines = lineitem.join(long_orders, of_long, "left_anti")
-    long_lines = (
-        lineitem.withColumn("place", place)
-        .join(long_orders, of_long)
-        .withColumn("sheet", F.pmod("place", "sheets").cast("int"))
-    )
-    is_long = F.col("o_orderkey") == F.col("long_key")
-    return _printed(
-        billed.join(long_orders, is_long, "left_anti"),
-        _gathered(_priced(short_lines, part)),
-        sellers,
-        "left",
-    ).unionByName(
-        _printed(
-            billed.join(long_orders, is_long, "left_semi"),
-            _gathered(_priced(long_lines, part, "sheet"), "sheet"),
-            sellers,
-            "inner",
-        )
-    )
+    return _printed(billed, _gathered(_priced(merged, part)), supplier, nation, region)
 
 
-def _priced(lines: DataFrame, part: DataFrame, *more: str) -> DataFrame:
+def _priced(lines: DataFrame, part: DataFrame) -> DataFrame:
     """Lines with product name and amounts in cents."""
     unit = F.round(F.col("p_retailprice") * 100).cast("bigint")
-    quantity = F.col("l_quantity").cast("bigint")
     return lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *more,
+        "l_orderkey", "sheet", "l_linenumber", "l_partkey", "l_suppkey",
         F.translate("p_name", "\n\t\r", "   ").alias("name"),
-        quantity.alias("quantity"),
+        "quantity",
         unit.alias("unit"),
-        (quantity * unit).alias("amount"),
-    )
+        (F.col("quantity") * unit).alias("amount"),
+    )
 
 
-def _gathered(lines: DataFrame, *sheet: str) -> DataFrame:
+def _gathered(lines: DataFrame) -> DataFrame:
     """Lines of one receipt, in an order that does not depend on the storage. Lists do not get
-    smaller by combining them early, so the lines are brought together first; the join with
-    the orders then finds them in place."""
+    smaller by combining them early, so the lines are brought together first."""
     return (
-        lines.repartition("l_orderkey", *sheet)
-        .groupBy("l_orderkey", *sheet)
+        lines.repartition("l_orderkey", "sheet")
+        .groupBy("l_orderkey", "sheet")
         .agg(
             F.min("l_suppkey").alias("seller"),
             F.sum("amount").alias("subtotal"),
@@ -184,17 +155,15 @@ def _gathered(lines: DataFrame, *sheet: str) -> DataFrame:
     )
 
 
-def _printed(billed: DataFrame, gathered: DataFrame, sellers, how: str) -> DataFrame:
-    supplier, nation, region = sellers
+def _printed(billed: DataFrame, gathered: DataFrame, supplier, nation, region) -> DataFrame:
     receipts = (
-        billed.join(gathered, F.col("o_orderkey") == F.col("l_orderkey"), how)
+        billed.join(gathered, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .join(supplier, F.col("seller") == F.col("s_suppkey"), "left")
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
     )
-    doc_id = F.col("o_orderkey").cast("string")
-    if "sheet" in gathered.columns:
-        doc_id = F.when(F.col("sheet") == 0, doc_id).otherwise(F.concat_ws("/", doc_id, "sheet"))
+    key = F.col("o_orderkey").cast("string")
+    doc_id = F.when(F.col("sheet") > 0, F.concat_ws("/", key, "sheet")).otherwise(key)
     return receipts.select(doc_id.alias("doc_id"), _text(F.col("o_orderkey")).alias("text"))
 
 

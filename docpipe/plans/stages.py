@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from docpipe.functions.labelled import labelled_json
 from docpipe.operators.extract import CallableModel, ExpressionModel, extract_fields
 from docpipe.operators.flatten import flatten
-from docpipe.operators.keys import assert_not_null, assert_primary_key
+from docpipe.operators.keys import assert_primary_key
 from docpipe.operators.tables import (
     comment_table,
     create_namespace,
@@ -63,16 +63,16 @@ def build_tables(
     spark = texts.sparkSession
     create_namespace(spark, namespace)
     name = f"{namespace}.{prefix}"
-    read_back = create_or_replace(texts, f"{name}_bronze")
-    # A line is identified by document and position (or at random), so its id is unique if the
-    # documents are: that is checked on fewer rows, and before the model is paid for.
-    assert_primary_key(read_back, ["doc_id"])
+    # documents are checked before the model is paid for, lines before they replace the old ones
+    read_back = create_or_replace(
+        texts, f"{name}_bronze", check=lambda t: assert_primary_key(t, ["doc_id"])
+    )
     read_back = create_or_replace(extract_fields(read_back, model), f"{name}_silver")
     gold = f"{name}_gold"
     flat = create_or_replace(
-        flatten(read_back, spec, **(options or {})), gold, output_comments(spec)
-    )
-    assert_not_null(flat, ["id"])
+        flatten(read_back, spec, **(options or {})), gold, output_comments(spec),
+        check=lambda t: assert_primary_key(t, ["id"]),
+    )
     record_key(spark, gold, ["id"])
     if comment:
         comment_table(spark, gold, comment)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BINARY = "binaryFile"
+NOT_IN_CHARSET = "NOT_IN_CHARSET"
 
 
 def read_files(
@@ -31,8 +32,17 @@ def file_manifest(
 
 
 def decoded_text(files: DataFrame, charset: str = "utf-8") -> DataFrame:
-    """Text files: content decoded by Spark itself."""
-    return files.withColumn("text", F.decode("content", charset)).drop("content")
+    """Text files: ``content`` replaced by ``text`` and ``error``. UTF-8 is checked by Spark
+    itself, other charsets are read through Python. A file that is not in the charset becomes a
+    row with NULL text and an error."""
+    if charset.lower().replace("-", "") != "utf8":
+        return extract_text(files, lambda: lambda content: content.decode(charset))
+    valid = F.is_valid_utf8(F.col("content").cast("string"))
+    return files.select(
+        *[c for c in files.columns if c != "content"],
+        F.when(valid, F.col("content").cast("string")).alias("text"),
+        F.when(~valid, F.lit(NOT_IN_CHARSET)).alias("error"),
+    )
 
 
 def extract_text(files: DataFrame, parser: Callable[[], Callable[[bytes], str]]) -> DataFrame:

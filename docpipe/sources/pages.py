@@ -59,3 +59,20 @@ def page_json(df: DataFrame, html: str, result: str) -> DataFrame:
         stated("(?is)<h1[^>]*>(.*?)</h1>").alias("heading"),
     )
     return df.withColumn(result, F.to_json(record, {"ignoreNullFields": "false"}))
+
+
+def page_manifest(pages: DataFrame) -> DataFrame:
+    """``page_id, name, length, same_name``: the last segment of the address without query and
+    fragment (NULL where there is none), size in bytes, and how many pages have that name.
+    Names are counted before they are shuffled."""
+    address = F.regexp_replace("url", "[?#].*$", "")
+    name = F.nullif(F.regexp_extract(address, "[^/]*$", 0), F.lit(""))
+    listed = pages.select(
+        "page_id", name.alias("name"), F.octet_length("html").cast("bigint").alias("length")
+    )
+    clashes = (
+        listed.where(F.col("name").isNotNull())
+        .groupBy(F.col("name").alias("_name"))
+        .agg(F.count("*").alias("same_name"))
+    )
+    return listed.join(clashes, F.col("name") == F.col("_name"), "left").drop("_name")

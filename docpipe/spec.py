@@ -13,6 +13,8 @@ from dataclasses import dataclass, field as dc_field, replace
 
 from pyspark.sql import types as T
 
+from docpipe.functions.sqltext import quoted
+
 SCALARS = ("string", "integer", "number", "boolean")
 JSON_SCHEMA_DIALECT = "https://json-schema.org/draft/2020-12/schema"
 
@@ -126,20 +128,29 @@ class DocumentSpec:
         return T.StructType([_struct_field(f, integers) for f in self.fields])
 
     def ddl(self, integers: str = "double") -> str:
-        return self.struct_type(integers).simpleString()
+        return type_text(self.struct_type(integers))
 
     # -- JSON Schema ----------------------------------------------------------------
 
-    def json_schema(self, title: str = "Generated Schema") -> dict:
-        """JSON Schema 2020-12. Every value is ``anyOf [type, null]``; the NOT NULL rules are
+    def json_schema(self, title: str | None = None) -> dict:
+        """JSON Schema 2020-12, titled by the name of the specification. Every value is ``anyOf [type, null]``; the NOT NULL rules are
         checked on the table (``operators.validate``), not in the schema."""
-        return {"$schema": JSON_SCHEMA_DIALECT, "title": title, **_object_schema(self.fields)}
+        return {"$schema": JSON_SCHEMA_DIALECT, "title": title or self.name, **_object_schema(self.fields)}
 
     @classmethod
     def from_json_schema(cls, schema: dict, name: str | None = None) -> "DocumentSpec":
         return cls(name=name or schema.get("title", "document"), fields=_fields_of(schema))
 
 
+def type_text(t: T.DataType) -> str:
+    """Type as SQL text with every name in backticks, so that any key can be a name."""
+    if isinstance(t, T.StructType):
+        return "struct<" + ", ".join(f"{quoted(f.name)}: {type_text(f.dataType)}" for f in t) + ">"
+    if isinstance(t, T.ArrayType):
+        return f"array<{type_text(t.elementType)}>"
+    return t.simpleString()
+
+
 def _spark_type(f: Field, integers: str) -> T.DataType:
     if f.kind == "object":
         return T.StructType([_struct_field(inner, integers) for inner in f.fields])

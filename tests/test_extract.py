@@ -19,8 +19,8 @@ EXPRESSION = ExpressionModel(labelled_json(RECEIPT))
 READER = CallableModel(lambda: labelled_reader(RECEIPT))
 
 TEXTS = {
-    "full": "Issue date: 2024-01-31\nBilled to: A \"quoted\" \\ name\nSupplier zip: 104-0031\n"
-    "Supplier address:\nSupplier company: \"\"\nSupplier department: 営業部\n"
+    "full": "Issue date: 2024-01-31\nBilled to: A \"quoted\" \\ name\nSupplier zip: 550-1234\n"
+    "Supplier address:\nSupplier company: \"\"\nSupplier department: Workshop\n"
     "ITEM\t0\tbolt: small\t2\t15\t30\nITEM\t1\t\t3\t1,000\t-7\n"
     "Subtotal: 30\nTax: 3\nTotal: 33\nRemarks:",
     "windows": "Issue date: 2024-01-31\r\nSupplier:\r\nSubtotal: 007\r\n",
@@ -37,7 +37,7 @@ RECORDS = {
         "issue_date": "2024-01-31",
         "billing_name": 'A "quoted" \\ name',
         "supplier": {
-            "zip_code": "104-0031", "address": None, "company_name": "", "department_name": "営業部",
+            "zip_code": "550-1234", "address": None, "company_name": "", "department_name": "Workshop",
         },
         "details": [
             {"item_name": "bolt: small", "item_quantity": 2, "item_unit_price": 15,
@@ -210,10 +210,42 @@ def test_a_filter_on_the_outcome_does_not_read_the_text_again(texts):
     assert plan.count("regexp_extract(") == 11
 
 
-def test_preview_limits_before_the_model(texts):
-    plan = plan_of(extract_fields(preview(texts, "doc_id", 2), READER))
-    assert plan.index("ArrowEvalPython") < plan.index("TakeOrderedAndProject")
-    assert extract_fields(preview(texts, "doc_id", 2), READER).count() == 2
+@pytest.mark.parametrize("model, step", [(READER, "ArrowEvalPython"), (EXPRESSION, "regexp_extract")])
+def test_preview_limits_before_the_model(texts, model, step):
+    plan = plan_of(extract_fields(preview(texts, "doc_id", 2), model))
+    assert plan.rindex(step) < plan.index("TakeOrderedAndProject")
+    assert "rangepartitioning" not in plan
+    assert extract_fields(preview(texts, "doc_id", 2), model).count() == 2
+
+
+def odd_answers():
+    named = {"a": {"x": 1}, "b": 7, "c": "\ud800", "boom": "{}", "short": b"{}"}
+    return lambda texts: [named.get(t, "{}") for t in texts]
+
+
+@pytest.mark.parametrize("in_flight", [1, 3])
+def test_answers_that_are_not_text_are_error_rows(faulty, in_flight):
+    df = extract_fields(faulty, CallableModel(odd_answers, batch_size=2, in_flight=in_flight))
+    found = {FAULTS[int(k)]: v for k, v in outcome(df).items()}
+    assert found["a"] == (None, "NOT_TEXT: dict") and found["b"] == (None, "NOT_TEXT: int")
+    assert found["c"] == (None, "NOT_TEXT: invalid Unicode")
+    assert found["short"] == (None, "NOT_TEXT: bytes") and found["bad"] == ({}, None)
+
+
+def test_a_failing_service_is_not_flooded(spark, faulty):
+    calls = spark.sparkContext.accumulator(0)
+
+    def dead():
+        def call(texts):
+            calls.add(1)
+            raise TimeoutError("down")
+        return call
+
+    df = extract_fields(faulty, CallableModel(dead, batch_size=16, tries=3, pause=0.0))
+    rows = df.select("error").collect()
+    assert {r.error for r in rows} == {"TimeoutError: down", "NULL_INPUT"}
+    # nine texts: eight calls for batches in halves, three tries for each single text
+    assert calls.value == 8 + 9 * 3
 
 
 def test_sql_call_and_lateral_alias(spark, texts):

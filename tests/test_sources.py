@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from docpipe.operators.extract import ExpressionModel, extract_fields
 from docpipe.operators.flatten import flatten_documents
 from docpipe.sources.files import decoded_text, extract_text, file_manifest, read_files
-from docpipe.sources.pages import PAGE, html_text, page_json
+from docpipe.sources.pages import PAGE, html_text, page_json, page_manifest
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +33,25 @@ def test_bytes_are_unchanged(spark, folder):
 
 def test_decoded_text(spark, folder):
     row = decoded_text(read_files(spark, folder, "*.txt")).head()
-    assert (row.name, row.text) == ("b.txt", "Remarks: ü\n")
+    assert (row.name, row.text, row.error) == ("b.txt", "Remarks: ü\n", None)
+
+
+def test_one_bad_byte_costs_one_row(spark, folder):
+    for charset, error in (("utf-8", "NOT_IN_CHARSET"), ("ascii", "UnicodeDecodeError")):
+        rows = {r.name: r for r in decoded_text(read_files(spark, folder), charset).collect()}
+        assert rows["a.pdf"].text is None and rows["a.pdf"].error.startswith(error)
+        assert "content" not in decoded_text(read_files(spark, folder), charset).columns
+    latin = {r.name: r.text for r in decoded_text(read_files(spark, folder), "latin-1").collect()}
+    assert latin["a.pdf"].endswith("\xff")
+
+
+def test_page_manifest(spark):
+    urls = ["http://a/x/p.html?q=1", "http://b/p.html#top", "http://b/", None, "http://c/z"]
+    df = spark.createDataFrame([(i, u, "é" if i else None) for i, u in enumerate(urls)],
+                               "page_id int, url string, html string")
+    rows = [tuple(r) for r in page_manifest(df).orderBy("page_id").collect()]
+    assert rows == [(0, "p.html", None, 2), (1, "p.html", 2, 2), (2, None, 2, None),
+                    (3, None, 2, None), (4, "z", 2, 1)]
 
 
 def pdf_parser():

@@ -39,11 +39,28 @@ def test_rebuild_replaces(spark, space):
     assert again.columns == ["other"] and again.count() == 2
 
 
-def test_rebuild_from_itself_is_refused(spark, space):
+def test_rebuild_from_itself(spark, space):
     t = create_or_replace(spark.range(3), f"{space}.self")
-    with pytest.raises(Exception):
-        create_or_replace(t, f"{space}.self")
-    assert spark.table(f"{space}.self").count() == 3
+    assert create_or_replace(t.where("id > 0"), f"{space}.self").count() == 2
+
+
+def test_a_failed_rebuild_keeps_the_old_table(spark, space):
+    create_or_replace(spark.range(3), f"{space}.kept", comment="first")
+    before = {t.name for t in spark.catalog.listTables(space)}
+    bad = spark.range(3).selectExpr("raise_error('no') AS id")
+    with pytest.raises(Exception, match="no"):
+        create_or_replace(bad, f"{space}.kept")
+    repeated = spark.range(4).selectExpr("id % 2 AS id")
+    with pytest.raises(keys.ConstraintViolation):
+        create_or_replace(repeated, f"{space}.kept", check=lambda t: keys.assert_primary_key(t, ["id"]))
+    assert spark.table(f"{space}.kept").count() == 3
+    assert {t.name for t in spark.catalog.listTables(space)} == before
+
+
+def test_keys_with_odd_names(spark):
+    df = spark.createDataFrame([(1, 2), (1, 2)], "`odd.name` int, `a b` int")
+    assert [tuple(r) for r in keys.duplicate_keys(df, ["odd.name", "a b"]).collect()] == [(1, 2, 2)]
+    assert keys.null_counts(df, ["odd.name"]).head().n_nulls == 0
 
 
 def test_variant_column_survives(spark, space, records):
