@@ -162,8 +162,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def spans_table(found: DataFrame) -> DataFrame:
     """One row per span: ``doc_id, kind, start, end``."""
-    part = F.split(F.explode(F.split("spans", ",")), ":")
-    rows = found.where("spans <> ''").select("doc_id", part.alias("p"))
-    return rows.selectExpr(
+    rows = found.where("spans <> ''").select("doc_id", F.explode(F.split("spans", ",")).alias("s"))
+    return rows.select("doc_id", F.split("s", ":").alias("p")).selectExpr(
         "doc_id", "p[0] AS kind", "CAST(p[1] AS BIGINT) AS start", "CAST(p[2] AS BIGINT) AS `end`"
     )

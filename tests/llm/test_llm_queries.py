@@ -1,0 +1,26 @@
+"""The queries against SQL, where SQL can express them."""
+
+import compare
+import pytest
+
+import __spark_entry__ as entry_points
+from docpipe.llm.expected import EXPECTED
+from docpipe.llm.queries import QUERIES
+
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+
+
+def test_one_query_per_operator():
+    assert sorted(int(n[2:].partition("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert {*QUERIES, "pipeline"} <= set(entry_points.queries())
+    assert EXPECTED.items() <= entry_points.oracle_sql().items()
+
+
+@pytest.mark.parametrize("name", sorted(EXPECTED))
+def test_query(spark, sf_dir, name):
+    con = compare.database(sf_dir)
+    df = QUERIES[name](spark, sf_dir)
+    columns, rows = compare.sql_rows(con, EXPECTED[name])
+    assert compare.normal(*compare.spark_rows(df)) == compare.normal(columns, rows)
+    described = con.execute(f"DESCRIBE {EXPECTED[name]}").fetchall()
+    assert {n: TYPES[t] for n, t in df.dtypes} == {r[0]: r[1] for r in described}

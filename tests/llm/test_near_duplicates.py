@@ -1,0 +1,130 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from llm_fixtures import edge, nothing  # noqa: F401
+
+from docpipe.llm.graph import components
+from docpipe.llm.linking import near_components
+from docpipe.llm.probminhash import (
+    REGISTERS, _register, near_duplicates, one_of_each, sketches, weights,
+)
+
+
+def test_each_shingle_meets_every_register_once():
+    keys = np.random.default_rng(0).integers(0, 2**63, 500).astype(np.uint64)
+    met = np.stack([_register(keys, i) for i in range(REGISTERS)], axis=1)
+    assert (np.sort(met, axis=1) == np.arange(REGISTERS)).all()
+
+
+@pytest.mark.parametrize("n, share", [(6, 0.5), (40, 0.8), (300, 0.8), (1000, 0.3)])
+def test_agreement_estimates_probability_jaccard(n, share):
+    rng, seen, true = np.random.default_rng(n), [], []
+    for _ in range(40):
+        pool = rng.integers(0, 2**63, 2 * n).astype(np.uint64)
+        common = int(n * share)
+        a, b = pool[:n], np.concatenate([pool[:common], pool[n : 2 * n - common]])
+        wa, wb = weights(rng.integers(1, 6, n)), weights(rng.integers(1, 6, n))
+        s = sketches(np.concatenate([a, b]), np.concatenate([wa, wb]), np.array([0, n, 2 * n]))
+        seen.append((s[0] == s[1]).mean())
+        x, y = dict(zip(a.tolist(), wa)), dict(zip(b.tolist(), wb))
+        union = set(x) | set(y)
+        jp = 0.0
+        for d in set(x) & set(y):
+            jp += 1 / sum(max(x.get(e, 0) / x[d], y.get(e, 0) / y[d]) for e in union)
+        true.append(jp)
+        if n > 300:
+            break
+    error = 4 * np.sqrt(0.25 / REGISTERS / len(seen))
+    assert abs(np.mean(seen) - np.mean(true)) < error
+
+
+def test_early_end_changes_nothing():
+    values = np.random.default_rng(3).integers(0, 2**63, 700).astype(np.uint64)
+    whole = sketches(values, np.ones(700), np.array([0, 700]))
+    both = sketches(np.concatenate([values, values[:3]]), np.ones(703), np.array([0, 700, 703]))
+    assert (whole[0] == both[0]).all() and set(both[1]) <= set(values[:3])
+
+
+def union_find(links):
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    return {n: find(n) for n in root}
+
+
+@pytest.mark.parametrize("kind", ["chain", "star", "random", "none"])
+def test_components(spark, kind):
+    rng = np.random.default_rng(5)
+    links = {
+        "chain": [(i, i + 1) for i in range(60)] + [(100, 101)],
+        "star": [(7, i) for i in range(200)] + [(i, i) for i in range(3)],
+        "random": rng.integers(0, 300, (200, 2)).tolist(),
+        "none": [],
+    }[kind]
+    df = spark.createDataFrame([tuple(map(int, p)) for p in links], "a bigint, b bigint").repartition(4)
+    found = {r.node: r.root for r in components(df).collect()}
+    assert found == union_find([p for p in links if p[0] != p[1]])
+
+
+def test_no_link_of_a_bucket_is_lost(spark):
+    """One bucket of sets, most links of which are neither with its smallest nor largest node."""
+    rng = np.random.default_rng(1)
+    sets = {}
+    for group in range(12):
+        base = rng.integers(0, 10**6, 40).tolist()
+        for i in range(6):
+            sets[int(rng.integers(0, 10**9))] = set(base[i * 2 : i * 2 + 28])
+    common = set(range(2_000_000, 2_000_012))
+    sets = {k: v | common for k, v in sets.items()}
+    jaccard = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    asked = []
+
+    def compare(pairs):
+        rows = [(r.a, r.b) for r in pairs.collect()]
+        asked.extend(rows)
+        return spark.createDataFrame([(a, b, jaccard(a, b)) for a, b in rows],
+                                     "a bigint, b bigint, jaccard double")
+
+    banded = spark.createDataFrame([(k, len(v), 1) for k, v in sets.items()],
+                                   "node bigint, size int, band bigint")
+    found = {r.node: r.root for r in near_components(banded, compare, 0.8).collect()}
+    keys = sorted(sets)
+    links = [(a, b) for a in keys for b in keys if a < b and jaccard(a, b) >= 0.8]
+    assert links and found == union_find(links)
+    assert len(asked) < len(keys) * (len(keys) - 1) / 2
+
+
+def test_edges(spark, edge, nothing):
+    found = {(r.doc_id, r.class_id) for r in near_duplicates(edge).collect()}
+    assert near_duplicates(edge).count() == edge.count()
+    assert found == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 6), (None, None)}
+    assert near_duplicates(nothing).collect() == [] and one_of_each(nothing).collect() == []
+    kept = one_of_each(edge)
+    assert kept.columns == edge.columns
+    # NULL texts are no duplicates, and of the repeated rows one stays
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "4", "5", "6", "None"]
+
+
+def test_copies_and_short_texts(spark):
+    words = [f"w{i}" for i in range(100)]
+    near = words[:50] + ["other"] + words[51:]
+    rows = [(9, " ".join(words)), (4, "  ".join(words).upper() + "!"), (6, " ".join(near)),
+            (1, "two words"), (2, "two words"), (3, "two other"), (7, "..."), (8, "..."), (10, "?"),
+            *[(100 + i, " ".join(words)) for i in range(300)]]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    found = {r.doc_id: r.class_id for r in near_duplicates(df).collect()}
+    assert found[9] == found[4] == found[6] == 4
+    assert {found[100 + i] for i in range(300)} == {4}
+    assert (found[1], found[2], found[3]) == (1, 1, 3)
+    assert (found[7], found[8], found[10]) == (7, 7, 10)
+    assert one_of_each(df).count() == 5
+    assert near_duplicates(df.withColumn("class_id", F.lit("clash"))).columns == ["doc_id", "class_id"]

@@ -1,0 +1,78 @@
+import numpy as np
+
+from llm_fixtures import documents, edge, nothing  # noqa: F401
+
+from docpipe.llm.passages import paragraphs, repeated_passages, tuned_bands, without_passages
+from docpipe.llm.shingles import words
+
+RNG = np.random.default_rng(8)
+
+
+def prose(n):
+    return [f"v{x}" for x in RNG.integers(0, 5000, n)]
+
+
+def test_bands_for_the_recall():
+    assert (tuned_bands(0.8, 0.95), tuned_bands(0.8, 0.99), tuned_bands(0.5, 0.9)) == (2, 3, 4)
+
+
+def test_paragraphs_are_cut_alike_in_any_surroundings():
+    passage = prose(60)
+    found = []
+    for before, after in ((0, 0), (33, 5), (7, 90)):
+        text = " ".join(prose(before) + passage + prose(after))
+        p = paragraphs(words([" ".join(prose(20)), text]))
+        own = p.text == 1
+        assert p.first[own][0] == 20 and p.last[-1] == 20 + before + 60 + after
+        assert (p.first[1:] == p.last[:-1]).all()
+        found.append(set(p.content[own].tolist()))
+    assert len(found[1] & found[2]) >= 3
+
+
+def test_passages_inside_other_texts(spark):
+    passage, changed = prose(70), None
+    changed = passage[:30] + ["edited"] + passage[31:]
+    rows = [(1, " ".join(prose(50) + passage + prose(80))), (2, " ".join(prose(10) + passage)),
+            (3, " ".join(prose(200) + changed + prose(9)).replace(" ", "\n", 40)),
+            *[(10 + i, " ".join(prose(120))) for i in range(30)],
+            (50, "All rights reserved by us. " + " ".join(prose(60))),
+            (51, " ".join(prose(60)) + " All rights reserved by us.")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = repeated_passages(df).collect()
+    assert {r.doc_id for r in found} == {2, 3}
+    assert all(r.first_docs == [1] for r in found)
+    texts = dict(rows)
+    for r in found:
+        cut = texts[r.doc_id][r.start : r.end].split()
+        assert len(cut) == r.words >= 20 and set(cut) <= set(passage) | {"edited"}
+    assert sum(r.words for r in found if r.doc_id == 2) >= 40
+    rest = {r.doc_id: r.text for r in without_passages(df, repeated_passages(df)).collect()}
+    assert rest[1] == texts[1] and rest[50] == texts[50]
+    for r in found:
+        assert len(rest[r.doc_id]) < len(texts[r.doc_id])
+    assert rest[2] == texts[2][: [r for r in found if r.doc_id == 2][0].start] + texts[2][
+        [r for r in found if r.doc_id == 2][0].end :
+    ] or len([r for r in found if r.doc_id == 2]) > 1
+
+
+def test_all_long_repeats_are_found(spark, documents):
+    """Brute force: every document that shares 50 words in a row with an earlier one is reported,
+    and nothing is reported that shares fewer than 15."""
+    texts = [(r.doc_id, words([r.text]).hashes.tolist()) for r in documents.orderBy("doc_id").collect()]
+
+    def repeats(n):
+        seen, out = {}, set()
+        for doc, w in texts:
+            for key in {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}:
+                if seen.setdefault(key, doc) != doc:
+                    out.add(doc)
+        return out
+
+    found = {r.doc_id for r in repeated_passages(documents).collect()}
+    assert repeats(50) <= found <= repeats(15)
+
+
+def test_edges(edge, nothing):
+    assert repeated_passages(nothing).collect() == []
+    assert repeated_passages(edge).collect() == []  # rows of one id are one document
+    assert without_passages(edge, repeated_passages(edge)).count() == edge.count()
