@@ -5,7 +5,7 @@ from docpipe.spec import DocumentSpec, Field
 
 
 def test_reading_schema():
-    assert RECEIPT.ddl() == (
+    assert RECEIPT.struct_type().simpleString() == (
         "struct<issue_date:string,billing_name:string,"
         "supplier:struct<zip_code:string,address:string,company_name:string,"
         "department_name:string>,"
