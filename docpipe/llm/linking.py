@@ -10,6 +10,9 @@ from docpipe.llm.graph import components
 from docpipe.llm.staging import written
 
 
+_WIDE = "20000000000000000000BD"
+
+
 def near_components(
     banded: DataFrame, compare: Callable[[DataFrame], DataFrame], similarity: float
 ) -> DataFrame:
@@ -19,20 +22,35 @@ def near_components(
     ``banded(node, size, band)`` has a row per node and band, ``size`` being the size of its set;
     ``compare`` gives ``a, b, jaccard`` for pairs ``a, b``.
 
-    1. Every member of a bucket is compared with its smallest and its largest node: two pairs a
-       member, however large the bucket.
+    1. Every member of a bucket is compared with its smallest node and with its hub: two pairs a
+       member, however large the bucket. The hub is the member that shares most bands with most
+       nodes; of texts that were changed here and there it is the one they have most in common.
     2. In buckets that are not one component after that, members outside the component of the
-       smallest node are compared with those whose similarity to it is near enough to theirs
-       for a link to be possible at all, by the triangle inequality of the Jaccard distance. So
-       no link inside a bucket is lost.
+       hub are compared with those whose similarity to the hub is near enough to theirs for a
+       link to be possible at all, by the triangle inequality of the Jaccard distance. So no
+       link inside a bucket is lost.
     """
-    buckets = (
+    sizes = (
         banded.groupBy("band")
-        .agg(F.min("node").alias("low"), F.max("node").alias("high"))
+        .agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
         .where("low < high")
+        .drop("high")
+    )
+    met = written(banded.join(sizes, "band"), "met")
+    central = met.groupBy("node").agg(F.sum("n").alias("degree"))
+    # degree and node in one number that is compared like any other: _WIDE is more than twice any
+    # 64-bit number, so the multiple of it that is nearest tells the degree
+    ranked = F.expr(f"CAST(CAST(degree AS DECIMAL(18,0)) * {_WIDE} - node AS DECIMAL(38,0))")
+    degree = f"CAST(round(best / {_WIDE}) AS DECIMAL(18,0))"
+    best = (
+        met.join(central, "node")
+        .groupBy("band")
+        .agg(F.max(ranked).alias("best"))
+        .select("band", F.expr(f"CAST({degree} * {_WIDE} - best AS BIGINT)").alias("hub"))
     )
-    shared = written(banded.join(buckets, "band"), "buckets")
-    hubs = shared.select("node", F.explode(F.array("low", "high")).alias("hub")).where("node <> hub")
+    shared = written(met.drop("n").join(best, "band"), "buckets")
+    hubs = shared.select("node", F.explode(F.array("low", "hub")).alias("other"))
+    hubs = hubs.where("node <> other").withColumnRenamed("other", "hub")
     pairs = hubs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
     compared = written(compare(written(pairs.distinct(), "pairs")), "compared")
     links = compared.where(F.col("jaccard") >= similarity).select("a", "b")
@@ -48,7 +66,7 @@ def near_components(
 
 def _possible_pairs(shared, compared, roots, similarity) -> DataFrame:
     """Pairs of one bucket and different components that could be similar enough: one is outside
-    the component of the bucket's smallest node, their similarities to that node differ by at
+    the component of the bucket's hub, their similarities to the hub differ by at
     most ``1 - similarity``, and their sizes are in proportion. Cells of that width are joined
     with their neighbours, so that pairs farther apart are not even looked at."""
     width = 1 - similarity + 1e-9
@@ -59,18 +77,19 @@ def _possible_pairs(shared, compared, roots, similarity) -> DataFrame:
         .where("first < last")
         .select("band")
     )
-    to_low = compared.select(
-        F.col("a").alias("low"), F.col("b").alias("node"), F.col("jaccard").alias("near")
+    near = F.col("jaccard").alias("near")
+    to_hub = compared.select(F.col("a").alias("hub"), F.col("b").alias("node"), near).unionByName(
+        compared.select(F.col("b").alias("hub"), F.col("a").alias("node"), near)
     )
-    low_root = roots.select(F.col("node").alias("low"), F.col("root").alias("low_root"))
+    hub_root = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
     members = written(
         own.join(split, "band", "left_semi")
-        .where("node <> low")
-        .join(to_low, ["low", "node"])
-        .join(low_root, "low", "left")
+        .where("node <> hub")
+        .join(to_hub, ["hub", "node"])
+        .join(hub_root, "hub", "left")
         .select(
             "band", "node", "size", "root", "near",
-            (F.col("root") != F.coalesce("low_root", "low")).alias("outside"),
+            (F.col("root") != F.coalesce("hub_root", "hub")).alias("outside"),
             F.floor(F.col("near") / width).cast("int").alias("cell"),
         ),
         "open-buckets",

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from docpipe.llm.batches import text_parts
 from docpipe.llm.linking import near_components
+from docpipe.llm.marks import MARK_BITS, mark_array, marks_of
 from docpipe.llm.shingles import mixed, shingles, signed, words, Words
 from docpipe.llm.staging import written
 from docpipe.session import ship
@@ -30,9 +31,6 @@ REACH, LONGEST = 5, 64
 #: whole paragraphs nearly always; short lines that are in common use do not.
 LEAST_WORDS = 20
 RECALL = 0.95
-#: Bits that tell which band keys recur; their size is fixed. Where very many recur, the bits
-#: only let more paragraphs pass to the exact steps.
-MARK_BITS = 27
 _LARGEST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -112,22 +110,13 @@ def _band_rows(docs: DataFrame) -> DataFrame:
 
 
 def _recurring_marks(bands: DataFrame) -> np.ndarray:
-    """Bits of the band keys that stand in several documents. Each part of the bits is made where
-    its keys are; what comes to the driver has a fixed size."""
-    place = F.col("band").bitwiseAND((1 << MARK_BITS) - 1) + 1
+    """Bits of the band keys that stand in several documents."""
     recurring = (
         bands.groupBy("band")
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         .where("low < high")
-        .select(F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("at"))
     )
-    parts = recurring.repartition("part").groupBy("part").agg(F.bitmap_construct_agg("at").alias("bits"))
-    marks = np.zeros(1 << (MARK_BITS - 3), np.uint8)
-    for row in parts.collect():
-        bits = np.frombuffer(row.bits, np.uint8)
-        start = (row.part - 1) * len(bits)
-        marks[start : start + len(bits)] |= bits[: len(marks) - start]
-    return marks
+    return mark_array(marks_of(recurring, "band"))
 
 
 CANDIDATE = (

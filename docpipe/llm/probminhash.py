@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from docpipe.llm.batches import text_parts
 from docpipe.llm.linking import near_components
+from docpipe.llm.marks import marked, marks_of
 from docpipe.llm.shingles import distinct, mixed, shingles, signed, words
 from docpipe.llm.staging import written
 from docpipe.session import ship
@@ -137,12 +138,15 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
 def exact_similarities(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """``a, b, jaccard`` of the different shingles, for pairs of ids.
 
-    Only texts that some pair needs are moved: they are picked once and written, and both ends
-    of the pairs meet that table. A task parses a text that follows in many pairs once.
+    Only texts that some pair needs are moved: marks of a fixed size let them through where they
+    are read, they are picked once and written, and both ends of the pairs meet that table. A
+    task parses a text that follows in many pairs once.
     """
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    needed = written(needed.withColumn("hash", F.xxhash64("id")), "needed-ids")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
-    picked = written(texts.join(needed, "id", "left_semi"), "pair-texts")
+    few = marked(texts, F.xxhash64("id"), marks_of(needed, "hash"))
+    picked = written(few.join(needed.select("id"), "id", "left_semi"), "pair-texts")
     sides = [picked.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab"]
     both = pairs.select("a", "b").join(sides[0], "a").join(sides[1], "b")
 
