@@ -18,6 +18,8 @@ from docpipe.functions.sqltext import quoted, string_literal
 from docpipe.spec import DocumentSpec, Field
 
 WHOLE_NUMBER = "^-?(0|[1-9][0-9]*)$"
+# A VARIANT holds whole numbers of so many digits; longer ones stay text in both readings.
+DIGITS = 38
 
 
 def labelled_json(spec: DocumentSpec):
@@ -54,7 +56,8 @@ def labelled_reader(spec: DocumentSpec):
         printed = printed.strip(" ")
         if printed in ("", '""'):
             return None if printed == "" else ""
-        return int(printed) if kind == "integer" and re.match(WHOLE_NUMBER, printed) else printed
+        whole = kind == "integer" and re.match(WHOLE_NUMBER, printed)
+        return int(printed) if whole and len(printed.lstrip("-")) <= DIGITS else printed
 
     def read(text: str) -> str | None:
         lines = text.replace("\r\n", "\n").split("\n")
