@@ -7,6 +7,7 @@ from samples import FOREIGN_KEYS, GOLDEN, LINES, SUBTOTAL, TAX, TOTAL, golden
 
 from docpipe.operators.flatten import flatten, flatten_documents, rejects
 from docpipe.plans.receipts import COLUMN_COMMENTS, RECEIPT
+from docpipe.spec import DocumentSpec, Field, Output
 
 
 def test_golden_record(records):
@@ -156,3 +157,15 @@ def test_only_needed_columns_are_scanned(spark, tmp_path, records):
     records(golden()).withColumn("input", F.lit("long text")).write.parquet(path)
     plan = plan_of(flatten(spark.read.parquet(path), RECEIPT))
     assert "input" not in plan[plan.index("ReadSchema"):]
+
+
+@pytest.mark.parametrize("reader", ["json", "variant"])
+def test_keys_with_blanks_and_hyphens(records, reader):
+    spec = DocumentSpec(
+        name="odd",
+        fields=(Field("a b"), Field("lines-of", kind="array", fields=(Field("x-y", kind="integer"),))),
+        outputs=(Output("a", "a b"), Output("xy", "lines-of[].x-y", "bigint")),
+    )
+    silver = records('{"a b": "v", "lines-of": [{"x-y": 1}, {"x-y": 2}]}')
+    assert sorted((r.a, r.xy) for r in flatten(silver, spec, reader=reader).collect()) == [("v", 1), ("v", 2)]
+    assert flatten_documents(silver, spec, reader=reader).head().line_count == 2

@@ -13,7 +13,7 @@ def test_reading_schema():
         "item_amount:double>>,"
         "subtotal:double,consumption_tax:double,total_amount:double,remarks:string>"
     )
-    assert "item_amount:bigint" in RECEIPT.ddl("bigint")
+    assert "`item_amount`: bigint" in RECEIPT.ddl("bigint")
 
 
 def test_flat_columns():
