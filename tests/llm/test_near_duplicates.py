@@ -6,6 +6,7 @@ from llm_fixtures import edge, nothing  # noqa: F401
 
 from docpipe.llm.graph import components
 from docpipe.llm.linking import near_components
+from docpipe.llm.marks import MARK_BITS, mark_array, marked, marks_of
 from docpipe.llm.probminhash import (
     REGISTERS, _register, near_duplicates, one_of_each, sketches, weights,
 )
@@ -128,3 +129,15 @@ def test_copies_and_short_texts(spark):
     assert (found[7], found[8], found[10]) == (7, 7, 10)
     assert one_of_each(df).count() == 5
     assert near_duplicates(df.withColumn("class_id", F.lit("clash"))).columns == ["doc_id", "class_id"]
+
+
+def test_marks_hold_nothing_back(spark):
+    df = spark.range(5000).select("id", F.xxhash64("id").alias("key"))
+    marks = marks_of(df.where("id % 7 = 0"), "key")
+    passed = {r.id for r in marked(df, F.col("key"), marks).collect()}
+    assert {i for i in range(5000) if i % 7 == 0} <= passed and len(passed) < 730
+    bits = mark_array(marks)
+    for r in df.collect():
+        at = r.key & ((1 << MARK_BITS) - 1)
+        assert bool(bits[at >> 3] >> (at & 7) & 1) == (r.id in passed)
+    assert marked(df, F.col("key"), marks_of(df.limit(0), "key")).count() == 0
