@@ -14,21 +14,27 @@ _WIDE = "20000000000000000000BD"
 
 
 def near_components(
-    banded: DataFrame, compare: Callable[[DataFrame], DataFrame], similarity: float
+    banded: DataFrame,
+    compare: Callable[[DataFrame], DataFrame],
+    elements: Callable[[DataFrame], DataFrame],
+    similarity: float,
 ) -> DataFrame:
     """``node, root`` of the nodes that have a link; a link is a pair that shares a band and has
     at least the given Jaccard similarity.
 
     ``banded(node, size, band)`` has a row per node and band, ``size`` being the size of its set;
-    ``compare`` gives ``a, b, jaccard`` for pairs ``a, b``.
+    ``compare`` gives ``a, b, jaccard`` for pairs ``a, b``, ``elements`` gives ``node, element`` of
+    the sets of the given nodes.
 
     1. Every member of a bucket is compared with its smallest node and with its hub: two pairs a
        member, however large the bucket. The hub is the member that shares most bands with most
        nodes; of texts that were changed here and there it is the one they have most in common.
     2. In buckets that are not one component after that, members outside the component of the
-       hub are compared with those whose similarity to the hub is near enough to theirs for a
-       link to be possible at all, by the triangle inequality of the Jaccard distance. So no
-       link inside a bucket is lost.
+       hub are compared with those to which a link is possible at all. It is not where their
+       similarities to the hub are too far apart (triangle inequality of the Jaccard distance),
+       or where one of them has too many elements that no other open member has. So no link
+       inside a bucket is lost, and of many texts that were changed too much, each in its own
+       way, none is compared with the others.
     """
     sizes = (
         banded.groupBy("band")
@@ -55,7 +61,7 @@ def near_components(
     compared = written(compare(written(pairs.distinct(), "pairs")), "compared")
     links = compared.where(F.col("jaccard") >= similarity).select("a", "b")
     roots = written(components(links), "roots")
-    rest = written(_possible_pairs(shared, compared, roots, similarity), "rest")
+    rest = written(_possible_pairs(shared, compared, elements, roots, similarity), "rest")
     if rest.isEmpty():
         return roots
     more = written(compare(rest), "compared-rest")
@@ -64,11 +70,11 @@ def near_components(
     return written(components(roots.toDF("a", "b").unionByName(found)), "roots")
 
 
-def _possible_pairs(shared, compared, roots, similarity) -> DataFrame:
+def _possible_pairs(shared, compared, elements, roots, similarity) -> DataFrame:
     """Pairs of one bucket and different components that could be similar enough: one is outside
     the component of the bucket's hub, their similarities to the hub differ by at
-    most ``1 - similarity``, and their sizes are in proportion. Cells of that width are joined
-    with their neighbours, so that pairs farther apart are not even looked at."""
+    most ``1 - similarity``, and what they could share is enough for their sizes. Cells of that
+    width are joined with their neighbours, so that pairs farther apart are not even looked at."""
     width = 1 - similarity + 1e-9
     own = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = (
@@ -94,19 +100,36 @@ def _possible_pairs(shared, compared, roots, similarity) -> DataFrame:
         ),
         "open-buckets",
     )
+    # elements of one open member alone are shared with nobody
+    nodes = members.select("node").distinct()
+    alone = (
+        elements(nodes)
+        .groupBy("element")
+        .agg(F.count("*").alias("n"), F.min("node").alias("node"))
+        .where("n = 1")
+        .groupBy("node")
+        .agg(F.count("*").alias("alone"))
+    )
+    members = written(
+        members.join(alone, "node", "left")
+        .withColumn("common", F.col("size") - F.coalesce("alone", F.lit(0)))
+        .where(F.col("common") >= F.col("size") * (similarity - 1e-9)),
+        "possible-members",
+    )
     left = members.where("outside").select(
         "band", F.explode(F.array(*[F.col("cell") + i for i in (-1, 0, 1)])).alias("cell"),
         F.col("node").alias("x"), F.col("size").alias("nx"), F.col("near").alias("jx"),
-        F.col("root").alias("rx"),
+        F.col("root").alias("rx"), F.col("common").alias("cx"),
     )
     right = members.select(
         "band", "cell", F.col("node").alias("y"), F.col("size").alias("ny"),
-        F.col("near").alias("jy"), F.col("root").alias("ry"),
+        F.col("near").alias("jy"), F.col("root").alias("ry"), F.col("common").alias("cy"),
     )
+    most = F.least("cx", "cy")
     possible = (
         (F.col("rx") != F.col("ry"))
         & (F.abs(F.col("jx") - F.col("jy")) <= width)
-        & (F.least("nx", "ny") >= F.greatest("nx", "ny") * (similarity - 1e-9))
+        & (most >= (F.col("nx") + F.col("ny") - most) * (similarity - 1e-9))
     )
     pairs = left.join(right, ["band", "cell"]).where(possible)
     pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()

@@ -40,7 +40,8 @@ def marked(df: DataFrame, key: Column, marks: DataFrame) -> DataFrame:
     # of a fixed size, see MARK_BITS
     return (
         df.join(F.broadcast(known), F.bitmap_bucket_number(place) == F.col("_part"))
-        .where(bit.bitwiseAND(1) == 1)
+        # "not deterministic", so that no later join is moved below this filter
+        .where((bit.bitwiseAND(1) == 1) & (F.rand(0) + 1 > 0))
         .select(*[df[c] for c in df.columns])
     )
 

@@ -183,7 +183,7 @@ def repeated_passages(
     contents = written(own, "contents")
     sets = written(found.select("content", "bands", "shingles").dropDuplicates(["content"]), "sets")
     banded = sets.select(
-        F.col("content").alias("node"), F.size("shingles").alias("size"),
+        F.col("content").alias("node"), F.size(F.array_distinct("shingles")).alias("size"),
         F.explode("bands").alias("band"),
     )
 
@@ -194,7 +194,12 @@ def repeated_passages(
         union = F.size(F.array_distinct("sa")) + F.size(F.array_distinct("sb")) - common
         return both.select("a", "b", (common / union).alias("jaccard"))
 
-    roots = near_components(banded, compare, similarity)
+    def elements(nodes: DataFrame) -> DataFrame:
+        own = sets.select(F.col("content").alias("node"), F.array_distinct("shingles").alias("all"))
+        wanted = own.join(nodes, "node", "left_semi")
+        return wanted.select("node", F.explode("all").alias("element"))
+
+    roots = near_components(banded, compare, elements, similarity)
     cluster = F.coalesce("root", "content").alias("cluster")
     named = written(
         contents.join(roots.withColumnRenamed("node", "content"), "content", "left")

@@ -135,18 +135,39 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id bigint, {SKETCHED}")
 
 
+def picked_texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """``id, text`` of the needed ids, written. Marks of a fixed size let their rows through where
+    they are read, so that other texts are not moved."""
+    needed = written(needed.withColumn("hash", F.xxhash64("id")), "needed-ids")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
+    few = marked(texts, F.xxhash64("id"), marks_of(needed, "hash"))
+    return written(few.join(needed.select("id"), "id", "left_semi"), "picked-texts")
+
+
+def text_shingles(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, element``: the different shingles of the given documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_parts(batch):
+                values, _, bounds = distinct(*shingles(words(part["text"].to_pylist())))
+                owner = np.repeat(np.arange(len(part)), np.diff(bounds))
+                yield pa.RecordBatch.from_arrays(
+                    [part["id"].take(pa.array(owner)), pa.array(signed(values))],
+                    names=["node", "element"],
+                )
+
+    picked = picked_texts(docs, nodes.select(F.col("node").alias("id")))
+    return picked.mapInArrow(run, "node bigint, element bigint")
+
+
 def exact_similarities(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """``a, b, jaccard`` of the different shingles, for pairs of ids.
 
-    Only texts that some pair needs are moved: marks of a fixed size let them through where they
-    are read, they are picked once and written, and both ends of the pairs meet that table. A
-    task parses a text that follows in many pairs once.
+    Only texts that some pair needs are moved, and both ends of the pairs meet them. A task parses a text that follows in many pairs once.
     """
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    needed = written(needed.withColumn("hash", F.xxhash64("id")), "needed-ids")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
-    few = marked(texts, F.xxhash64("id"), marks_of(needed, "hash"))
-    picked = written(few.join(needed.select("id"), "id", "left_semi"), "pair-texts")
+    picked = picked_texts(docs, needed)
     sides = [picked.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab"]
     both = pairs.select("a", "b").join(sides[0], "a").join(sides[1], "b")
 
@@ -199,7 +220,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         ),
         "bands",
     )
-    roots = near_components(banded, lambda pairs: exact_similarities(pairs, ids), similarity)
+    roots = near_components(
+        banded,
+        lambda pairs: exact_similarities(pairs, ids),
+        lambda nodes: text_shingles(ids, nodes),
+        similarity,
+    )
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
     # copies are named by their node, every other document by itself
     copies = members.where("doc_id <> node").distinct()

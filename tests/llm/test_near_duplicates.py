@@ -7,6 +7,7 @@ from llm_fixtures import edge, nothing  # noqa: F401
 from docpipe.llm.graph import components
 from docpipe.llm.linking import near_components
 from docpipe.llm.marks import MARK_BITS, mark_array, marked, marks_of
+from docpipe.llm.shingles import shingles, words
 from docpipe.llm.probminhash import (
     REGISTERS, _register, near_duplicates, one_of_each, sketches, weights,
 )
@@ -97,13 +98,40 @@ def test_no_link_of_a_bucket_is_lost(spark):
 
     banded = spark.createDataFrame([(k, len(v), 1) for k, v in sets.items()],
                                    "node bigint, size int, band bigint")
-    found = {r.node: r.root for r in near_components(banded, compare, 0.8).collect()}
+    def elements(nodes):
+        wanted = {r.node for r in nodes.collect()}
+        rows = [(k, x) for k, v in sets.items() if k in wanted for x in v]
+        return spark.createDataFrame(rows, "node bigint, element bigint")
+
+    found = {r.node: r.root for r in near_components(banded, compare, elements, 0.8).collect()}
     keys = sorted(sets)
     links = [(a, b) for a in keys for b in keys if a < b and jaccard(a, b) >= 0.8]
     assert links and found == union_find(links)
     assert len(asked) < len(keys) * (len(keys) - 1) / 2
 
 
+def test_a_family_of_texts_that_differ_too_much(spark):
+    """Copies of one text, each changed in its own way: the rest of the family is not compared."""
+    rng = np.random.default_rng(9)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 400):
+        text = list(base)
+        for at in rng.choice(150, int(rng.integers(1, 14)), replace=False):
+            text[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    sets = [set(shingles(words([t]))[0].tolist()) for _, t in rows]
+    links = [
+        (a, b) for a in range(400) for b in range(a)
+        if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8
+    ]
+    roots = union_find(links)
+    found = {r.doc_id: r.class_id for r in near_duplicates(df).collect()}
+    assert found == {i: roots.get(i, i) for i in range(400)}
+    assert 50 < len(set(found.values())) < 350
+
+
 def test_edges(spark, edge, nothing):
     found = {(r.doc_id, r.class_id) for r in near_duplicates(edge).collect()}
     assert near_duplicates(edge).count() == edge.count()
