@@ -71,10 +71,12 @@ def near_components(
 
 
 def _possible_pairs(shared, compared, elements, roots, similarity) -> DataFrame:
-    """Pairs of one bucket and different components that could be similar enough: one is outside
-    the component of the bucket's hub, their similarities to the hub differ by at
-    most ``1 - similarity``, and what they could share is enough for their sizes. Cells of that
-    width are joined with their neighbours, so that pairs farther apart are not even looked at."""
+    """Pairs of different components around one hub that could be similar enough: one is outside
+    the component of the hub, their similarities to the hub differ by at most
+    ``1 - similarity``, and what they could share is enough for their sizes. They share at most
+    the smaller of what each has of the hub, and of the rest the smaller of what others have as
+    well. Cells of that width are joined with their neighbours, so that pairs farther apart are
+    not even looked at. Buckets of one hub are taken together: a pair is met once."""
     width = 1 - similarity + 1e-9
     own = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = (
@@ -93,15 +95,19 @@ def _possible_pairs(shared, compared, elements, roots, similarity) -> DataFrame:
         .where("node <> hub")
         .join(to_hub, ["hub", "node"])
         .join(hub_root, "hub", "left")
+        .join(shared.select(F.col("node").alias("hub"), F.col("size").alias("hub_size")).distinct(), "hub")
         .select(
-            "band", "node", "size", "root", "near",
+            "hub", "node", "size", "root", "near",
+            F.round(F.col("near") * (F.col("size") + F.col("hub_size")) / (1 + F.col("near")))
+            .alias("of_hub"),
             (F.col("root") != F.coalesce("hub_root", "hub")).alias("outside"),
             F.floor(F.col("near") / width).cast("int").alias("cell"),
-        ),
+        )
+        .distinct(),
         "open-buckets",
     )
-    # elements of one open member alone are shared with nobody
-    nodes = members.select("node").distinct()
+    # elements of one open member alone, which its hub has not either, are shared with nobody
+    nodes = members.select("node").union(members.select("hub")).distinct()
     alone = (
         elements(nodes)
         .groupBy("element")
@@ -112,25 +118,26 @@ def _possible_pairs(shared, compared, elements, roots, similarity) -> DataFrame:
     )
     members = written(
         members.join(alone, "node", "left")
-        .withColumn("common", F.col("size") - F.coalesce("alone", F.lit(0)))
-        .where(F.col("common") >= F.col("size") * (similarity - 1e-9)),
+        .withColumn("other", F.col("size") - F.coalesce("alone", F.lit(0)) - F.col("of_hub"))
+        .where(F.col("of_hub") + F.col("other") >= F.col("size") * (similarity - 1e-9)),
         "possible-members",
     )
     left = members.where("outside").select(
-        "band", F.explode(F.array(*[F.col("cell") + i for i in (-1, 0, 1)])).alias("cell"),
+        "hub", F.explode(F.array(*[F.col("cell") + i for i in (-1, 0, 1)])).alias("cell"),
         F.col("node").alias("x"), F.col("size").alias("nx"), F.col("near").alias("jx"),
-        F.col("root").alias("rx"), F.col("common").alias("cx"),
+        F.col("root").alias("rx"), F.col("of_hub").alias("hx"), F.col("other").alias("ox"),
     )
     right = members.select(
-        "band", "cell", F.col("node").alias("y"), F.col("size").alias("ny"),
-        F.col("near").alias("jy"), F.col("root").alias("ry"), F.col("common").alias("cy"),
+        "hub", "cell", F.col("node").alias("y"), F.col("size").alias("ny"),
+        F.col("near").alias("jy"), F.col("root").alias("ry"), F.col("of_hub").alias("hy"),
+        F.col("other").alias("oy"),
     )
-    most = F.least("cx", "cy")
+    most = F.least("hx", "hy") + F.least("ox", "oy")
     possible = (
         (F.col("rx") != F.col("ry"))
         & (F.abs(F.col("jx") - F.col("jy")) <= width)
         & (most >= (F.col("nx") + F.col("ny") - most) * (similarity - 1e-9))
     )
-    pairs = left.join(right, ["band", "cell"]).where(possible)
+    pairs = left.join(right, ["hub", "cell"]).where(possible)
     pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     return pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
