@@ -222,8 +222,10 @@ def repeated_passages(
     )
     # paragraphs of one document in a row; a document has as many as its length allows
     in_order = Window.partitionBy("doc_id").orderBy("first", "last")
-    gap = F.coalesce((F.col("first") > F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))).cast("int"), F.lit(1))
-    runs = hits.withColumn("run", F.sum(gap).over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    up_to_here = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    gap = F.coalesce((F.col("first") > F.max("last").over(earlier)).cast("int"), F.lit(1))
+    runs = hits.withColumn("run", F.sum(gap).over(up_to_here))
     return (
         runs.groupBy("doc_id", "run")
         .agg(
@@ -245,8 +247,11 @@ def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     joined = docs.join(spans, F.col("doc_id") == F.col("_id"), "left")
     ends = F.concat(F.array(F.lit(0).cast("bigint")), F.col("_spans.end"))
     begins = F.concat(F.col("_spans.start"), F.array(F.length("text").cast("bigint")))
-    kept = F.zip_with(
-        ends, begins, lambda e, s: F.substr(F.col("text"), (e + 1).cast("int"), F.greatest(s - e, F.lit(0)).cast("int"))
-    )
+
+    def between(end, start):
+        size = F.greatest(start - end, F.lit(0))
+        return F.substr(F.col("text"), (end + 1).cast("int"), size.cast("int"))
+
+    kept = F.zip_with(ends, begins, between)
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.array_join(kept, ""))
     return joined.withColumn("text", text).select(*docs.columns)

@@ -9,7 +9,7 @@ is later than the last of all registers.
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -99,7 +99,7 @@ def text_keys(found, texts) -> tuple[np.ndarray, np.ndarray]:
             out.append(mixed(total[found.bounds[1:]] - total[found.bounds[:-1]] + salt))
     for i in np.flatnonzero(counts == 0):
         raw = (texts[i] or "").encode("utf-8", "replace")
-        out[0][i], out[1][i] = zlib.crc32(raw), len(raw)
+        out[0][i], out[1][i] = np.frombuffer(hashlib.md5(raw).digest(), np.uint64)
     return out[0], out[1]
 
 
@@ -164,7 +164,8 @@ def text_shingles(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 def exact_similarities(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """``a, b, jaccard`` of the different shingles, for pairs of ids.
 
-    Only texts that some pair needs are moved, and both ends of the pairs meet them. A task parses a text that follows in many pairs once.
+    Only texts that some pair needs are moved, and both ends of the pairs meet them. A task
+    parses a text that follows in many pairs once.
     """
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     picked = picked_texts(docs, needed)

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docpipe.llm import covertree, decontaminate, linetemplates, packing, passages, probminhash, secrets, tokenfiles, toxicity, warc
+from docpipe.llm import (
+    covertree,
+    decontaminate,
+    linetemplates,
+    packing,
+    passages,
+    probminhash,
+    secrets,
+    tokenfiles,
+    toxicity,
+    warc,
+)
 from docpipe.plans.receipts import table
 
 
