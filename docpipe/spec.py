@@ -133,8 +133,9 @@ class DocumentSpec:
     # -- JSON Schema ----------------------------------------------------------------
 
     def json_schema(self, title: str | None = None) -> dict:
-        """JSON Schema 2020-12, titled by the name of the specification. Every value is ``anyOf [type, null]``; the NOT NULL rules are
-        checked on the table (``operators.validate``), not in the schema."""
+        """JSON Schema 2020-12, titled by the name of the specification. Every value is ``anyOf
+        [type, null]``; the NOT NULL rules are checked on the table (``operators.validate``), not
+        in the schema."""
         return {"$schema": JSON_SCHEMA_DIALECT, "title": title or self.name, **_object_schema(self.fields)}
 
     @classmethod
