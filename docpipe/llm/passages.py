@@ -3,14 +3,16 @@
 Documents are cut into small paragraphs at places that their own words choose: behind a word
 pair whose hash is the least among its neighbours. A passage that two documents share is cut at
 the same places in both, whatever surrounds it and however lines are broken. Paragraphs that
-agree in a MinHash band are compared exactly, similar ones are clustered, and runs of recurring
-paragraphs are the passages.
+agree in a MinHash band are compared exactly, and similar ones are clustered. They tell which
+documents are laid side by side: what those share is followed beyond the paragraphs on both
+sides, over changed words, as far as whole spans have the similarity.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from docpipe.llm.batches import text_parts
 from docpipe.llm.linking import near_components
 from docpipe.llm.marks import MARK_BITS, mark_array, marks_of
-from docpipe.llm.shingles import mixed, shingles, signed, words, Words
+from docpipe.llm.probminhash import picked_texts
+from docpipe.llm.shingles import SHINGLE_WORDS, mixed, shingles, signed, words, Words
 from docpipe.llm.staging import written
 from docpipe.session import ship
 
@@ -27,8 +30,7 @@ SIMILARITY = 0.8
 #: A cut is the least of this many word pairs on either side: paragraphs of 11 words on average
 #: and 6 at least. Longer ones than ``LONGEST`` are cut evenly.
 REACH, LONGEST = 5, 64
-#: Least words of recurring paragraphs in a row. A shared passage of 50 words holds so many in
-#: whole paragraphs nearly always; short lines that are in common use do not.
+#: Least words of a passage; short lines that are in common use have fewer.
 LEAST_WORDS = 20
 RECALL = 0.95
 _LARGEST = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -155,17 +157,116 @@ def _candidates(docs: DataFrame, marks: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, CANDIDATE)
 
 
+def _equal_runs(own: np.ndarray, other: np.ndarray) -> list[tuple[int, int, int]]:
+    """``(i, j, n)``: ``own[i : i + n]`` equals ``other[j : j + n]``. From left to right, each the
+    longest that begins at its place; of several, the one that goes on where the last one ended."""
+    order = np.argsort(other, kind="stable")
+    ranked = other[order]
+    low, high = np.searchsorted(ranked, own, "left"), np.searchsorted(ranked, own, "right")
+    runs, i, shift = [], 0, 0
+    known = np.flatnonzero(high > low)
+    while (at := np.searchsorted(known, i)) < len(known):
+        i = int(known[at])
+        places, n = order[low[i] : high[i]], 1
+        while len(places) > 1 and i + n < len(own):
+            further = places[places + n < len(other)]
+            further = further[other[further + n] == own[i + n]]
+            if not len(further):
+                break
+            places, n = further, n + 1
+        j = int(places[np.argmin(np.abs(places - i - shift))])
+        most = min(len(own) - i, len(other) - j)
+        differs = own[i + n : i + most] != other[j + n : j + most]
+        n = n + int(differs.argmax()) if differs.any() else most
+        runs.append((i, j, n))
+        i, shift = i + n, j - i
+    return runs
+
+
+def _set_similarity(a: np.ndarray, b: np.ndarray) -> float:
+    a, b = np.unique(a), np.unique(b)
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common / (len(a) + len(b) - common)
+
+
+def shared_spans(
+    own: np.ndarray, other: np.ndarray, similarity: float = SIMILARITY
+) -> list[tuple[int, int]]:
+    """Spans ``(first, last)`` of the shingles ``own`` that have the Jaccard similarity with a
+    span of the shingles ``other``: from each equal run as far as it can be followed over
+    differences. Runs between that stand elsewhere in ``other`` are passed over."""
+    runs = _equal_runs(own, other)
+    left = np.append(np.cumsum([n for _, _, n in runs][::-1], dtype=np.int64)[::-1], 0).tolist()
+    found: list[tuple[int, int]] = []
+    for k, (i, j, n) in enumerate(runs):
+        common, best, own_end, other_end = n, None, i + n, j + n
+        for m in range(k + 1, len(runs)):
+            x, y, size = runs[m]
+            # even if all that is left were shared without a difference
+            if common + left[m] < similarity * (x - i + left[m]):
+                break
+            nx, ny = x + size - i, y + size - j
+            if y < other_end or min(nx, ny) < similarity * max(nx, ny):
+                continue
+            common, other_end = common + size, y + size
+            if common >= similarity * (nx + ny - common):
+                best = x + size, y + size
+        if best and _set_similarity(own[i : best[0]], other[j : best[1]]) >= similarity:
+            own_end = best[0]
+        if not found or own_end > found[-1][1]:
+            found.append((i, own_end))
+    return found
+
+
+FRAGMENT = "doc_id bigint, first bigint, last bigint, start bigint, `end` bigint, first_doc bigint"
+
+
+def _followed(docs: DataFrame, pairs: DataFrame, similarity: float, least_words: int) -> DataFrame:
+    """Spans of at least ``least_words`` words that document ``b`` shares with ``a``, for
+    ``pairs(a, b)``. Only texts of the pairs are moved."""
+    needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    picked = picked_texts(docs, needed)
+    sides = [picked.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab"]
+    both = pairs.select("a", "b").join(sides[0], "a").join(sides[1], "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        @lru_cache(maxsize=64)
+        def parsed(text: str) -> tuple[Words, np.ndarray]:
+            found = words([text], places=True)
+            return found, shingles(found, short=False)[0]
+
+        for batch in batches:
+            out = []
+            for a, b, x, y in zip(*(batch[c].to_pylist() for c in ("a", "b", "text_a", "text_b"))):
+                (_, other), (found, own) = parsed(x), parsed(y)
+                for first, end in shared_spans(own, other, similarity):
+                    last = end + SHINGLE_WORDS - 1
+                    if last - first >= least_words:
+                        out.append((b, first, last, found.starts[first], found.ends[last - 1], a))
+            columns = list(zip(*out)) if out else [[]] * 6
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns],
+                names=["doc_id", "first", "last", "start", "end", "first_doc"],
+            )
+
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, FRAGMENT)
+
+
 def repeated_passages(
     docs: DataFrame, similarity: float = SIMILARITY, least_words: int = LEAST_WORDS
 ) -> DataFrame:
     """``doc_id, start, end, words, first_docs``: passages of ``docs(doc_id, text)`` that are also
-    in a document of smaller id, at least ``least_words`` words of whole paragraphs in a row.
-
-    ``start`` and ``end`` are code points, end exclusive; ``first_docs`` lists the first
-    documents of the clusters in the passage. Equal paragraphs count as similar; others when the
-    exact Jaccard similarity of their five-word shingles is at least ``similarity``. A cluster
-    is a component of similar paragraphs in two documents or more. The copy in the document
-    with the smallest id is the one to keep and is not reported.
+    in a document of smaller id, at least ``least_words`` words.
+
+    ``start`` and ``end`` are code points, end exclusive; ``first_docs`` lists the documents that
+    have the passage or parts of it. Equal paragraphs count as similar; others when the exact
+    Jaccard similarity of their five-word shingles is at least ``similarity``. A cluster is a
+    component of similar paragraphs in two documents or more. Every document of a cluster is
+    compared with the first one of it, and with the first one that has an equal paragraph. A
+    span is shared if the exact Jaccard similarity of its shingles with a span of the other
+    document is at least ``similarity``, whatever paragraphs it cuts. Spans that overlap and
+    recurring paragraphs that follow one another are one passage. The copy in the document with
+    the smallest id is the one to keep and is not reported.
 
     NULL and empty texts have no passages; rows with NULL ids take no part; rows of one id are
     one document. Other columns are not read.
@@ -212,14 +313,24 @@ def repeated_passages(
         .where("first_doc < last_doc")
         .select("cluster", "first_doc")
     )
-    wanted = named.join(recurring, "cluster").select("content", "first_doc")
-    hits = (
+    wanted = named.join(recurring, "cluster").select("content", "low", "first_doc")
+    hits = written(
         found.select("doc_id", "first", "last", "start", "end", "content")
         .join(wanted, "content")
         .where("doc_id > first_doc")
-        .select("doc_id", "first", "last", "start", "end", "first_doc")
-        .distinct()
+        .select("doc_id", "first", "last", "start", "end", "first_doc", "low")
+        .distinct(),
+        "hits",
+    )
+    pairs = written(
+        hits.select("doc_id", F.explode(F.array("first_doc", "low")).alias("a"))
+        .where("a < doc_id")
+        .select("a", F.col("doc_id").alias("b"))
+        .distinct(),
+        "pairs",
     )
+    spans = _followed(rows, pairs, similarity, least_words)
+    hits = hits.drop("low").unionByName(spans).distinct()
     # paragraphs of one document in a row; a document has as many as its length allows
     in_order = Window.partitionBy("doc_id").orderBy("first", "last")
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
@@ -231,7 +342,7 @@ def repeated_passages(
         .agg(
             F.min("start").alias("start"),
             F.max("end").alias("end"),
-            F.sum(F.col("last") - F.col("first")).alias("words"),
+            (F.max("last") - F.min("first")).alias("words"),
             F.array_sort(F.collect_set("first_doc")).alias("first_docs"),
         )
         .where(F.col("words") >= least_words)

@@ -2,7 +2,9 @@ import numpy as np
 
 from llm_fixtures import documents, edge, nothing  # noqa: F401
 
-from docpipe.llm.passages import paragraphs, repeated_passages, tuned_bands, without_passages
+from docpipe.llm.passages import (
+    paragraphs, repeated_passages, shared_spans, tuned_bands, without_passages,
+)
 from docpipe.llm.shingles import words
 
 RNG = np.random.default_rng(8)
@@ -72,6 +74,32 @@ def test_all_long_repeats_are_found(spark, documents):
     assert repeats(50) <= found <= repeats(15)
 
 
+def test_near_equal_passages_in_other_surroundings(spark):
+    """A span is judged whole: few changed words in it lose no part of it."""
+    rows, sizes = [], {}
+    for i in range(120):
+        n, edits = ((60, [30]), (70, [35]), (100, [33, 66]), (50, []))[i % 4]
+        passage = prose(n)
+        changed = [f"edit{i}" if k in edits else w for k, w in enumerate(passage)]
+        rows.append((i, " ".join(prose(40) + passage + prose(40))))
+        rows.append((1000 + i, " ".join(prose(30) + changed + prose(50))))
+        sizes[1000 + i] = n
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = repeated_passages(df).collect()
+    assert all(r.first_docs == [r.doc_id - 1000] for r in found)
+    assert sorted(r.doc_id for r in found) == sorted(sizes)
+    # a similar paragraph at the edge can hold a word of the surroundings
+    assert all(0 <= r.words - sizes[r.doc_id] <= 2 for r in found)
+
+
+def test_shared_spans():
+    a = RNG.integers(0, 2**62, 300).astype(np.uint64)
+    b = np.concatenate([a[200:205], a[:60], a[250:253], a[65:130], a[:1]])
+    assert (0, 130) in shared_spans(a, b) and (5, 134) not in shared_spans(b[::-1], a)
+    assert shared_spans(np.full(3000, 7, np.uint64), np.full(2000, 7, np.uint64))[0] == (0, 2000)
+    assert shared_spans(a[:0], a) == shared_spans(a[:50], a[50:]) == []
+
+
 def test_edges(edge, nothing):
     assert repeated_passages(nothing).collect() == []
     assert repeated_passages(edge).collect() == []  # rows of one id are one document
