@@ -7,9 +7,9 @@ from llm_fixtures import edge, nothing  # noqa: F401
 from docpipe.llm.graph import components
 from docpipe.llm.linking import near_components
 from docpipe.llm.marks import MARK_BITS, mark_array, marked, marks_of
-from docpipe.llm.shingles import shingles, words
+from docpipe.llm.shingles import distinct, shingles, words
 from docpipe.llm.probminhash import (
-    REGISTERS, _register, near_duplicates, one_of_each, sketches, weights,
+    BANDS, REGISTERS, _register, all_band_keys, near_duplicates, one_of_each, sketches, weights,
 )
 
 
@@ -48,6 +48,23 @@ def test_early_end_changes_nothing():
     assert (whole[0] == both[0]).all() and set(both[1]) <= set(values[:3])
 
 
+def test_repeated_lines_hide_no_pair():
+    """100 shingles, and the same with 20 more that are repeated up to 1000 times: 0.83 alike."""
+    rng, n = np.random.default_rng(4), 60
+    own = np.sort(rng.integers(0, 2**63, (n, 100)).astype(np.uint64))
+    more = rng.integers(0, 2**63, (n, 20)).astype(np.uint64)
+    for times in (1, 10, 1000):
+        values = np.concatenate([np.concatenate((a, a, b)) for a, b in zip(own, more)])
+        counts = np.tile(np.concatenate((np.ones(200, int), np.full(20, times))), n)
+        bounds = np.arange(2 * n + 1) // 2 * 220 + np.arange(2 * n + 1) % 2 * 100
+        keys, ends = all_band_keys(values, counts, bounds)
+        assert np.diff(ends).tolist() == [BANDS, BANDS if times == 1 else 2 * BANDS] * n
+        sets = [set(keys[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])]
+        assert all(sets[i] & sets[i + 1] for i in range(0, 2 * n, 2))
+    values, counts, bounds = distinct(*shingles(words(["", "a b c d e f", None])))
+    assert np.diff(all_band_keys(values, counts, bounds)[1]).tolist() == [0, BANDS, 0]
+
+
 def union_find(links):
     root = {}
 
