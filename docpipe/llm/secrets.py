@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import zstandard
@@ -30,13 +32,26 @@ SENSITIVE = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 SENSITIVE_WORDS = ("pass", "secret", "token", "key", "credential", "bearer", "authori", "signature")
-#: A candidate starts at most so many characters behind a sensitive word.
+#: A candidate starts at most so many characters behind a sensitive word, or in the line of the
+#: candidate before it or in the next line.
 REACH = 64
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}", re.ASCII)
 #: So many characters on either side are the surrounding code.
 SURROUNDING = 512
 #: Least marginal compressed bytes per character of a candidate.
 NOVELTY = 0.8
+#: Or least share of what a random string of its length over its characters costs: the compressor
+#: packs long strings over few characters, however random they are.
+RANDOM_SHARE = 0.92
+_DIGITS, _UPPER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Letters and digits that random strings are usually made of, few first.
+ALPHABETS = tuple(
+    frozenset(x)
+    for x in (
+        _DIGITS + "abcdef", _DIGITS + "ABCDEF", _UPPER + "234567", _UPPER.lower() + "234567",
+        _DIGITS + _UPPER.lower(), _DIGITS + _UPPER, _DIGITS + _UPPER + _UPPER.lower(),
+    )
+)
 # Words that names in code are made of; they prime the compressor.
 IDENTIFIERS = (
     "access account address admin api app application auth authorization base bearer bucket build "
@@ -96,26 +111,63 @@ def marginal_bytes(candidate: str, before: str, after: str) -> int:
     return len(tool.compress(candidate.encode())) - len(tool.compress(b""))
 
 
+@lru_cache(maxsize=4096)
+def random_bytes(alphabet: str, length: int) -> int:
+    """Compressed size of a random string, always the same one."""
+    value = "".join(random.Random(length).choices(alphabet, k=length)).encode()
+    tool = zstandard.ZstdCompressor(level=9, write_content_size=False)
+    return len(tool.compress(value)) - len(tool.compress(b""))
+
+
+def is_novel(value: str, before: str, after: str, novelty: float = NOVELTY) -> bool:
+    """Whether the candidate stays about as long as it is, or as a random string of its kind."""
+    marginal = marginal_bytes(value, before, after)
+    if marginal >= novelty * len(value):
+        return True
+    if marginal < novelty * len(value) / 2:  # below four bits a character
+        return False
+    used = set(value.rstrip("="))
+    marks = used & set("+/_=-")
+    kind = next(x for x in ALPHABETS if used - marks <= x) | marks
+    return marginal >= RANDOM_SHARE * random_bytes("".join(sorted(kind)), len(value))
+
+
+def _next_line_end(text: str, at: int) -> int:
+    end = text.find("\n", at)
+    end = text.find("\n", end + 1) if end >= 0 else end
+    return len(text) if end < 0 else end
+
+
 def novel_spans(text: str, known: list[Span], novelty: float = NOVELTY) -> list[Span]:
     """Strings of mixed characters behind a sensitive word that stay as long as they are when
-    compressed with everything around them as dictionary. Those that touch a known span are
-    left to it."""
+    compressed with everything around them as dictionary, or as a random string of their kind
+    does. A string of mixed characters carries the context on to the end of the next line, so
+    that a key over many lines is found whole. Those that touch a known span are left to it."""
     low = text.lower()
     if not any(w in low for w in SENSITIVE_WORDS):
         return []
     found: dict[int, Span] = {}
+    seen: set[int] = set()
+    done = reached = 0
     for word in SENSITIVE.finditer(text):
         at, limit = word.end(), word.end() + REACH
         while (m := CANDIDATE.search(text, at)) and m.start() <= limit:
             at = m.end()
             start, end = m.span()
-            value = m[0]
-            if start in found or any(s < end and start < e for s, e, _ in known):
+            if start in seen:  # everything from here on to ``done`` has been looked at
+                at, limit = max(at, done), max(limit, reached)
                 continue
+            seen.add(start)
+            value = m[0]
             if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
+                done, reached = max(done, at), max(reached, limit)
+                continue
+            limit = max(limit, _next_line_end(text, end))
+            done, reached = max(done, at), max(reached, limit)
+            if any(s < end and start < e for s, e, _ in known):
                 continue
             before, after = text[max(0, start - SURROUNDING) : start], text[end : end + SURROUNDING]
-            if marginal_bytes(value, before, after) >= novelty * len(value):
+            if is_novel(value, before, after, novelty):
                 found[start] = start, end, "novel"
     return list(found.values())
 
