@@ -24,8 +24,10 @@ CONTAINMENT = 0.8
 #: Shingles in the smallest window, and between the beginnings of windows.
 BLOCK = 8
 #: Independent permutations, and bins of each. One equal bin makes a candidate; of an item with
-#: 11 shingles that is there whole about 1 in 50 000 is missed, of longer ones fewer.
+#: 11 shingles that is there whole about 1 in 50 000 is missed, of longer ones fewer. Items of up
+#: to ``EXACT`` shingles fill few bins; their shingles are looked up as they are.
 PERMUTATIONS, BINS = 2, 16
+EXACT = 3
 SLOTS = PERMUTATIONS * BINS
 #: Items travel to all tasks in blocks of at most about so many, and so many characters.
 ITEMS_AT_ONCE, ITEM_CHARACTERS = 2048, 4 << 20
@@ -59,6 +61,8 @@ class Index:
     sets: list[np.ndarray]  # sorted shingles of each item
     classes: list[SizeClass]
     bits: int
+    keys: np.ndarray  # sorted: shingles of the items that are looked up exactly
+    owners: np.ndarray  # the item of each
 
 
 def build_index(ids: list, texts: list) -> Index:
@@ -69,7 +73,7 @@ def build_index(ids: list, texts: list) -> Index:
     bits = max(12, int(np.ceil(np.log2(max(len(ids), 1) * 64))))
     levels: dict[int, list[int]] = {}
     for i, own in enumerate(sets):
-        if len(own):
+        if len(own) > EXACT:
             level = int(np.ceil(np.log2(max(1, (len(own) + BLOCK - 1) / BLOCK))))
             levels.setdefault(level, []).append(i)
     classes = []
@@ -89,7 +93,12 @@ def build_index(ids: list, texts: list) -> Index:
         low = (key & np.uint64(0xFFFFFFFF)) & np.uint64((1 << bits) - 1)
         marks[((key >> np.uint64(32) << np.uint64(bits)) | low).astype(np.int64)] = True
         classes.append(SizeClass(level, marks, key, owner))
-    return Index(ids, sets, classes, bits)
+    short = [i for i, own in enumerate(sets) if 0 < len(own) <= EXACT]
+    none = np.empty(0, np.uint64)
+    key = np.concatenate([none, *[sets[i] for i in short]])
+    owner = np.repeat(np.array(short, np.int64), [len(sets[i]) for i in short])
+    order = np.argsort(key, kind="stable")
+    return Index(ids, sets, classes, bits, key[order], owner[order])
 
 
 def search(index: Index, texts: list, threshold: float) -> Iterator[tuple[int, int, float]]:
@@ -98,7 +107,7 @@ def search(index: Index, texts: list, threshold: float) -> Iterator[tuple[int, i
     counts = np.diff(bounds)
     blocks = -(-counts // BLOCK)
     first = np.concatenate(([0], np.cumsum(blocks)))
-    if not len(values) or not index.classes:
+    if not len(values) or not (index.classes or len(index.keys)):
         return
     place = np.arange(len(values)) - np.repeat(bounds[:-1], counts)
     block = np.repeat(first[:-1], counts) + place // BLOCK
@@ -123,6 +132,13 @@ def search(index: Index, texts: list, threshold: float) -> Iterator[tuple[int, i
         row, start, n = row[n > 0], start[n > 0], n[n > 0]
         at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         found.update(zip(np.repeat(text_of[row], n).tolist(), one.owners[at].tolist()))
+    if len(index.keys):
+        start = np.searchsorted(index.keys, values, "left")
+        n = np.searchsorted(index.keys, values, "right") - start
+        hit = np.flatnonzero(n)
+        texts_hit = np.searchsorted(bounds, hit, "right") - 1
+        at = np.repeat(start[hit] - (np.cumsum(n[hit]) - n[hit]), n[hit]) + np.arange(int(n.sum()))
+        found.update(zip(np.repeat(texts_hit, n[hit]).tolist(), index.owners[at].tolist()))
     current, own = -1, None
     for text, item in sorted(found):
         if text != current:

@@ -64,3 +64,11 @@ def test_edges(spark, edge, nothing):
     assert contained_items(nothing, bench).collect() == []
     assert contained_items(edge, bench.limit(0)).collect() == []
     assert without_contaminated(edge, bench.limit(0)).count() == edge.count()
+
+
+def test_short_items_are_always_found():
+    items = [" ".join(f"q{i}_{k}" for k in range(5 + i % 3)) for i in range(900)]
+    texts = [" ".join(f"t{i}_{k}" for k in range(i % 40)) + f" {x} " + "and so on " * 20 for i, x in enumerate(items)]
+    index = decontaminate.build_index(list(range(900)), items)
+    found = {(t, i) for t, i, _ in decontaminate.search(index, ["", *texts, "a b c d e f"], 0.8)}
+    assert found == {(i + 1, i) for i in range(900)}
