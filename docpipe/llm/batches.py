@@ -11,7 +11,7 @@ CHARACTERS_AT_ONCE = 1 << 20
 
 
 def text_parts(
-    batch: pa.RecordBatch, column: str = "text", most: int = CHARACTERS_AT_ONCE
+    batch: pa.RecordBatch, column: str | int = "text", most: int = CHARACTERS_AT_ONCE
 ) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose texts have at most ``most`` bytes together, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_pylist()

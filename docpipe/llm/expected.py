@@ -84,4 +84,38 @@ EXPECTED = {
                CASE WHEN page_id < original THEN original END AS refers_to
         FROM payloads LEFT JOIN newest USING (payload_digest)
     """,
+    "op11_fill_in_middle": """
+        WITH draws AS (
+          SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS cut,
+                 sha256('7:' || doc_id) AS h
+          FROM documents
+        ), units AS (
+          SELECT doc_id, text, list_transform(cut[1:len(cut) - 1], lambda x: x || chr(10))
+                   || CASE WHEN cut[len(cut)] = '' THEN [] ELSE [cut[len(cut)]] END AS u,
+                 CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+                 CAST('0x' || h[25:32] AS BIGINT) AS h4
+          FROM draws
+        ), cuts AS (
+          SELECT *, CAST(len(u) AS BIGINT) AS n,
+                 least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a,
+                 greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+                 CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                        OR contains(text, '<M>') THEN 'plain'
+                      WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+          FROM units
+        ), parts AS (
+          SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+                 array_to_string(u[b + 1:], '') AS suffix
+          FROM cuts
+        )
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END)
+                 AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts
+    """,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docpipe.llm import (
     covertree,
     decontaminate,
+    fillmiddle,
     linetemplates,
     packing,
     passages,
@@ -81,6 +82,20 @@ def op10_line_templates(spark, sf_dir):
     return cleaned.select("doc_id", "text", "dropped_lines")
 
 
+def op11_fill_in_middle(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    restored = fillmiddle.restored(F.col("output"), F.col("form"))
+    return fillmiddle.fill_in_middle(docs).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_probminhash_classes": op2_probminhash_classes,
@@ -92,4 +107,5 @@ QUERIES = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_secret_scan": op9_secret_scan,
     "op10_line_templates": op10_line_templates,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
