@@ -16,6 +16,50 @@ def _shingle_tables(name: str, id_column: str, table: str) -> str:
     return _SHINGLES.format(name=name, id=id_column, table=table)
 
 
+_NEAREST = """
+        a{n} AS (
+          SELECT row_id, c, d FROM (
+            SELECT row_id, c, d, row_number() OVER (PARTITION BY row_id ORDER BY d, c) AS r
+            FROM (SELECT row_id, c, sum((x - y) * (x - y)) AS d
+                  FROM kept JOIN c{n} USING (pos) GROUP BY row_id, c))
+          WHERE r = 1
+        )"""
+_MEANS = """
+        m{n} AS (
+          SELECT c, pos, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS y
+          FROM a{n} JOIN kept USING (row_id) GROUP BY c, pos
+        ), c{next} AS (
+          SELECT c, pos, coalesce(m{n}.y, c{n}.y) AS y FROM c{n} LEFT JOIN m{n} USING (c, pos)
+        )"""
+
+
+def _clusters(rounds: int = 3) -> str:
+    """Every vector with every centroid, round by round; one row per component."""
+    steps = [part.format(n=n, next=n + 1) for n in range(rounds) for part in (_NEAREST, _MEANS)]
+    return f"""
+        WITH whole AS (
+          SELECT vec_id, row_number() OVER () AS row_id, embedding FROM embeddings
+          WHERE len(embedding) = 64
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), kept AS (
+          SELECT row_id, unnest(range(1, 65)) AS pos,
+                 unnest(list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::HUGEINT)) AS x
+          FROM whole
+        ), first AS (
+          SELECT row_id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c FROM whole
+        ), c0 AS (SELECT c, pos, x AS y FROM first JOIN kept USING (row_id) WHERE c < 16),
+        {",".join(steps)},{_NEAREST.format(n=rounds)},
+        digests AS (
+          SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY pos)) AS digest
+          FROM c{rounds} GROUP BY c
+        )
+        SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+               CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+               CAST(sum(d) OVER () AS BIGINT) AS inertia, digest AS centroid_sha256
+        FROM a{rounds} JOIN whole USING (row_id) JOIN digests USING (c)
+    """
+
+
 EXPECTED = {
     # a text of one to four words is one shingle; equal texts are linked even without words
     "op2_probminhash_classes": r"""
@@ -118,4 +162,5 @@ EXPECTED = {
                sha256(text) AS restored_sha256
         FROM parts
     """,
+    "op13_heap_kmeans": _clusters(),
 }

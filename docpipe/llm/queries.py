@@ -8,6 +8,7 @@ from docpipe.llm import (
     covertree,
     decontaminate,
     fillmiddle,
+    heapkmeans,
     linetemplates,
     packing,
     passages,
@@ -96,6 +97,10 @@ def op11_fill_in_middle(spark, sf_dir):
     )
 
 
+def op13_heap_kmeans(spark, sf_dir):
+    return heapkmeans.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_probminhash_classes": op2_probminhash_classes,
@@ -108,4 +113,5 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_line_templates": op10_line_templates,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_heap_kmeans": op13_heap_kmeans,
 }

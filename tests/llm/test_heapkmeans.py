@@ -1,0 +1,130 @@
+"""Clusters against comparing every vector with every centroid in plain Python integers."""
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from docpipe.llm import heapkmeans
+from docpipe.llm.heapkmeans import cluster, entries, squared_distances
+
+
+def brute_force(rows, clusters, rounds, dims, scale, seed=1):
+    kept = [
+        (i, [math.floor(scale * float(x)) for x in v])
+        for i, v in rows
+        if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)
+    ]
+
+    def rank(row):
+        name = row[0] is None, hashlib.sha256(f"{seed}:{row[0]}".encode()).hexdigest() if row[0] is not None else ""
+        return name, row[1]
+
+    centroids = [v for _, v in sorted(kept, key=rank)[:clusters]]
+
+    def nearest(v):
+        d = [sum((a - b) ** 2 for a, b in zip(v, c)) for c in centroids]
+        return d.index(min(d)), min(d)
+
+    for _ in range(rounds):
+        own = [nearest(v)[0] for _, v in kept]
+        for c in range(len(centroids)):
+            members = [v for (_, v), o in zip(kept, own) if o == c]
+            if members:
+                centroids[c] = [sum(x) // len(members) for x in zip(*members)]
+    found = [(i, *nearest(v)) for i, v in kept]
+    inertia = {c: sum(d for _, o, d in found if o == c) for c in range(len(centroids))}
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return [(i, c, d, inertia[c], sum(inertia.values()), digest[c]) for i, c, d in found]
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def frame(spark, rows, parts=3):
+    schema = "vec_id bigint, embedding array<float>, was int, cluster string, key double"
+    return spark.createDataFrame([(i, v, 9, "x", -1.0) for i, v in rows], schema).repartition(parts)
+
+
+def blobs(n, dims, seed=0, spread=0.4):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(0, 2, (6, dims))
+    v = centres[rng.integers(0, 6, n)] + rng.normal(0, spread, (n, dims))
+    return [(i, [float(np.float32(x)) for x in row]) for i, row in enumerate(v)]
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 7])
+def test_blobs(spark, rounds):
+    rows = blobs(400, 5, seed=rounds)
+    found = cluster(frame(spark, rows), clusters=9, rounds=rounds, dims=5)
+    assert rows_of(found) == sorted(brute_force(rows, 9, rounds, 5, 64), key=repr)
+
+
+def test_only_expired_vectors_are_looked_at_again(spark, monkeypatch):
+    seen = []
+    run = heapkmeans._run
+
+    def counting(*args):
+        out = run(*args)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(heapkmeans, "_run", counting)
+    rows = blobs(600, 4, seed=3, spread=0.1)
+    found = cluster(frame(spark, rows), clusters=6, rounds=8, dims=4)
+    assert rows_of(found) == sorted(brute_force(rows, 6, 8, 4, 64), key=repr)
+    assert seen[0] == 600 and min(seen[1:]) < 300 and sum(seen) < 600 * 6
+
+
+def test_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [0.5, -0.25]), (1, [0.5, -0.25]), (1, [3.0, 3.0]), (None, [1.0, 1.0]), (2, None),
+        (3, [1.0]), (4, [1.0, None]), (5, [nan, 0.0]), (6, [inf, 0.0]), (7, []), (8, [-1e-20, 1e-20]),
+        (9, [0.0, 0.0]), (10, [0.0, 0.0]), (2**53 + 1, [5.0, 5.0]), (-4, [-1.0, 2.0]),
+    ]
+    for k in (1, 3, 50):
+        found = cluster(frame(spark, rows), clusters=k, dims=2)
+        assert found.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+        assert rows_of(found) == sorted(brute_force(rows, k, 3, 2, 64), key=repr)
+    assert {r.vec_id for r in found.collect()} == {1, None, 8, 9, 10, 2**53 + 1, -4}
+    nothing = cluster(frame(spark, rows).limit(0))
+    assert nothing.count() == 0 and nothing.dtypes == found.dtypes
+
+
+def test_a_third_are_one_vector(spark):
+    rows = blobs(300, 3, seed=5) + [(1000 + i, [0.25, 0.25, 0.25]) for i in range(150)]
+    found = cluster(frame(spark, rows, 7), clusters=5, rounds=4, dims=3)
+    assert rows_of(found) == sorted(brute_force(rows, 5, 4, 3, 64), key=repr)
+
+
+def test_what_does_not_fit_is_an_error(spark):
+    with pytest.raises(Exception, match="beyond"):
+        cluster(frame(spark, [(1, [1e30, 0.0])]), dims=2).collect()
+
+
+INTEGERS = st.integers(-(1 << 27), 1 << 27) | st.integers(-4, 4)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(INTEGERS, INTEGERS), min_size=1, max_size=6), st.lists(st.tuples(INTEGERS, INTEGERS), min_size=1, max_size=5))
+def test_distances_are_exact(x, c):
+    d = squared_distances(np.array(x, np.int64), np.array(c, np.int64))
+    assert d.tolist() == [[sum((a - b) ** 2 for a, b in zip(v, w)) for w in c] for v in x]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(INTEGERS, INTEGERS), min_size=1, max_size=6),
+       st.lists(st.lists(st.tuples(INTEGERS, INTEGERS), min_size=3, max_size=3), min_size=2, max_size=4))
+def test_a_vector_in_the_heap_keeps_its_cluster(x, moves):
+    x = np.array(x, np.int64)
+    first = np.array(moves[0], np.int64)
+    drift = np.zeros(3)
+    own, key = entries(x, first, drift)
+    for a, b in zip(moves, moves[1:]):
+        drift = drift + heapkmeans._drifts(np.array(a, np.int64), np.array(b, np.int64))
+        stays = key > drift[own]
+        assert (squared_distances(x, np.array(b, np.int64)).argmin(axis=1)[stays] == own[stays]).all()
