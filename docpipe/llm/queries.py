@@ -10,6 +10,7 @@ from docpipe.llm import (
     fillmiddle,
     heapkmeans,
     linetemplates,
+    mixing,
     packing,
     passages,
     probminhash,
@@ -97,6 +98,10 @@ def op11_fill_in_middle(spark, sf_dir):
     )
 
 
+def op12_pivotal_mix(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"), word_count())
+
+
 def op13_heap_kmeans(spark, sf_dir):
     return heapkmeans.cluster(table(spark, sf_dir, "embeddings"))
 
@@ -113,5 +118,6 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_line_templates": op10_line_templates,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_pivotal_mix": op12_pivotal_mix,
     "op13_heap_kmeans": op13_heap_kmeans,
 }
