@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docpipe.functions.labelled import labelled_reader
 from docpipe.operators import validate
-from docpipe.operators.embed import word_weights
+from docpipe.operators.embed import word_vectors, word_weights
 from docpipe.operators.extract import (
     CallableModel,
     ExpressionModel,
@@ -23,9 +23,11 @@ from docpipe.operators.infer import inferred_fields
 from docpipe.operators.keys import duplicate_keys, null_counts
 from docpipe.operators.nearest import vector_topk
 from docpipe.operators.tables import dictionary, output_comments, with_comments
+from docpipe.operators.vectorindex import build_index
 from docpipe.plans.receipts import RECEIPT, table
 from docpipe.spec import DocumentSpec, Field
 from docpipe.plans.stages import bronze, printed_receipts, receipt_model, silver
+from docpipe.session import new_path
 from docpipe.sources.pages import PAGE, html_text, page_json, page_manifest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -276,19 +278,40 @@ def q_embed_documents(spark, sf_dir):
     return word_weights(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-def q_vector_topk(spark, sf_dir):
-    base = table(spark, sf_dir, "embeddings")
-    centres = (
+def _centres(base):
+    return (
         base.where(F.col("embedding").isNotNull())
         .groupBy(F.col("label").cast("bigint").alias("query_id"))
         .agg(Summarizer.mean(array_to_vector("embedding")).alias("mean"))
         .select("query_id", vector_to_array("mean").alias("embedding"))
     )
-    return vector_topk(centres, base, k=10).select(
+
+
+def _by_label(found):
+    return found.select(
         F.col("query_id").alias("label"), "vec_id", F.round("score", 6).alias("score"), "rank"
     )
 
 
+def q_vector_topk(spark, sf_dir):
+    base = table(spark, sf_dir, "embeddings")
+    return _by_label(vector_topk(_centres(base), base, k=10))
+
+
+def q_vector_index_topk(spark, sf_dir):
+    base = table(spark, sf_dir, "embeddings")
+    index = build_index(base, new_path(spark, "vector-index"))
+    return _by_label(index.search(_centres(base), k=10))
+
+
+def q_document_neighbours(spark, sf_dir):
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+    vectors = word_vectors(texts, "vec_id", "text", dims=64)
+    index = build_index(vectors, new_path(spark, "document-index"))
+    asked = vectors.where(F.col("vec_id") % 50 == 0).withColumnRenamed("vec_id", "query_id")
+    return index.search(asked, k=5).withColumn("score", F.round("score", 6))
+
+
 QUERIES: dict[str, Query] = {
     "page_manifest": q_page_manifest,
     "bronze_receipts": q_bronze_receipts,
@@ -324,4 +347,6 @@ QUERIES: dict[str, Query] = {
     "inferred_schema": q_inferred_schema,
     "embed_documents": q_embed_documents,
     "vector_topk": q_vector_topk,
+    "vector_index_topk": q_vector_index_topk,
+    "document_neighbours": q_document_neighbours,
 }

@@ -287,6 +287,39 @@ def _inferred() -> str:
       FROM doc WHERE readable"""
 
 
+_TOPK = """
+        WITH part AS (
+          SELECT label, i AS dim, avg(CAST(embedding[i] AS DOUBLE)) AS x
+          FROM embeddings, range(1, 65) r(i) WHERE embedding IS NOT NULL GROUP BY label, i),
+        centre AS (SELECT label, list(x ORDER BY dim) AS q FROM part GROUP BY label),
+        scored AS (
+          SELECT centre.label, vec_id,
+                 round(list_cosine_similarity(q, CAST(embedding AS DOUBLE[])), 10) AS s
+          FROM centre, embeddings WHERE embedding IS NOT NULL),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY label ORDER BY s DESC, vec_id) AS rank
+          FROM scored)
+        SELECT CAST(label AS BIGINT) AS label, vec_id, round(s, 6) AS score,
+               CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 10"""
+
+_WORD_WEIGHTS = r"""
+        WITH token AS (
+          SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '\s+'),
+                                            lambda w: w <> '')) AS w
+          FROM documents),
+        counted AS (
+          SELECT doc_id, CAST(('0x' || substr(md5(w), 1, 8)) AS BIGINT) % {dims} AS bucket,
+                 count(*) AS n
+          FROM token GROUP BY ALL),
+        frequency AS (SELECT bucket, count(*) AS f FROM counted GROUP BY bucket),
+        total AS (SELECT count(*) AS docs FROM documents),
+        weighed AS (
+          SELECT doc_id, bucket, n * ln((docs + 1) / (f + 1)) AS w
+          FROM counted JOIN frequency USING (bucket) CROSS JOIN total),
+        norm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY doc_id)
+"""
+
+
 EXPECTED: dict[str, str] = {
     "bronze_receipts": _receipts("SELECT doc_id, text FROM text"),
     "bronze_pages_text": _page_text(),
@@ -372,35 +405,29 @@ EXPECTED: dict[str, str] = {
                '"' || l_partkey || '"'
         FROM line WHERE l_partkey % 107 = 7 AND NOT (l_partkey % 101 = 5 OR l_partkey % 103 = 6)""",
     "silver_concurrent": _receipts(_TYPED),
-    "embed_documents": r"""
-        WITH token AS (
-          SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '\s+'),
-                                            lambda w: w <> '')) AS w
-          FROM documents),
-        counted AS (
-          SELECT doc_id, CAST(('0x' || substr(md5(w), 1, 8)) AS BIGINT) % 256 AS bucket,
-                 count(*) AS n
-          FROM token GROUP BY ALL),
-        frequency AS (SELECT bucket, count(*) AS f FROM counted GROUP BY bucket),
-        total AS (SELECT count(*) AS docs FROM documents),
-        weighed AS (
-          SELECT doc_id, bucket, n * ln((docs + 1) / (f + 1)) AS w
-          FROM counted JOIN frequency USING (bucket) CROSS JOIN total),
-        norm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY doc_id)
+    "embed_documents": _WORD_WEIGHTS.format(dims=256)
+    + """
         SELECT doc_id, CAST(bucket AS INTEGER) AS bucket, round(w / norm, 6) AS weight
         FROM weighed JOIN norm USING (doc_id) WHERE w > 0""",
-    "vector_topk": """
-        WITH part AS (
-          SELECT label, i AS dim, avg(CAST(embedding[i] AS DOUBLE)) AS x
-          FROM embeddings, range(1, 65) r(i) WHERE embedding IS NOT NULL GROUP BY label, i),
-        centre AS (SELECT label, list(x ORDER BY dim) AS q FROM part GROUP BY label),
+    "document_neighbours": _WORD_WEIGHTS.format(dims=64)
+    + """,
+        rounded AS (
+          SELECT doc_id, bucket, round(w / norm, 6) AS weight
+          FROM weighed JOIN norm USING (doc_id) WHERE w > 0),
+        texts AS (SELECT DISTINCT doc_id FROM rounded WHERE weight > 0),
+        vector AS (
+          SELECT doc_id, list(coalesce(weight, 0) ORDER BY bucket) AS v
+          FROM (SELECT doc_id, bucket FROM texts, range(64) r(bucket))
+          LEFT JOIN rounded USING (doc_id, bucket) GROUP BY doc_id),
         scored AS (
-          SELECT centre.label, vec_id,
-                 round(list_cosine_similarity(q, CAST(embedding AS DOUBLE[])), 10) AS s
-          FROM centre, embeddings WHERE embedding IS NOT NULL),
+          SELECT q.doc_id AS query_id, b.doc_id AS vec_id,
+                 round(list_cosine_similarity(q.v, b.v), 10) AS s
+          FROM vector q, vector b WHERE q.doc_id % 50 = 0),
         ranked AS (
-          SELECT *, row_number() OVER (PARTITION BY label ORDER BY s DESC, vec_id) AS rank
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank
           FROM scored)
-        SELECT CAST(label AS BIGINT) AS label, vec_id, round(s, 6) AS score,
-               CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 10""",
+        SELECT query_id, vec_id, round(s, 6) AS score, CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE rank <= 5""",
+    "vector_topk": _TOPK,
+    "vector_index_topk": _TOPK,
 }

@@ -6,6 +6,7 @@ import hashlib
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,6 +65,11 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A folder of its own for each call, below the shared folder; not yet made."""
+    return f"{shared_folder(spark).rstrip('/')}/docpipe/{name}-{uuid.uuid4().hex}"
+
+
 def stage(spark: SparkSession, source: str, name: str, build) -> DataFrame:
     """Write ``build()`` once per application and ``source``, then read it back.
 
