@@ -5,17 +5,21 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import PySparkException
 
 from docpipe.functions.sqltext import identifier, quoted, string_literal
-from docpipe.spec import DocumentSpec
+from docpipe.spec import DocumentSpec, type_text
 
 log = logging.getLogger(__name__)
 
 KEY_PROPERTY = "primary_key"
 TAG_PREFIX = "tag."
+#: Place of the build before the present one.
+BEFORE_PROPERTY = "build.before"
+_NEW, _ASIDE = "__new", "__aside"
 
 
 def create_namespace(spark: SparkSession, namespace: str) -> None:
@@ -32,32 +36,175 @@ def create_or_replace(
     """Full rebuild of ``table`` from ``df``; column comments travel in the schema, so they
     need no further statement.
 
-    The new table is written beside the old one, ``check`` looks at it and raises if it is not
-    as it should be, and only then takes its place. Whatever fails, the old table is still
-    there, and no half-made one is left. ``df`` may read the table that is rebuilt.
+    Every build is a folder of its own beside the others of the table. It is written whole and
+    ``check`` looks at it, raising if it is not as it should be; then one statement points the
+    table to it. Whatever fails before leaves the table as it was, what fails after leaves the
+    new one. ``df`` may read the table that is rebuilt, and so may a query that is still running:
+    the build before stays until the next but one.
+
+    Comments and properties of the table, tags and the recorded key included, are kept, and
+    ``column_comments`` and ``comment`` are put over them. A build with other columns needs two
+    statements, since the catalog cannot change columns and place at once. If the second fails
+    the first is taken back; if the driver itself is lost between them, :func:`recover` finishes
+    the change, and so does the next rebuild.
     """
     spark = df.sparkSession
     described = with_comments(df, column_comments or {})
-    mark = uuid.uuid4().hex[:8]
-    new, old = f"{table}__new_{mark}", f"{table}__old_{mark}"
-    try:
-        described.write.mode("errorifexists").saveAsTable(new)
-        if check is not None:
-            check(spark.table(new))
-        if comment is not None:
-            comment_table(spark, new, comment)
-    except BaseException:
-        spark.sql(f"DROP TABLE IF EXISTS {identifier(new)}")
-        raise
-    replaces = spark.catalog.tableExists(table)
-    if replaces:
-        spark.sql(f"ALTER TABLE {identifier(table)} RENAME TO {identifier(old)}")
-    spark.sql(f"ALTER TABLE {identifier(new)} RENAME TO {identifier(table)}")
-    if replaces:
-        spark.sql(f"DROP TABLE {identifier(old)}")
+    recover(spark, table)
+    known = spark.catalog.tableExists(table)
+    place = _new_place(spark, table)
+    described.write.parquet(place)
+    if check is not None:
+        check(_build(spark, described, place))
+    if not known:
+        _register(spark, described, table, place, {}, comment)
+        return spark.table(table)
+    old = _description(spark, table)
+    described = with_comments(
+        described, {c: t for c, t in old.comments.items() if c in df.columns and c not in (column_comments or {})}
+    )
+    properties = {**old.properties, BEFORE_PROPERTY: old.place}
+    if _types(described) == _types(spark.table(table)):
+        _run(spark, f"ALTER TABLE {identifier(table)} SET LOCATION {string_literal(place)}")
+        document_table(spark, table, comment, _changed(described, old.comments))
+        _set_properties(spark, table, {BEFORE_PROPERTY: old.place})
+    else:
+        new, aside = f"{table}{_NEW}", f"{table}{_ASIDE}"
+        _register(spark, described, new, place, properties, old.comment if comment is None else comment)
+        _run(spark, f"ALTER TABLE {identifier(table)} RENAME TO {identifier(aside)}")
+        try:
+            _run(spark, f"ALTER TABLE {identifier(new)} RENAME TO {identifier(table)}")
+        except Exception:
+            recover(spark, table, forward=False)
+            raise
+        _run(spark, f"DROP TABLE IF EXISTS {identifier(aside)}")
+    if old.properties.get(BEFORE_PROPERTY):
+        _delete(spark, old.properties[BEFORE_PROPERTY])
+    spark.catalog.refreshTable(table)
     return spark.table(table)
 
 
+def recover(spark: SparkSession, table: str, forward: bool = True) -> None:
+    """Finishes, or takes back, a change of columns that was broken off. While such a change is
+    under way the old table has another name for the time of one statement; what is whole under
+    ``__new`` has been written and checked, so ``forward`` is right unless the catalog refuses."""
+    new, aside = f"{table}{_NEW}", f"{table}{_ASIDE}"
+    exists = spark.catalog.tableExists
+    if not exists(table) and exists(aside):
+        complete = forward and exists(new)
+        source = new if complete else aside
+        spark.sql(f"ALTER TABLE {identifier(source)} RENAME TO {identifier(table)}")
+    for rest in (new, aside):
+        if exists(table) and exists(rest):
+            spark.sql(f"DROP TABLE IF EXISTS {identifier(rest)}")
+
+
+def drop_builds(spark: SparkSession, table: str) -> int:
+    """Deletes the folders of builds that the table refers to no longer, such as those of failed
+    rebuilds, and gives their number. Not to be called while a rebuild is under way."""
+    old = _description(spark, table)
+    kept = {_base(p) for p in (old.place, old.properties.get(BEFORE_PROPERTY)) if p}
+    unused = [p for p in _folders(spark, _builds(spark, table)) if _base(p) not in kept]
+    for path in unused:
+        _delete(spark, path)
+    return len(unused)
+
+
+@dataclass(frozen=True)
+class _Described:
+    place: str
+    comment: str | None
+    comments: dict[str, str]
+    properties: dict[str, str]
+
+
+def _description(spark: SparkSession, table: str) -> _Described:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {identifier(table)}").collect()
+    columns = set(spark.table(table).columns)
+    details = {r.col_name: r.data_type for r in rows[len(columns) :]}
+    noted = spark.sql(f"SHOW TBLPROPERTIES {identifier(table)}").collect()
+    return _Described(
+        details["Location"],
+        details.get("Comment"),
+        {r.col_name: r.comment for r in rows[: len(columns)] if r.comment},
+        {r.key: r.value for r in noted if r.key == KEY_PROPERTY or r.key == BEFORE_PROPERTY or not _own(r.key)},
+    )
+
+
+def _own(key: str) -> bool:
+    """Properties that the catalog writes itself."""
+    return key.startswith(("spark.sql.", "transient_", "option.")) or key in ("comment", "owner", "provider", "location", "external")
+
+
+def _types(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema]
+
+
+def _changed(df: DataFrame, before: Mapping[str, str]) -> dict[str, str]:
+    now = {f.name: f.metadata["comment"] for f in df.schema if "comment" in f.metadata}
+    return {name: text for name, text in now.items() if before.get(name) != text}
+
+
+def _build(spark: SparkSession, df: DataFrame, place: str) -> DataFrame:
+    return spark.read.schema(df.schema).parquet(place)
+
+
+def _register(spark, df, table, place, properties, comment) -> None:
+    """A table over a finished build, in one statement."""
+    columns = ", ".join(
+        f"{quoted(f.name)} {type_text(f.dataType)}"
+        + (f" COMMENT {string_literal(f.metadata['comment'])}" if "comment" in f.metadata else "")
+        for f in df.schema
+    )
+    noted = ", ".join(f"{string_literal(k)} = {string_literal(v)}" for k, v in properties.items())
+    _run(
+        spark,
+        f"CREATE TABLE {identifier(table)} ({columns}) USING parquet"
+        + (f" COMMENT {string_literal(comment)}" if comment is not None else "")
+        + f" LOCATION {string_literal(place)}"
+        + (f" TBLPROPERTIES ({noted})" if noted else ""),
+    )
+
+
+def _builds(spark: SparkSession, table: str) -> str:
+    """Folder of all builds of a table, in the folder of its namespace."""
+    *namespace, name = table.replace("`", "").split(".")
+    database = spark.catalog.getDatabase(".".join(namespace) or spark.catalog.currentDatabase())
+    return f"{database.locationUri.rstrip('/')}/{name}__builds"
+
+
+def _new_place(spark: SparkSession, table: str) -> str:
+    return f"{_builds(spark, table)}/{uuid.uuid4().hex}"
+
+
+def _base(path: str) -> str:
+    return path.rstrip("/").rpartition("/")[2]
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    files, hadoop = _file_system(spark, path)
+    return [s.getPath().toString() for s in files.listStatus(hadoop)] if files.exists(hadoop) else []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """A build that no table refers to. One that cannot be deleted costs space, nothing else."""
+    try:
+        files, hadoop = _file_system(spark, path)
+        files.delete(hadoop, True)
+    except Exception as problem:  # noqa: BLE001 - the rebuild itself has succeeded
+        log.warning("%s could not be deleted: %s", path, problem)
+
+
+def _run(spark: SparkSession, statement: str) -> None:
+    """Every statement that changes the catalog in a rebuild."""
+    spark.sql(statement)
+
+
 def with_comments(df: DataFrame, column_comments: Mapping[str, str]) -> DataFrame:
     """``df`` with comments in the column metadata; Parquet files keep them as well."""
     missing = set(column_comments) - set(df.columns)
@@ -74,41 +221,41 @@ def output_comments(spec: DocumentSpec) -> dict[str, str]:
 
 
 def comment_table(spark: SparkSession, table: str, comment: str) -> None:
-    spark.sql(f"COMMENT ON TABLE {identifier(table)} IS {string_literal(comment)}")
+    _run(spark, f"COMMENT ON TABLE {identifier(table)} IS {string_literal(comment)}")
 
 
 def document_table(
-    spark: SparkSession, table: str, comment: str, column_comments: Mapping[str, str]
+    spark: SparkSession, table: str, comment: str | None, column_comments: Mapping[str, str]
 ) -> None:
-    """Comments on an existing table and its columns."""
-    comment_table(spark, table, comment)
+    """Comments on an existing table, unless NULL, and its columns."""
+    if comment is not None:
+        comment_table(spark, table, comment)
     for name, text in column_comments.items():
-        spark.sql(
+        _run(
+            spark,
             f"ALTER TABLE {identifier(table)} ALTER COLUMN {quoted(name)} "
-            f"COMMENT {string_literal(text)}"
+            f"COMMENT {string_literal(text)}",
         )
 
 
 def record_key(spark: SparkSession, table: str, columns: Sequence[str]) -> None:
     """Note the (checked) key in the table properties; doing it again replaces the note."""
-    _set_property(spark, table, KEY_PROPERTY, ",".join(columns))
+    _set_properties(spark, table, {KEY_PROPERTY: ",".join(columns)})
 
 
 def tag_table(spark: SparkSession, table: str, tag: str) -> bool:
     """Mark a table. A catalog that refuses is reported and does not stop the job."""
     try:
-        _set_property(spark, table, TAG_PREFIX + tag, "true")
+        _set_properties(spark, table, {TAG_PREFIX + tag: "true"})
     except PySparkException as problem:
         log.warning("tag %s could not be set on %s: %s", tag, table, problem)
         return False
     return True
 
 
-def _set_property(spark: SparkSession, table: str, name: str, value: str) -> None:
-    spark.sql(
-        f"ALTER TABLE {identifier(table)} "
-        f"SET TBLPROPERTIES ({string_literal(name)} = {string_literal(value)})"
-    )
+def _set_properties(spark: SparkSession, table: str, properties: Mapping[str, str]) -> None:
+    noted = ", ".join(f"{string_literal(k)} = {string_literal(v)}" for k, v in properties.items())
+    _run(spark, f"ALTER TABLE {identifier(table)} SET TBLPROPERTIES ({noted})")
 
 
 def dictionary(df: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from samples import LINES, golden
 
 from docpipe.functions.sqltext import identifier, string_literal
-from docpipe.operators import keys
+from docpipe.operators import keys, tables
 from docpipe.operators.extract import CallableModel
 from docpipe.operators.tables import (
     KEY_PROPERTY,
@@ -11,7 +11,10 @@ from docpipe.operators.tables import (
     create_or_replace,
     dictionary,
     document_table,
+    drop_builds,
     output_comments,
+    record_key,
+    recover,
     tag_table,
 )
 from docpipe.plans.receipts import COLUMN_COMMENTS, RECEIPT
@@ -150,3 +153,94 @@ def test_repeated_documents_are_refused_before_the_model(spark):
     with pytest.raises(keys.ConstraintViolation, match="not unique"):
         build_tables(texts, RECEIPT, CallableModel(echo), "paperwork", "twice")
     assert not spark.catalog.tableExists("paperwork.twice_silver")
+
+
+class Lost(Exception):
+    """A fault put in front of a statement."""
+
+
+def rebuilds(spark, space, name, second, monkeypatch, lost_driver):
+    """A first build, then the second one with a fault before its n-th statement, for all n."""
+    run, statements = tables._run, []
+    for n in range(30):
+        monkeypatch.setattr(tables, "_run", run)
+        table = f"{space}.{name}_{n}"
+        create_or_replace(spark.range(3).selectExpr("id", "'old' AS x"), table, {"x": "an old comment"}, "old")
+        tag_table(spark, table, "kept")
+        record_key(spark, table, ["id"])
+        done = []
+
+        def failing(session, statement):
+            if len(done) == n:
+                raise Lost(statement)
+            done.append(statement)
+            run(session, statement)
+
+        monkeypatch.setattr(tables, "_run", failing)
+        if lost_driver:  # nothing can be taken back
+            monkeypatch.setattr(tables, "recover", lambda *a, **k: None)
+        try:
+            create_or_replace(second(spark), table, {"x": "new"}, "new")
+        except Lost:
+            statements.append(done)
+        else:
+            monkeypatch.undo()
+            yield table, True
+            return
+        finally:
+            monkeypatch.undo()
+        yield table, False
+
+
+SAME = lambda spark: spark.range(5).selectExpr("id", "'new' AS x")
+OTHER = lambda spark: spark.range(5).selectExpr("id", "'new' AS x", "id * 2 AS more")
+
+
+@pytest.mark.parametrize("second", [SAME, OTHER], ids=["same columns", "other columns"])
+def test_a_fault_before_any_statement_leaves_a_whole_table(spark, space, monkeypatch, second):
+    name = "fault_same" if second is SAME else "fault_other"
+    seen = []
+    for table, whole in rebuilds(spark, space, name, second, monkeypatch, lost_driver=False):
+        found = {(r.x, r.n) for r in spark.sql(f"SELECT x, count(*) AS n FROM {table} GROUP BY x").collect()}
+        assert found in ({("old", 3)}, {("new", 5)})
+        seen.append(found)
+        # and the next rebuild succeeds
+        assert create_or_replace(second(spark), table, {"x": "new"}, "new").count() == 5
+        assert properties(spark, table)["tag.kept"] == "true" and properties(spark, table)[KEY_PROPERTY] == "id"
+        assert column_comments(spark, table)["x"] == "new"
+    assert {("old", 3)} in seen and seen[-1] == {("new", 5)}
+
+
+def test_a_driver_lost_between_two_statements(spark, space, monkeypatch):
+    for table, _ in rebuilds(spark, space, "lost", OTHER, monkeypatch, lost_driver=True):
+        recover(spark, table)
+        assert spark.table(table).count() in (3, 5)
+        rest = {t.name for t in spark.catalog.listTables(space) if t.name.startswith(table.split(".")[1] + "__")}
+        assert not rest
+
+
+def test_descriptions_survive_a_rebuild(spark, space):
+    table = f"{space}.carried"
+    for other in (False, True):
+        create_or_replace(spark.range(2).selectExpr("id", "1 AS n"), table, {"id": "the id"}, "what it is")
+        tag_table(spark, table, "certified")
+        record_key(spark, table, ["id"])
+        again = spark.range(4).selectExpr("id", "'x' AS n" if other else "2 AS n")
+        create_or_replace(again, table)
+        assert column_comments(spark, table)["id"] == "the id"
+        described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+        assert described["Comment"] == "what it is"
+        noted = properties(spark, table)
+        assert noted["tag.certified"] == "true" and noted[KEY_PROPERTY] == "id"
+
+
+def test_a_running_reader_keeps_its_build(spark, space):
+    reader = create_or_replace(spark.range(3), f"{space}.read")
+    create_or_replace(spark.range(7), f"{space}.read")
+    assert reader.count() == 3 and spark.table(f"{space}.read").count() == 7
+    create_or_replace(spark.range(9), f"{space}.read")
+    folder = tables._builds(spark, f"{space}.read")
+    assert len(tables._folders(spark, folder)) == 2  # the one before the last is gone
+    with pytest.raises(Exception, match="no"):
+        create_or_replace(spark.range(3).selectExpr("raise_error('no') AS id"), f"{space}.read")
+    assert drop_builds(spark, f"{space}.read") == 1 and spark.table(f"{space}.read").count() == 9
