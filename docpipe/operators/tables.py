@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import PySparkException
 
 from docpipe.functions.sqltext import identifier, quoted, string_literal
+from docpipe.session import delete_path, list_folder
 from docpipe.spec import DocumentSpec, type_text
 
 log = logging.getLogger(__name__)
@@ -104,7 +105,7 @@ def drop_builds(spark: SparkSession, table: str) -> int:
     rebuilds, and gives their number. Not to be called while a rebuild is under way."""
     old = _description(spark, table)
     kept = {_base(p) for p in (old.place, old.properties.get(BEFORE_PROPERTY)) if p}
-    unused = [p for p in _folders(spark, _builds(spark, table)) if _base(p) not in kept]
+    unused = [p for p in list_folder(spark, _builds(spark, table)) if _base(p) not in kept]
     for path in unused:
         _delete(spark, path)
     return len(unused)
@@ -181,21 +182,10 @@ def _base(path: str) -> str:
     return path.rstrip("/").rpartition("/")[2]
 
 
-def _file_system(spark: SparkSession, path: str):
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop
-
-
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    files, hadoop = _file_system(spark, path)
-    return [s.getPath().toString() for s in files.listStatus(hadoop)] if files.exists(hadoop) else []
-
-
 def _delete(spark: SparkSession, path: str) -> None:
     """A build that no table refers to. One that cannot be deleted costs space, nothing else."""
     try:
-        files, hadoop = _file_system(spark, path)
-        files.delete(hadoop, True)
+        delete_path(spark, path)
     except Exception as problem:  # noqa: BLE001 - the rebuild itself has succeeded
         log.warning("%s could not be deleted: %s", path, problem)
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docpipe.functions.labelled import labelled_reader
 from docpipe.operators import validate
+from docpipe.operators.answers import AnswerLog, extract_resumable
 from docpipe.operators.embed import word_vectors, word_weights
 from docpipe.operators.extract import (
     CallableModel,
@@ -94,6 +95,14 @@ def q_silver_distinct_texts(spark, sf_dir):
     return _typed(extract_fields(texts, receipt_model(), distinct_texts=True))
 
 
+def q_silver_resumed(spark, sf_dir):
+    """A second run with the log of the first: every answer is there, the model is not called."""
+    log = AnswerLog(spark, new_path(spark, "answers"), "labelled reader 1")
+    texts = bronze(spark, sf_dir)
+    log.ask(texts, "text", reader_model())
+    return _typed(extract_resumable(texts, reader_model(), log))
+
+
 def q_silver_sql(spark, sf_dir):
     register_model(spark, "receipt_record", reader_model())
     return _typed(
@@ -320,6 +329,7 @@ QUERIES: dict[str, Query] = {
     "silver_callable": q_silver_callable,
     "silver_concurrent": q_silver_concurrent,
     "silver_distinct_texts": q_silver_distinct_texts,
+    "silver_resumed": q_silver_resumed,
     "silver_sql": q_silver_sql,
     "preview_extract": q_preview_extract,
     "lateral_alias": q_lateral_alias,

@@ -326,6 +326,7 @@ EXPECTED: dict[str, str] = {
     "silver_extract": _receipts(_TYPED),
     "silver_callable": _receipts(_TYPED),
     "silver_distinct_texts": _receipts(_TYPED),
+    "silver_resumed": _receipts(_TYPED),
     "silver_sql": _receipts(_TYPED),
     "preview_extract": _receipts(f"{_TYPED} ORDER BY h.doc_id LIMIT 10"),
     "lateral_alias": """SELECT doc_id, "text" AS input, CAST(length(input) AS INTEGER) AS n_input

@@ -70,6 +70,22 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/docpipe/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """What is in a folder of any store that Spark can reach; nothing if it is not there."""
+    files, hadoop = _file_system(spark, path)
+    return [s.getPath().toString() for s in files.listStatus(hadoop)] if files.exists(hadoop) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, hadoop = _file_system(spark, path)
+    files.delete(hadoop, True)
+
+
 def stage(spark: SparkSession, source: str, name: str, build) -> DataFrame:
     """Write ``build()`` once per application and ``source``, then read it back.
 

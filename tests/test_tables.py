@@ -19,6 +19,7 @@ from docpipe.operators.tables import (
 )
 from docpipe.plans.receipts import COLUMN_COMMENTS, RECEIPT
 from docpipe.plans.stages import build_tables
+from docpipe.session import list_folder
 
 
 @pytest.fixture(scope="module")
@@ -240,7 +241,7 @@ def test_a_running_reader_keeps_its_build(spark, space):
     assert reader.count() == 3 and spark.table(f"{space}.read").count() == 7
     create_or_replace(spark.range(9), f"{space}.read")
     folder = tables._builds(spark, f"{space}.read")
-    assert len(tables._folders(spark, folder)) == 2  # the one before the last is gone
+    assert len(list_folder(spark, folder)) == 2  # the one before the last is gone
     with pytest.raises(Exception, match="no"):
         create_or_replace(spark.range(3).selectExpr("raise_error('no') AS id"), f"{space}.read")
     assert drop_builds(spark, f"{space}.read") == 1 and spark.table(f"{space}.read").count() == 9
