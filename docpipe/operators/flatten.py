@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docpipe.functions.sqltext import quoted
-from docpipe.spec import DocumentSpec
+from docpipe.spec import DocumentSpec, Output
 
 CORRUPT = "_corrupt_record"
 
@@ -77,6 +77,68 @@ def flatten(
     )
 
 
+def flatten_nested(
+    silver: DataFrame,
+    spec: DocumentSpec,
+    array: str,
+    key: Sequence[str] = ("doc_id",),
+    *,
+    outputs: Sequence[Output] | None = None,
+    response: str = "response",
+    reader: str = "json",
+    outer: bool = False,
+    identifier: str = "stable",
+    strict: bool = True,
+) -> DataFrame:
+    """One row per element of an array at any depth, named by its path: ``orders[].lines[]``, or
+    ``grid[][]`` for the elements of elements. A document with several arrays gives a table for
+    each.
+
+    The columns are the key, ``pos``, which is the position on every level joined by dots, ``id``
+    and the outputs, by default those of the specification. An output may come from the document, from an
+    element on the way, or from the innermost one; its path is that element's, or goes on
+    from it. ``outer`` keeps documents and elements in which the way ends early, as one row whose
+    ``pos`` is as long as the way. Everything else is as in :func:`flatten`; a response is parsed
+    once, whatever the number of levels.
+    """
+    outputs = spec.outputs if outputs is None else outputs
+    if not array.endswith("[]"):
+        raise ValueError(f"{array}: the path of an array ends with []")
+    members = array[:-2].split("[]")
+    rows = silver.select(*key, parsed(F.col(response), spec, reader).alias("_doc"))
+    sources, prefix, source = [("", "_doc")], "", "_doc"
+    for level, member in enumerate(members):
+        prefix += f"{member}[]"
+        inner = member.removeprefix(".")
+        way = F.col(f"{source}.{_quoted_path(inner)}") if inner else F.col(source)
+        # the outer form on every level, for the reason given in flatten
+        rows = rows.select("*", F.posexplode_outer(way).alias(f"_pos{level}", f"_item{level}"))
+        source = f"_item{level}"
+        sources.append((prefix, source))
+    positions = [F.col(f"_pos{level}") for level in range(len(members))]
+    if not outer:
+        rows = rows.where(positions[-1].isNotNull())
+    columns = [_output(_at(o.path, sources), o.type, strict).alias(o.column) for o in outputs]
+    whole = F.array_compact(F.array(*positions))
+    return rows.select(
+        *key,
+        F.array_join(whole.cast("array<string>"), ".").alias("pos"),
+        _identifier(identifier, key, whole).alias("id"),
+        *columns,
+    )
+
+
+def _at(path: str, sources: Sequence[tuple[str, str]]) -> Column:
+    """The column of a path, from the innermost element that it leads through."""
+    for prefix, source in reversed(sources):
+        if path == prefix:
+            return F.col(source)
+        inner = path.removeprefix(f"{prefix}.") if prefix else path
+        if (inner != path or not prefix) and "[]" not in inner:
+            return F.col(f"{source}.{_quoted_path(inner)}")
+    raise ValueError(f"{path} does not lie on the way to {sources[-1][0]}")
+
+
 def flatten_documents(
     silver: DataFrame,
     spec: DocumentSpec,

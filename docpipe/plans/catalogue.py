@@ -19,14 +19,14 @@ from docpipe.operators.extract import (
     preview,
     register_model,
 )
-from docpipe.operators.flatten import flatten, flatten_documents, rejects
-from docpipe.operators.infer import inferred_fields
+from docpipe.operators.flatten import flatten, flatten_documents, flatten_nested, rejects
+from docpipe.operators.infer import inferred_fields, path_counts
 from docpipe.operators.keys import duplicate_keys, null_counts
 from docpipe.operators.nearest import vector_topk
 from docpipe.operators.tables import dictionary, output_comments, with_comments
 from docpipe.operators.vectorindex import build_index
 from docpipe.plans.receipts import RECEIPT, table
-from docpipe.spec import DocumentSpec, Field
+from docpipe.spec import DocumentSpec, Field, Output
 from docpipe.plans.stages import bronze, printed_receipts, receipt_model, silver
 from docpipe.session import new_path
 from docpipe.sources.pages import PAGE, html_text, page_json, page_manifest
@@ -190,6 +190,59 @@ def q_parse_rejects(spark, sf_dir):
     )
 
 
+# Records of order lines with arrays in arrays, some of them missing or empty.
+CHARGES = DocumentSpec(
+    name="charges",
+    fields=(
+        Field("part", kind="integer"),
+        Field(
+            "charges",
+            kind="array",
+            fields=(
+                Field("kind"),
+                Field("steps", kind="array", fields=(Field("at", kind="integer"),), required=False),
+            ),
+        ),
+        Field("flags", kind="array", items=Field("items")),
+    ),
+    outputs=(
+        Output("part", "part", "bigint"),
+        Output("kind", "charges[].kind"),
+        Output("at", "charges[].steps[].at", "bigint"),
+    ),
+)
+
+
+def _charge_records(spark, sf_dir):
+    number = F.col("l_linenumber")
+
+    def charge(i):
+        steps = F.transform(F.array(*map(F.lit, range(3))), lambda j: F.struct((F.col("l_suppkey") + j).alias("at")))
+        some = F.filter(steps, lambda s: s["at"] % 5 != 0)
+        return F.struct(F.concat(F.lit("c"), i.cast("string")).alias("kind"), F.when(i != 1, some).alias("steps"))
+
+    charges = F.when(number % 7 != 3, F.transform(F.sequence(F.lit(0), number % 3), charge))
+    record = F.struct(
+        F.col("l_partkey").alias("part"),
+        charges.alias("charges"),
+        F.array("l_returnflag", F.lit(None), "l_linestatus").alias("flags"),
+    )
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.parse_json(F.to_json(record)).alias("response")
+    )
+
+
+def q_gold_nested(spark, sf_dir):
+    records = _charge_records(spark, sf_dir)
+    return flatten_nested(
+        records, CHARGES, "charges[].steps[]", key=("l_orderkey", "l_linenumber"), reader="exact"
+    )
+
+
+def q_inferred_paths(spark, sf_dir):
+    return path_counts(_charge_records(spark, sf_dir), "response").drop("steps")
+
+
 # -- checks ----------------------------------------------------------------------------
 
 
@@ -340,6 +393,7 @@ QUERIES: dict[str, Query] = {
     "gold_flatten_outer": q_gold_flatten_outer,
     "gold_flatten_variant": q_gold_flatten_variant,
     "gold_exact_numbers": q_gold_exact_numbers,
+    "gold_nested": q_gold_nested,
     "gold_documents": q_gold_documents,
     "parse_rejects": q_parse_rejects,
     "check_required": _check(validate.REQUIRED),
@@ -355,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "gold_key_check": q_gold_key_check,
     "gold_dictionary": q_gold_dictionary,
     "inferred_schema": q_inferred_schema,
+    "inferred_paths": q_inferred_paths,
     "embed_documents": q_embed_documents,
     "vector_topk": q_vector_topk,
     "vector_index_topk": q_vector_index_topk,

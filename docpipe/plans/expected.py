@@ -320,7 +320,48 @@ _WORD_WEIGHTS = r"""
 """
 
 
+# Order lines as records: up to three charges, two of them with up to three steps.
+_CHARGES = """
+        WITH charge AS (
+          SELECT l_orderkey, l_linenumber, l_partkey AS part,
+                 list_filter([l_suppkey, l_suppkey + 1, l_suppkey + 2], lambda x: x % 5 <> 0) AS steps,
+                 CAST(unnest(range(0, l_linenumber % 3 + 1)) AS INTEGER) AS i
+          FROM lineitem WHERE l_linenumber % 7 <> 3),
+        step AS (
+          SELECT *, unnest(steps) AS "at", CAST(unnest(range(0, len(steps))) AS INTEGER) AS j
+          FROM charge WHERE i <> 1)"""
+
 EXPECTED: dict[str, str] = {
+    "gold_nested": _CHARGES
+    + """
+        SELECT l_orderkey, l_linenumber, i || '.' || j AS pos,
+               sha256('{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber
+                      || ',"pos":[' || i || ',' || j || ']}') AS id,
+               part, 'c' || i AS kind, "at"
+        FROM step""",
+    "inferred_paths": _CHARGES
+    + """,
+        counted AS (
+          SELECT count(*) AS n, count_if(l_linenumber % 7 <> 3) AS listed,
+                 count_if(l_returnflag IS NULL) + count_if(l_linestatus IS NULL) AS no_flag,
+                 (SELECT count(*) FROM charge) AS charges,
+                 (SELECT count(*) FROM charge WHERE i <> 1) AS stepped,
+                 (SELECT count(*) FROM step) AS steps
+          FROM lineitem),
+        paths(path, parents, present, nulls, kinds, element) AS (
+          SELECT '$', n, n, 0, 'object', false FROM counted
+          UNION ALL SELECT 'part', n, n, 0, 'integer', false FROM counted
+          UNION ALL SELECT 'charges', n, listed, 0, 'array', false FROM counted
+          UNION ALL SELECT 'charges[]', listed, charges, 0, 'object', true FROM counted
+          UNION ALL SELECT 'charges[].kind', charges, charges, 0, 'string', false FROM counted
+          UNION ALL SELECT 'charges[].steps', charges, stepped, 0, 'array', false FROM counted
+          UNION ALL SELECT 'charges[].steps[]', stepped, steps, 0, 'object', true FROM counted
+          UNION ALL SELECT 'charges[].steps[].at', steps, steps, 0, 'integer', false FROM counted
+          UNION ALL SELECT 'flags', n, n, 0, 'array', false FROM counted
+          UNION ALL SELECT 'flags[]', n, 3 * n, n + no_flag, 'string', true FROM counted)
+        SELECT path, parents, present, CAST(nulls AS BIGINT) AS nulls, kinds,
+               element OR present = parents AS required, nulls > 0 AS nullable
+        FROM paths WHERE present > 0""",
     "bronze_receipts": _receipts("SELECT doc_id, text FROM text"),
     "bronze_pages_text": _page_text(),
     "silver_extract": _receipts(_TYPED),

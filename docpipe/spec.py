@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 from docpipe.functions.sqltext import quoted
 
 SCALARS = ("string", "integer", "number", "boolean")
+#: Values of no single type; they stay VARIANT.
+ANY = "any"
 JSON_SCHEMA_DIALECT = "https://json-schema.org/draft/2020-12/schema"
 
 
@@ -25,7 +27,12 @@ class Field:
 
     ``required`` is about the key, ``nullable`` about its value: a required nullable field
     must be present and may hold null. ``pattern`` is a regular expression for the text of
-    the value; ``date_format`` additionally asks for a real calendar date.
+    the value; ``date_format`` additionally asks for a real calendar date. ``choices`` are the
+    only values allowed, if there are any.
+
+    Objects have ``fields``. Arrays have either ``fields``, when their elements are objects, or
+    ``items``, which describes an element of any other kind and whose name does not count. Both
+    go to any depth.
     """
 
     name: str
@@ -37,14 +44,17 @@ class Field:
     date_format: str | None = None
     description: str = ""
     fields: tuple["Field", ...] = ()
+    items: "Field | None" = None
+    choices: tuple = ()
 
     def __post_init__(self):
-        if self.kind not in (*SCALARS, "object", "array"):
+        if self.kind not in (*SCALARS, ANY, "object", "array"):
             raise ValueError(f"field {self.name}: unknown kind {self.kind!r}")
-        if (self.kind in ("object", "array")) != bool(self.fields):
-            raise ValueError(f"field {self.name}: only object and array have inner fields")
-        if any(inner.fields for inner in self.fields):
-            raise ValueError(f"field {self.name}: nesting deeper than one level is not supported")
+        if self.items is not None and self.kind != "array":
+            raise ValueError(f"field {self.name}: only an array has items")
+        inner = bool(self.fields) + (self.items is not None)
+        if inner != (self.kind in ("object", "array")):
+            raise ValueError(f"field {self.name}: objects and arrays, and only they, have inner fields")
 
 
 @dataclass(frozen=True)
@@ -95,14 +105,13 @@ class DocumentSpec:
     id_comment: str = ""
     row_label: str | None = dc_field(default=None)
 
-    def __post_init__(self):
-        if sum(f.kind == "array" for f in self.fields) > 1:
-            raise ValueError("a document may have one array of line items")
-
     @property
     def array(self) -> Field | None:
-        """The array of line items, if the document has one."""
-        return next((f for f in self.fields if f.kind == "array"), None)
+        """The array of line items: the one that outputs or checks name, else the first one."""
+        arrays = [f for f in self.fields if f.kind == "array" and f.fields]
+        named = {o.path.partition("[]")[0] for o in self.outputs if "[]" in o.path}
+        named |= {a.array for a in self.arithmetic if not isinstance(a, PartsTotal)}
+        return next((f for f in arrays if f.name in named), arrays[0] if arrays else None)
 
     @property
     def header_outputs(self) -> tuple[Output, ...]:
@@ -140,7 +149,11 @@ class DocumentSpec:
 
     @classmethod
     def from_json_schema(cls, schema: dict, name: str | None = None) -> "DocumentSpec":
-        return cls(name=name or schema.get("title", "document"), fields=_fields_of(schema))
+        """Specification of a JSON Schema: references within it, lists of types, ``enum`` and
+        ``const``, ``allOf``, and arrays and objects to any depth. Alternatives of several types
+        are read as numbers, where all are, or stay VARIANT."""
+        root = _resolved(schema, schema)
+        return cls(name=name or schema.get("title", "document"), fields=_fields_of(root, schema))
 
 
 def type_text(t: T.DataType) -> str:
@@ -153,12 +166,14 @@ def type_text(t: T.DataType) -> str:
 
 
 def _spark_type(f: Field, integers: str) -> T.DataType:
-    if f.kind == "object":
-        return T.StructType([_struct_field(inner, integers) for inner in f.fields])
-    if f.kind == "array":
-        return T.ArrayType(T.StructType([_struct_field(inner, integers) for inner in f.fields]))
-    names = {"string": "string", "integer": integers, "number": "double", "boolean": "boolean"}
-    return T.DataType.fromDDL(names[f.kind])
+    if f.items is not None:
+        return T.ArrayType(_spark_type(f.items, integers))
+    if f.fields:
+        inner = T.StructType([_struct_field(i, integers) for i in f.fields])
+        return inner if f.kind == "object" else T.ArrayType(inner)
+    whole = {"double": T.DoubleType(), "bigint": T.LongType()}[integers]
+    kinds = {"string": T.StringType(), "integer": whole, "number": T.DoubleType(), "boolean": T.BooleanType()}
+    return kinds.get(f.kind, T.VariantType())
 
 
 def _struct_field(f: Field, integers: str) -> T.StructField:
@@ -174,37 +189,110 @@ def _object_schema(fields: tuple[Field, ...]) -> dict:
 
 
 def _field_schema(f: Field) -> dict:
-    if f.kind == "object":
-        value = _object_schema(f.fields)
-    elif f.kind == "array":
-        value = {"type": "array", "items": _object_schema(f.fields)}
-    else:
-        value = {"type": f.kind}
     described = {"description": f.description} if f.description else {}
-    return {**described, "anyOf": [value, {"type": "null"}]}
+    if f.kind == ANY:
+        return {**described, **({"enum": list(f.choices)} if f.choices else {})}
+    return {**described, "anyOf": [_value_schema(f), {"type": "null"}]}
 
 
-def _fields_of(schema: dict) -> tuple[Field, ...]:
-    required = set(schema.get("required", ()))
+def _value_schema(f: Field) -> dict:
+    if f.kind == "object":
+        return _object_schema(f.fields)
+    if f.kind == "array":
+        return {"type": "array", "items": _field_schema(f.items) if f.items else _object_schema(f.fields)}
+    return {"type": f.kind, **({"enum": list(f.choices)} if f.choices else {})}
+
+
+def _resolved(schema, root: dict, seen: tuple[str, ...] = ()) -> dict:
+    """The schema with its own references followed and the parts of ``allOf`` put together."""
+    if not isinstance(schema, dict):
+        return {}  # ``true``: anything
+    if "$ref" in schema:
+        ref = schema["$ref"]
+        if not ref.startswith("#"):
+            raise ValueError(f"{ref}: only references within the schema are followed")
+        if ref in seen:
+            raise ValueError(f"{ref} holds itself; a table has no such column")
+        target = root
+        for step in ref[1:].split("/")[1:]:
+            step = step.replace("~1", "/").replace("~0", "~")
+            target = target[int(step)] if isinstance(target, list) else target[step]
+        found = _resolved(target, root, (*seen, ref))
+        return _together(found, {k: v for k, v in schema.items() if k != "$ref"})
+    for part in schema.get("allOf", ()):
+        schema = _together({k: v for k, v in schema.items() if k != "allOf"}, _resolved(part, root, seen))
+    # what stands inside a reference may only refer to others
+    return {**schema, "_seen": (*schema.get("_seen", ()), *seen)} if seen else schema
+
+
+def _together(a: dict, b: dict) -> dict:
+    both = {**a, **b}
+    both["properties"] = {**a.get("properties", {}), **b.get("properties", {})}
+    both["required"] = [*a.get("required", ()), *b.get("required", ())]
+    both["_seen"] = (*a.get("_seen", ()), *b.get("_seen", ()))
+    return {k: v for k, v in both.items() if v or k not in ("properties", "required", "_seen")}
+
+
+def _fields_of(schema: dict, root: dict) -> tuple[Field, ...]:
+    required, seen = set(schema.get("required", ())), schema.get("_seen", ())
     return tuple(
-        _field_of(name, prop, name in required)
+        _field_of(name, prop, name in required, root, seen)
         for name, prop in schema.get("properties", {}).items()
     )
 
 
-def _field_of(name: str, prop: dict, required: bool) -> Field:
-    options = prop.get("anyOf", [prop])
-    values = [o for o in options if o.get("type") != "null"]
-    if len(values) != 1:
-        raise ValueError(f"property {name}: exactly one non-null type is expected")
-    value = values[0]
-    inner = {"object": value, "array": value.get("items", {})}.get(value["type"])
-    return Field(
-        name=name,
-        kind=value["type"],
-        required=required,
-        nullable=len(values) < len(options),
-        pattern=value.get("pattern"),
-        description=prop.get("description", ""),
-        fields=_fields_of(inner) if inner is not None else (),
-    )
+def _field_of(name: str, prop, required: bool, root: dict, seen: tuple = ()) -> Field:
+    prop = _resolved(prop, root, seen)
+    options = _options(prop, root, seen)
+    values = [o for o in options if o["kind"] != "null"]
+    common = {
+        "required": required,
+        # a schema that says nothing of the type allows null as well
+        "nullable": len(values) < len(options) or not values or any(o["kind"] == ANY for o in values),
+        "description": prop.get("description", ""),
+    }
+    kinds = {o["kind"] for o in values}
+    choices = tuple(c for o in values for c in o.get("choices", ()))
+    if any(not o.get("choices") for o in values):
+        choices = ()
+    if kinds == {"integer", "number"}:
+        return Field(name, "number", **common)
+    if len(values) != 1 and (len(kinds) != 1 or kinds & {"object", "array"}):
+        return Field(name, ANY, **common)
+    kind, schema = values[0]["kind"], values[0]["schema"]
+    seen = schema.get("_seen", seen)
+    if kind == "object":
+        fields = _fields_of({**schema, "_seen": seen}, root)
+        return Field(name, kind, fields=fields, **common) if fields else Field(name, ANY, **common)
+    if kind == "array":
+        item = _field_of("items", schema.get("items", True), True, root, seen)
+        if item.kind == "object":
+            return Field(name, kind, fields=item.fields, **common)
+        return Field(name, kind, items=item, **common)
+    pattern = values[0]["schema"].get("pattern") if len(values) == 1 else None
+    return Field(name, kind, pattern=pattern, choices=choices, **common)
+
+
+def _options(prop: dict, root: dict, seen: tuple) -> list[dict]:
+    """The alternatives of a value: kind, its schema and the values it is limited to."""
+    seen = prop.get("_seen", seen)
+    for name in ("anyOf", "oneOf"):
+        if name in prop:
+            rest = {k: v for k, v in prop.items() if k not in (name, "description")}
+            parts = [_together(rest, _resolved(p, root, seen)) for p in prop[name]]
+            return [o for p in parts for o in _options(p, root, seen)]
+    limited = [prop["const"]] if "const" in prop else prop.get("enum")
+    if limited is not None:
+        found: dict[str, list] = {}
+        for value in limited:
+            found.setdefault(_kind_of(value), []).append(value)
+        return [{"kind": k, "schema": prop, "choices": tuple(v)} for k, v in found.items()]
+    named = prop.get("type")
+    if named is None:
+        named = "object" if prop.get("properties") else "array" if "items" in prop else ANY
+    return [{"kind": k, "schema": prop} for k in ([named] if isinstance(named, str) else named)]
+
+
+def _kind_of(value) -> str:
+    kinds = ((bool, "boolean"), (int, "integer"), (float, "number"), (str, "string"), (dict, ANY), (list, ANY))
+    return next((kind for t, kind in kinds if isinstance(value, t)), "null")

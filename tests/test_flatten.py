@@ -5,7 +5,7 @@ from conftest import optimized, plan_of
 from pyspark.sql import functions as F
 from samples import FOREIGN_KEYS, GOLDEN, LINES, SUBTOTAL, TAX, TOTAL, golden
 
-from docpipe.operators.flatten import flatten, flatten_documents, rejects
+from docpipe.operators.flatten import flatten, flatten_documents, flatten_nested, rejects
 from docpipe.plans.receipts import COLUMN_COMMENTS, RECEIPT
 from docpipe.spec import DocumentSpec, Field, Output
 
@@ -169,3 +169,60 @@ def test_keys_with_blanks_and_hyphens(records, reader):
     silver = records('{"a b": "v", "lines-of": [{"x-y": 1}, {"x-y": 2}]}')
     assert sorted((r.a, r.xy) for r in flatten(silver, spec, reader=reader).collect()) == [("v", 1), ("v", 2)]
     assert flatten_documents(silver, spec, reader=reader).head().line_count == 2
+
+
+NESTED = DocumentSpec(
+    name="nested",
+    fields=(
+        Field("no", kind="integer"),
+        Field("orders", kind="array", fields=(
+            Field("at"), Field("lines", kind="array", fields=(Field("item"), Field("tags", kind="array", items=Field("x"))))
+        )),
+        Field("grid", kind="array", items=Field("row", kind="array", items=Field("x", kind="integer"))),
+        Field("party", kind="object", fields=(Field("place", kind="object", fields=(Field("city"),)),)),
+    ),
+)
+NESTED_TEXTS = (
+    '{"no": 1, "party": {"place": {"city": "c"}}, "grid": [[1, 2], [], null, [3]], '
+    '"orders": [{"at": "x", "lines": [{"item": "a", "tags": ["t", null]}, {"item": "b"}]}, {"at": "y", "lines": []}, null]}',
+    '{"no": 2}',
+    '{"no": 3, "orders": []}',
+    "{bad",
+)
+
+
+@pytest.mark.parametrize("reader", ["json", "variant", "exact"])
+def test_arrays_in_arrays(records, reader):
+    silver = records(*NESTED_TEXTS)
+    outputs = (
+        Output("no", "no", "int"), Output("city", "party.place.city"), Output("at", "orders[].at"),
+        Output("item", "orders[].lines[].item"),
+    )
+
+    def rows(array, outputs, outer=False):
+        df = flatten_nested(silver, NESTED, array, outputs=outputs, reader=reader, outer=outer)
+        return sorted((tuple(r) for r in df.drop("id").collect()), key=repr)
+
+    assert rows("orders[].lines[]", outputs) == [("1", "0.0", 1, "c", "x", "a"), ("1", "0.1", 1, "c", "x", "b")]
+    assert rows("orders[].lines[]", outputs, outer=True) == [
+        ("1", "0.0", 1, "c", "x", "a"), ("1", "0.1", 1, "c", "x", "b"), ("1", "1", 1, "c", "y", None),
+        ("1", "2", 1, "c", None, None), ("2", "", 2, None, None, None), ("3", "", 3, None, None, None),
+        ("4", "", None, None, None, None),
+    ]
+    tags = (Output("item", "orders[].lines[].item"), Output("tag", "orders[].lines[].tags[]"))
+    assert rows("orders[].lines[].tags[]", tags) == [("1", "0.0.0", "a", "t"), ("1", "0.0.1", "a", None)]
+    cells = (Output("cell", "grid[][]", "int"),)
+    assert rows("grid[][]", cells) == [("1", "0.0", 1), ("1", "0.1", 2), ("1", "3.0", 3)]
+
+
+def test_nested_ids_and_one_parse(records):
+    silver = records(*NESTED_TEXTS)
+    outputs = (Output("item", "orders[].lines[].item"), Output("no", "no", "int"))
+    df = flatten_nested(silver, NESTED, "orders[].lines[]", outputs=outputs)
+    assert len({r.id for r in df.collect()}) == 2
+    assert optimized(df).count("from_json") == 1
+    wrong = (Output("cell", "grid[][]"),)
+    with pytest.raises(ValueError, match="way"):
+        flatten_nested(silver, NESTED, "orders[].lines[]", outputs=wrong)
+    with pytest.raises(ValueError, match="ends with"):
+        flatten_nested(silver, NESTED, "orders[].lines", outputs=outputs)

@@ -57,13 +57,105 @@ def test_declared_severity():
         lambda: Field("a", kind="date"),
         lambda: Field("a", kind="object"),
         lambda: Field("a", fields=(Field("b"),)),
-        lambda: DocumentSpec("d", (Field("a", kind="array", fields=(Field("x"),)),
-                                   Field("b", kind="array", fields=(Field("x"),)))),
-        lambda: DocumentSpec.from_json_schema(
-            {"properties": {"a": {"anyOf": [{"type": "string"}, {"type": "integer"}]}}}
-        ),
+        lambda: Field("a", items=Field("b")),
+        lambda: Field("a", kind="array"),
+        lambda: Field("a", kind="array", fields=(Field("x"),), items=Field("y")),
     ],
 )
 def test_wrong_specifications(wrong):
     with pytest.raises(ValueError):
         wrong()
+
+
+def spec_of(properties, **more):
+    return DocumentSpec.from_json_schema({"type": "object", "properties": properties, **more}, "x")
+
+
+@pytest.mark.parametrize(
+    "schema, kind, nullable",
+    [
+        ({"type": ["string", "null"]}, "string", True),
+        ({"type": ["integer"]}, "integer", False),
+        ({"type": ["integer", "number"]}, "number", False),
+        ({"type": ["integer", "string"]}, "any", False),
+        ({"enum": ["a", "b"]}, "string", False),
+        ({"enum": [1, None]}, "integer", True),
+        ({"const": 1.5}, "number", False),
+        ({"enum": ["a", 1]}, "any", False),
+        ({"anyOf": [{"type": "string"}, {"type": "null"}]}, "string", True),
+        ({"oneOf": [{"type": "boolean"}]}, "boolean", False),
+        ({"anyOf": [{"$ref": "#/$defs/word"}, {"type": "null"}]}, "string", True),
+        ({"$ref": "#/$defs/word"}, "string", False),
+        ({"allOf": [{"type": "string"}, {"pattern": "x"}]}, "string", False),
+        ({}, "any", True),
+        (True, "any", True),
+        ({"type": "object"}, "any", False),
+    ],
+)
+def test_values_of_a_schema(schema, kind, nullable):
+    f = spec_of({"a": schema}, **{"$defs": {"word": {"type": "string"}}}).fields[0]
+    assert (f.kind, f.nullable or kind == "any") == (kind, nullable or kind == "any")
+
+
+def test_choices_and_patterns_of_a_schema():
+    spec = spec_of({"a": {"enum": ["x", "y", None]}, "b": {"allOf": [{"type": "string"}, {"pattern": "^z"}]}})
+    assert spec.field("a").choices == ("x", "y") and spec.field("b").pattern == "^z"
+    again = DocumentSpec.from_json_schema(spec.json_schema())
+    assert again.field("a").choices == ("x", "y") and again.field("a").kind == "string"
+
+
+DEEP = {
+    "title": "deep",
+    "type": "object",
+    "required": ["tags", "party"],
+    "properties": {
+        "tags": {"type": "array", "items": {"type": ["string", "null"]}},
+        "grid": {"type": "array", "items": {"type": "array", "items": {"type": "integer"}}},
+        "party": {"$ref": "#/$defs/party"},
+        "orders": {
+            "type": "array",
+            "items": {
+                "type": "object",
+                "required": ["no"],
+                "properties": {
+                    "no": {"type": "integer"},
+                    "lines": {"type": "array", "items": {"$ref": "#/$defs/line"}},
+                },
+            },
+        },
+        "loose": {},
+    },
+    "$defs": {
+        "party": {"type": "object", "properties": {"name": {"type": "string"}, "at": {"$ref": "#/$defs/place"}}},
+        "place": {"type": "object", "properties": {"city": {"type": "string"}}},
+        "line": {"allOf": [{"type": "object", "properties": {"item": {"type": "string"}}}, {"properties": {"n": {"type": "number"}}}]},
+    },
+}
+
+
+def test_a_deep_schema_and_back(spark):
+    spec = DocumentSpec.from_json_schema(DEEP)
+    assert spec.ddl("bigint") == (
+        "struct<`tags`: array<string>, `grid`: array<array<bigint>>, `party`: struct<`name`: string, `at`: struct<`city`: string>>, "
+        "`orders`: array<struct<`no`: bigint, `lines`: array<struct<`item`: string, `n`: double>>>>, `loose`: variant>"
+    )
+    assert [f.required for f in spec.fields] == [True, False, True, False, False]
+    again = DocumentSpec.from_json_schema(spec.json_schema())
+    assert again.ddl() == spec.ddl()
+    text = (
+        '{"tags": ["a", null], "grid": [[1], [2, 3]], "party": {"name": "n", "at": {"city": "c"}}, '
+        '"orders": [{"no": 7, "lines": [{"item": "i", "n": 1.5}]}], "loose": {"x": 1}}'
+    )
+    df = spark.createDataFrame([(text,)], "t string")
+    row = df.selectExpr(f"from_json(t, '{spec.ddl('bigint')}') AS d", f"try_variant_get(parse_json(t), '$', '{spec.ddl('bigint')}') AS v").head()
+    for d in (row.d, row.v):
+        assert d.tags == ["a", None] and d.grid == [[1], [2, 3]] and d.party["at"].city == "c"
+        assert d.orders[0].lines[0].n == 1.5 and d.loose.toJson() == '{"x":1}'
+
+
+def test_schemas_that_no_table_can_hold():
+    node = {"type": "object", "properties": {"next": {"$ref": "#/$defs/node"}}}
+    with pytest.raises(ValueError, match="holds itself"):
+        spec_of({"a": {"$ref": "#/$defs/node"}}, **{"$defs": {"node": node}})
+    with pytest.raises(ValueError, match="within the schema"):
+        spec_of({"a": {"$ref": "other.json"}})
