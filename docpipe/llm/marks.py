@@ -31,19 +31,27 @@ def marks_of(df: DataFrame, key: str) -> DataFrame:
 
 def marked(df: DataFrame, key: Column, marks: DataFrame) -> DataFrame:
     """The rows of ``df`` whose key may be marked; they stay where they are."""
+    joined, bit = _with_bits(df, key, marks, "inner")
+    # "not deterministic", so that no later join is moved below this filter
+    return joined.where((bit == 1) & (F.rand(0) + 1 > 0)).select(*[df[c] for c in df.columns])
+
+
+def with_mark(df: DataFrame, key: Column, marks: DataFrame, name: str) -> DataFrame:
+    """All rows of ``df``, with ``name`` telling whether the key may be marked; where it is
+    false the key is not."""
+    joined, bit = _with_bits(df, key, marks, "left")
+    return joined.select(*[df[c] for c in df.columns], F.coalesce(bit == 1, F.lit(False)).alias(name))
+
+
+def _with_bits(df: DataFrame, key: Column, marks: DataFrame, how: str) -> tuple[DataFrame, Column]:
     place = _place(key)
     at = F.bitmap_bit_position(place)
     byte = F.substring(F.col("_bits"), (at / 8).cast("int") + 1, F.lit(1))
     value = F.conv(F.hex(byte), 16, 10).cast("int")
-    bit = F.call_function("shiftright", value, (at % 8).cast("int"))
+    bit = F.call_function("shiftright", value, (at % 8).cast("int")).bitwiseAND(1)
     known = marks.select(F.col("part").alias("_part"), F.col("bits").alias("_bits"))
     # of a fixed size, see MARK_BITS
-    return (
-        df.join(F.broadcast(known), F.bitmap_bucket_number(place) == F.col("_part"))
-        # "not deterministic", so that no later join is moved below this filter
-        .where((bit.bitwiseAND(1) == 1) & (F.rand(0) + 1 > 0))
-        .select(*[df[c] for c in df.columns])
-    )
+    return df.join(F.broadcast(known), F.bitmap_bucket_number(place) == F.col("_part"), how), bit
 
 
 def mark_array(marks: DataFrame) -> np.ndarray:

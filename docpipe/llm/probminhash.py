@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from docpipe.llm.batches import text_parts
 from docpipe.llm.linking import near_components
-from docpipe.llm.marks import marked, marks_of
+from docpipe.llm.marks import marked, marks_of, with_mark
 from docpipe.llm.shingles import distinct, mixed, shingles, signed, words
 from docpipe.llm.staging import written
 from docpipe.session import ship
@@ -260,17 +260,26 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, whose document is the first of its class. Rows with a
-    NULL id stay. Of several rows with one id, one stays."""
+    NULL id stay. Of rows equal in id and text one stays; an id that names several different
+    texts keeps them all, since not all of them need be like another document.
+
+    Only rows that may go are moved: the others are told by a bit set of fixed size and stay
+    where they are read.
+    """
     classes = near_duplicates(docs, similarity)
-    known = written(classes.where("doc_id IS NOT NULL"), "classes")
-    kept = known.where("doc_id = class_id")
-    repeated = not kept.groupBy("doc_id").count().where("count > 1").isEmpty()
-    rows = docs.join(
-        kept.select(F.col("doc_id").alias("_kept")).distinct(),
-        F.col("doc_id") == F.col("_kept"),
-        "left_semi",
-    )
-    if repeated:
-        rows = rows.dropDuplicates(["doc_id"])
-    nameless = docs.where(F.col("doc_id").isNull())
-    return rows.unionByName(nameless)
+    text = F.struct(F.xxhash64("text"), F.length("text"))
+    same_id = docs.groupBy(F.col("doc_id").cast("bigint").alias("id")).agg(
+        F.count("*").alias("n"), F.count("text").alias("texts"), F.min(text).alias("low"), F.max(text).alias("high"),
+    )
+    several = F.expr("low <> high OR texts < n").alias("several")
+    repeated = written(same_id.where("n > 1 AND id IS NOT NULL").select("id", several), "repeated-ids")
+    later = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("id")).distinct()
+    gone = written(later.join(repeated.where("several"), "id", "left_anti"), "later-copies")
+    marks = marks_of(gone.unionByName(repeated.select("id")).select(F.xxhash64("id").alias("id")), "id")
+    own = F.col("doc_id").cast("bigint")
+    may_go = "may_go".ljust(max(map(len, docs.columns)) + 1, "_")
+    told = with_mark(docs, F.xxhash64(own), marks, may_go)
+    stay = told.where(~F.col(may_go) | F.col("doc_id").isNull())
+    moved = told.where(F.col(may_go) & F.col("doc_id").isNotNull())
+    left = moved.join(gone, own == gone["id"], "left_anti").dropDuplicates(["doc_id", "text"])
+    return stay.drop(may_go).unionByName(left.drop(may_go))

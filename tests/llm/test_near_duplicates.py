@@ -6,7 +6,7 @@ from llm_fixtures import edge, nothing  # noqa: F401
 
 from docpipe.llm.graph import components
 from docpipe.llm.linking import near_components
-from docpipe.llm.marks import MARK_BITS, mark_array, marked, marks_of
+from docpipe.llm.marks import MARK_BITS, mark_array, marked, marks_of, with_mark
 from docpipe.llm.shingles import distinct, shingles, words
 from docpipe.llm.probminhash import (
     BANDS, REGISTERS, _register, all_band_keys, near_duplicates, one_of_each, sketches, weights,
@@ -176,6 +176,22 @@ def test_copies_and_short_texts(spark):
     assert near_duplicates(df.withColumn("class_id", F.lit("clash"))).columns == ["doc_id", "class_id"]
 
 
+def test_an_id_with_several_texts_loses_none(spark):
+    def text(name, n=60):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    rows = [(1, text("a")), (1, text("b")), (2, text("c")),  # three different texts, two ids
+            (3, text("a")), (4, text("b")),  # copies of both texts of an id
+            (0, text("d")), (5, text("d")), (5, text("d")), (5, text("e")),
+            (6, text("f")), (6, text("f")), (7, None), (7, text("d"))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    kept = one_of_each(df.withColumn("may_go", F.lit(1)))
+    assert kept.columns == ["doc_id", "text", "may_go"]
+    assert sorted(((r.doc_id, (r.text or "-")[0]) for r in kept.collect())) == [
+        (0, "d"), (1, "a"), (1, "b"), (2, "c"), (5, "d"), (5, "e"), (6, "f"), (7, "-"), (7, "d"),
+    ]
+
+
 def test_marks_hold_nothing_back(spark):
     df = spark.range(5000).select("id", F.xxhash64("id").alias("key"))
     marks = marks_of(df.where("id % 7 = 0"), "key")
@@ -186,3 +202,6 @@ def test_marks_hold_nothing_back(spark):
         at = r.key & ((1 << MARK_BITS) - 1)
         assert bool(bits[at >> 3] >> (at & 7) & 1) == (r.id in passed)
     assert marked(df, F.col("key"), marks_of(df.limit(0), "key")).count() == 0
+    told = with_mark(df, F.col("key"), marks, "_flag")
+    assert told.count() == 5000 and {r.id for r in told.where("_flag").collect()} == passed
+    assert with_mark(df, F.col("key"), marks_of(df.limit(0), "key"), "_flag").where("_flag").count() == 0
