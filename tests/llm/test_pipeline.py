@@ -1,4 +1,4 @@
-from llm_fixtures import documents  # noqa: F401
+from llm_fixtures import documents, edge  # noqa: F401
 
 import corpus_pipeline
 from docpipe.llm import linetemplates, toxicity
@@ -58,3 +58,27 @@ def test_run_is_the_stages(spark, sf_dir):
         "toxicity", "line dedup", "MinHash near-dedup", "benchmark decontamination",
         "best-fit packing",
     ]
+
+
+def test_nulls_empty_tables_and_clashing_names(spark, sf_dir, documents, edge):  # noqa: F811
+    """Every stage keeps the columns and NULLs of its input; what is in a column that has a
+    stage's own name is what was there before."""
+    more = documents.columns + ["score", "toxic", "threshold", "dropped_lines", "id", "node"]
+    some = documents.withColumns({"score": F.lit(1.5), "toxic": F.lit("mine"), "threshold": F.lit(2),
+                                  "dropped_lines": F.lit("x"), "id": F.lit(0), "node": F.col("doc_id")})
+    odd = edge.select("doc_id", "text", "lang", "source", "n_chars").withColumns(
+        {"score": F.lit(1.5), "toxic": F.lit("mine"), "threshold": F.lit(2), "dropped_lines": F.lit("x"),
+         "id": F.lit(0), "node": F.col("doc_id")}
+    )
+    docs = some.unionByName(odd.select(*more)).repartition(4)
+    for rows in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = written(stage(spark, rows, sf_dir), "stage")
+            assert out.columns == more, name
+            shown = out.select("score", "toxic", "threshold", "dropped_lines", "id").distinct().collect()
+            assert {tuple(r) for r in shown} <= {(1.5, "mine", 2, "x", 0)}, name
+            if not rows.isEmpty():
+                assert out.where("doc_id IS NULL").count() == 1 and out.where("text IS NULL").count() == 1, name
+            rows = out
+        placed = written(corpus_pipeline.STAGES[-1][1](spark, rows, sf_dir), "stage")
+        assert placed.select("doc_id").distinct().count() == rows.select("doc_id").distinct().count()
