@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from docpipe.llm.staging import written
 from docpipe.session import ship
@@ -164,12 +164,15 @@ def whole_vectors(df: DataFrame, scale: int = 256) -> DataFrame:
     NULL, empty, or hold a NULL or non-finite component are left out, as are NULL ids."""
     x = F.col("embedding")
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+
+    def whole(v: Column) -> Column:
+        # floor() gives bigint; a double from 2^53 on is whole already
+        large = F.abs(v * scale) >= float(1 << 53)
+        return F.when(large, v * scale).otherwise(F.floor(v * scale).cast("double"))
+
     return df.where(F.col("vec_id").isNotNull() & (F.size(x) > 0) & finite).select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
-        # floor() would give bigint and cut large values; the remainder keeps doubles exact
-        F.transform(
-            x.cast("array<double>"), lambda v: v * scale - F.pmod(v * scale, F.lit(1.0))
-        ).alias("vector"),
+        F.transform(x.cast("array<double>"), whole).alias("vector"),
     )
 
 

@@ -8,10 +8,11 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from docpipe.llm.batches import text_parts
 from docpipe.session import ship
 
 # The fixed patterns and their least sizes. Fixed values.
@@ -185,6 +186,7 @@ def scan_text(text: str | None) -> tuple[int, int, int, int, str, str]:
 
 
 COLUMNS = ["n_assign", "n_access", "n_hex", "n_novel", "base_sha256", "spans"]
+TYPES = [pa.int64()] * 4 + [pa.string()] * 2
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -199,13 +201,16 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def scanned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pd.DataFrame([scan_text(t) for t in batch["text"]], columns=COLUMNS)
-            found.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield found
-
-    return rows.mapInPandas(
+            for part in text_parts(batch):
+                found = zip(*[scan_text(t) for t in part["text"].to_pylist()])
+                columns = [pa.array(c, t) for c, t in zip(found, TYPES)]
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], *columns], names=["doc_id", *COLUMNS]
+                )
+
+    return rows.mapInArrow(
         scanned,
         f"doc_id {kind}, n_assign bigint, n_access bigint, n_hex bigint, n_novel bigint,"
         " base_sha256 string, spans string",

@@ -104,6 +104,9 @@ def encoded_record(row) -> bytes:
 def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write resolved pages, one archive per task, and return the manifest ``uri, records``."""
     target = folder or new_folder(pages.sparkSession, "warc")
+    # as text, since numbers beside NULLs would become floating point on the way
+    ids = {c: F.col(c).cast("string") for c in ("page_id", "refers_to")}
+    pages = pages.withColumns(ids)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n = 0
@@ -177,7 +180,7 @@ def read_archives(spark: SparkSession, manifest: DataFrame, bodies: bool = True)
 
 
 def _frame(rows, names) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=names)
+    frame = pd.DataFrame(rows, columns=names, dtype=object)
     return frame.astype({"page_id": "Int64", "payload_bytes": "Int64"})
 
 

@@ -55,11 +55,16 @@ class WordIds:
         self.kept: dict[str, bytes] = {}
         special = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join([*special, UNUSUAL]))
+        # characters that are newer than Python's tables may have a class in the library's
+        self.unknown = np.array([unicodedata.category(chr(p)) == "Cn" for p in range(sys.maxunicode + 1)])
 
     def _plain(self, text: str) -> bool:
-        return text.isascii() and "<" not in text or (
-            unicodedata.is_normalized("NFC", text) and not self.special.search(text)
-        )
+        if text.isascii() and "<" not in text:
+            return True
+        if not unicodedata.is_normalized("NFC", text) or self.special.search(text):
+            return False
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        return not self.unknown[points].any()
 
     def _whole(self, text: str) -> np.ndarray:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids

@@ -87,3 +87,13 @@ def test_edges(spark):
     expected = {q: hits for q, hits in brute_force(own, [r for r in own if r[0] % 50 == 0]).items() if hits}
     assert found(topk(df.where("vec_id % 50 = 0"), df)) == expected
     assert topk(df.limit(0), df).collect() == [] and topk(df, df.limit(0)).collect() == []
+
+
+def test_floor_of_tiny_and_of_very_large_numbers(spark):
+    tiny, large = [-1e-20, 1e-20, -0.0, 0.5], [2.0**60, -(2.0**60), 1.0, -1e-300]
+    rows = {r.vec_id: r.vector for r in covertree.whole_vectors(frame64(spark, [(1, tiny), (2, large)])).collect()}
+    assert rows == {1: [-1.0, 0.0, 0.0, 128.0], 2: [2.0**68, -(2.0**68), 256.0, -1.0]}
+
+
+def frame64(spark, rows):
+    return spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")

@@ -117,3 +117,9 @@ def test_spans_as_rows(spark):
     df = spark.createDataFrame([(1, "é token: abcdef1 AKIA" + "B" * 16)], "doc_id int, text string")
     rows = [tuple(r) for r in spans_table(scan(df)).orderBy("start").collect()]
     assert rows == [(1, "assign", 2, 16), (1, "access", 17, 37)]
+
+
+def test_ids_beside_null_are_exact(spark):
+    ids = [2**53 + 1, None, 2**53 + 3]
+    df = spark.createDataFrame([(i, "x") for i in ids], "doc_id bigint, text string").coalesce(1)
+    assert [r.doc_id for r in scan(df).collect()] == ids

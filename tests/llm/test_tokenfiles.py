@@ -91,3 +91,16 @@ def test_edges(spark, edge, nothing):
     order = lambda r: (r[0] is not None, r[0] or 0, r[1])
     assert sorted(map(tuple, found), key=order) == expected([(i, t) for i, t, _ in EDGE])
     assert read_tokens(spark, write_tokens(nothing, PATH)).collect() == []
+
+
+def test_every_code_point():
+    """Once between letters and once alone, with the classes of the library's own tables."""
+    tokenizer = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    ids = wordids.WordIds(tokenizer)
+    points = [p for p in range(0x110000) if not 0xD800 <= p < 0xE000]
+    for start in range(0, len(points), 20_000):
+        texts = [f"ab{chr(p)}cd {chr(p)}" for p in points[start : start + 20_000]]
+        own, counts = ids.encode(texts)
+        theirs = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        assert counts.tolist() == [len(e.ids) for e in theirs]
+        assert own.tolist() == [i for e in theirs for i in e.ids]

@@ -68,3 +68,17 @@ def test_a_damaged_payload_is_noticed(archived, spark):
 def test_empty(spark, pages):
     records = warc.read_archives(spark, warc.write_archives(warc.resolve(pages.limit(0))))
     assert warc.resolved_records(records).collect() == []
+
+
+def test_ids_beyond_the_exact_doubles_and_a_long_payload(spark):
+    long = "<p>" + "x y " * 1_500_000 + "</p>"
+    rows = [(2**53 + 1, "u", BIG), (2**53 + 3, "u", BIG), (None, "u", "z"), (7, "v", long), (8, "w", long)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    records = warc.read_archives(spark, warc.write_archives(warc.resolve(df)))
+    found = {(r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in warc.resolved_records(records).collect()}
+    size = len(BIG.encode())
+    assert found == {
+        (2**53 + 1, "revisit", 2**53 + 3, size), (2**53 + 3, "response", None, size), (None, "response", None, 1),
+        (7, "revisit", 8, len(long)), (8, "response", None, len(long)),
+    }
+    assert {r.html for r in records.where("page_id = 8").collect()} == {long}
