@@ -63,8 +63,12 @@ class WordIds:
             return True
         if not unicodedata.is_normalized("NFC", text) or self.special.search(text):
             return False
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        return not self.unknown[points].any()
+        try:
+            text.encode("latin-1")  # all of these are known
+            return True
+        except UnicodeEncodeError:
+            points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+            return not self.unknown[points].any()
 
     def _whole(self, text: str) -> np.ndarray:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
