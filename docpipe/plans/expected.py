@@ -359,7 +359,8 @@ EXPECTED: dict[str, str] = {
           UNION ALL SELECT 'charges[].steps[].at', steps, steps, 0, 'integer', false FROM counted
           UNION ALL SELECT 'flags', n, n, 0, 'array', false FROM counted
           UNION ALL SELECT 'flags[]', n, 3 * n, n + no_flag, 'string', true FROM counted)
-        SELECT path, parents, present, CAST(nulls AS BIGINT) AS nulls, kinds,
+        SELECT path, CAST(parents AS BIGINT) AS parents, CAST(present AS BIGINT) AS present,
+               CAST(nulls AS BIGINT) AS nulls, kinds,
                element OR present = parents AS required, nulls > 0 AS nullable
         FROM paths WHERE present > 0""",
     "bronze_receipts": _receipts("SELECT doc_id, text FROM text"),

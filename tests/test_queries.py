@@ -7,7 +7,9 @@ import __spark_entry__ as entry_points
 from docpipe.plans.catalogue import QUERIES
 from docpipe.plans.expected import EXPECTED
 
-TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+TYPES = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN",
+}
 
 
 @pytest.fixture(scope="module")
