@@ -8,9 +8,9 @@ extraction failures, not violations, and are not checked.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from docpipe.functions.sqltext import quoted, string_literal
 from docpipe.spec import DocumentSpec, Field, PartsTotal, Product, SumOf
@@ -76,15 +76,59 @@ def violation_summary(
     return per_rule.agg(*sums).select(F.inline(rows))
 
 
-def _with_violations(silver, spec, key, rules, response) -> DataFrame:
-    """Checked documents with their violations. The expressions are written as SQL text: there
-    are several hundred of them, and one text is one call to the JVM."""
+def watched(
+    silver: DataFrame,
+    spec: DocumentSpec,
+    watch: Observation | str,
+    rules: Iterable[str] | None = None,
+    response: str = "response",
+) -> DataFrame:
+    """``silver`` as it is, whose checks are counted by whatever job reads it, such as the one that
+    writes the flat table: no second pass. ``watch`` is an Observation, read after the job by
+    :func:`watched_summary`, or on a stream a name, under which the progress of the query has
+    the counts of each batch. Rows that the job does not read are not counted."""
+    names = list(rules) if rules is not None else list(all_rules(spec))
+    found = _with_violations(silver, spec, silver.columns, names, response, every_row=True)
+    counts = {
+        f"_n{i}": F.expr(f"coalesce(size(filter(_violations, v -> v.rule = {string_literal(r)})), 0)")
+        for i, r in enumerate(names)
+    }
+    sums = [F.count_if(F.col("_violations").isNotNull()).alias("checked")]
+    for i in range(len(names)):
+        sums.append(F.coalesce(F.sum(f"_n{i}"), F.lit(0)).alias(f"violations_{i}"))
+        sums.append(F.count_if(F.col(f"_n{i}") > 0).alias(f"failed_{i}"))
+    return found.withColumns(counts).observe(watch, *sums).select(*map(quoted, silver.columns))
+
+
+def watched_summary(
+    spark: SparkSession,
+    metrics: Mapping[str, int],
+    spec: DocumentSpec,
+    rules: Iterable[str] | None = None,
+) -> DataFrame:
+    """The rows of :func:`violation_summary` from what was counted: ``Observation.get``, or the
+    observed metrics of a batch of a stream."""
+    names = list(rules) if rules is not None else list(all_rules(spec))
+    rows = [
+        (r, metrics["checked"], metrics[f"failed_{i}"], metrics[f"violations_{i}"])
+        for i, r in enumerate(names)
+    ]
+    schema = "rule string, documents_checked bigint, documents_failed bigint, violations bigint"
+    rate = F.round(F.try_divide("documents_failed", "documents_checked"), 6)
+    return spark.createDataFrame(rows, schema).withColumn("failure_rate", rate)
+
+
+def _with_violations(silver, spec, key, rules, response, every_row=False) -> DataFrame:
+    """Checked documents with their violations; with ``every_row`` also those without a response,
+    whose violations are NULL. The expressions are written as SQL text: there are several hundred
+    of them, and one text is one call to the JVM."""
     chosen = set(rules) if rules is not None else set(all_rules(spec))
     unknown = chosen - set(all_rules(spec))
     if unknown:
         raise ValueError(f"unknown rules: {sorted(unknown)}")
-    top = silver.where(F.col(response).isNotNull()).select(
-        *key,
+    documents = silver if every_row else silver.where(F.col(response).isNotNull())
+    top = documents.select(
+        *[quoted(k) for k in key],
         F.col(response).alias("_root"),
         F.expr(_members(quoted(response), spec.fields)).alias("_top"),
     )
@@ -93,7 +137,9 @@ def _with_violations(silver, spec, key, rules, response) -> DataFrame:
     checks = _field_checks(spec, chosen)
     checks += [_arithmetic_check(a) for a in spec.arithmetic if a.rule in chosen]
     found = f"array_compact(concat({', '.join(checks)}))"
-    return opened.select(*key, F.expr(found).alias("_violations"))
+    if every_row:
+        found = f"CASE WHEN _root IS NOT NULL THEN {found} END"
+    return opened.select(*[quoted(k) for k in key], F.expr(found).alias("_violations"))
 
 
 def _members(value: str, fields: Sequence[Field]) -> str:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from docpipe.functions.labelled import labelled_reader
 from docpipe.operators import validate
@@ -291,6 +291,14 @@ def q_check_summary(spark, sf_dir):
     return validate.violation_summary(silver(spark, sf_dir), CHECKED)
 
 
+def q_gold_watched_summary(spark, sf_dir):
+    """Counted by the job that writes the flat table."""
+    counts = Observation("checks")
+    records = validate.watched(silver(spark, sf_dir), CHECKED, counts)
+    flatten(records, RECEIPT).write.parquet(new_path(spark, "watched-gold"))
+    return validate.watched_summary(spark, counts.get, CHECKED)
+
+
 def q_key_violations(spark, sf_dir):
     return duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -404,6 +412,7 @@ QUERIES: dict[str, Query] = {
     "check_line_amount": _check("line_amount"),
     "check_totals": _check("subtotal", "total"),
     "check_summary": q_check_summary,
+    "gold_watched_summary": q_gold_watched_summary,
     "key_violations": q_key_violations,
     "not_null_counts": q_not_null_counts,
     "gold_key_check": q_gold_key_check,

@@ -419,6 +419,7 @@ EXPECTED: dict[str, str] = {
     "check_line_amount": _violations("line_amount"),
     "check_totals": _violations("subtotal", "total"),
     "check_summary": _summary(),
+    "gold_watched_summary": _summary(),
     "key_violations": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "not_null_counts": _not_null_counts(),

@@ -1,9 +1,14 @@
 """The steps from text to flat rows are narrow, so they run unchanged on a stream."""
 
+from collections import Counter
+
+from pyspark.sql import Observation
+
 from docpipe.operators.extract import extract_fields
 from docpipe.operators.flatten import flatten
+from docpipe.operators.validate import violation_summary, watched, watched_summary
 from docpipe.plans.receipts import RECEIPT
-from docpipe.plans.stages import bronze, receipt_model
+from docpipe.plans.stages import bronze, receipt_model, silver
 
 
 def test_same_rows_as_in_batch(spark, sf_dir, tmp_path):
@@ -23,3 +28,38 @@ def test_same_rows_as_in_batch(spark, sf_dir, tmp_path):
     written = spark.read.parquet(out)
     assert written.count() == batch.count()
     assert written.exceptAll(batch).count() == 0
+
+
+def test_checks_are_counted_by_the_job_that_writes(spark, sf_dir, tmp_path):
+    records = silver(spark, sf_dir)
+    spec = RECEIPT.with_not_null("supplier")
+    expected = sorted(map(tuple, violation_summary(records, spec).collect()))
+    counts = Observation("in batch")
+    kept = watched(records, spec, counts)
+    assert kept.columns == records.columns
+    flatten(kept, RECEIPT).write.parquet(str(tmp_path / "gold"))
+    assert sorted(map(tuple, watched_summary(spark, counts.get, spec).collect())) == expected
+
+    folder = str(tmp_path / "in")
+    records.repartition(2).write.parquet(folder)
+    incoming = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    query = (
+        flatten(watched(incoming, spec, "in stream"), RECEIPT)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "state"))
+        .trigger(availableNow=True)
+        .start(str(tmp_path / "out"))
+    )
+    query.awaitTermination(120)
+    totals = Counter()
+    for progress in query.recentProgress:
+        if "in stream" in progress.observedMetrics:
+            totals.update(progress.observedMetrics["in stream"].asDict())
+    assert sorted(map(tuple, watched_summary(spark, totals, spec).collect())) == expected
+
+
+def test_watching_nothing(spark, records):
+    counts = Observation("nothing")
+    watched(records("{bad"), RECEIPT, counts).collect()
+    rows = watched_summary(spark, counts.get, RECEIPT).collect()
+    assert {(r.documents_checked, r.violations, r.failure_rate) for r in rows} == {(0, 0, None)}
