@@ -4,24 +4,40 @@ All rules are evaluated in one pass over the documents, without a shuffle, and g
 rows ``(key..., rule, field, pos, observed)``: ``pos`` is the line position for rules about
 line items, ``observed`` the JSON text of the value found. Documents without a response are
 extraction failures, not violations, and are not checked.
+
+Objects and arrays are looked into to the depth that the specification has. ``charges[].at`` is
+the path of a member of an element, ``flags[]`` that of an element itself.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+import json
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from docpipe.functions.sqltext import quoted, string_literal
-from docpipe.spec import DocumentSpec, Field, PartsTotal, Product, SumOf
+from docpipe.spec import ANY, DocumentSpec, Field, PartsTotal, Product, SumOf
 
 REQUIRED, TYPE, NOT_NULL, NOT_BLANK, FORMAT = "required", "type", "not_null", "not_blank", "format"
 FIELD_RULES = (REQUIRED, TYPE, NOT_NULL, NOT_BLANK, FORMAT)
+#: Asked only where a field lists the values it may have.
+CHOICE = "choice"
+
+# What the columns of opened values and the members of opened objects are called.
+_MEMBERS = "members"
 
-NONE_FOUND = "CAST(array() AS ARRAY<STRUCT<rule: STRING, field: STRING, pos: INT, observed: STRING>>)"
 
 def all_rules(spec: DocumentSpec) -> tuple[str, ...]:
-    return FIELD_RULES + tuple(a.rule for a in spec.arithmetic)
+    choice = (CHOICE,) if any(f.choices for f in _every_field(spec.fields)) else ()
+    return FIELD_RULES + choice + tuple(a.rule for a in spec.arithmetic)
+
+
+def _every_field(fields: Iterable[Field]) -> Iterator[Field]:
+    for f in fields:
+        yield f
+        yield from _every_field(f.fields)
+        yield from _every_field((f.items,) if f.items else ())
 
 
 def violations(
@@ -30,9 +46,12 @@ def violations(
     key: Sequence[str] = ("doc_id",),
     rules: Iterable[str] | None = None,
     response: str = "response",
+    every_level: bool = False,
 ) -> DataFrame:
-    """One row per violation of the given rules (all by default)."""
-    found = _with_violations(silver, spec, key, rules, response)
+    """One row per violation of the given rules (all by default). ``pos`` is the position in the
+    outermost array; with ``every_level`` it is text, the positions in all arrays on the way joined by
+    dots, as in :func:`~docpipe.operators.flatten.flatten_nested`."""
+    found = _with_violations(silver, spec, key, rules, response, every_level=every_level)
     # outer explode and a test on the element: see operators.flatten
     return (
         found.select(*key, F.explode_outer("_violations").alias("_v"))
@@ -118,12 +137,12 @@ def watched_summary(
     return spark.createDataFrame(rows, schema).withColumn("failure_rate", rate)
 
 
-def _with_violations(silver, spec, key, rules, response, every_row=False) -> DataFrame:
+def _with_violations(silver, spec, key, rules, response, every_row=False, every_level=False) -> DataFrame:
     """Checked documents with their violations; with ``every_row`` also those without a response,
     whose violations are NULL. The expressions are written as SQL text: there are several hundred
     of them, and one text is one call to the JVM."""
     chosen = set(rules) if rules is not None else set(all_rules(spec))
-    unknown = chosen - set(all_rules(spec))
+    unknown = chosen - set(all_rules(spec)) - {CHOICE}
     if unknown:
         raise ValueError(f"unknown rules: {sorted(unknown)}")
     documents = silver if every_row else silver.where(F.col(response).isNotNull())
@@ -132,14 +151,17 @@ def _with_violations(silver, spec, key, rules, response, every_row=False) -> Dat
         F.col(response).alias("_root"),
         F.expr(_members(quoted(response), spec.fields)).alias("_top"),
     )
-    nested = [f for f in spec.fields if f.fields]
-    opened = top.select("*", *[F.expr(_opened(f)).alias(f"_{f.name}") for f in nested])
-    checks = _field_checks(spec, chosen)
-    checks += [_arithmetic_check(a) for a in spec.arithmetic if a.rule in chosen]
-    found = f"array_compact(concat({', '.join(checks)}))"
+    nested = [f for f in spec.fields if _has_inner(f)]
+    opened = top.select("*", *[F.expr(_opened(f, _top(f.name))).alias(f"_{f.name}") for f in nested])
+    checks = _Checks(chosen, every_level)
+    found = checks.of_document(spec)
+    listed = f"array_compact(concat({', '.join(found or [checks.none_found])}))"
     if every_row:
-        found = f"CASE WHEN _root IS NOT NULL THEN {found} END"
-    return opened.select(*[quoted(k) for k in key], F.expr(found).alias("_violations"))
+        listed = f"CASE WHEN _root IS NOT NULL THEN {listed} END"
+    return opened.select(*[quoted(k) for k in key], F.expr(listed).alias("_violations"))
+
+
+# -- opened values: every object and array of a record is taken apart once ------------------
 
 
 def _members(value: str, fields: Sequence[Field]) -> str:
@@ -157,100 +179,211 @@ def _open(name: str) -> str:
     return quoted(f"_{name}")
 
 
-def _opened(f: Field) -> str:
+def _has_inner(f: Field) -> bool:
+    return bool(f.fields) or f.items is not None
+
+
+def _opened(f: Field, value: str, depth: int = 0) -> str:
+    """An object as the struct of its members, an array as an array of ``raw`` elements that are
+    ``open`` where they have members or elements of their own; NULL where the value is neither."""
     if f.kind == "object":
-        return _members(_top(f.name), f.fields)
-    elements = f"try_variant_get({_top(f.name)}, '$', 'array<variant>')"
-    opened = f"named_struct('raw', x, 'open', {_members('x', f.fields)})"
-    return f"transform({elements}, x -> {opened})"
-
-
-def _field_checks(spec: DocumentSpec, chosen: set[str]) -> list[str]:
-    checks = []
-    if TYPE in chosen:
-        checks.append(_listed([_violation("_top IS NULL", TYPE, "$", "to_json(_root)")]))
-    for f in spec.fields:
-        found = _value_checks(f, f.name, "_top IS NOT NULL", _top(f.name), chosen)
+        return _opened_object(f.fields, value, depth)
+    x = f"x{depth}"
+    inner = [f"'raw', {x}"]
+    if f.fields:
+        inner.append(f"'open', {_opened_object(f.fields, x, depth + 1)}")
+    elif _has_inner(f.items):
+        inner.append(f"'open', {_opened(f.items, x, depth + 1)}")
+    elements = f"try_variant_get({value}, '$', 'array<variant>')"
+    return f"transform({elements}, {x} -> named_struct({', '.join(inner)}))"
+
+
+def _opened_object(fields: Sequence[Field], value: str, depth: int) -> str:
+    nested = [f for f in fields if _has_inner(f)]
+    members = _members(value, fields)
+    if not nested:
+        return members
+    # a lambda gives the members a name, so that they are read once
+    m = f"m{depth}"
+    parts = [f"'{_MEMBERS}', {m}"]
+    parts += [
+        f"{string_literal(f'_{f.name}')}, {_opened(f, f'{m}.{quoted(f.name)}', depth + 1)}" for f in nested
+    ]
+    return f"transform(array({members}), {m} -> CASE WHEN {m} IS NOT NULL THEN named_struct({', '.join(parts)}) END)[0]"
+
+
+def _member(opened: str, fields: Sequence[Field], name: str) -> str:
+    """A member, still VARIANT, of an object that has been opened."""
+    deep = f".{_MEMBERS}" if any(map(_has_inner, fields)) else ""
+    return f"{opened}{deep}.{quoted(name)}"
+
+
+# -- rules ----------------------------------------------------------------------------------
+
+
+class _Checks:
+    """Texts of the arrays of violations. ``at`` are the names of the positions in the arrays that
+    lead to a value."""
+
+    def __init__(self, chosen: set[str], every_level: bool):
+        self.chosen = chosen
+        self.every_level = every_level
+        pos = "STRING" if every_level else "INT"
+        self.none_found = (
+            f"CAST(array() AS ARRAY<STRUCT<rule: STRING, field: STRING, pos: {pos}, observed: STRING>>)"
+        )
+
+    def of_document(self, spec: DocumentSpec) -> list[str]:
+        arrays = []
+        if TYPE in self.chosen:
+            arrays.append(self.listed([self.violation("_top IS NULL", TYPE, "$", "to_json(_root)")]))
+        for f in spec.fields:
+            arrays += self.together(
+                *self.of_field(f, f.name, "_top IS NOT NULL", _top(f.name), _open(f.name), ())
+            )
+        return arrays + [self.arithmetic(a, spec) for a in spec.arithmetic if a.rule in self.chosen]
+
+    def of_field(
+        self, f: Field, path: str, has_parent: str | None, value: str, opened: str, at: tuple[str, ...]
+    ) -> tuple[list[str], list[str]]:
+        """Single violations of the field and of the members of objects in it, and whole arrays of
+        violations of the elements below. ``has_parent`` is None for an element, which cannot be
+        missing."""
+        single, arrays = self.of_value(f, path, has_parent, value, opened, at), []
         if f.kind == "object":
-            for i in f.fields:
-                value = f"{_open(f.name)}.{quoted(i.name)}"
-                has_parent = f"{_open(f.name)} IS NOT NULL"
-                found += _value_checks(i, f"{f.name}.{i.name}", has_parent, value, chosen)
-        checks.append(_listed(found))
-        if f.kind == "array":
-            checks.append(_element_checks(f, chosen))
-    return checks
-
-
-def _element_checks(f: Field, chosen: set[str]) -> str:
-    found = []
-    for i in f.fields:
-        path = f"{f.name}[].{i.name}"
-        found += _value_checks(i, path, "x.open IS NOT NULL", _in_element(i.name), chosen, "i")
-    if TYPE in chosen:
-        # a null element passes, anything else has to be an object
-        loose = "x.open IS NULL AND x.raw IS NOT NULL AND NOT is_variant_null(x.raw)"
-        found.append(_violation(loose, TYPE, f"{f.name}[]", "to_json(x.raw)", "i"))
-    if not found:
-        return NONE_FOUND
-    per_element = f"transform({_open(f.name)}, (x, i) -> {_listed(found)})"
-    return f"coalesce(flatten({per_element}), {NONE_FOUND})"
-
-
-def _in_element(name: str) -> str:
-    return f"x.open.{quoted(name)}"
-
-
-def _value_checks(
-    f: Field, path: str, has_parent: str, value: str, chosen: set[str], pos: str | None = None
-) -> list[str]:
-    """Violations of one value. Each rule looks at one thing only: a missing key is no null
-    value, and a value of the wrong type is not asked for its format."""
-    observed = f"to_json({value})"
-    text = f"CASE WHEN {_has_kind(value, 'string')} THEN try_variant_get({value}, '$', 'string') END"
-    checks = []
-    if REQUIRED in chosen and f.required:
-        missing = f"{has_parent} AND {value} IS NULL"
-        checks.append(_violation(missing, REQUIRED, path, None, pos))
-    if TYPE in chosen:
-        # an object or array that could not be opened is none
-        right = f"{_open(f.name)} IS NOT NULL" if f.fields else _has_kind(value, f.kind)
-        wrong = f"{value} IS NOT NULL AND NOT is_variant_null({value}) AND NOT ({right})"
-        checks.append(_violation(wrong, TYPE, path, observed, pos))
-    if NOT_NULL in chosen and not f.nullable:
-        checks.append(_violation(f"is_variant_null({value})", NOT_NULL, path, observed, pos))
-    if NOT_BLANK in chosen and not f.nullable and f.kind == "string":
-        checks.append(_violation(f"trim({text}) = ''", NOT_BLANK, path, observed, pos))
-    if FORMAT in chosen and f.pattern:
-        bad = f"NOT ({text}) RLIKE {string_literal(f.pattern)}"
-        if f.date_format:
-            bad += f" OR try_to_date({text}, {string_literal(f.date_format)}) IS NULL"
-        is_text = _has_kind(value, "string")
-        checks.append(_violation(f"{is_text} AND ({bad})", FORMAT, path, observed, pos))
-    return checks
-
-
-def _arithmetic_check(a: Product | SumOf | PartsTotal) -> str:
-    """Compared only where every number is there; exact up to 38 digits."""
-    if isinstance(a, Product):
-        product = _whole(_in_element(a.factors[0]))
-        for name in a.factors[1:]:
-            product = f"try_multiply({product}, {_whole(_in_element(name))})"
-        result = _in_element(a.result)
-        path = f"{a.array}[].{a.result}"
-        wrong = _violation(f"{_whole(result)} <> {product}", a.rule, path, f"to_json({result})", "i")
-        return f"coalesce(transform({_open(a.array)}, (x, i) -> {wrong}), {NONE_FOUND})"
-    result = _top(a.result)
-    if isinstance(a, SumOf):
-        added = f"CAST(try_add(total, {_whole(_in_element(a.item))}) AS DECIMAL(38,0))"
-        start = "CAST(0 AS DECIMAL(38,0))"
-        expected = f"aggregate({_open(a.array)}, {start}, (total, x) -> {added})"
-    else:
-        expected = _whole(_top(a.parts[0]))
-        for name in a.parts[1:]:
-            expected = f"try_add({expected}, {_whole(_top(name))})"
-    differs = f"{_whole(result)} <> {expected}"
-    return _listed([_violation(differs, a.rule, a.result, f"to_json({result})")])
+            single_inside, arrays = self.of_members(f.fields, path, opened, at)
+            single += single_inside
+        elif f.kind == "array":
+            arrays = self.of_elements(f, f"{path}[]", opened, at)
+        return single, arrays
+
+    def of_members(
+        self, fields: Sequence[Field], path: str, opened: str, at: tuple[str, ...]
+    ) -> tuple[list[str], list[str]]:
+        single, arrays = [], []
+        for f in fields:
+            value = _member(opened, fields, f.name)
+            inner = f"{opened}.{_open(f.name)}"
+            own, below = self.of_field(f, f"{path}.{f.name}", f"{opened} IS NOT NULL", value, inner, at)
+            single += own
+            arrays += below
+        return single, arrays
+
+    def of_elements(self, f: Field, path: str, opened: str, at: tuple[str, ...]) -> list[str]:
+        x, i = f"e{len(at)}", f"i{len(at)}"
+        raw, inner, at = f"{x}.raw", f"{x}.open", (*at, i)
+        if f.fields:
+            single, arrays = self.of_members(f.fields, path, inner, at)
+            if TYPE in self.chosen:
+                # a null element passes, anything else has to be an object
+                loose = f"{inner} IS NULL AND {raw} IS NOT NULL AND NOT is_variant_null({raw})"
+                single.append(self.violation(loose, TYPE, path, f"to_json({raw})", at))
+        else:
+            single, arrays = self.of_field(f.items, path, None, raw, inner, at)
+        found = self.together(single, arrays)
+        if not found:
+            return []
+        each = found[0] if len(found) == 1 else f"concat({', '.join(found)})"
+        return [f"coalesce(flatten(transform({opened}, ({x}, {i}) -> {each})), {self.none_found})"]
+
+    def together(self, single: list[str], arrays: list[str]) -> list[str]:
+        return ([self.listed(single)] if single else []) + arrays
+
+    def of_value(
+        self, f: Field, path: str, has_parent: str | None, value: str, opened: str, at: tuple[str, ...]
+    ) -> list[str]:
+        """Violations of one value. Each rule looks at one thing only: a missing key is no null
+        value, and a value of the wrong type is not asked for its format."""
+        observed = f"to_json({value})"
+        text = f"CASE WHEN {_has_kind(value, 'string')} THEN try_variant_get({value}, '$', 'string') END"
+        found = []
+        if REQUIRED in self.chosen and f.required and has_parent is not None:
+            missing = f"{has_parent} AND {value} IS NULL"
+            found.append(self.violation(missing, REQUIRED, path, None, at))
+        if TYPE in self.chosen and f.kind != ANY:
+            # an object or array that could not be opened is none
+            right = f"{opened} IS NOT NULL" if _has_inner(f) else _has_kind(value, f.kind)
+            wrong = f"{value} IS NOT NULL AND NOT is_variant_null({value}) AND NOT ({right})"
+            found.append(self.violation(wrong, TYPE, path, observed, at))
+        if NOT_NULL in self.chosen and not f.nullable:
+            found.append(self.violation(f"is_variant_null({value})", NOT_NULL, path, observed, at))
+        if NOT_BLANK in self.chosen and not f.nullable and f.kind == "string":
+            found.append(self.violation(f"trim({text}) = ''", NOT_BLANK, path, observed, at))
+        if FORMAT in self.chosen and f.pattern:
+            bad = f"NOT ({text}) RLIKE {string_literal(f.pattern)}"
+            if f.date_format:
+                bad += f" OR try_to_date({text}, {string_literal(f.date_format)}) IS NULL"
+            is_text = _has_kind(value, "string")
+            found.append(self.violation(f"{is_text} AND ({bad})", FORMAT, path, observed, at))
+        if CHOICE in self.chosen and f.choices:
+            asked = f"NOT is_variant_null({value})"
+            if f.kind != ANY:
+                asked = _has_kind(value, f.kind)
+            allowed = " OR ".join(_equals(value, c) for c in f.choices)
+            found.append(self.violation(f"{asked} AND NOT ({allowed})", CHOICE, path, observed, at))
+        return found
+
+    def arithmetic(self, a: Product | SumOf | PartsTotal, spec: DocumentSpec) -> str:
+        """Compared only where every number is there; exact up to 38 digits."""
+
+        def item(name: str) -> str:
+            return _member("x.open", spec.field(a.array).fields, name)
+
+        if isinstance(a, Product):
+            product = _whole(item(a.factors[0]))
+            for name in a.factors[1:]:
+                product = f"try_multiply({product}, {_whole(item(name))})"
+            result = item(a.result)
+            path = f"{a.array}[].{a.result}"
+            differs = f"{_whole(result)} <> {product}"
+            wrong = self.violation(differs, a.rule, path, f"to_json({result})", ("i",))
+            return f"coalesce(transform({_open(a.array)}, (x, i) -> {wrong}), {self.none_found})"
+        result = _top(a.result)
+        if isinstance(a, SumOf):
+            added = f"CAST(try_add(total, {_whole(item(a.item))}) AS DECIMAL(38,0))"
+            start = "CAST(0 AS DECIMAL(38,0))"
+            expected = f"aggregate({_open(a.array)}, {start}, (total, x) -> {added})"
+        else:
+            expected = _whole(_top(a.parts[0]))
+            for name in a.parts[1:]:
+                expected = f"try_add({expected}, {_whole(_top(name))})"
+        differs = f"{_whole(result)} <> {expected}"
+        return self.listed([self.violation(differs, a.rule, a.result, f"to_json({result})")])
+
+    def violation(
+        self, condition: str, rule: str, path: str, observed: str | None, at: tuple[str, ...] = ()
+    ) -> str:
+        pos = "CAST(NULL AS STRING)" if self.every_level else "CAST(NULL AS INT)"
+        if at:
+            pos = f"concat_ws('.', {', '.join(at)})" if self.every_level else f"CAST({at[0]} AS INT)"
+        return (
+            f"CASE WHEN {condition} THEN named_struct('rule', {string_literal(rule)}, "
+            f"'field', {string_literal(path)}, 'pos', {pos}, "
+            f"'observed', CAST({observed or 'NULL'} AS STRING)) END"
+        )
+
+    def listed(self, found: Sequence[str]) -> str:
+        return f"array({', '.join(found)})" if found else self.none_found
+
+
+def _equals(value: str, choice) -> str:
+    """Whether a VARIANT equals a JSON value; numbers by their value, in any spelling. Never NULL
+    where the VARIANT is none."""
+    if isinstance(choice, bool):
+        same = f"try_variant_get({value}, '$', 'boolean') = {str(choice).lower()}"
+        return f"({_has_kind(value, 'boolean')} AND {same})"
+    if isinstance(choice, int):
+        whole = f"try_variant_get({value}, '$', 'decimal(38,0)')"
+        same = f"{_has_kind(value, 'integer')} AND {whole} = CAST('{choice}' AS DECIMAL(38,0))"
+        return f"coalesce({same}, false)"
+    if isinstance(choice, float):
+        same = f"try_variant_get({value}, '$', 'double') = CAST('{choice!r}' AS DOUBLE)"
+        return f"coalesce({_has_kind(value, 'number')} AND {same}, false)"
+    if isinstance(choice, str):
+        same = f"try_variant_get({value}, '$', 'string') = {string_literal(choice)}"
+        return f"({_has_kind(value, 'string')} AND {same})"
+    text = json.dumps(choice, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return f"(to_json({value}) = {string_literal(text)})"
 
 
 def _whole(value: str) -> str:
@@ -274,17 +407,3 @@ def _has_kind(value: str, kind: str) -> str:
     if kind == "number":
         return f"({stored} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR {stored} LIKE 'DECIMAL(%)')"
     return f"({stored} = '{kind.upper()}')"
-
-
-def _violation(
-    condition: str, rule: str, path: str, observed: str | None, pos: str | None = None
-) -> str:
-    return (
-        f"CASE WHEN {condition} THEN named_struct('rule', {string_literal(rule)}, "
-        f"'field', {string_literal(path)}, 'pos', CAST({pos or 'NULL'} AS INT), "
-        f"'observed', CAST({observed or 'NULL'} AS STRING)) END"
-    )
-
-
-def _listed(found: Sequence[str]) -> str:
-    return f"array({', '.join(found)})" if found else NONE_FOUND

@@ -213,7 +213,8 @@ CHARGES = DocumentSpec(
 )
 
 
-def _charge_records(spark, sf_dir):
+def _charge_records(spark, sf_dir, in_quotes=None):
+    """``in_quotes`` is a pattern of the times of steps that are written as text."""
     number = F.col("l_linenumber")
 
     def charge(i):
@@ -227,8 +228,11 @@ def _charge_records(spark, sf_dir):
         charges.alias("charges"),
         F.array("l_returnflag", F.lit(None), "l_linestatus").alias("flags"),
     )
+    text = F.to_json(record)
+    if in_quotes is not None:
+        text = F.regexp_replace(text, rf'"at":({in_quotes})(?=[,}}])', '"at":"$1"')
     return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.parse_json(F.to_json(record)).alias("response")
+        "l_orderkey", "l_linenumber", F.parse_json(text).alias("response")
     )
 
 
@@ -287,6 +291,31 @@ def q_check_element_types(spark, sf_dir):
     return validate.violations(records, LOOSE_LINES, key=("order_id",), rules=[validate.TYPE])
 
 
+# The same records as CHARGES, held against stricter rules.
+CHECKED_CHARGES = DocumentSpec(
+    name="checked charges",
+    fields=(
+        Field("part", kind="integer"),
+        Field(
+            "charges",
+            kind="array",
+            fields=(
+                Field("kind", choices=("c0", "c1")),
+                Field("steps", kind="array", fields=(Field("at", kind="integer"),)),
+            ),
+        ),
+        Field("flags", kind="array", items=Field("items", nullable=False, choices=("A", "F", "N", "O"))),
+    ),
+)
+
+
+def q_check_nested(spark, sf_dir):
+    records = _charge_records(spark, sf_dir, in_quotes=r"\d*1")
+    return validate.violations(
+        records, CHECKED_CHARGES, key=("l_orderkey", "l_linenumber"), every_level=True
+    )
+
+
 def q_check_summary(spark, sf_dir):
     return validate.violation_summary(silver(spark, sf_dir), CHECKED)
 
@@ -407,6 +436,7 @@ QUERIES: dict[str, Query] = {
     "check_required": _check(validate.REQUIRED),
     "check_types": _check(validate.TYPE),
     "check_element_types": q_check_element_types,
+    "check_nested": q_check_nested,
     "check_not_null": _check(validate.NOT_NULL, validate.NOT_BLANK),
     "check_formats": _check(validate.FORMAT),
     "check_line_amount": _check("line_amount"),

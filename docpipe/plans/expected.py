@@ -363,6 +363,30 @@ EXPECTED: dict[str, str] = {
                CAST(nulls AS BIGINT) AS nulls, kinds,
                element OR present = parents AS required, nulls > 0 AS nullable
         FROM paths WHERE present > 0""",
+    "check_nested": _CHARGES
+    + """,
+        flag AS (
+          SELECT l_orderkey, l_linenumber, unnest(range(0, 3)) AS i,
+                 unnest([l_returnflag, NULL, l_linestatus]) AS f
+          FROM lineitem)
+        SELECT l_orderkey, l_linenumber, 'required' AS rule, 'charges' AS field, NULL AS pos,
+               NULL AS observed
+        FROM lineitem WHERE l_linenumber % 7 = 3
+        UNION ALL
+        SELECT l_orderkey, l_linenumber, 'required', 'charges[].steps', CAST(i AS VARCHAR), NULL
+        FROM charge WHERE i = 1
+        UNION ALL
+        SELECT l_orderkey, l_linenumber, 'choice', 'charges[].kind', CAST(i AS VARCHAR),
+               '"c' || i || '"'
+        FROM charge WHERE i NOT IN (0, 1)
+        UNION ALL
+        SELECT l_orderkey, l_linenumber, 'type', 'charges[].steps[].at', i || '.' || j,
+               '"' || "at" || '"'
+        FROM step WHERE "at" % 10 = 1
+        UNION ALL
+        SELECT l_orderkey, l_linenumber, CASE WHEN f IS NULL THEN 'not_null' ELSE 'choice' END,
+               'flags[]', CAST(i AS VARCHAR), CASE WHEN f IS NULL THEN 'null' ELSE '"' || f || '"' END
+        FROM flag WHERE f IS NULL OR f NOT IN ('A', 'F', 'N', 'O')""",
     "bronze_receipts": _receipts("SELECT doc_id, text FROM text"),
     "bronze_pages_text": _page_text(),
     "silver_extract": _receipts(_TYPED),

@@ -1,9 +1,14 @@
+import json
+import re
+from collections import Counter
+
 import pytest
 from conftest import plan_of
 from samples import FOREIGN_KEYS, GOLDEN, golden, golden_supplier
 
 from docpipe.operators.validate import all_rules, violation_summary, violations
 from docpipe.plans.receipts import RECEIPT
+from docpipe.spec import DocumentSpec, Field
 
 ONE = {"item_name": "x", "item_quantity": 2, "item_unit_price": 3, "item_amount": 6}
 SUMS = {"subtotal": 6, "consumption_tax": 0, "total_amount": 6}
@@ -14,8 +19,6 @@ def small(**changes):
 
 
 def without(*keys):
-    import json
-
     return json.dumps({k: v for k, v in GOLDEN.items() if k not in keys})
 
 
@@ -188,3 +191,127 @@ def test_one_pass_without_shuffle(records, spark, tmp_path):
     assert "Exchange" not in plan and plan.count("FileScan") == 1
     plan = plan_of(violation_summary(spark.read.parquet(path), RECEIPT))
     assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+
+
+PLACE = Field("place", kind="object", fields=(
+    Field("city", nullable=False),
+    Field("geo", kind="object", fields=(Field("lat", kind="number"), Field("lon", kind="number")), required=False),
+))
+DEEP = DocumentSpec(
+    name="deep",
+    fields=(
+        Field("maker", kind="object", fields=(Field("name"), PLACE)),
+        Field("orders", kind="array", fields=(
+            Field("no", kind="integer"),
+            Field("lines", kind="array", fields=(
+                Field("qty", kind="integer", choices=(1, 2, 3)),
+                PLACE,
+                Field("tags", kind="array", items=Field("items", nullable=False, pattern="^[a-z]+$"), required=False),
+            )),
+        )),
+        Field("grid", kind="array", items=Field("row", kind="array", items=Field("cell", kind="integer"))),
+        Field("extra", kind="any", required=False),
+        Field("mode", kind="any", required=False, choices=("on", 7, True, 0.5, {"a": [1]})),
+    ),
+)
+CITY = {"city": "x", "geo": {"lat": 1.5, "lon": 2}}
+RIGHT = {
+    "maker": {"name": None, "place": CITY},
+    "orders": [{"no": 1, "lines": [{"qty": 2, "place": CITY, "tags": ["a", "b"]}, None]}, {"no": 2, "lines": []}],
+    "grid": [[1, 2], [], None, [None]],
+    "extra": [1, {"b": 2}],
+}
+
+
+def deep(records, record, *rules):
+    rows = violations(records(json.dumps(record)), DEEP, rules=rules or None, every_level=True).collect()
+    return sorted((r.rule, r.field, r.pos or "", r.observed) for r in rows)
+
+
+def by_hand(record):
+    """The rules of DEEP, value by value."""
+    found, missing = [], object()
+
+    def is_a(kind, v):
+        number = isinstance(v, (int, float)) and not isinstance(v, bool)
+        return {
+            "string": isinstance(v, str), "boolean": isinstance(v, bool), "number": number,
+            "integer": number and v == int(v), "object": isinstance(v, dict), "array": isinstance(v, list),
+            "any": True,
+        }[kind]
+
+    def add(rule, path, at, v):
+        text = None if v is missing else json.dumps(v, separators=(",", ":"), sort_keys=True)
+        found.append((rule, path, ".".join(map(str, at)), text))
+
+    def look(f, v, path, at, element=False):
+        if v is missing:
+            if f.required and not element:
+                add("required", path, at, v)
+        elif v is None:
+            if not f.nullable:
+                add("not_null", path, at, v)
+        elif not is_a(f.kind, v):
+            add("type", path, at, v)
+        else:
+            if f.kind == "string" and not f.nullable and not v.strip():
+                add("not_blank", path, at, v)
+            if f.pattern and not re.search(f.pattern, v):
+                add("format", path, at, v)
+            if f.choices and not any(type(c) is type(v) and c == v for c in f.choices):
+                add("choice", path, at, v)
+            if f.kind == "object":
+                for i in f.fields:
+                    look(i, v.get(i.name, missing), f"{path}.{i.name}", at)
+            for n, e in enumerate(v if f.kind == "array" else ()):
+                inner = f.items or Field("element", kind="object", fields=f.fields)
+                look(inner, e, f"{path}[]", (*at, n), element=True)
+
+    for f in DEEP.fields:
+        look(f, record.get(f.name, missing), f.name, ())
+    return sorted(found)
+
+
+WRONG = [
+    RIGHT,
+    {},
+    {**RIGHT, "maker": {"place": {"city": None, "geo": {"lat": "1", "lon": True}}}},
+    {**RIGHT, "maker": {"name": 5, "place": {"geo": 3}}},
+    {**RIGHT, "maker": [1], "orders": {"no": 1}, "grid": "x"},
+    {**RIGHT, "orders": [7, {"no": "1", "lines": 3}, {"lines": [
+        {"qty": 4, "place": {"city": " ", "geo": None}, "tags": ["A", None, 3, ["x"]]}, "loose", {"qty": 1, "place": 0},
+    ]}]},
+    {**RIGHT, "grid": [1, [1, "a", [2], {"c": 1}], {"d": 1}]},
+    *({**RIGHT, "mode": m} for m in ("on", 7, True, 0.5, {"a": [1]}, "off", 8, False, [7], None)),
+]
+
+
+@pytest.mark.parametrize("record", WRONG)
+def test_any_depth_against_checks_by_hand(records, record):
+    assert deep(records, record) == by_hand(record)
+
+
+def test_positions_on_every_level(records):
+    found_ = deep(records, WRONG[5], "format", "choice", "type")
+    assert ("format", "orders[].lines[].tags[]", "2.0.0", '"A"') in found_
+    assert ("choice", "orders[].lines[].qty", "2.0", "4") in found_
+    assert ("type", "orders[].lines[]", "2.1", '"loose"') in found_
+    outermost = violations(records(json.dumps(WRONG[5])), DEEP, rules=["format"]).collect()
+    assert [r.pos for r in outermost] == [2]
+
+
+def test_choices_are_numbers_in_any_spelling(records):
+    spec = DocumentSpec("n", (Field("n", kind="number", choices=(1, 2.5)),))
+    texts = ["1", "1.0", "1e0", "2.5", "25e-1", "3", '"1"', "null"]
+    df = violations(records(*[f'{{"n": {t}}}' for t in texts]), spec, rules=["choice"])
+    assert [r.doc_id for r in df.collect()] == ["6"]
+
+
+def test_depth_costs_no_shuffle(records, spark, tmp_path):
+    path = str(tmp_path / "silver")
+    records(json.dumps(RIGHT)).write.parquet(path)
+    plan = plan_of(violations(spark.read.parquet(path), DEEP))
+    assert "Exchange" not in plan and plan.count("FileScan") == 1
+    summary = {r.rule: r.violations for r in violation_summary(records(*map(json.dumps, WRONG)), DEEP).collect()}
+    counted = Counter(v[0] for record in WRONG for v in by_hand(record))
+    assert summary == {rule: counted[rule] for rule in all_rules(DEEP)}
