@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import PySparkException
 
 from docpipe.functions.sqltext import identifier, quoted, string_literal
+from docpipe.operators.keys import assert_new_keys
 from docpipe.session import delete_path, list_folder
 from docpipe.spec import DocumentSpec, type_text
 
@@ -85,6 +86,48 @@ def create_or_replace(
     return spark.table(table)
 
 
+def append(
+    df: DataFrame,
+    table: str,
+    key: Sequence[str] | None = None,
+    check: Callable[[DataFrame], None] | None = None,
+) -> DataFrame:
+    """Adds rows to ``table`` if they keep its key, by default the recorded one, and returns the
+    table; otherwise raises :class:`~docpipe.operators.keys.ConstraintViolation` and leaves it as
+    it was.
+
+    The rows are written to a folder of their own first, so that what is checked is what is added,
+    random ids included, and are read from there. Columns are taken by name; they must be those of
+    the table. The table is read once, for its keys only (see
+    :func:`~docpipe.operators.keys.clashing_keys`). One writer at a time: two appends that run
+    together do not see each other's keys. ``df`` may read the table itself.
+    """
+    spark = df.sparkSession
+    target = spark.table(table)
+    if sorted(df.columns) != sorted(target.columns):
+        raise ValueError(f"columns {sorted(df.columns)} are not those of {table}: {sorted(target.columns)}")
+    rows = df.select(*map(quoted, target.columns))
+    other = [(a, b) for a, b in zip(_types(rows), _types(target)) if a != b]
+    if other:
+        raise ValueError(f"types are not those of {table}: {other}")
+    if key is None:
+        noted = _description(spark, table).properties.get(KEY_PROPERTY)
+        key = noted.split(",") if noted else []
+    place = f"{_new_place(spark, table)}__rows"
+    try:
+        rows.write.parquet(place)
+        staged = _build(spark, rows, place)
+        if key:
+            assert_new_keys(target, staged, key)
+        if check is not None:
+            check(staged)
+        staged.write.insertInto(table)
+    finally:
+        _delete(spark, place)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def recover(spark: SparkSession, table: str, forward: bool = True) -> None:
     """Finishes, or takes back, a change of columns that was broken off. While such a change is
     under way the old table has another name for the time of one statement; what is whole under

@@ -21,7 +21,7 @@ from docpipe.operators.extract import (
 )
 from docpipe.operators.flatten import flatten, flatten_documents, flatten_nested, rejects
 from docpipe.operators.infer import inferred_fields, path_counts
-from docpipe.operators.keys import duplicate_keys, null_counts
+from docpipe.operators.keys import clashing_keys, duplicate_keys, null_counts
 from docpipe.operators.nearest import vector_topk
 from docpipe.operators.tables import dictionary, output_comments, with_comments
 from docpipe.operators.vectorindex import build_index
@@ -29,6 +29,7 @@ from docpipe.plans.receipts import RECEIPT, table
 from docpipe.spec import DocumentSpec, Field, Output
 from docpipe.plans.stages import bronze, printed_receipts, receipt_model, silver
 from docpipe.session import new_path
+from docpipe.sources.files import read_file_ranges
 from docpipe.sources.pages import PAGE, html_text, page_json, page_manifest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +78,20 @@ def q_bronze_pages_text(spark, sf_dir):
 # -- records ---------------------------------------------------------------------------
 
 
+def q_file_ranges(spark, sf_dir):
+    """All texts as files by language, read back in pieces that no line end bounds."""
+    path = new_path(spark, "text-files")
+    texts = table(spark, sf_dir, "documents").select("text", F.coalesce("lang", F.lit("none")).alias("lang"))
+    texts.write.partitionBy("lang").text(path)
+    pieces = read_file_ranges(spark, path, "*.txt", recursive=True, range_bytes=1_000_003)
+    size = F.octet_length("content")
+    one_each = F.decode("content", "ISO-8859-1")  # one character per byte
+    ends = size - F.length(F.replace(one_each, F.lit("\n"), F.lit("")))
+    return pieces.groupBy(F.regexp_extract("path", "lang=([^/]*)/", 1).alias("lang")).agg(
+        F.sum(size).alias("n_bytes"), F.sum(ends).alias("n_line_ends")
+    )
+
+
 def q_silver_extract(spark, sf_dir):
     return _typed(extract_fields(bronze(spark, sf_dir), receipt_model()))
 
@@ -332,6 +347,14 @@ def q_key_violations(spark, sf_dir):
     return duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def q_key_clashes(spark, sf_dir):
+    """Lines shipped late whose key a line shipped before has as well."""
+    lines = table(spark, sf_dir, "lineitem")
+    late = F.col("l_shipdate") >= F.lit("1998-01-01").cast("date")
+    key = ["l_orderkey", "l_linenumber"]
+    return clashing_keys(lines.where(~late), lines.where(late), key)
+
+
 def q_not_null_counts(spark, sf_dir):
     gold = flatten(silver(spark, sf_dir), RECEIPT)
     return null_counts(gold, ["id", "issue_date", "supplier_zip", "subtotal"])
@@ -414,6 +437,7 @@ def q_document_neighbours(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "page_manifest": q_page_manifest,
     "bronze_receipts": q_bronze_receipts,
+    "file_ranges": q_file_ranges,
     "bronze_pages_text": q_bronze_pages_text,
     "silver_extract": q_silver_extract,
     "silver_callable": q_silver_callable,
@@ -444,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "check_summary": q_check_summary,
     "gold_watched_summary": q_gold_watched_summary,
     "key_violations": q_key_violations,
+    "key_clashes": q_key_clashes,
     "not_null_counts": q_not_null_counts,
     "gold_key_check": q_gold_key_check,
     "gold_dictionary": q_gold_dictionary,

@@ -389,6 +389,11 @@ EXPECTED: dict[str, str] = {
         FROM flag WHERE f IS NULL OR f NOT IN ('A', 'F', 'N', 'O')""",
     "bronze_receipts": _receipts("SELECT doc_id, text FROM text"),
     "bronze_pages_text": _page_text(),
+    "file_ranges": """
+        SELECT coalesce(lang, 'none') AS lang,
+               CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS n_bytes,
+               CAST(sum(length(text) - length(replace(text, chr(10), ''))) + count(*) AS BIGINT) AS n_line_ends
+        FROM documents GROUP BY 1""",
     "silver_extract": _receipts(_TYPED),
     "silver_callable": _receipts(_TYPED),
     "silver_distinct_texts": _receipts(_TYPED),
@@ -446,6 +451,9 @@ EXPECTED: dict[str, str] = {
     "gold_watched_summary": _summary(),
     "key_violations": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "key_clashes": """SELECT l_orderkey, l_linenumber FROM lineitem
+        WHERE l_shipdate >= DATE '1998-01-01'
+        INTERSECT SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_shipdate < DATE '1998-01-01'""",
     "not_null_counts": _not_null_counts(),
     "gold_dictionary": _dictionary(),
     "gold_key_check": _key_check(),

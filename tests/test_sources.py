@@ -1,10 +1,15 @@
+import os
+from collections import defaultdict
+
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
 from docpipe.operators.extract import ExpressionModel, extract_fields
 from docpipe.operators.flatten import flatten_documents
-from docpipe.sources.files import decoded_text, extract_text, file_manifest, read_files
+from docpipe.sources.files import (
+    decoded_text, extract_text, file_manifest, packed_ranges, read_file_ranges, read_files,
+)
 from docpipe.sources.pages import PAGE, html_text, page_json, page_manifest
 
 
@@ -94,3 +99,56 @@ def test_page_record(spark):
         (2, None, None, None, None),
         (3, "NULL_INPUT", None, None, None),
     ]
+
+
+def whole(rows):
+    """Ranges put together again, by name; they have to cover each file once."""
+    pieces = defaultdict(list)
+    for r in sorted(rows, key=lambda r: r.start):
+        assert r.start == sum(map(len, pieces[r.name])) and os.path.basename(r.path) == r.name
+        pieces[r.name].append(bytes(r.content))
+        assert r.length >= r.start + len(r.content)
+    return {name: b"".join(p) for name, p in pieces.items()}
+
+
+def test_a_file_beyond_the_largest_row_is_read_by_several_tasks(spark, tmp_path):
+    content = {"large.bin": os.urandom(1_000_007), "exact.bin": os.urandom(200_000), "empty.bin": b"", "é x.bin": b"1"}
+    for name, value in content.items():
+        (tmp_path / name).write_bytes(value)
+    (tmp_path / "_hidden.bin").write_bytes(b"no")
+    (tmp_path / "other.txt").write_bytes(b"no")
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(limit, "500000")
+    try:
+        with pytest.raises(Exception, match="(?i)exceed|max"):
+            read_files(spark, str(tmp_path), "large.bin").collect()
+        for path in (str(tmp_path), f"file://{tmp_path}", f"file:{tmp_path}"):
+            df = read_file_ranges(spark, path, "*.bin", range_bytes=100_000, task_bytes=250_000)
+            rows = df.withColumn("task", F.spark_partition_id()).collect()
+            assert whole(rows) == content
+            assert max(len(r.content) for r in rows) == 100_000
+            assert len({r.task for r in rows if r.name == "large.bin"}) >= 4
+    finally:
+        spark.conf.unset(limit)
+
+
+def test_ranges_of_folders(spark, folder):
+    names = lambda df: sorted(r.name for r in df.collect())
+    assert names(read_file_ranges(spark, folder)) == ["a.pdf", "b.txt"]
+    assert names(read_file_ranges(spark, folder, "*.pdf", recursive=True)) == ["a.pdf", "c.pdf"]
+    assert names(read_file_ranges(spark, f"{folder}/b.txt")) == ["b.txt"]
+    assert names(read_file_ranges(spark, folder, "*.none")) == []
+    with pytest.raises(Exception, match="FileNotFoundError|not found|No such"):
+        read_file_ranges(spark, f"{folder}/nowhere").collect()
+    with pytest.raises(ValueError):
+        read_file_ranges(spark, folder, range_bytes=0)
+
+
+def test_tasks_are_packed_by_size():
+    small = [(f"f{i}", 10) for i in range(1000)]
+    tasks = list(packed_ranges([*small, ("g", 1000)], 160, 320))
+    assert sum(len(t) for t in tasks) == 1000 + 7
+    assert all(sum(r[3] + 10 for r in t) <= 320 for t in tasks) and len(tasks) < 80
+    assert list(packed_ranges([], 160, 320)) == []
+    # a range above the size of a task is a task of its own
+    assert [len(t) for t in packed_ranges([("g", 1000)], 500, 100)] == [1, 1]

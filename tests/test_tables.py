@@ -1,4 +1,5 @@
 import pytest
+from conftest import optimized, plan_of
 from pyspark.sql import functions as F
 from samples import LINES, golden
 
@@ -7,6 +8,7 @@ from docpipe.operators import keys, tables
 from docpipe.operators.extract import CallableModel
 from docpipe.operators.tables import (
     KEY_PROPERTY,
+    append,
     create_namespace,
     create_or_replace,
     dictionary,
@@ -245,3 +247,79 @@ def test_a_running_reader_keeps_its_build(spark, space):
     with pytest.raises(Exception, match="no"):
         create_or_replace(spark.range(3).selectExpr("raise_error('no') AS id"), f"{space}.read")
     assert drop_builds(spark, f"{space}.read") == 1 and spark.table(f"{space}.read").count() == 9
+
+
+def test_append_keeps_the_key(spark, space):
+    name = f"{space}.appended"
+    first = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], "id bigint, part string, x double")
+    create_or_replace(first, name)
+    record_key(spark, name, ["id", "part"])
+    rows = lambda: sorted(map(tuple, spark.table(name).collect()))
+    before = rows()
+    clash, repeated = [(3, "c", 0.0), (2, "b", 9.0)], [(3, "c", 0.0), (3, "c", 1.0)]
+    for bad, problem in ((clash, "already there"), (repeated, "not unique"), ([(None, "c", 0.0)], "NULL")):
+        with pytest.raises(keys.ConstraintViolation, match=problem):
+            append(spark.createDataFrame(bad, first.schema), name)
+        assert rows() == before
+    # by name, whatever the order; a key of two columns clashes only as a whole
+    more = spark.createDataFrame([(5.0, 2, "a"), (6.0, 1, "b")], "x double, id bigint, part string")
+    append(more, name)
+    assert rows() == sorted([*before, (2, "a", 5.0), (1, "b", 6.0)])
+    assert append(first.where("false"), name).count() == 4
+    # rows of the table itself
+    append(spark.table(name).withColumn("id", F.col("id") + 10), name)
+    assert spark.table(name).count() == 8
+    assert properties(spark, name)[KEY_PROPERTY] == "id,part"
+    assert drop_builds(spark, name) == 0
+
+
+def test_append_of_other_columns_or_refused_rows(spark, space):
+    name = f"{space}.appended_too"
+    create_or_replace(spark.range(3).withColumn("t", F.lit("x")), name)
+    with pytest.raises(ValueError, match="columns"):
+        append(spark.range(3), name)
+    with pytest.raises(ValueError, match="types"):
+        append(spark.range(3).withColumn("t", F.lit(1)), name)
+
+    def refuse(rows):
+        raise keys.ConstraintViolation(f"{rows.count()} rows")
+
+    with pytest.raises(keys.ConstraintViolation, match="^2 rows$"):
+        append(spark.range(2).withColumn("t", F.lit("x")), name, check=refuse)
+    assert spark.table(name).count() == 3
+    # no key: rows may repeat; random values are added as they were checked
+    seen = []
+    append(
+        spark.range(2).withColumn("t", F.uuid()), name, check=lambda rows: seen.extend(r.t for r in rows.collect())
+    )
+    assert sorted(r.t for r in spark.table(name).where("t <> 'x'").collect()) == sorted(seen)
+
+
+def test_clashing_keys_against_brute_force(spark):
+    columns = "a bigint, b string, d double"
+    old = [(i % 700, str(i % 3), float(i % 5)) for i in range(3000)] + [(None, "0", 0.0), (1, "hot", 0.0)] + [(7, "hot", 0.0)] * 500
+    new = [(i, "1", float(i % 5)) for i in range(600, 800)] + [(None, "0", 0.0), (7, "hot", -0.0), (8, "hot", 0.0)]
+    expected = sorted({n for n in new if None not in n} & set(old))
+    existing, added = spark.createDataFrame(old, columns), spark.createDataFrame(new, columns)
+    found = keys.clashing_keys(existing, added, ["a", "b", "d"])
+    assert sorted(map(tuple, found.collect())) == expected and len(expected) > 20
+    assert keys.clashing_keys(existing, added.where("false"), ["a"]).collect() == []
+    assert keys.clashing_keys(existing.where("false"), added, ["a"]).collect() == []
+
+
+def test_only_rows_that_may_clash_are_moved(spark, tmp_path):
+    path = str(tmp_path / "existing")
+    spark.range(200_000).write.parquet(path)
+    existing, added = spark.read.parquet(path), spark.range(199_990, 200_100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = keys.clashing_keys(existing, added, ["id"])
+        assert "BroadcastHashJoin" in plan_of(found) and "SortMergeJoin" in plan_of(found)
+        assert sorted(r.id for r in found.collect()) == list(range(199_990, 200_000))
+        # rows of the aggregate below the exact join: what passed the bits
+        semi = found._jdf.queryExecution().optimizedPlan().children().head()
+        passed = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, semi).count()
+        assert passed < 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "rand" in optimized(found)
