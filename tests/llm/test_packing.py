@@ -46,6 +46,44 @@ def test_one_size_is_best_fit_decreasing(lengths):
     assert len(plan.capacity) == best_fit_by_search(lengths, 20)
 
 
+def cost_by_search(lengths, costs, floor):
+    """Item by item over a plain list of bins: the one with least room that holds it, of several
+    the one that came to this room last, else a new bin; then every bin gets its cheapest size."""
+
+    def cheapest(least):
+        return min((c, s) for s, c in costs.items() if s >= least)[1]
+
+    bins, turn = [], 0  # room, when it came to it, filled
+    for n in sorted(lengths, reverse=True):
+        turn += 1
+        fits = [b for b in bins if b[0] >= n]
+        if fits:
+            chosen = min(fits, key=lambda b: (b[0], -b[1]))
+        else:
+            least = min(s for s in costs if s >= n)
+            chosen = [cheapest(max(least, floor)), turn, 0]
+            bins.append(chosen)
+        chosen[:] = chosen[0] - n, turn, chosen[2] + n
+    return sum(costs[cheapest(filled)] for _, _, filled in bins)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 32), max_size=50), st.sampled_from([COSTS, {5: 5.0, 9: 12.0, 32: 33.0}, {32: 1.0, 64: 1.5}]))
+def test_several_sizes_against_a_search(lengths, costs):
+    plan = cheapest_plan(np.array(lengths, np.int64), costs)
+    assert plan.cost == pytest.approx(min(cost_by_search(lengths, costs, f) for f in costs))
+
+
+def test_the_query_against_a_search(spark, documents):
+    """One task, one block: full pieces are bins of their own, rests are packed as by the search."""
+    costs = {64: 70.0, 128: 150.0, 256: 330.0}
+    lengths = [r.n for r in documents.select(word_count().alias("n")).collect()]
+    rests = [n % 256 for n in lengths if n % 256]
+    least = min(cost_by_search(rests, costs, f) for f in costs) + sum(n // 256 for n in lengths) * costs[256]
+    bins = pack(documents.coalesce(1), word_count(), costs).select("bin_id", "capacity").distinct().collect()
+    assert sum(costs[b.capacity] for b in bins if b.capacity) == pytest.approx(least)
+
+
 def test_every_token_once(spark, documents):
     rows = pack(documents, word_count(), {64: 70.0, 128: 150.0, 256: 330.0}).collect()
     sizes = {r.doc_id: r.n for r in documents.select("doc_id", word_count().alias("n")).collect()}
