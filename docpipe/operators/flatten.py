@@ -160,6 +160,40 @@ def flatten_documents(
     return documents.select(*key, *columns)
 
 
+def read_paths(
+    silver: DataFrame,
+    spec: DocumentSpec,
+    paths: Sequence[str],
+    key: Sequence[str] = ("doc_id",),
+    *,
+    response: str = "response",
+) -> DataFrame:
+    """Single values of records, by their dotted paths: the key and one column per path, named
+    like it with underscores, whole numbers as BIGINT.
+
+    Records are written in pieces: where the values of a path agree in type they are a column of
+    their own in the file. Reading some paths reads those columns only, and a comparison of such
+    a column with a value is tested in the scan. A file with a record that is no object is in
+    one piece; it gives the same values. Values of another type are converted as by the
+    ``variant`` reader of :func:`parsed`, and are NULL where they cannot be.
+    """
+    columns = []
+    for path in paths:
+        fields, steps, kind = spec.fields, [], None
+        for name in path.split("."):
+            f = next((f for f in fields if f.name == name), None)
+            if f is None:
+                raise ValueError(f"{path}: {spec.name} has no such field")
+            steps.append("['" + name.replace("'", "\\'") + "']")
+            fields, kind = f.fields, f.kind
+        types = {"string": "string", "integer": "bigint", "number": "double", "boolean": "boolean"}
+        if kind not in types:
+            raise ValueError(f"{path} is {kind}, not a single value")
+        value = F.try_variant_get(F.col(quoted(response)), "$" + "".join(steps), types[kind])
+        columns.append(value.alias(path.replace(".", "_")))
+    return silver.select(*[quoted(k) for k in key], *columns)
+
+
 def rejects(
     silver: DataFrame,
     spec: DocumentSpec,

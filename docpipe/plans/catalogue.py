@@ -19,7 +19,7 @@ from docpipe.operators.extract import (
     preview,
     register_model,
 )
-from docpipe.operators.flatten import flatten, flatten_documents, flatten_nested, rejects
+from docpipe.operators.flatten import flatten, flatten_documents, flatten_nested, read_paths, rejects
 from docpipe.operators.infer import inferred_fields, path_counts
 from docpipe.operators.keys import clashing_keys, duplicate_keys, null_counts
 from docpipe.operators.nearest import vector_topk
@@ -160,6 +160,14 @@ def q_silver_roundtrip(spark, sf_dir):
     )
 
 
+def q_silver_paths(spark, sf_dir):
+    """Three values of each record, of large receipts only; no other part of a record is read."""
+    values = read_paths(
+        silver(spark, sf_dir), RECEIPT, ["issue_date", "supplier.zip_code", "total_amount"]
+    )
+    return values.where(F.col("total_amount") >= 200_000)
+
+
 def q_error_summary(spark, sf_dir):
     records = silver(spark, sf_dir)
     lines = F.size(F.try_variant_get("response", "$.details", "array<variant>"))
@@ -448,6 +456,7 @@ QUERIES: dict[str, Query] = {
     "preview_extract": q_preview_extract,
     "lateral_alias": q_lateral_alias,
     "silver_roundtrip": q_silver_roundtrip,
+    "silver_paths": q_silver_paths,
     "error_summary": q_error_summary,
     "pages_extract": q_pages_extract,
     "gold_flatten": q_gold_flatten,

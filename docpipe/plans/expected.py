@@ -392,7 +392,7 @@ EXPECTED: dict[str, str] = {
     "file_ranges": """
         SELECT coalesce(lang, 'none') AS lang,
                CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS n_bytes,
-               CAST(sum(length(text) - length(replace(text, chr(10), ''))) + count(*) AS BIGINT) AS n_line_ends
+               CAST(coalesce(sum(length(text) - length(replace(text, chr(10), ''))), 0) + count(*) AS BIGINT) AS n_line_ends
         FROM documents GROUP BY 1""",
     "silver_extract": _receipts(_TYPED),
     "silver_callable": _receipts(_TYPED),
@@ -410,6 +410,11 @@ EXPECTED: dict[str, str] = {
                   ELSE CAST(true_subtotal AS VARCHAR) END AS subtotal
            FROM doc d LEFT JOIN item i ON d.k = i.k AND d.sheet = i.sheet AND i.pos = 0"""
     ),
+    "silver_paths": _receipts(
+        """SELECT doc_id, issue_date, supplier_zip AS supplier_zip_code,
+             total_amount_with_tax AS total_amount
+           FROM header WHERE total_amount_with_tax >= 200000"""
+    ),
     "error_summary": _receipts(
         """SELECT CASE WHEN NOT readable THEN 'NO_FIELDS_FOUND' WHEN has_lines THEN 'flattened'
              ELSE 'no_lines' END AS outcome, count(*) AS documents FROM doc GROUP BY 1"""

@@ -1,11 +1,13 @@
+import json
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import optimized, plan_of
 from pyspark.sql import functions as F
 from samples import FOREIGN_KEYS, GOLDEN, LINES, SUBTOTAL, TAX, TOTAL, golden
 
-from docpipe.operators.flatten import flatten, flatten_documents, flatten_nested, rejects
+from docpipe.operators.flatten import flatten, flatten_documents, flatten_nested, read_paths, rejects
 from docpipe.plans.receipts import COLUMN_COMMENTS, RECEIPT
 from docpipe.spec import DocumentSpec, Field, Output
 
@@ -226,3 +228,37 @@ def test_nested_ids_and_one_parse(records):
         flatten_nested(silver, NESTED, "orders[].lines[]", outputs=wrong)
     with pytest.raises(ValueError, match="ends with"):
         flatten_nested(silver, NESTED, "orders[].lines", outputs=outputs)
+
+
+def test_paths_are_columns_of_the_file(spark, records, tmp_path):
+    path = str(tmp_path / "silver")
+    texts = [golden(subtotal=n, remarks="r" * 500) for n in range(200)]
+    texts += [golden(subtotal="17"), golden(subtotal="1,000"), golden(supplier=None), "{bad"]
+    records(*texts).coalesce(1).write.parquet(path)
+    stored = pq.read_schema(next((tmp_path / "silver").glob("*.parquet")))
+    assert "subtotal" in str(stored.field("response").type)
+    names = ["subtotal", "supplier.zip_code"]
+    df = read_paths(spark.read.parquet(path), RECEIPT, names)
+    assert df.columns == ["doc_id", "subtotal", "supplier_zip_code"]
+    found = df.where("subtotal = 17")
+    assert sorted(r.doc_id for r in found.collect()) == ["18", "201"]
+    rest = {r.doc_id: r[1:] for r in df.where("doc_id > '201'").collect()}
+    zip_code = json.loads(golden())["supplier"]["zip_code"]
+    assert rest["202"] == (None, zip_code) and rest["203"][1] is None and rest["204"] == (None, None)
+    plan = plan_of(found)
+    read = plan[plan.index("ReadSchema:") :]
+    assert "variant" not in read and "response:struct<" in read
+    pushed = plan[plan.index("PushedFilters:") : plan.index("ReadSchema:")]
+    assert "EqualTo(response" in pushed
+    # the same values where a record that is no object keeps a file in one piece
+    other = str(tmp_path / "mixed")
+    records("[1]", *texts).coalesce(1).write.parquet(other)
+    mixed = read_paths(spark.read.parquet(other), RECEIPT, names).drop("doc_id")
+    assert sorted(mixed.where("subtotal is not null").collect()) == sorted(df.drop("doc_id").where("subtotal is not null").collect())
+    assert mixed.count() == df.count() + 1
+
+
+def test_paths_that_are_no_single_value(records):
+    for wrong in ("details", "supplier", "nothing", "supplier.nothing"):
+        with pytest.raises(ValueError):
+            read_paths(records(golden()), RECEIPT, [wrong])
