@@ -20,8 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from docpipe.llm.batches import text_parts
 from docpipe.llm.linking import near_components
-from docpipe.llm.marks import MARK_BITS, mark_array, marks_of
-from docpipe.llm.probminhash import picked_texts
+from docpipe.llm.marks import MARK_BITS, mark_array, marked, marks_of
 from docpipe.llm.shingles import SHINGLE_WORDS, mixed, shingles, signed, words, Words
 from docpipe.llm.staging import written
 from docpipe.session import ship
@@ -223,11 +222,13 @@ FRAGMENT = "doc_id bigint, first bigint, last bigint, start bigint, `end` bigint
 
 def _followed(docs: DataFrame, pairs: DataFrame, similarity: float, least_words: int) -> DataFrame:
     """Spans of at least ``least_words`` words that document ``b`` shares with ``a``, for
-    ``pairs(a, b)``. Only texts of the pairs are moved."""
+    ``pairs(a, b)``. Only texts of the pairs are moved: once each to meet the pairs, and those of
+    the later documents once more for each document that they are compared with."""
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    picked = picked_texts(docs, needed)
-    sides = [picked.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab"]
-    both = pairs.select("a", "b").join(sides[0], "a").join(sides[1], "b")
+    marks = marks_of(needed.select(F.xxhash64("id").alias("hash")), "hash")
+    few = marked(docs.select(F.col("doc_id").alias("id"), "text"), F.xxhash64("id"), marks)
+    sides = [few.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab"]
+    both = pairs.select("a", "b").join(sides[1], "b").join(sides[0], "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         @lru_cache(maxsize=64)
@@ -276,13 +277,15 @@ def repeated_passages(
         F.col("doc_id").cast("bigint").alias("doc_id"), "text"
     )
     marks = _recurring_marks(_band_rows(rows))
-    found = written(_candidates(rows, marks), "paragraphs")
+    # places and sets apart, by two passes over the texts: a set is needed once per content
+    found = written(_candidates(rows, marks).drop("bands", "shingles"), "paragraphs")
     own = (
         found.groupBy("content")
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     )
     contents = written(own, "contents")
-    sets = written(found.select("content", "bands", "shingles").dropDuplicates(["content"]), "sets")
+    each = _candidates(rows, marks).select("content", "bands", "shingles")
+    sets = written(each.dropDuplicates(["content"]), "sets")
     banded = sets.select(
         F.col("content").alias("node"), F.size(F.array_distinct("shingles")).alias("size"),
         F.explode("bands").alias("band"),
