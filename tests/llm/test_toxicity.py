@@ -106,3 +106,32 @@ def test_query(spark, sf_dir):
     assert df.dtypes[:4] == [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"),
                              ("predicted", "int")]
     assert all(r.predicted == int(r.score >= 0.7) for r in df.collect())
+
+
+def test_every_labelled_row_is_learned_from(spark, labelled):
+    """Counts are those of all labelled rows, long texts and repeated ids included."""
+    docs, labels, truth = labelled
+    long = spark.createDataFrame([(3, "zlast " + "w1 " * 6000, "en")], docs.schema)
+    known = {i for i in truth if zlib.crc32(str(i).encode()) % 3 != 1}
+    many = docs.unionByName(long)
+    rows = toxicity.labelled_rows(many, labels, 7)
+    assert rows.count() == len(known) + (3 in known)
+    texts = [(r.doc_id, r.text) for r in many.collect() if r.doc_id in known]
+    expected = np.zeros((2, toxicity.BUCKETS + 1), int)
+    for i, text in texts:
+        expected[truth[i], np.unique(toxicity.buckets([text])[0])] += 1
+    expected[:, toxicity.BUCKETS] = 0
+    expected[:, expected.sum(axis=0) < toxicity.MIN_TEXTS] = 0
+    assert (toxicity.counted_buckets(rows) == expected).all()
+
+
+def test_many_shards_learn_the_same_way(spark, labelled, monkeypatch):
+    """Rows dealt to many shards, each an average part of the training; the result is the same
+    on every run and as good."""
+    docs, labels, truth = labelled
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 150)
+    a = toxicity.with_toxicity(docs, labels, ["doc_id"]).orderBy("doc_id").collect()
+    b = toxicity.with_toxicity(docs.repartition(7), labels, ["doc_id"]).orderBy("doc_id").collect()
+    assert a == b
+    out = [r for r in a if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    assert np.mean([(r.score >= 0.7) == truth[r.doc_id] for r in out]) > 0.93
