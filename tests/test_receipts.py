@@ -86,6 +86,13 @@ def test_plan_reads_the_lines_once(corpus):
     assert plan.count("l_linenumber") and plan.count("FileScan") == 1
 
 
+def test_lists_of_lines_are_not_moved_to_their_orders(corpus):
+    frames, _, _ = corpus
+    plan = plan_of(receipt_texts(*frames))
+    moves = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "l_linenumber" not in x]
+    assert moves and not any("sheet" in x for x in moves)
+
+
 def test_the_parts_add_up(corpus):
     """Every sheet has its own sums; together they are those of the order."""
     frames, texts, _ = corpus
