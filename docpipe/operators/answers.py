@@ -18,7 +18,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from docpipe.operators.extract import NULL_INPUT, CallableModel, call_in_batches, extract_fields
+from docpipe.operators.extract import CallableModel, call_in_batches, extract_fields, text_key
 from docpipe.session import delete_path, list_folder, ship
 
 #: A task notes its answers when it has so many. What a lost task had not noted is asked again.
@@ -41,13 +41,14 @@ class AnswerLog:
     def answers(self) -> DataFrame:
         """``text_key, result, errorMessage``, one row per text; an answer goes before an
         error. ``text_key`` is the SHA-256 of the text."""
-        known = [p for p in (self._answers, *list_folder(self.spark, self._journal)) if list_folder(self.spark, p)]
-        if not known:
+        notes = self._notes()
+        if notes is None:
             return self.spark.createDataFrame([], _NOTE)
-        notes = self.spark.read.schema(_NOTE).parquet(*known)
-        # texts are noted twice only where a run was cut off while it moved its notes
-        first = Window.partitionBy(KEY).orderBy(F.col("errorMessage").asc_nulls_first(), "result")
-        return notes.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+        return _first_notes(notes, KEY)
+
+    def _notes(self) -> DataFrame | None:
+        known = [p for p in (self._answers, *list_folder(self.spark, self._journal)) if list_folder(self.spark, p)]
+        return self.spark.read.schema(_NOTE).parquet(*known) if known else None
 
     def fold(self) -> None:
         """Moves what runs have noted to the answers. Cut off anywhere, nothing is lost."""
@@ -69,14 +70,24 @@ class AnswerLog:
         """Calls the model for the different texts that have no answer yet, once for each."""
         ship(self.spark)
         self.fold()
-        known = self.answers()
-        if retry_errors:
-            known = known.where("errorMessage IS NULL")
         keyed = texts.where(F.col(text).isNotNull()).select(
-            F.sha2(F.col(text), 256).alias(KEY), F.col(text).alias("text")
+            text_key(text).alias("_text_key"), F.col(text).alias("text")
+        )
+        known = self._notes()
+        if known is not None:
+            # keys are compared before texts are moved, and none are where every answer is there
+            known = known.where("errorMessage IS NULL") if retry_errors else known
+            missing = keyed.select("_text_key").join(
+                known.select(F.unhex(KEY).alias("_text_key")), "_text_key", "left_anti"
+            )
+            if missing.isEmpty():
+                return
+            keyed = keyed.join(missing.distinct(), "_text_key", "left_semi")
+        pending = (
+            keyed.groupBy("_text_key")
+            .agg(F.first("text").alias("text"))
+            .select(F.lower(F.hex("_text_key")).alias(KEY), "text")
         )
-        # keys are compared before texts are moved
-        pending = keyed.join(known.select(KEY), KEY, "left_anti").groupBy(KEY).agg(F.first("text").alias("text"))
         if partitions:
             pending = pending.repartition(partitions, KEY)
         run = f"{self._journal}/{uuid.uuid4().hex}"
@@ -136,18 +147,27 @@ def _write(store: fs.FileSystem, folder: str, part: str, notes: list[tuple]) ->
     store.move(f"{folder}/.{name}", f"{folder}/{name}")
 
 
-class _Noted:
-    """The answers of a log in the place of a model."""
+def _first_notes(notes: DataFrame, key: str) -> DataFrame:
+    # texts are noted twice only where a run was cut off while it moved its notes
+    first = Window.partitionBy(key).orderBy(F.col("errorMessage").asc_nulls_first(), "result")
+    return notes.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
-    def __init__(self, answers: DataFrame):
-        self.answers = answers
 
-    def add_answer(self, df: DataFrame, text: str, fail_on_error: bool) -> DataFrame:
-        noted = self.answers.withColumnRenamed(KEY, "_noted_key")
-        unsent = F.struct(F.lit(None).cast("string").alias("result"), F.lit(NULL_INPUT).alias("errorMessage"))
-        answer = F.when(F.col(text).isNull(), unsent).otherwise(F.struct("result", "errorMessage"))
-        joined = df.join(noted, F.sha2(F.col(text), 256) == F.col("_noted_key"), "left")
-        return joined.select(*df.columns, answer.alias("_answer"))
+class _Noted:
+    """The answers of a log in the place of a model; they are found by the key of a text."""
+
+    def __init__(self, log: AnswerLog):
+        self.log = log
+
+    def by_key(self, chosen) -> DataFrame:
+        """``_text_key, _answer`` of those notes that ``chosen`` leaves, which are moved once."""
+        notes = self.log._notes()
+        if notes is None:
+            notes = self.log.answers()
+        keyed = chosen(notes.select(F.unhex(KEY).alias("_text_key"), "result", "errorMessage"))
+        return _first_notes(keyed, "_text_key").select(
+            "_text_key", F.struct("result", "errorMessage").alias("_answer")
+        )
 
 
 def extract_resumable(
@@ -168,4 +188,4 @@ def extract_resumable(
     ``fail_on_error`` the result fails on the first error, when all answers are noted.
     """
     log.ask(df.select(text), text, model, retry_errors, noted_at_once, partitions)
-    return extract_fields(df, _Noted(log.answers()), text, fail_on_error, distinct_texts=True)
+    return extract_fields(df, _Noted(log), text, fail_on_error, distinct_texts=True)

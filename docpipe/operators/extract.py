@@ -198,42 +198,66 @@ def extract_fields(
 def _called_once_per_text(df, model, text, fail_on_error) -> DataFrame:
     """One call per distinct text, joined back to all its copies.
 
-    Copies collapse map-side before the texts are shuffled. The join back would bring all
-    copies of a text into one task, so those with more than a thousandth of all rows, which
-    are fewer than a thousand texts, are spread over several: their answer is repeated once
-    per share. That bound is what allows to broadcast them.
+    Copies collapse map-side before the texts are shuffled, and a text is shuffled once: its copies
+    meet it by their key alone. That would bring all copies of a text into one task, so those with
+    more than a thousandth of all rows, which are fewer than a thousand texts, are spread over
+    several: their answer is repeated once per share. That bound is what allows to broadcast their
+    keys. NULL texts are not sent and meet nothing.
     """
     kept = [c for c in df.columns if c != text]
-    keyed = df.withColumn("_text_key", F.sha2(F.col(text), 256))
+    keyed = df.where(F.col(text).isNotNull()).withColumn("_text_key", text_key(text))
     share = max(1, df.count() // HOT_SHARES)
+    # counted by a short key: texts that share it are at most spread without need
+    short = F.xxhash64("_text_key").alias("_short")
     hot = (
-        keyed.groupBy("_text_key")
+        keyed.select(short)
+        .groupBy("_short")
         .agg(F.count("*").alias("_copies"))
-        .where((F.col("_copies") > share) & F.col("_text_key").isNotNull())
-        .select("_text_key", F.ceil(F.col("_copies") / share).cast("int").alias("_shares"))
+        .where(F.col("_copies") > share)
+        .select("_short", F.ceil(F.col("_copies") / share).cast("int").alias("_shares"))
     )
-    shares = F.coalesce("_shares", F.lit(1))
-    texts = (
-        keyed.where(F.col(text).isNotNull()).groupBy("_text_key").agg(F.first(text).alias("_text"))
-    )
-    once = (
-        model.add_answer(texts, "_text", fail_on_error)
-        .join(F.broadcast(hot), "_text_key", "left")
-        .select("_text_key", "_answer", F.explode(F.sequence(F.lit(0), shares - 1)).alias("_share"))
-    )
-    # NULL texts meet nothing, but would all be sent to one task as well
-    own_shares = F.when(F.col("_text_key").isNull(), HOT_SHARES).otherwise(shares)
+    is_hot = short == F.col("_short")
+    spread = keyed.join(F.broadcast(hot), is_hot)
+    rest = keyed.join(F.broadcast(hot), is_hot, "left_anti")
+
+    def once(rows: DataFrame, how: str) -> DataFrame:
+        """``_text_key, _answer`` and, of a model that was called now, ``_text``; ``how`` the rows
+        are told from others by ``hot``."""
+        if hasattr(model, "by_key"):
+            return model.by_key(lambda noted: noted.join(F.broadcast(hot), is_hot, how))
+        texts = rows.groupBy("_text_key").agg(F.first(text).alias("_text"))
+        return model.add_answer(texts, "_text", fail_on_error)
+
+    found = once(rest, "left_anti")
+    if "_text" in found.columns:
+        single = rest.drop(text).join(found.withColumnRenamed("_text", text), "_text_key", "left")
+    else:
+        single = rest.join(found, "_text_key", "left")
     # rows of one text follow one another in the count, so their shares take turns
-    share_of_row = F.pmod(F.monotonically_increasing_id(), own_shares).cast("int")
-    spread = keyed.join(F.broadcast(hot), "_text_key", "left").select(
-        *df.columns, "_text_key", share_of_row.alias("_share")
+    share_of_row = F.pmod(F.monotonically_increasing_id(), F.col("_shares")).cast("int")
+    copies = spread.withColumn("_share", share_of_row)
+    repeated = (
+        once(spread, "left_semi")
+        .join(F.broadcast(hot), is_hot)
+        .select("_text_key", "_answer", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)).alias("_share"))
     )
+    many = copies.join(repeated, ["_text_key", "_share"], "left")
     unsent = F.struct(
         F.lit(None).cast("string").alias("result"), F.lit(NULL_INPUT).alias("errorMessage")
     )
-    return spread.join(once, ["_text_key", "_share"], "left").withColumn(
-        "_answer", F.when(F.col(text).isNull(), unsent).otherwise(F.col("_answer"))
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(HOT_SHARES)).cast("int")
+    nulls = df.where(F.col(text).isNull()).withColumns(
+        {"_answer": unsent, "_text_key": F.lit(None).cast("binary"), "_share": turn}
     )
+    single = single.withColumn("_share", F.lit(0))
+    columns = [*kept, text, "_answer", "_text_key", "_share"]
+    parts = [part.select(*columns) for part in (single, many, nulls)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def text_key(text: str):
+    """SHA-256 of a text as bytes, half as long as its usual spelling."""
+    return F.unhex(F.sha2(F.col(text), 256))
 
 
 def register_model(spark: SparkSession, name: str, model: CallableModel) -> None:

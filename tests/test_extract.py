@@ -189,6 +189,15 @@ def test_copies_of_a_hot_text_are_spread(spark):
     assert df.select(*columns).exceptAll(plain.select(*columns)).count() == 0
 
 
+def test_only_texts_with_many_copies_are_dealt_in_shares(spark):
+    """Others meet their answer by the key of 32 bytes alone; only one side of that join has texts."""
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('Remarks: ', id div 2) AS text")
+    called = _called_once_per_text(docs, EXPRESSION, "text", False)
+    assert called.schema["_text_key"].dataType.simpleString() == "binary"
+    assert called.where("_share <> 0").count() == 0 and called.where("_answer IS NULL").count() == 0
+    assert called.select("doc_id", "text").exceptAll(docs).count() == 0 and called.count() == 3000
+
+
 def test_columns_that_would_be_hidden(spark):
     df = spark.createDataFrame([("x", "y")], "text string, input string")
     with pytest.raises(ValueError, match="input"):
