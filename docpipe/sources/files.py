@@ -5,12 +5,16 @@ from __future__ import annotations
 import fnmatch
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from docpipe.session import ship
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 BINARY = "binaryFile"
 NOT_IN_CHARSET = "NOT_IN_CHARSET"
 RANGES = "file_ranges"
@@ -126,14 +130,21 @@ class _RangeReader(DataSourceReader):
         # no partition at all would be read as one that is NULL
         return [_Ranges(tuple(task)) for task in tasks] or [_Ranges(())]
 
-    def read(self, partition: _Ranges) -> Iterator[tuple]:
+    def read(self, partition: _Ranges) -> Iterator["pa.RecordBatch"]:
+        """A range is a batch of its own, so that no more than one is held; single rows would be
+        collected by the thousands."""
+        import pyarrow as pa
+
+        kinds = pa.schema([("path", pa.string()), ("name", pa.string()), ("length", pa.int64()),
+                           ("start", pa.int64()), ("content", pa.binary())])
         store, _ = self._opened()
         for path, length, start, size in partition.ranges:
             with store.open_input_file(path) as file:
                 content = file.read_at(size, start)
             if len(content) != size:
                 raise OSError(f"{path}: {len(content)} of {size} bytes from {start} on")
-            yield path, path.rpartition("/")[2], length, start, content
+            row = ([path], [path.rpartition("/")[2]], [length], [start], [content])
+            yield pa.RecordBatch.from_arrays([pa.array(x, k.type) for x, k in zip(row, kinds)], schema=kinds)
 
 
 def packed_ranges(

@@ -152,3 +152,16 @@ def test_tasks_are_packed_by_size():
     assert list(packed_ranges([], 160, 320)) == []
     # a range above the size of a task is a task of its own
     assert [len(t) for t in packed_ranges([("g", 1000)], 500, 100)] == [1, 1]
+
+
+def test_a_task_holds_one_range_at_a_time(tmp_path):
+    """Every range is handed over before the next one is read."""
+    from docpipe.sources.files import _Ranges, _RangeReader
+
+    (tmp_path / "a.bin").write_bytes(bytes(range(256)) * 40)
+    reader = _RangeReader({"path": str(tmp_path), "range_bytes": "1000"})
+    tasks = reader.partitions()
+    batches = [b for task in tasks for b in reader.read(task)]
+    assert [b.num_rows for b in batches] == [1] * 11 and max(b["content"][0].as_py().__len__() for b in batches) == 1000
+    assert b"".join(b["content"][0].as_py() for b in batches) == bytes(range(256)) * 40
+    assert list(reader.read(_Ranges(()))) == []
