@@ -1,9 +1,15 @@
-"""Lines that recur across documents, found by their templates. Column functions only."""
+"""Lines that recur across documents, found by their templates. Column functions only.
+
+Templates are the leaves of a tree and what their lines have in common. Its levels are the number
+of tokens and the leading tokens; a token that stands below its node in few lines goes to a common
+child for words. Within a leaf, a place whose tokens stand there in few lines on average is a field.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docpipe.llm.marks import marked, marks_of, with_mark
 from docpipe.llm.staging import written
 
 #: A template is recurring when it stands in so many documents.
@@ -18,6 +24,8 @@ VARIABLE = r"(?<!\S)(?:[^\s0-9@:]|:(?!//))*+(?:[0-9@]|://)\S*"
 # What every line with such a token has; the pattern itself is slow to look for.
 MAY_VARY = "[0-9@/]"
 FIELD = "<*>"
+#: What stands for words that vary; a word never shares a place with a variable field.
+WORD = "<w>"
 #: A line is generalised if at least this share of its tokens stays as it is; others are rows of
 #: values, and only equal ones are the same.
 LEAST_CONSTANT = 0.5
@@ -32,42 +40,149 @@ def template_ids(text: Column) -> Column:
     words and values. Blanks count once. Plain string functions do it, so
     that no line is cut into an array of tokens.
     """
+    def path(line: Column) -> Column:
+        count = _tokens(line)
+        leading = F.substring_index(line, " ", LEADING)
+        return F.when(count >= MIN_TOKENS, F.xxhash64(count, leading, line))
+
+    return F.transform(masked_lines(text), path)
+
+
+def _tokens(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+
+
+def masked_lines(text: Column) -> Column:
+    """Every line with its variable fields generalised, or as it is where it is mostly fields."""
     single = F.regexp_replace(text, BLANKS, " ")
 
     def generalised(line: Column) -> Column:
         masked = F.regexp_replace(line, VARIABLE, FIELD)
         return F.btrim(F.when(line.rlike(MAY_VARY), masked).otherwise(line))
 
-    def tokens(line: Column) -> Column:
-        return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
-
     def enough(line: Column, masked: Column) -> Column:
         rest = F.length(masked) - F.length(F.replace(masked, F.lit(FIELD), F.lit("")))
-        most = tokens(masked) * (1 - LEAST_CONSTANT)
+        most = _tokens(masked) * (1 - LEAST_CONSTANT)
         return F.when(rest / len(FIELD) <= most, masked).otherwise(F.btrim(line))
 
-    def path(line: Column) -> Column:
-        count = tokens(line)
-        leading = F.substring_index(line, " ", LEADING)
-        return F.when(count >= MIN_TOKENS, F.xxhash64(count, leading, line))
-
     # one after the other, so that a generalised line is not made anew for each use of it
     lines = F.split(single, "\n")
-    return F.transform(F.zip_with(lines, F.transform(lines, generalised), enough), path)
+    return F.zip_with(lines, F.transform(lines, generalised), enough)
+
+
+def _line(line: Column) -> Column:
+    return F.xxhash64(line)
 
 
-def recurring_templates(ids: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """``template, documents, first_doc`` of the templates in at least ``min_documents`` rows of
-    ``ids(doc_id, templates)``; counted before they are shuffled."""
+def leaves(lines: DataFrame, least: int) -> DataFrame:
+    """``lead, leaf``: the leaf of the tree for each beginning of a line, of leaves with at least
+    ``least`` lines. Beginnings are counted before they are moved; what is joined are beginnings."""
+    token = [f"t{i}" for i in range(LEADING)]
+    leads = written(
+        lines.select("lead", F.size("tokens").alias("n"), *[F.col("tokens")[i].alias(t) for i, t in enumerate(token)])
+        .groupBy("lead", "n", *token)
+        .agg(F.count("*").alias("lines")),
+        "leads",
+    )
+    node = ["n"]
+    for i, t in enumerate(token):
+        child = leads.groupBy(*node, t).agg(F.sum("lines").alias("_lines")).where(F.col("_lines") >= least)
+        word = F.when(F.col("_lines").isNotNull(), F.col(t)).otherwise(F.hash(F.lit(WORD)))
+        leads = leads.join(child, [*node, t], "left").withColumn(f"p{i}", word).drop("_lines")
+        node.append(f"p{i}")
+    leaf = leads.select("lead", "lines", F.xxhash64(*node).alias("leaf"))
+    enough = leaf.groupBy("leaf").agg(F.sum("lines").alias("_lines")).where(F.col("_lines") >= least)
+    return leaf.join(enough, "leaf", "left_semi").select("lead", "leaf")
+
+
+def constant_places(lines: DataFrame, least: int) -> DataFrame:
+    """``leaf, places``: where the tokens of a leaf stand in at least ``least`` lines on average;
+    of leaves with enough of such places for a template."""
+    tokens = lines.select("leaf", F.posexplode("tokens").alias("place", "token"))
+    constant = F.col("n") >= F.col("different") * least
     return (
-        ids.select("doc_id", F.explode("templates").alias("template"))
+        tokens.groupBy("leaf", "place", "token")
+        .agg(F.count("*").alias("n"))
+        .groupBy("leaf", "place")
+        .agg(F.sum("n").alias("n"), F.count("*").alias("different"))
+        .groupBy("leaf")
+        .agg(F.count("*").alias("n"), F.collect_list(F.when(constant, F.col("place"))).alias("places"))
+        .where(F.size("places") >= F.col("n") * LEAST_CONSTANT)
+        .select("leaf", "places")
+    )
+
+
+def templates(docs: DataFrame, least: int, tree: bool = True) -> DataFrame:
+    """``row, doc_id, line, template`` of the lines that could recur: ``line`` is the hash of the
+    line as it stands. A line of a leaf with its varying places generalised is a template if
+    enough of it stays constant; others are the same only if their masked lines are.
+
+    Lines are cut into tokens once and written as hashes. Those in leaves of few lines stay where
+    they are; no other line is equal to them or to what they would become. Without ``tree`` all
+    lines are the same only if their masked lines are."""
+    lines = F.zip_with(
+        F.split("text", "\n"),
+        masked_lines(F.col("text")),
+        lambda line, masked: F.struct(
+            _line(line).alias("line"),
+            F.xxhash64(masked).alias("whole"),
+            F.when(
+                _tokens(masked) >= MIN_TOKENS,
+                F.transform(F.split(masked, " "), lambda t: F.hash(t)),
+            ).alias("tokens"),
+        ),
+    )
+    own = written(
+        docs.select(
+            F.monotonically_increasing_id().alias("row"),
+            "doc_id",
+            F.filter(lines, lambda x: x["tokens"].isNotNull()).alias("lines"),
+        ),
+        "lines",
+    )
+    each = own.select("row", "doc_id", F.explode("lines").alias("_l")).select("row", "doc_id", "_l.*")
+    if not tree:
+        return each.select("row", "doc_id", "line", F.col("whole").alias("template"))
+    lead = F.xxhash64(F.size("tokens"), *[F.col("tokens")[i] for i in range(LEADING)])
+    each = each.withColumn("lead", lead)
+    known = written(leaves(each, least), "leaves")
+    some = marked(each, F.col("lead"), marks_of(known, "lead"))
+    inside = written(some.join(known, "lead").drop("lead"), "inside")
+    places = written(constant_places(inside, least), "places")
+    # only lines that may become a template are moved to the places of their leaf
+    told = with_mark(inside, F.col("leaf"), marks_of(places, "leaf"), "_may")
+    word, field = F.hash(F.lit(WORD)), F.hash(F.lit(FIELD))
+    shared = F.transform(
+        F.col("tokens"), lambda t, i: F.when(F.array_contains("places", i), t).otherwise(word)
+    )
+    constant = F.size(F.filter("shared", lambda t: (t != word) & (t != field)))
+    enough = F.col("places").isNotNull() & (constant >= F.size("tokens") * LEAST_CONSTANT)
+    named = F.when(enough, F.xxhash64("leaf", "shared")).otherwise(F.col("whole"))
+    generalised = (
+        told.where("_may")
+        .join(places, "leaf", "left")
+        .withColumn("shared", shared)
+        .select("row", "doc_id", "line", named.alias("template"))
+    )
+    others = told.where("NOT _may").select("row", "doc_id", "line", F.col("whole").alias("template"))
+    return written(generalised.unionByName(others), "templates")
+
+
+def recurring_templates(lines: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """``template, documents, first_doc`` of the templates in at least ``min_documents`` rows;
+    counted before they are shuffled."""
+    return (
+        lines.groupBy("template", "row")
+        .agg(F.min("doc_id").alias("doc_id"))
         .groupBy("template")
         .agg(F.count("*").alias("documents"), F.min("doc_id").alias("first_doc"))
         .where(F.col("documents") >= min_documents)
     )
 
 
-def drop_recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+def drop_recurring_lines(
+    docs: DataFrame, min_documents: int = MIN_DOCUMENTS, tree: bool = False
+) -> DataFrame:
     """``docs`` with the same columns, its ``text`` without recurring lines, and ``dropped_lines``.
 
     A line whose template stands in at least ``min_documents`` rows is dropped everywhere but
@@ -78,32 +193,28 @@ def drop_recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) ->
     is dropped nowhere. A column named ``dropped_lines`` in the input is replaced. ``n_chars``,
     if there, is set to the new length.
 
-    The ids of a document's templates are written once, without texts. Counting sees each
-    template once per document; the texts move once, to meet the lists of what they lose, and
-    both joins are of the kind whose large partitions Spark can split.
+    With ``tree`` words that vary among the lines of a leaf of the template tree are fields as well
+    (see :func:`templates`); without it only tokens that are fields by their form.
+
+    The hashes of the tokens are written once, without texts. The texts move once, to meet the
+    lists of the lines they lose, and both joins are of the kind whose large partitions Spark can
+    split.
     """
     docs = docs.drop("dropped_lines")
-    own = F.filter(F.array_distinct(template_ids(F.col("text"))), lambda t: t.isNotNull())
-    ids = written(docs.select("doc_id", own.alias("templates")), "templates")
-    recurring = recurring_templates(ids, min_documents).select("template", "first_doc")
+    found = templates(docs, min_documents, tree)
+    recurring = recurring_templates(found, min_documents).select("template", "first_doc")
     lost = (
-        ids.select("doc_id", F.explode("templates").alias("template"))
-        .join(recurring, "template")
+        found.join(recurring, "template")
         .where(~F.col("doc_id").eqNullSafe(F.col("first_doc")) & F.col("first_doc").isNotNull())
         .groupBy(F.col("doc_id").alias("_doc_id"))
-        .agg(F.collect_set("template").alias("_lost"))
+        .agg(F.collect_set("line").alias("_lost"))
     )
     joined = docs.join(lost, F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left")
-    lines = F.split("text", "\n")
-    marked = F.arrays_zip(lines.alias("line"), template_ids(F.col("text")).alias("template"))
-    stays = F.filter(
-        marked,
-        lambda m: m["template"].isNull() | ~F.array_contains(F.col("_lost"), m["template"]),
-    )
+    stays = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col("_lost"), _line(x)))
     loses = F.col("_lost").isNotNull() & F.col("text").isNotNull()
     # all that the rows need from their lines in one value, which is computed once
     kept = F.struct(
-        F.array_join(F.transform(stays, lambda m: m["line"]), "\n").alias("text"),
+        F.array_join(stays, "\n").alias("text"),
         F.size(stays).alias("lines"),
     )
     cleaned = joined.withColumn("_kept", F.when(F.rand(0) + 1 > 0, F.when(loses, kept)))

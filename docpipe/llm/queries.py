@@ -80,7 +80,7 @@ def op9_secret_scan(spark, sf_dir):
 
 
 def op10_line_templates(spark, sf_dir):
-    cleaned = linetemplates.drop_recurring_lines(table(spark, sf_dir, "documents"))
+    cleaned = linetemplates.drop_recurring_lines(table(spark, sf_dir, "documents"), tree=True)
     return cleaned.select("doc_id", "text", "dropped_lines")
 
 

@@ -95,3 +95,18 @@ def test_edges(edge, nothing):
     assert out.drop("dropped_lines").exceptAll(edge).count() == 0 and out.count() == edge.count()
     assert drop_recurring_lines(nothing).collect() == []
     assert not re.search("Python|Arrow|Pandas", out._jdf.queryExecution().executedPlan().toString())
+
+
+def test_words_that_vary_are_fields(spark):
+    """Lines that differ in words alone share a template; words at other places tell them apart."""
+    people = ["alice", "bob", "carol", "dave", "eve", "frank"]
+    towns = ["Berlin", "Paris", "Rome", "Oslo", "Bern", "Kyiv"]
+    rows = [
+        (i, f"User {a} logged in from {t}\nMail was sent to {a} from {t}\n{a} {t} {a}x {t}y own\nMail was sent by the old postman {a}")
+        for i, (a, t) in enumerate(zip(people, towns))
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = {r.doc_id: r for r in drop_recurring_lines(df, tree=True).collect()}
+    assert out[0].text == rows[0][1] and out[0].dropped_lines == 0
+    for i in range(1, 6):
+        assert out[i].text == rows[i][1].split("\n")[2] and out[i].dropped_lines == 3
