@@ -17,15 +17,15 @@ from collections.abc import Iterable, Iterator, Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from docpipe.functions.sqltext import quoted, string_literal
-from docpipe.spec import ANY, DocumentSpec, Field, PartsTotal, Product, SumOf
+from docpipe.spec import ANY, SCALARS, DocumentSpec, Field, PartsTotal, Product, SumOf
 
 REQUIRED, TYPE, NOT_NULL, NOT_BLANK, FORMAT = "required", "type", "not_null", "not_blank", "format"
 FIELD_RULES = (REQUIRED, TYPE, NOT_NULL, NOT_BLANK, FORMAT)
 #: Asked only where a field lists the values it may have.
 CHOICE = "choice"
 
-# What the columns of opened values and the members of opened objects are called.
-_MEMBERS = "members"
+# What the members of opened objects, and the kinds of those that are scalars, are called.
+_MEMBERS, _KINDS = "members", "kinds"
 
 
 def all_rules(spec: DocumentSpec) -> tuple[str, ...]:
@@ -145,15 +145,25 @@ def _with_violations(silver, spec, key, rules, response, every_row=False, every_
     unknown = chosen - set(all_rules(spec)) - {CHOICE}
     if unknown:
         raise ValueError(f"unknown rules: {sorted(unknown)}")
-    documents = silver if every_row else silver.where(F.col(response).isNotNull())
+    documents = silver
+    if not every_row:
+        # "not deterministic", so that the test is not moved below the making of the response,
+        # which would then be made twice
+        once = F.when(F.rand(0) + 1 > 0, F.col(response)).alias(response)
+        kept = [k for k in dict.fromkeys(key) if k != response]
+        documents = silver.select(*map(quoted, kept), once).where(F.col(response).isNotNull())
     top = documents.select(
         *[quoted(k) for k in key],
         F.col(response).alias("_root"),
         F.expr(_members(quoted(response), spec.fields)).alias("_top"),
     )
     nested = [f for f in spec.fields if _has_inner(f)]
-    opened = top.select("*", *[F.expr(_opened(f, _top(f.name))).alias(f"_{f.name}") for f in nested])
-    checks = _Checks(chosen, every_level)
+    checks = _Checks(chosen, every_level, spec)
+    opened = top.select(
+        "*",
+        F.expr(checks.kinds(spec.fields, "_top")).alias(f"_{_KINDS}"),
+        *[F.expr(checks.opened(f, _top(f.name))).alias(f"_{f.name}") for f in nested],
+    )
     found = checks.of_document(spec)
     listed = f"array_compact(concat({', '.join(found or [checks.none_found])}))"
     if every_row:
@@ -183,39 +193,9 @@ def _has_inner(f: Field) -> bool:
     return bool(f.fields) or f.items is not None
 
 
-def _opened(f: Field, value: str, depth: int = 0) -> str:
-    """An object as the struct of its members, an array as an array of ``raw`` elements that are
-    ``open`` where they have members or elements of their own; NULL where the value is neither."""
-    if f.kind == "object":
-        return _opened_object(f.fields, value, depth)
-    x = f"x{depth}"
-    inner = [f"'raw', {x}"]
-    if f.fields:
-        inner.append(f"'open', {_opened_object(f.fields, x, depth + 1)}")
-    elif _has_inner(f.items):
-        inner.append(f"'open', {_opened(f.items, x, depth + 1)}")
-    elements = f"try_variant_get({value}, '$', 'array<variant>')"
-    return f"transform({elements}, {x} -> named_struct({', '.join(inner)}))"
-
-
-def _opened_object(fields: Sequence[Field], value: str, depth: int) -> str:
-    nested = [f for f in fields if _has_inner(f)]
-    members = _members(value, fields)
-    if not nested:
-        return members
-    # a lambda gives the members a name, so that they are read once
-    m = f"m{depth}"
-    parts = [f"'{_MEMBERS}', {m}"]
-    parts += [
-        f"{string_literal(f'_{f.name}')}, {_opened(f, f'{m}.{quoted(f.name)}', depth + 1)}" for f in nested
-    ]
-    return f"transform(array({members}), {m} -> CASE WHEN {m} IS NOT NULL THEN named_struct({', '.join(parts)}) END)[0]"
-
-
-def _member(opened: str, fields: Sequence[Field], name: str) -> str:
+def _member(opened: str, name: str) -> str:
     """A member, still VARIANT, of an object that has been opened."""
-    deep = f".{_MEMBERS}" if any(map(_has_inner, fields)) else ""
-    return f"{opened}{deep}.{quoted(name)}"
+    return f"{opened}.{_MEMBERS}.{quoted(name)}"
 
 
 # -- rules ----------------------------------------------------------------------------------
@@ -225,31 +205,80 @@ class _Checks:
     """Texts of the arrays of violations. ``at`` are the names of the positions in the arrays that
     lead to a value."""
 
-    def __init__(self, chosen: set[str], every_level: bool):
+    def __init__(self, chosen: set[str], every_level: bool, spec: DocumentSpec):
         self.chosen = chosen
+        self.counted = _counted(spec, chosen)
         self.every_level = every_level
         pos = "STRING" if every_level else "INT"
         self.none_found = (
             f"CAST(array() AS ARRAY<STRUCT<rule: STRING, field: STRING, pos: {pos}, observed: STRING>>)"
         )
 
+    def asks(self, f: Field) -> bool:
+        """Whether the kind of a scalar is looked at by a chosen rule."""
+        if f.kind not in SCALARS:
+            return False
+        by_value = not f.nullable and bool(self.chosen & {NOT_NULL, NOT_BLANK})
+        formed = bool(f.pattern) and FORMAT in self.chosen
+        listed = bool(f.choices) and CHOICE in self.chosen
+        return TYPE in self.chosen or by_value or formed or listed or id(f) in self.counted
+
+    def kinds(self, fields: Sequence[Field], members: str) -> str:
+        """The kinds of the scalars among the members of an object, each found once."""
+        parts = [f"{string_literal(f.name)}, schema_of_variant({members}.{quoted(f.name)})" for f in fields if self.asks(f)]
+        return f"named_struct({', '.join(parts)})" if parts else "CAST(NULL AS STRUCT<none: STRING>)"
+
+    def opened(self, f: Field, value: str, depth: int = 0) -> str:
+        """An object as the struct of its members and of their kinds, an array as an array of
+        ``raw`` elements with their ``kind`` that are ``open`` where they have members or elements
+        of their own; NULL where the value is neither."""
+        if f.kind == "object":
+            return self.opened_object(f.fields, value, depth)
+        x = f"x{depth}"
+        inner = [f"'raw', {x}"]
+        if f.fields:
+            inner.append(f"'open', {self.opened_object(f.fields, x, depth + 1)}")
+        elif _has_inner(f.items):
+            inner.append(f"'open', {self.opened(f.items, x, depth + 1)}")
+        elif self.asks(f.items):
+            inner.append(f"'kind', schema_of_variant({x})")
+        elements = f"try_variant_get({value}, '$', 'array<variant>')"
+        return f"transform({elements}, {x} -> named_struct({', '.join(inner)}))"
+
+    def opened_object(self, fields: Sequence[Field], value: str, depth: int) -> str:
+        # a lambda gives the members a name, so that they are read once
+        m = f"m{depth}"
+        parts = [f"'{_MEMBERS}', {m}", f"'{_KINDS}', {self.kinds(fields, m)}"]
+        parts += [
+            f"{string_literal(f'_{f.name}')}, {self.opened(f, f'{m}.{quoted(f.name)}', depth + 1)}"
+            for f in fields
+            if _has_inner(f)
+        ]
+        members = _members(value, fields)
+        return f"transform(array({members}), {m} -> CASE WHEN {m} IS NOT NULL THEN named_struct({', '.join(parts)}) END)[0]"
+
+    def kind_of(self, f: Field, known: str, value: str) -> str:
+        return known if self.asks(f) else f"schema_of_variant({value})"
+
     def of_document(self, spec: DocumentSpec) -> list[str]:
         arrays = []
         if TYPE in self.chosen:
             arrays.append(self.listed([self.violation("_top IS NULL", TYPE, "$", "to_json(_root)")]))
         for f in spec.fields:
             arrays += self.together(
-                *self.of_field(f, f.name, "_top IS NOT NULL", _top(f.name), _open(f.name), ())
+                *self.of_field(
+                    f, f.name, "_top IS NOT NULL", _top(f.name), _open(f.name), f"_{_KINDS}.{quoted(f.name)}", ()
+                )
             )
         return arrays + [self.arithmetic(a, spec) for a in spec.arithmetic if a.rule in self.chosen]
 
     def of_field(
-        self, f: Field, path: str, has_parent: str | None, value: str, opened: str, at: tuple[str, ...]
+        self, f: Field, path: str, has_parent: str | None, value: str, opened: str, kind: str, at: tuple[str, ...]
     ) -> tuple[list[str], list[str]]:
         """Single violations of the field and of the members of objects in it, and whole arrays of
         violations of the elements below. ``has_parent`` is None for an element, which cannot be
         missing."""
-        single, arrays = self.of_value(f, path, has_parent, value, opened, at), []
+        single, arrays = self.of_value(f, path, has_parent, value, opened, kind, at), []
         if f.kind == "object":
             single_inside, arrays = self.of_members(f.fields, path, opened, at)
             single += single_inside
@@ -262,9 +291,9 @@ class _Checks:
     ) -> tuple[list[str], list[str]]:
         single, arrays = [], []
         for f in fields:
-            value = _member(opened, fields, f.name)
-            inner = f"{opened}.{_open(f.name)}"
-            own, below = self.of_field(f, f"{path}.{f.name}", f"{opened} IS NOT NULL", value, inner, at)
+            value = _member(opened, f.name)
+            inner, kind = f"{opened}.{_open(f.name)}", f"{opened}.{_KINDS}.{quoted(f.name)}"
+            own, below = self.of_field(f, f"{path}.{f.name}", f"{opened} IS NOT NULL", value, inner, kind, at)
             single += own
             arrays += below
         return single, arrays
@@ -279,7 +308,7 @@ class _Checks:
                 loose = f"{inner} IS NULL AND {raw} IS NOT NULL AND NOT is_variant_null({raw})"
                 single.append(self.violation(loose, TYPE, path, f"to_json({raw})", at))
         else:
-            single, arrays = self.of_field(f.items, path, None, raw, inner, at)
+            single, arrays = self.of_field(f.items, path, None, raw, inner, f"{x}.kind", at)
         found = self.together(single, arrays)
         if not found:
             return []
@@ -290,64 +319,79 @@ class _Checks:
         return ([self.listed(single)] if single else []) + arrays
 
     def of_value(
-        self, f: Field, path: str, has_parent: str | None, value: str, opened: str, at: tuple[str, ...]
+        self, f: Field, path: str, has_parent: str | None, value: str, opened: str, kind: str, at: tuple[str, ...]
     ) -> list[str]:
         """Violations of one value. Each rule looks at one thing only: a missing key is no null
-        value, and a value of the wrong type is not asked for its format."""
+        value, and a value of the wrong type is not asked for its format. ``kind`` is where the
+        kind of a scalar stands, if a rule looks at it: reading a value costs more than its kind."""
         observed = f"to_json({value})"
-        text = f"CASE WHEN {_has_kind(value, 'string')} THEN try_variant_get({value}, '$', 'string') END"
+        known = self.asks(f)
+        kind = self.kind_of(f, kind, value)
+        is_null = f"{kind} = 'VOID'" if known else f"is_variant_null({value})"
+        is_text = _has_kind(value, "string", kind)
+        text = f"CASE WHEN {is_text} THEN try_variant_get({value}, '$', 'string') END"
         found = []
         if REQUIRED in self.chosen and f.required and has_parent is not None:
-            missing = f"{has_parent} AND {value} IS NULL"
+            missing = f"{has_parent} AND {kind if known else value} IS NULL"
             found.append(self.violation(missing, REQUIRED, path, None, at))
         if TYPE in self.chosen and f.kind != ANY:
             # an object or array that could not be opened is none
-            right = f"{opened} IS NOT NULL" if _has_inner(f) else _has_kind(value, f.kind)
-            wrong = f"{value} IS NOT NULL AND NOT is_variant_null({value}) AND NOT ({right})"
+            right = f"{opened} IS NOT NULL" if _has_inner(f) else _has_kind(value, f.kind, kind)
+            there = kind if known else value
+            wrong = f"{there} IS NOT NULL AND NOT {is_null} AND NOT ({right})"
             found.append(self.violation(wrong, TYPE, path, observed, at))
         if NOT_NULL in self.chosen and not f.nullable:
-            found.append(self.violation(f"is_variant_null({value})", NOT_NULL, path, observed, at))
+            found.append(self.violation(is_null, NOT_NULL, path, observed, at))
         if NOT_BLANK in self.chosen and not f.nullable and f.kind == "string":
             found.append(self.violation(f"trim({text}) = ''", NOT_BLANK, path, observed, at))
         if FORMAT in self.chosen and f.pattern:
             bad = f"NOT ({text}) RLIKE {string_literal(f.pattern)}"
             if f.date_format:
                 bad += f" OR try_to_date({text}, {string_literal(f.date_format)}) IS NULL"
-            is_text = _has_kind(value, "string")
             found.append(self.violation(f"{is_text} AND ({bad})", FORMAT, path, observed, at))
         if CHOICE in self.chosen and f.choices:
-            asked = f"NOT is_variant_null({value})"
+            asked = f"NOT {is_null}"
             if f.kind != ANY:
-                asked = _has_kind(value, f.kind)
-            allowed = " OR ".join(_equals(value, c) for c in f.choices)
+                asked = _has_kind(value, f.kind, kind)
+            texts = [c for c in f.choices if isinstance(c, str)]
+            allowed = [_equals(value, c) for c in f.choices if not isinstance(c, str)]
+            if texts:  # the text is read once, not for each choice
+                one_of = f"try_variant_get({value}, '$', 'string') IN ({', '.join(map(string_literal, texts))})"
+                allowed.append(f"({is_text} AND {one_of})")
+            allowed = " OR ".join(allowed)
             found.append(self.violation(f"{asked} AND NOT ({allowed})", CHOICE, path, observed, at))
         return found
 
     def arithmetic(self, a: Product | SumOf | PartsTotal, spec: DocumentSpec) -> str:
         """Compared only where every number is there; exact up to 38 digits."""
 
-        def item(name: str) -> str:
-            return _member("x.open", spec.field(a.array).fields, name)
+        def whole_item(name: str) -> str:
+            f = next(i for i in spec.field(a.array).fields if i.name == name)
+            value = _member("x.open", name)
+            return _whole(value, self.kind_of(f, f"x.open.{_KINDS}.{quoted(name)}", value))
+
+        def whole_top(name: str) -> str:
+            return _whole(_top(name), self.kind_of(spec.field(name), f"_{_KINDS}.{quoted(name)}", _top(name)))
 
         if isinstance(a, Product):
-            product = _whole(item(a.factors[0]))
+            product = whole_item(a.factors[0])
             for name in a.factors[1:]:
-                product = f"try_multiply({product}, {_whole(item(name))})"
-            result = item(a.result)
+                product = f"try_multiply({product}, {whole_item(name)})"
+            result = _member("x.open", a.result)
             path = f"{a.array}[].{a.result}"
-            differs = f"{_whole(result)} <> {product}"
+            differs = f"{whole_item(a.result)} <> {product}"
             wrong = self.violation(differs, a.rule, path, f"to_json({result})", ("i",))
             return f"coalesce(transform({_open(a.array)}, (x, i) -> {wrong}), {self.none_found})"
         result = _top(a.result)
         if isinstance(a, SumOf):
-            added = f"CAST(try_add(total, {_whole(item(a.item))}) AS DECIMAL(38,0))"
+            added = f"CAST(try_add(total, {whole_item(a.item)}) AS DECIMAL(38,0))"
             start = "CAST(0 AS DECIMAL(38,0))"
             expected = f"aggregate({_open(a.array)}, {start}, (total, x) -> {added})"
         else:
-            expected = _whole(_top(a.parts[0]))
+            expected = whole_top(a.parts[0])
             for name in a.parts[1:]:
-                expected = f"try_add({expected}, {_whole(_top(name))})"
-        differs = f"{_whole(result)} <> {expected}"
+                expected = f"try_add({expected}, {whole_top(name)})"
+        differs = f"{whole_top(a.result)} <> {expected}"
         return self.listed([self.violation(differs, a.rule, a.result, f"to_json({result})")])
 
     def violation(
@@ -367,8 +411,8 @@ class _Checks:
 
 
 def _equals(value: str, choice) -> str:
-    """Whether a VARIANT equals a JSON value; numbers by their value, in any spelling. Never NULL
-    where the VARIANT is none."""
+    """Whether a VARIANT equals a JSON value that is no text; numbers by their value, in any
+    spelling. Never NULL where the VARIANT is none."""
     if isinstance(choice, bool):
         same = f"try_variant_get({value}, '$', 'boolean') = {str(choice).lower()}"
         return f"({_has_kind(value, 'boolean')} AND {same})"
@@ -379,22 +423,35 @@ def _equals(value: str, choice) -> str:
     if isinstance(choice, float):
         same = f"try_variant_get({value}, '$', 'double') = CAST('{choice!r}' AS DOUBLE)"
         return f"coalesce({_has_kind(value, 'number')} AND {same}, false)"
-    if isinstance(choice, str):
-        same = f"try_variant_get({value}, '$', 'string') = {string_literal(choice)}"
-        return f"({_has_kind(value, 'string')} AND {same})"
     text = json.dumps(choice, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
     return f"(to_json({value}) = {string_literal(text)})"
 
 
-def _whole(value: str) -> str:
+def _whole(value: str, stored: str) -> str:
     """Whole number as it stands in the record; NULL for text, fractions and null."""
     number = f"try_variant_get({value}, '$', 'decimal(38,0)')"
-    return f"CASE WHEN {_has_kind(value, 'integer')} THEN {number} END"
-
-
-def _has_kind(value: str, kind: str) -> str:
-    """Whether a scalar VARIANT holds a value of the declared kind; null is of no kind."""
-    stored = f"schema_of_variant({value})"
+    return f"CASE WHEN {_has_kind(value, 'integer', stored)} THEN {number} END"
+
+
+def _counted(spec: DocumentSpec, chosen: set[str]) -> set[int]:
+    """The fields that chosen rules of arithmetic read."""
+    found = []
+    for a in spec.arithmetic:
+        if a.rule not in chosen:
+            continue
+        if not isinstance(a, PartsTotal):
+            names = {a.result, *a.factors} if isinstance(a, Product) else {a.item}
+            found += [f for f in spec.field(a.array).fields if f.name in names]
+        if not isinstance(a, Product):
+            names = {a.result, *(a.parts if isinstance(a, PartsTotal) else ())}
+            found += [f for f in spec.fields if f.name in names]
+    return {id(f) for f in found}
+
+
+def _has_kind(value: str, kind: str, stored: str | None = None) -> str:
+    """Whether a scalar VARIANT holds a value of the declared kind; null is of no kind. ``stored``
+    is where its kind is known from."""
+    stored = stored or f"schema_of_variant({value})"
     if kind == "integer":
         # whole in any spelling: 10, 10.0 and 1e1
         exact = f"try_variant_get({value}, '$', 'decimal(38,18)')"

@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 from conftest import plan_of
+from pyspark.sql import functions as F
 from samples import FOREIGN_KEYS, GOLDEN, golden, golden_supplier
 
 from docpipe.operators.validate import all_rules, violation_summary, violations
@@ -315,3 +316,25 @@ def test_depth_costs_no_shuffle(records, spark, tmp_path):
     summary = {r.rule: r.violations for r in violation_summary(records(*map(json.dumps, WRONG)), DEEP).collect()}
     counted = Counter(v[0] for record in WRONG for v in by_hand(record))
     assert summary == {rule: counted[rule] for rule in all_rules(DEEP)}
+
+
+def test_a_record_is_made_once(spark):
+    """The test for a response does not make it a second time."""
+    text = F.when(F.col("id") >= 0, F.format_string('{"issue_date": "%d"}', "id"))
+    made = spark.range(3).select(F.col("id").alias("doc_id"), F.parse_json(text).alias("response"))
+    found = violations(made, RECEIPT, rules=["format"])
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parseJson(") == 1
+    assert found.count() == 3
+
+
+def test_a_kind_is_found_once(spark):
+    """Whatever the number of rules and choices, the kind of a value is found once."""
+    spec = DocumentSpec(name="x", fields=(Field("a", nullable=False, pattern="^p", choices=("p", "q", "r")),))
+    made = spark.createDataFrame([(0, '"p"'), (1, '"q"'), (2, '"s"'), (3, "null"), (4, "1"), (5, '" "')], "id int, v string")
+    made = made.select("id", F.parse_json(F.concat(F.lit('{"a":'), "v", F.lit("}"))).alias("response"))
+    found = violations(made, spec, key=("id",))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("schemaOfVariant(") == 1
+    assert sorted((r.id, r.rule) for r in found.collect()) == [
+        (1, "format"), (2, "choice"), (2, "format"), (3, "not_null"), (4, "type"),
+        (5, "choice"), (5, "format"), (5, "not_blank"),
+    ]
