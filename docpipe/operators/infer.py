@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from docpipe.session import new_path
+from docpipe.session import new_path, whole_variants
 from docpipe.spec import ANY, SCALARS, DocumentSpec, Field
 
 PATHS = "path string, type string"
@@ -40,9 +40,10 @@ def path_counts(df: DataFrame, record: str) -> DataFrame:
     only, and counted before anything is shuffled, so a path of any frequency is no hot key.
     """
     spark = df.sparkSession
-    root = df.where(F.col(record).isNotNull()).select(
-        F.array().cast("array<string>").alias("steps"), F.col(record).alias("value")
-    )
+    # "not deterministic", so that the test is not moved below the making of the record, which
+    # would then be made twice
+    once = F.when(F.rand(0) + 1 > 0, F.col(record)).alias("value")
+    root = df.select(F.array().cast("array<string>").alias("steps"), once).where(F.col("value").isNotNull())
     counted, level = [], _level(root)
     while level is not None:
         counted.append(
@@ -91,18 +92,26 @@ _RENDERED = f"""
     CASE WHEN size(steps) = 0 THEN '$' ELSE ltrim('.', array_join(transform(steps, s ->
       CASE WHEN s = '[]' THEN s WHEN substring(s, 2) RLIKE '{_PLAIN_NAME}' THEN s
            ELSE concat('.`', replace(substring(s, 2), '`', '``'), '`') END), '')) END"""
+# The type of what holds others is not looked for in them, level after level.
+_TYPE = """
+    CASE WHEN is_variant_null(value) THEN 'VOID'
+         WHEN try_variant_get(value, '$', 'struct<>') IS NOT NULL THEN 'OBJECT<>'
+         WHEN try_variant_get(value, '$', 'array<variant>') IS NOT NULL THEN 'ARRAY<>'
+         ELSE schema_of_variant(value) END"""
 _KIND = """
     CASE WHEN t LIKE 'OBJECT<%' THEN 'object' WHEN t LIKE 'ARRAY<%' THEN 'array' WHEN t = 'VOID' THEN 'null'
          WHEN t = 'BIGINT' OR t LIKE 'DECIMAL(%,0)' THEN 'integer'
-         WHEN t LIKE 'DECIMAL(%' OR t IN ('DOUBLE', 'FLOAT') THEN 'number' ELSE lower(t) END"""
+         WHEN t LIKE 'DECIMAL(%' OR t IN ('DOUBLE', 'FLOAT') THEN 'number'
+         WHEN t = 'STRING' THEN 'string' WHEN t = 'BOOLEAN' THEN 'boolean' ELSE lower(t) END"""
 
 
 def _level(values: DataFrame) -> DataFrame:
     """Steps, kind, and the value where there is something inside."""
-    typed = values.withColumn("t", F.schema_of_variant("value")).withColumn("kind", F.expr(_KIND))
+    typed = values.withColumn("t", F.expr(_TYPE)).withColumn("kind", F.expr(_KIND))
     inside = F.when(F.col("kind").isin("object", "array"), F.col("value")).alias("value")
     path = new_path(values.sparkSession, "paths")
-    typed.select("steps", "kind", inside).write.parquet(path)
+    with whole_variants(values.sparkSession):  # they are opened whole on the next level
+        typed.select("steps", "kind", inside).write.parquet(path)
     return values.sparkSession.read.parquet(path)
 
 

@@ -1,5 +1,10 @@
+from pathlib import Path
+
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
+from docpipe.operators import infer
 from docpipe.operators.infer import inferred_fields, inferred_spec, inferred_type, path_counts
 from docpipe.plans.receipts import RECEIPT
 from docpipe.spec import DocumentSpec
@@ -85,3 +90,19 @@ def test_records_that_are_no_objects_or_too_wide(records):
             inferred_spec(records(*texts), "response", "x")
     with pytest.raises(ValueError, match="paths"):
         inferred_spec(records('{"a": 1, "b": 2, "c": 3}'), "response", "x", most_paths=3)
+
+
+def test_records_are_made_once_and_written_whole(spark, monkeypatch, tmp_path):
+    """The test for a record does not make it a second time; levels are not written by paths."""
+    plans, folders, level, new_path = [], [], infer._level, infer.new_path
+    monkeypatch.setattr(
+        infer, "_level", lambda v: plans.append(v._jdf.queryExecution().optimizedPlan().toString()) or level(v)
+    )
+    monkeypatch.setattr(infer, "new_path", lambda *a: folders.append(new_path(*a)) or folders[-1])
+    text = F.when(F.col("id") >= 0, F.format_string('{"a": {"b": %d}, "c": []}', "id"))
+    made = spark.range(3).select(F.parse_json(text).alias("r"))
+    rows = {r.path: (r.parents, r.present, r.kinds) for r in path_counts(made, "r").collect()}
+    assert rows == {"$": (3, 3, "object"), "a": (3, 3, "object"), "a.b": (3, 3, "integer"), "c": (3, 3, "array")}
+    assert plans[0].count("parseJson(") == 1
+    stored = pq.read_schema(next(Path(folders[0]).glob("*.parquet")))
+    assert "typed_value" not in str(stored.field("value").type)
