@@ -39,9 +39,15 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, input, response, error)``"""
+    """``(doc_id, input, response, error)``, for readers of whole records."""
     texts = bronze(spark, sf_dir)
-    return stage(spark, sf_dir, "silver", lambda: extract_fields(texts, receipt_model()))
+    return stage(spark, sf_dir, "silver", lambda: extract_fields(texts, receipt_model()), whole=True)
+
+
+def silver_by_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, for readers of few paths: these are columns of the file."""
+    texts = bronze(spark, sf_dir)
+    return stage(spark, sf_dir, "silver-paths", lambda: extract_fields(texts, receipt_model()))
 
 
 def build_tables(

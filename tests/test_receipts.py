@@ -3,6 +3,7 @@
 import json
 
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from docpipe.operators.flatten import flatten
 from docpipe.operators.validate import violations
 from docpipe.plans.expected import EXPECTED
 from docpipe.plans.receipts import RECEIPT, receipt_texts
-from docpipe.plans.stages import receipt_model
+from docpipe.plans.stages import receipt_model, silver, silver_by_paths
 
 HOT = 1000
 
@@ -117,3 +118,19 @@ def test_an_order_without_lines(corpus):
 def test_unreadable_scan(corpus):
     _, texts, _ = corpus
     assert texts.where("doc_id = '1067'").head().text == "unreadable scan 1067"
+
+
+def test_records_are_stored_whole_for_those_who_read_them_whole(spark, sf_dir):
+    """Only readers of single paths get these as columns of the file; the setting is taken back."""
+    name = "spark.sql.variant.inferShreddingSchema"
+    before = spark.conf.get(name)
+    whole, by_paths = silver(spark, sf_dir), silver_by_paths(spark, sf_dir)
+    assert spark.conf.get(name) == before
+
+    def stored(df):
+        path = df.inputFiles()[0].removeprefix("file://")
+        return str(pq.read_schema(path).field("response").type)
+
+    assert "typed_value" not in stored(whole) and "typed_value" in stored(by_paths)
+    same = [df.select("doc_id", "input", F.to_json("response"), "error") for df in (whole, by_paths)]
+    assert same[0].exceptAll(same[1]).isEmpty() and same[1].exceptAll(same[0]).isEmpty()
