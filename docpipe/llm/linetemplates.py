@@ -19,55 +19,74 @@ MIN_TOKENS = 4
 #: Depth of the tree below the token count: leading tokens that have to agree as they are,
 #: except that a variable field in them is generalised as well.
 LEADING = 3
-# A token with a digit, or with the marks of an address, is a variable field.
-VARIABLE = r"(?<!\S)(?:[^\s0-9@:]|:(?!//))*+(?:[0-9@]|://)\S*"
-# What every line with such a token has; the pattern itself is slow to look for.
-MAY_VARY = "[0-9@/]"
+# A token with a digit, or with the marks of an address, is a variable field. Marks of an address
+# become "@" first; then the token is cut at the first such character and ends with "@", as no
+# other token does.
+ADDRESS, MARK = "://", "@"
+# A class of single characters is looked up in a table, a range is not.
+FROM_MARK = "[0123456789@][^ \n]*"
 FIELD = "<*>"
 #: What stands for words that vary; a word never shares a place with a variable field.
 WORD = "<w>"
 #: A line is generalised if at least this share of its tokens stays as it is; others are rows of
 #: values, and only equal ones are the same.
 LEAST_CONSTANT = 0.5
-BLANKS = r"[ \t\r\f]{2,}|[\t\r\f]"
+#: In a leaf of more than ``least`` times so many lines any place may be constant by its bits.
+PLACE_BITS = 256
+#: The tokens of a leaf of more lines than this are not counted by one task.
+LEAF_LINES = 1 << 14
 
 
 def template_ids(text: Column) -> Column:
-    """One 64-bit template id per line, NULL for lines of fewer than ``MIN_TOKENS`` tokens.
+    """One 64-bit template id per line, NULL for lines of fewer than ``MIN_TOKENS`` tokens: the
+    hash of the line with its variable fields generalised. A line that is mostly fields has the id
+    of its own words and values. Blanks count once."""
+    return F.transform(_lines(text), lambda x: F.when(_long(x), F.xxhash64(_masked(x))))
+
+
+def _lines(text: Column) -> Column:
+    """``line, marked`` of every line: as it stands, and with its fields cut at their mark and
+    its blanks counted once. The pattern goes over the whole text once."""
+    marked = F.regexp_replace(F.replace(_spaced(text), F.lit(ADDRESS), F.lit(MARK)), FROM_MARK, MARK)
+    return F.zip_with(
+        F.split(text, "\n"),
+        F.split(marked, "\n"),
+        lambda line, own: F.struct(line.alias("line"), _single(own).alias("marked")),
+    )
 
-    The id is the path through the tree: token count, then the leading tokens, then the line
-    with its variable fields generalised. A line that is mostly fields has the id of its own
-    words and values. Blanks count once. Plain string functions do it, so
-    that no line is cut into an array of tokens.
-    """
-    def path(line: Column) -> Column:
-        count = _tokens(line)
-        leading = F.substring_index(line, " ", LEADING)
-        return F.when(count >= MIN_TOKENS, F.xxhash64(count, leading, line))
 
-    return F.transform(masked_lines(text), path)
+def _spaced(text: Column) -> Column:
+    for blank in "\t\r\f":
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return text
+
 
+def _single(line: Column) -> Column:
+    several = F.regexp_replace(line, " {2,}", " ")
+    return F.btrim(F.when(line.contains("  "), several).otherwise(line))
 
-def _tokens(line: Column) -> Column:
-    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
+def _times(line: Column, part: str) -> Column:
+    return (F.length(line) - F.length(F.replace(line, F.lit(part), F.lit("")))) / len(part)
 
-def masked_lines(text: Column) -> Column:
-    """Every line with its variable fields generalised, or as it is where it is mostly fields."""
-    single = F.regexp_replace(text, BLANKS, " ")
 
-    def generalised(line: Column) -> Column:
-        masked = F.regexp_replace(line, VARIABLE, FIELD)
-        return F.btrim(F.when(line.rlike(MAY_VARY), masked).otherwise(line))
+def _long(x: Column) -> Column:
+    return _times(x["marked"], " ") + 1 >= MIN_TOKENS
 
-    def enough(line: Column, masked: Column) -> Column:
-        rest = F.length(masked) - F.length(F.replace(masked, F.lit(FIELD), F.lit("")))
-        most = _tokens(masked) * (1 - LEAST_CONSTANT)
-        return F.when(rest / len(FIELD) <= most, masked).otherwise(F.btrim(line))
 
-    # one after the other, so that a generalised line is not made anew for each use of it
-    lines = F.split(single, "\n")
-    return F.zip_with(lines, F.transform(lines, generalised), enough)
+def _masked(x: Column) -> Column:
+    """The line with its fields generalised, or as it is if most of its tokens are fields."""
+    parts = F.split(x["marked"], MARK)
+
+    def before(part: Column, i: Column) -> Column:
+        own = F.substring_index(part, " ", -1)
+        return F.when(i < fields, F.left(part, F.length(part) - F.length(own))).otherwise(part)
+
+    fields = _times(x["marked"], MARK)
+    masked = F.when(x["marked"].contains(MARK), F.array_join(F.transform(parts, before), FIELD))
+    most = (_times(x["marked"], " ") + 1) * (1 - LEAST_CONSTANT)
+    few = fields + _times(x["marked"], FIELD) <= most
+    return F.when(few, F.coalesce(masked, x["marked"])).otherwise(_single(_spaced(x["line"])))
 
 
 def _line(line: Column) -> Column:
@@ -75,13 +94,12 @@ def _line(line: Column) -> Column:
 
 
 def leaves(lines: DataFrame, least: int) -> DataFrame:
-    """``lead, leaf``: the leaf of the tree for each beginning of a line, of leaves with at least
-    ``least`` lines. Beginnings are counted before they are moved; what is joined are beginnings."""
+    """``lead, leaf, size``: the leaf of the tree for each beginning of a line, of leaves with at
+    least ``least`` lines, and their number. Beginnings are counted before they are moved; what is
+    joined are beginnings."""
     token = [f"t{i}" for i in range(LEADING)]
     leads = written(
-        lines.select("lead", F.size("tokens").alias("n"), *[F.col("tokens")[i].alias(t) for i, t in enumerate(token)])
-        .groupBy("lead", "n", *token)
-        .agg(F.count("*").alias("lines")),
+        lines.groupBy("lead", "n", *token).agg(F.count("*").alias("lines")),
         "leads",
     )
     node = ["n"]
@@ -91,8 +109,36 @@ def leaves(lines: DataFrame, least: int) -> DataFrame:
         leads = leads.join(child, [*node, t], "left").withColumn(f"p{i}", word).drop("_lines")
         node.append(f"p{i}")
     leaf = leads.select("lead", "lines", F.xxhash64(*node).alias("leaf"))
-    enough = leaf.groupBy("leaf").agg(F.sum("lines").alias("_lines")).where(F.col("_lines") >= least)
-    return leaf.join(enough, "leaf", "left_semi").select("lead", "leaf")
+    enough = leaf.groupBy("leaf").agg(F.sum("lines").alias("size")).where(F.col("size") >= least)
+    return leaf.join(enough, "leaf").select("lead", "leaf", "size")
+
+
+def possible_leaves(lines: DataFrame, known: DataFrame, least: int) -> DataFrame:
+    """``leaf`` of the leaves that may have a template. Of a token only one of ``PLACE_BITS`` bits
+    is moved: a place has at least as many different tokens as different bits, so that a leaf
+    that is left out here has too few constant places for certain. Large leaves are not looked at
+    and may have one; so what one task counts of a leaf is bounded."""
+    most = PLACE_BITS * least
+    small, large = known.where(F.col("size") <= most), known.where(F.col("size") > most)
+    bits = F.transform("tokens", lambda t: F.shiftright(t, 24).cast("tinyint"))  # -128 to 127
+    moved = lines.select("lead", bits.alias("bits")).join(small.select("lead", "leaf"), "lead")
+    bit = F.col("bit").cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(63))
+    words = {f"seen{i}": F.when(F.shiftright(bit, 6) == i, one) for i in (-2, -1, 0, 1)}
+    seen = [F.bit_or(word).alias(name) for name, word in words.items()]
+    different = sum((F.coalesce(F.bit_count(F.col(f"`{name}`")), F.lit(0)) for name in words), F.lit(0))
+    may = F.col("n") >= different * least
+    # all of a leaf is in one task from here on: nothing is moved for the places
+    found = (
+        moved.select("leaf", "bits").repartition("leaf")
+        .select("leaf", F.posexplode("bits").alias("place", "bit"))
+        .groupBy("leaf", "place")
+        .agg(*seen, F.count("*").alias("n"))
+        .groupBy("leaf")
+        .agg(F.count("*").alias("n"), F.count_if(may).alias("constant"))
+        .where(F.col("constant") >= F.col("n") * LEAST_CONSTANT)
+    )
+    return found.select("leaf").unionByName(large.select("leaf").distinct())
 
 
 def constant_places(lines: DataFrame, least: int) -> DataFrame:
@@ -117,55 +163,53 @@ def templates(docs: DataFrame, least: int, tree: bool = True) -> DataFrame:
     line as it stands. A line of a leaf with its varying places generalised is a template if
     enough of it stays constant; others are the same only if their masked lines are.
 
-    Lines are cut into tokens once and written as hashes. Those in leaves of few lines stay where
-    they are; no other line is equal to them or to what they would become. Without ``tree`` all
-    lines are the same only if their masked lines are."""
-    lines = F.zip_with(
-        F.split("text", "\n"),
-        masked_lines(F.col("text")),
-        lambda line, masked: F.struct(
-            _line(line).alias("line"),
-            F.xxhash64(masked).alias("whole"),
-            F.when(
-                _tokens(masked) >= MIN_TOKENS,
-                F.transform(F.split(masked, " "), lambda t: F.hash(t)),
-            ).alias("tokens"),
-        ),
+    Lines are cut into tokens once and written as hashes. Those in leaves of few lines are left
+    out; no other line is equal to them or to what they would become. Only lines of leaves that
+    may have a template are moved. Without ``tree`` all lines are the same only if their masked
+    lines are."""
+    cut = F.transform(
+        F.filter(_lines(F.col("text")), _long),
+        lambda x: F.struct(_line(x["line"]).alias("line"), _masked(x).alias("masked")),
     )
-    own = written(
-        docs.select(
-            F.monotonically_increasing_id().alias("row"),
-            "doc_id",
-            F.filter(lines, lambda x: x["tokens"].isNotNull()).alias("lines"),
-        ),
-        "lines",
-    )
-    each = own.select("row", "doc_id", F.explode("lines").alias("_l")).select("row", "doc_id", "_l.*")
+    # numbered below the explode, a row of ``docs`` each
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", cut.alias("_lines"))
+    cut = numbered.select("row", "doc_id", F.explode("_lines").alias("_l"))
+    cut = cut.select("row", "doc_id", "_l.line", F.xxhash64("_l.masked").alias("template"), "_l.masked")
     if not tree:
-        return each.select("row", "doc_id", "line", F.col("whole").alias("template"))
+        return written(cut.drop("masked"), "lines")
+    tokens = F.transform(F.split("masked", " "), lambda t: F.hash(t))
+    own = cut.withColumn("tokens", tokens).drop("masked")
+    first = [F.col("tokens")[i].alias(f"t{i}") for i in range(LEADING)]
     lead = F.xxhash64(F.size("tokens"), *[F.col("tokens")[i] for i in range(LEADING)])
-    each = each.withColumn("lead", lead)
+    each = written(own.select("*", lead.alias("lead"), F.size("tokens").alias("n"), *first), "lines")
     known = written(leaves(each, least), "leaves")
     some = marked(each, F.col("lead"), marks_of(known, "lead"))
-    inside = written(some.join(known, "lead").drop("lead"), "inside")
-    places = written(constant_places(inside, least), "places")
-    # only lines that may become a template are moved to the places of their leaf
-    told = with_mark(inside, F.col("leaf"), marks_of(places, "leaf"), "_may")
+    possible = written(possible_leaves(some, known, least), "possible")
+    known = written(known.join(possible, "leaf", "left_semi"), "possible-leads")
+    told = with_mark(some, F.col("lead"), marks_of(known, "lead"), "_may")
+    plain = told.where("NOT _may").select("row", "doc_id", "line", "template")
+    inside = written(
+        told.where("_may").join(known, "lead", "left")
+        .select("row", "doc_id", "line", "template", "leaf", "size", "tokens"),
+        "inside",
+    )
+    # a leaf of few lines is brought together first, so that its tokens are not moved one by one
+    small = constant_places(inside.where(F.col("size") <= LEAF_LINES).repartition("leaf"), least)
+    large = constant_places(inside.where(F.col("size") > LEAF_LINES), least)
+    places = written(small.unionByName(large), "places")
     word, field = F.hash(F.lit(WORD)), F.hash(F.lit(FIELD))
     shared = F.transform(
         F.col("tokens"), lambda t, i: F.when(F.array_contains("places", i), t).otherwise(word)
     )
     constant = F.size(F.filter("shared", lambda t: (t != word) & (t != field)))
     enough = F.col("places").isNotNull() & (constant >= F.size("tokens") * LEAST_CONSTANT)
-    named = F.when(enough, F.xxhash64("leaf", "shared")).otherwise(F.col("whole"))
+    named = F.when(enough, F.xxhash64("leaf", "shared")).otherwise(F.col("template"))
     generalised = (
-        told.where("_may")
-        .join(places, "leaf", "left")
+        inside.join(places, "leaf", "left")
         .withColumn("shared", shared)
         .select("row", "doc_id", "line", named.alias("template"))
     )
-    others = told.where("NOT _may").select("row", "doc_id", "line", F.col("whole").alias("template"))
-    return written(generalised.unionByName(others), "templates")
+    return written(generalised.unionByName(plain), "templates")
 
 
 def recurring_templates(lines: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:

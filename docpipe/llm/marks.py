@@ -14,6 +14,8 @@ from docpipe.llm.staging import written
 #: 16 MB, whatever the number of keys.
 MARK_BITS = 27
 _PARTS = 1 << (MARK_BITS - 15)
+#: Bytes that a row takes a copy of to look at one of them.
+_PIECE = 1 << 8
 
 
 def _place(key: Column) -> Column:
@@ -46,12 +48,21 @@ def with_mark(df: DataFrame, key: Column, marks: DataFrame, name: str) -> DataFr
 def _with_bits(df: DataFrame, key: Column, marks: DataFrame, how: str) -> tuple[DataFrame, Column]:
     place = _place(key)
     at = F.bitmap_bit_position(place)
-    byte = F.substring(F.col("_bits"), (at / 8).cast("int") + 1, F.lit(1))
-    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    byte = (at / 8).cast("int")
+    value = F.conv(F.hex(F.substring(F.col("_bits"), byte % _PIECE + 1, F.lit(1))), 16, 10).cast("int")
     bit = F.call_function("shiftright", value, (at % 8).cast("int")).bitwiseAND(1)
-    known = marks.select(F.col("part").alias("_part"), F.col("bits").alias("_bits"))
+    pieces = F.sequence(F.lit(0), F.floor((F.length("bits") - 1) / _PIECE).cast("int"))
+    known = marks.select("part", "bits", F.explode(pieces).alias("_piece")).select(
+        _numbered(F.col("part"), F.col("_piece")).alias("_part"),
+        F.substring("bits", F.col("_piece") * _PIECE + 1, F.lit(_PIECE)).alias("_bits"),
+    )
+    piece = _numbered(F.bitmap_bucket_number(place), F.floor(byte / _PIECE))
     # of a fixed size, see MARK_BITS
-    return df.join(F.broadcast(known), F.bitmap_bucket_number(place) == F.col("_part"), how), bit
+    return df.join(F.broadcast(known), piece == F.col("_part"), how), bit
+
+
+def _numbered(part: Column, piece: Column) -> Column:
+    return part * ((1 << 12) // _PIECE) + piece
 
 
 def mark_array(marks: DataFrame) -> np.ndarray:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from llm_fixtures import documents, edge, nothing  # noqa: F401
 
 from docpipe.llm.linetemplates import (
-    LEADING, LEAST_CONSTANT, MIN_DOCUMENTS, MIN_TOKENS, drop_recurring_lines, template_ids,
+    LEADING, LEAST_CONSTANT, MIN_DOCUMENTS, MIN_TOKENS, constant_places,
+    drop_recurring_lines, possible_leaves, template_ids,
 )
 
 
@@ -110,3 +111,25 @@ def test_words_that_vary_are_fields(spark):
     assert out[0].text == rows[0][1] and out[0].dropped_lines == 0
     for i in range(1, 6):
         assert out[i].text == rows[i][1].split("\n")[2] and out[i].dropped_lines == 3
+
+
+def test_repeats_inside_a_document_count_once(spark):
+    """A line in two documents stays, however often it stands there."""
+    line = "the same words in every line"
+    rows = [(1, "\n".join([line] * 4)), (2, "\n".join([line] * 5)), (3, "some other words in this line")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for tree in (True, False):
+        out = {r.doc_id: (r.text, r.dropped_lines) for r in drop_recurring_lines(df, tree=tree).collect()}
+        assert out == {i: (text, 0) for i, text in rows}
+
+
+def test_leaves_are_left_out_before_tokens_are_counted(spark):
+    """Of leaves that cannot have a template the tokens themselves are not moved; all others are kept."""
+    lines = [[7, 8, 9, i << 24, (i + 40) << 24, (i + 80) << 24, (i + 20) << 24] for i in range(9)]
+    lines += [[1, 8, 9, 4, i << 24, 6, 7] for i in range(9)]
+    rows = [(i // 9, t) for i, t in enumerate(lines)]
+    df = spark.createDataFrame(rows, "lead bigint, tokens array<int>")
+    known = spark.createDataFrame([(0, 10, 9), (1, 11, 9), (2, 12, 10**6)], "lead bigint, leaf bigint, size bigint")
+    assert {r.leaf for r in possible_leaves(df, known, 3).collect()} == {11, 12}
+    exact = constant_places(df.withColumnRenamed("lead", "leaf"), 3).collect()
+    assert [(r.leaf, sorted(r.places)) for r in exact] == [(1, [0, 1, 2, 3, 5, 6])]
