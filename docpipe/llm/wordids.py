@@ -11,9 +11,11 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 
 from docpipe.llm.shingles import mixed
 
@@ -51,8 +53,10 @@ class WordIds:
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
-        self.kind, self.small = _tables()
-        self.kept: dict[str, bytes] = {}
+        self.kind, small = _tables()
+        # what a code point adds to the hash of its piece; large and small letters add the same
+        self.value = mixed(small.astype(np.uint64) + np.uint64(1))
+        self._forget()
         special = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join([*special, UNUSUAL]))
         # characters that are newer than Python's tables may have a class in the library's
@@ -106,39 +110,53 @@ class WordIds:
         per_text = np.diff(np.searchsorted(starts, text_starts))
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        _, first, which = np.unique(
-            self._hashes(points, starts, ends), return_index=True, return_inverse=True
-        )
-        known = self._known([joined[s:e] for s, e in zip(starts[first], ends[first])])
-        ids = np.frombuffer(b"".join(known), np.uint32)
-        n = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        where, taken = (np.cumsum(n) - n)[which], n[which]
+        # pieces hold all characters but white space, in their order
+        which, hashes = pd.factorize(self._hashes(points[kind != SPACE], ends - starts))
+        first = np.empty(which.max() + 1, np.int64)
+        first[which[::-1]] = np.arange(len(which))[::-1]
+        known = self._known(hashes, lambda i: joined[starts[first[i]] : ends[first[i]]])[which]
+        where = self.bounds[known]
+        taken = self.bounds[known + 1] - where
         total = np.cumsum(taken)
         at = np.repeat(where - (total - taken), taken) + np.arange(int(total[-1]))
         ends_of_text = np.cumsum(per_text)
         before = np.concatenate(([0], total))
-        return ids[at], np.diff(before[np.concatenate(([0], ends_of_text))])
+        return self.ids[at], np.diff(before[np.concatenate(([0], ends_of_text))])
 
-    def _hashes(self, points, starts, ends) -> np.ndarray:
-        lengths = ends - starts
+    def _hashes(self, points: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """One for each piece, for the characters of all pieces one after another."""
         first = np.cumsum(lengths) - lengths
-        place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-        own = self.small[points[place + np.repeat(starts, lengths)]].astype(np.uint64)
+        place = np.arange(len(points)) - np.repeat(first, lengths)
         with np.errstate(over="ignore"):
             powers = np.cumprod(np.full(int(lengths.max()), _FACTOR))
-            return mixed(np.add.reduceat(mixed(own + np.uint64(1)) * powers[place], first))
-
-    def _known(self, pieces: list[str]) -> list[bytes]:
-        kept = self.kept
-        missing = [p for p in pieces if p not in kept]
-        if len(kept) + len(missing) > PIECES_KEPT:
-            kept.clear()
-            missing = pieces
+            return mixed(np.add.reduceat(self.value[points] * powers[place], first))
+
+    def _forget(self) -> None:
+        """``ids`` of all kept pieces one after another, and where each begins and the last ends."""
+        self.kept = pd.Index(np.empty(0, np.uint64))
+        self.ids, self.bounds = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _known(self, hashes: np.ndarray, piece: Callable[[int], str]) -> np.ndarray:
+        """Number of each hash among the kept pieces; ``piece`` gives the text of those that are
+        not kept yet."""
+        found = self.kept.get_indexer(hashes)
+        missing = np.flatnonzero(found < 0)
+        if len(self.kept) + len(missing) > PIECES_KEPT:
+            self._forget()
+            missing = np.arange(len(hashes))
+        if not len(missing):
+            return found
+        found[missing] = len(self.kept) + np.arange(len(missing))
+        ids, counts = [self.ids], []
         for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                kept[p] = np.array(e.ids, np.uint32).tobytes()
-        return [kept[p] for p in pieces]
+            texts = [piece(i) for i in missing[at : at + 4096]]
+            new = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids.append(np.fromiter(chain.from_iterable(new), np.uint32))
+            counts += map(len, new)
+        self.kept = pd.Index(np.concatenate([self.kept.to_numpy(), hashes[missing]]))
+        self.ids = np.concatenate(ids)
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(counts)])
+        return found
 
 
 def slices(text: str, size: int = CHARACTERS_AT_ONCE) -> Iterator[str]:

@@ -104,3 +104,23 @@ def test_every_code_point():
         theirs = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         assert counts.tolist() == [len(e.ids) for e in theirs]
         assert own.tolist() == [i for e in theirs for i in e.ids]
+
+
+def test_known_pieces_are_not_encoded_again():
+    """Ids are kept by the hash of a piece: its text is not even cut out a second time."""
+    encode = encoder(PATH)
+    encode._forget()
+    texts = ["Known words, known WORDS 12", "and others", ""]
+    ids, counts = encode.encode(texts)
+    kept = len(encode.kept)
+
+    def never(*_, **__):
+        raise AssertionError("encoded again")
+
+    hashes = encode.kept.to_numpy()[::-1]
+    assert encode._known(hashes, never).tolist() == list(range(kept))[::-1]
+    again = encode.encode(texts[::-1])
+    assert len(encode.kept) == kept and again[1].tolist() == counts[::-1].tolist()
+    assert sorted(again[0].tolist()) == sorted(ids.tolist())
+    for text, own in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
+        assert own.tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
