@@ -194,6 +194,8 @@ def shared_spans(
     """Spans ``(first, last)`` of the shingles ``own`` that have the Jaccard similarity with a
     span of the shingles ``other``: from each equal run as far as it can be followed over
     differences. Runs between that stand elsewhere in ``other`` are passed over."""
+    if len(own) and np.array_equal(own, other):
+        return [(0, len(own))]
     runs = _equal_runs(own, other)
     left = np.append(np.cumsum([n for _, _, n in runs][::-1], dtype=np.int64)[::-1], 0).tolist()
     found: list[tuple[int, int]] = []
@@ -231,19 +233,24 @@ def _followed(docs: DataFrame, pairs: DataFrame, similarity: float, least_words:
     both = pairs.select("a", "b").join(sides[1], "b").join(sides[0], "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # pairs come in the order of ``a``, whose text is parsed once; of ``b`` many texts at a time
         @lru_cache(maxsize=64)
-        def parsed(text: str) -> tuple[Words, np.ndarray]:
-            found = words([text], places=True)
-            return found, shingles(found, short=False)[0]
+        def parsed(text: str) -> np.ndarray:
+            return shingles(words([text]), short=False)[0]
 
         for batch in batches:
             out = []
-            for a, b, x, y in zip(*(batch[c].to_pylist() for c in ("a", "b", "text_a", "text_b"))):
-                (_, other), (found, own) = parsed(x), parsed(y)
-                for first, end in shared_spans(own, other, similarity):
-                    last = end + SHINGLE_WORDS - 1
-                    if last - first >= least_words:
-                        out.append((b, first, last, found.starts[first], found.ends[last - 1], a))
+            for part in text_parts(batch, "text_b"):
+                found = words(part["text_b"].to_pylist(), places=True)
+                values, bounds = shingles(found, short=False)
+                ids = zip(*(part[c].to_pylist() for c in ("a", "b", "text_a")))
+                for k, (a, b, text) in enumerate(ids):
+                    own, before = values[bounds[k] : bounds[k + 1]], found.bounds[k]
+                    for first, end in shared_spans(own, parsed(text), similarity):
+                        last = end + SHINGLE_WORDS - 1
+                        if last - first >= least_words:
+                            start, stop = found.starts[before + first], found.ends[before + last - 1]
+                            out.append((b, first, last, start, stop, a))
             columns = list(zip(*out)) if out else [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in columns],
