@@ -10,9 +10,10 @@ sides, over changed words, as far as whole spans have the similarity.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -120,14 +121,18 @@ def _recurring_marks(bands: DataFrame) -> np.ndarray:
     return mark_array(marks_of(recurring, "band"))
 
 
-CANDIDATE = (
-    "doc_id bigint, first bigint, last bigint, start bigint, `end` bigint, content bigint,"
-    " bands array<bigint>, shingles array<bigint>"
-)
+PARAGRAPH = "doc_id bigint, first bigint, last bigint, start bigint, `end` bigint, content bigint"
+SET = "content bigint, bands array<bigint>, shingles array<bigint>"
 
 
-def _candidates(docs: DataFrame, marks: np.ndarray) -> DataFrame:
-    """Paragraphs of which a band key may recur, with their shingles."""
+def _recurring(p: Paragraphs, marks: np.ndarray) -> np.ndarray:
+    """Paragraphs of which a band key may recur."""
+    at = (p.bands & np.uint64((1 << MARK_BITS) - 1)).astype(np.int64)
+    return np.flatnonzero((marks[at >> 3] >> (at & 7).astype(np.uint8) & 1).any(axis=1))
+
+
+def _places(docs: DataFrame, marks: np.ndarray) -> DataFrame:
+    """Where the paragraphs stand of which a band key may recur."""
     sent = docs.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,8 +140,29 @@ def _candidates(docs: DataFrame, marks: np.ndarray) -> DataFrame:
             for part in text_parts(batch):
                 found = words(part["text"].to_pylist(), places=True)
                 p = paragraphs(found)
-                at = (p.bands & np.uint64((1 << MARK_BITS) - 1)).astype(np.int64)
-                hit = np.flatnonzero((sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).any(axis=1))
+                hit = _recurring(p, sent.value)
+                before = found.bounds[p.text[hit]]
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"].take(pa.array(p.text[hit])),
+                     pa.array(p.first[hit] - before), pa.array(p.last[hit] - before),
+                     pa.array(found.starts[p.first[hit]]), pa.array(found.ends[p.last[hit] - 1]),
+                     pa.array(signed(p.content[hit]))],
+                    names=["doc_id", "first", "last", "start", "end", "content"],
+                )
+
+    return docs.mapInArrow(run, PARAGRAPH)
+
+
+def _sets(docs: DataFrame, marks: np.ndarray) -> DataFrame:
+    """Band keys and shingles of the same paragraphs, equal ones of a few texts once."""
+    sent = docs.sparkSession.sparkContext.broadcast(marks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_parts(batch):
+                p = paragraphs(words(part["text"].to_pylist()))
+                hit = _recurring(p, sent.value)
+                hit = hit[np.unique(p.content[hit], return_index=True)[1]]
                 lists = pa.ListArray.from_arrays(
                     pa.array(p.shingle_bounds, pa.int32()), pa.array(signed(p.shingles))
                 )
@@ -144,38 +170,64 @@ def _candidates(docs: DataFrame, marks: np.ndarray) -> DataFrame:
                     pa.array(np.arange(len(hit) + 1, dtype=np.int32) * BANDS),
                     pa.array(signed(p.bands[hit].reshape(-1))),
                 )
-                before = found.bounds[p.text[hit]]
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"].take(pa.array(p.text[hit])),
-                     pa.array(p.first[hit] - before), pa.array(p.last[hit] - before),
-                     pa.array(found.starts[p.first[hit]]), pa.array(found.ends[p.last[hit] - 1]),
-                     pa.array(signed(p.content[hit])), bands, lists.take(pa.array(hit))],
-                    names=["doc_id", "first", "last", "start", "end", "content", "bands", "shingles"],
-                )
+                    [pa.array(signed(p.content[hit])), bands, lists.take(pa.array(hit))],
+                    names=["content", "bands", "shingles"],
+                )
 
-    return docs.mapInArrow(run, CANDIDATE)
+    return docs.mapInArrow(run, SET)
 
 
-def _equal_runs(own: np.ndarray, other: np.ndarray) -> list[tuple[int, int, int]]:
+class Ordered:
+    """The shingles of a text, and their places in ascending order."""
+
+    def __init__(self, values: np.ndarray):
+        self.values = values
+        self.order = np.argsort(values, kind="stable")
+        self.ranked = values[self.order]
+        self.again = np.append(self.ranked[1:] == self.ranked[:-1], False)
+
+
+def _equal_runs(own: np.ndarray, other: Ordered) -> list[tuple[int, int, int]]:
     """``(i, j, n)``: ``own[i : i + n]`` equals ``other[j : j + n]``. From left to right, each the
     longest that begins at its place; of several, the one that goes on where the last one ended."""
-    order = np.argsort(other, kind="stable")
-    ranked = other[order]
-    low, high = np.searchsorted(ranked, own, "left"), np.searchsorted(ranked, own, "right")
-    runs, i, shift = [], 0, 0
-    known = np.flatnonzero(high > low)
-    while (at := np.searchsorted(known, i)) < len(known):
-        i = int(known[at])
-        places, n = order[low[i] : high[i]], 1
-        while len(places) > 1 and i + n < len(own):
-            further = places[places + n < len(other)]
-            further = further[other[further + n] == own[i + n]]
-            if not len(further):
-                break
-            places, n = further, n + 1
-        j = int(places[np.argmin(np.abs(places - i - shift))])
-        most = min(len(own) - i, len(other) - j)
-        differs = own[i + n : i + most] != other[j + n : j + most]
+    if not len(other.values):
+        return []
+    low = np.minimum(np.searchsorted(other.ranked, own), len(other.values) - 1)
+    known = np.flatnonzero(other.ranked[low] == own)
+    if not len(known):
+        return []
+    if other.again[low[known]].any():
+        return _runs_of_repeats(own, other, known)
+    # each stands once in the other text: a run ends where the next place is not the next one
+    places = other.order[low[known]]
+    breaks = (known[1:] - known[:-1] != 1) | (places[1:] - places[:-1] != 1)
+    bounds = [0, *(np.flatnonzero(breaks) + 1).tolist(), len(known)]
+    return [(int(known[x]), int(places[x]), y - x) for x, y in pairwise(bounds)]
+
+
+def _runs_of_repeats(own: np.ndarray, other: Ordered, known: np.ndarray) -> list[tuple[int, int, int]]:
+    asked, values = own[known], other.values
+    low = np.searchsorted(other.ranked, asked, "left").tolist()
+    high = np.searchsorted(other.ranked, asked, "right").tolist()
+    known = known.tolist()
+    runs, i, shift, at = [], 0, 0, 0
+    while (at := bisect_left(known, i, at)) < len(known):
+        i = known[at]
+        n = 1
+        if high[at] - low[at] == 1:
+            j = int(other.order[low[at]])
+        else:
+            places = other.order[low[at] : high[at]]
+            while len(places) > 1 and i + n < len(own):
+                further = places[places + n < len(values)]
+                further = further[values[further + n] == own[i + n]]
+                if not len(further):
+                    break
+                places, n = further, n + 1
+            j = int(places[np.argmin(np.abs(places - i - shift))])
+        most = min(len(own) - i, len(values) - j)
+        differs = own[i + n : i + most] != values[j + n : j + most]
         n = n + int(differs.argmax()) if differs.any() else most
         runs.append((i, j, n))
         i, shift = i + n, j - i
@@ -183,21 +235,29 @@ def _equal_runs(own: np.ndarray, other: np.ndarray) -> list[tuple[int, int, int]
 
 
 def _set_similarity(a: np.ndarray, b: np.ndarray) -> float:
-    a, b = np.unique(a), np.unique(b)
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return common / (len(a) + len(b) - common)
+    a, b = _different(a), _different(b)
+    both = np.sort(np.concatenate((a, b)))
+    common = np.count_nonzero(both[1:] == both[:-1])
+    return common / (len(both) - common)
+
+
+def _different(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return np.concatenate((values[:1], values[1:][values[1:] != values[:-1]]))
 
 
 def shared_spans(
-    own: np.ndarray, other: np.ndarray, similarity: float = SIMILARITY
+    own: np.ndarray, other: np.ndarray | Ordered, similarity: float = SIMILARITY
 ) -> list[tuple[int, int]]:
     """Spans ``(first, last)`` of the shingles ``own`` that have the Jaccard similarity with a
     span of the shingles ``other``: from each equal run as far as it can be followed over
     differences. Runs between that stand elsewhere in ``other`` are passed over."""
+    ordered = other if isinstance(other, Ordered) else Ordered(other)
+    other = ordered.values
     if len(own) and np.array_equal(own, other):
         return [(0, len(own))]
-    runs = _equal_runs(own, other)
-    left = np.append(np.cumsum([n for _, _, n in runs][::-1], dtype=np.int64)[::-1], 0).tolist()
+    runs = _equal_runs(own, ordered)
+    left = [*accumulate((n for _, _, n in runs[::-1]), initial=0)][::-1]
     found: list[tuple[int, int]] = []
     for k, (i, j, n) in enumerate(runs):
         common, best, own_end, other_end = n, None, i + n, j + n
@@ -233,20 +293,19 @@ def _followed(docs: DataFrame, pairs: DataFrame, similarity: float, least_words:
     both = pairs.select("a", "b").join(sides[1], "b").join(sides[0], "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # pairs come in the order of ``a``, whose text is parsed once; of ``b`` many texts at a time
-        @lru_cache(maxsize=64)
-        def parsed(text: str) -> np.ndarray:
-            return shingles(words([text]), short=False)[0]
-
+        # texts are parsed many at a time; pairs come in the order of ``a``
         for batch in batches:
             out = []
-            for part in text_parts(batch, "text_b"):
+            for part in (x for y in text_parts(batch, "text_b") for x in text_parts(y, "text_a")):
                 found = words(part["text_b"].to_pylist(), places=True)
                 values, bounds = shingles(found, short=False)
-                ids = zip(*(part[c].to_pylist() for c in ("a", "b", "text_a")))
+                earlier = part["text_a"].dictionary_encode()
+                others, ends = shingles(words(earlier.dictionary.to_pylist()), short=False)
+                ordered = [Ordered(others[x:y]) for x, y in zip(ends[:-1], ends[1:])]
+                ids = zip(part["a"].to_pylist(), part["b"].to_pylist(), earlier.indices.to_pylist())
                 for k, (a, b, text) in enumerate(ids):
                     own, before = values[bounds[k] : bounds[k + 1]], found.bounds[k]
-                    for first, end in shared_spans(own, parsed(text), similarity):
+                    for first, end in shared_spans(own, ordered[text], similarity):
                         last = end + SHINGLE_WORDS - 1
                         if last - first >= least_words:
                             start, stop = found.starts[before + first], found.ends[before + last - 1]
@@ -285,14 +344,13 @@ def repeated_passages(
     )
     marks = _recurring_marks(_band_rows(rows))
     # places and sets apart, by two passes over the texts: a set is needed once per content
-    found = written(_candidates(rows, marks).drop("bands", "shingles"), "paragraphs")
+    found = written(_places(rows, marks), "paragraphs")
     own = (
         found.groupBy("content")
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     )
     contents = written(own, "contents")
-    each = _candidates(rows, marks).select("content", "bands", "shingles")
-    sets = written(each.dropDuplicates(["content"]), "sets")
+    sets = written(_sets(rows, marks).dropDuplicates(["content"]), "sets")
     banded = sets.select(
         F.col("content").alias("node"), F.size(F.array_distinct("shingles")).alias("size"),
         F.explode("bands").alias("band"),

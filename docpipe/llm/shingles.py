@@ -7,6 +7,7 @@ punctuation, in lower case. Hashes do not depend on the machine or the process.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 
@@ -20,6 +21,22 @@ _POSITION_BASE = np.uint64(0x9E3779B97F4A7C15)
 _SHINGLE_FACTORS = _rng.integers(1, 2**63, SHINGLE_WORDS, dtype=np.uint64) | np.uint64(1)
 
 
+_POWERS_KEPT = 1 << 22
+
+
+@lru_cache(maxsize=1)
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(_POWERS_KEPT)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base from 1, and of its inverse from 0."""
+    inverse = np.uint64(pow(int(_POSITION_BASE), -1, 1 << 64))
+    with np.errstate(over="ignore"):
+        up, down = (np.cumprod(np.full(n, x)) for x in (_POSITION_BASE, inverse))
+    return up, np.concatenate((np.ones(1, np.uint64), down[:-1]))
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Finisher of a 64-bit hash: every input bit moves every output bit."""
     x = x ^ (x >> np.uint64(30))
@@ -64,19 +81,20 @@ def words(texts, places: bool = False) -> Words:
     none = np.empty(0, np.int64)
     if not len(starts):
         return Words(np.empty(0, np.uint64), bounds, none, none)
-    lengths = ends - starts
-    first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+    # a byte counts by its place in all of the bytes, and a word is moved to their beginning
+    up, down = _kept_powers() if len(raw) <= _POWERS_KEPT else _powers(len(raw))
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.full(int(lengths.max()), _POSITION_BASE))
-        place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-        values = _BYTE_VALUES[raw[inside]] * powers[place]
-        hashes = mixed(np.add.reduceat(values, first))
+        values = _BYTE_VALUES[raw]
+        values *= up[: len(raw)]
+        hashes = mixed(np.add.reduceat(values, edges)[::2] * down[starts])
     if not places:
         return Words(hashes, bounds, none, none)
     # code points before each byte, counted from the beginning of the own text
-    points = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
+    points = np.zeros(len(raw) + 1, np.int64 if len(raw) >> 31 else np.int32)
+    np.cumsum((raw & 0xC0) != 0x80, out=points[1:])
     offset = np.repeat(points[text_starts], np.diff(bounds)) if len(text_starts) else 0
-    return Words(hashes, bounds, points[starts] - offset, points[ends] - offset)
+    first, last = points[starts].astype(np.int64), points[ends].astype(np.int64)
+    return Words(hashes, bounds, first - offset, last - offset)
 
 
 def shingles(found: Words, short: bool = True) -> tuple[np.ndarray, np.ndarray]:

@@ -112,3 +112,23 @@ def test_equal_texts_need_no_runs(monkeypatch):
     assert shared_spans(a, a) == [(0, 130)] and shared_spans(looping, looping)[0] == (0, 140)
     monkeypatch.setattr("docpipe.llm.passages._equal_runs", lambda *_: 1 / 0)
     assert shared_spans(looping, looping.copy()) == [(0, 140)]
+
+
+def test_texts_without_repeats_are_aligned_at_once(monkeypatch):
+    """Runs of shingles that stand once are found without a search for each, and are the same."""
+    from docpipe.llm import passages
+
+    random = np.random.default_rng(3)
+    values = np.arange(1, 400, dtype=np.uint64)
+    cases = []
+    for _ in range(40):
+        x, y, z = np.sort(random.choice(399, 3, replace=False))
+        cases.append((np.concatenate((values[y:z], values[:x], values[z:])), values))
+    cases += [(values[:0], values), (values, values[:0]), (values[:9], values[9:]), (values, values[100:])]
+    step_by_step = [
+        passages._runs_of_repeats(a, passages.Ordered(b), np.flatnonzero(np.isin(a, b))) for a, b in cases
+    ]
+    monkeypatch.setattr(passages, "_runs_of_repeats", lambda *_: 1 / 0)
+    assert [passages._equal_runs(a, passages.Ordered(b)) for a, b in cases] == step_by_step
+    both = passages._set_similarity(np.array([1, 1, 2, 3], np.uint64), np.array([3, 4, 4, 1], np.uint64))
+    assert both == 0.5
