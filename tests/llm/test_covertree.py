@@ -97,3 +97,60 @@ def test_floor_of_tiny_and_of_very_large_numbers(spark):
 
 def frame64(spark, rows):
     return spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+
+
+def test_evenly_spread_points_do_not_fall_apart():
+    """Points that are all about equally far apart leave neither tiny leaves nor tiny comparisons."""
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(16_384, 64))
+    points = np.floor(256 * points / np.linalg.norm(points, axis=1, keepdims=True))
+    nodes, leaves = [cover_tree(points)], []
+    for node in nodes:
+        nodes += node.children
+        leaves += [] if node.children else [node]
+    assert sum(len(n.points) for n in leaves) == len(points) and len(leaves) < len(points) / 16
+
+    search, met = Search(np.arange(40), points[:40], 5), []
+    compare = search._compare
+    search._compare = lambda q, v: (met.append(len(v)), compare(q, v))
+    search.add(np.arange(len(points)), points)
+    exact = inner_products(points[:40], points)
+    np.fill_diagonal(exact, covertree.NONE)
+    assert (np.sort(exact, axis=1)[:, -5:][:, ::-1] == search.scores).all()
+    assert len(met) < len(leaves) / 4
+
+
+@pytest.mark.parametrize("factor", [1, 2**10, 2**26, 2**30])
+def test_ties_repeats_and_every_precision(factor):
+    """Small numbers times a factor, so that sums need single, double or no floating point; ids
+    that come again with other vectors and in other blocks, and a large group of equal vectors."""
+    rng = np.random.default_rng(8)
+    vectors = rng.integers(-9, 10, size=(3000, 4)).astype(float) * factor
+    vectors[500:1400] = vectors[499]
+    ids = rng.integers(0, 1200, size=3000)
+    order = rng.permutation(40)
+    search = Search(order, vectors[order], 5)
+    for start in range(0, 3000, 700):
+        search.add(ids[start : start + 700], vectors[start : start + 700])
+    whole = [[int(x) for x in v] for v in vectors]
+    for row, q in enumerate(order):
+        best = {}
+        for i, w in zip(ids.tolist(), whole):
+            if i != q:
+                score = min(sum(a * b for a, b in zip(whole[q], w)), 2**63 - 1)
+                best[i] = max(score, best.get(i, score))
+        expected = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:5]
+        assert list(zip(search.ids[row].tolist(), search.scores[row].tolist())) == expected
+
+
+def test_blocks_are_written_one_after_another(spark, monkeypatch):
+    """One block of queries travels at a time, and its result is written before the next."""
+    rows = [(i, [float(i % 7), float(i % 11)]) for i in range(60)]
+    df = frame(spark, rows)
+    done = []
+    write = covertree.written
+    monkeypatch.setattr(covertree, "written", lambda d, name: (done.append(name), write(d, name))[1])
+    monkeypatch.setattr(covertree, "COMPONENTS_AT_ONCE", 10)
+    out = topk(df.where("vec_id < 20"), df, 3)
+    assert done == ["queries", *["found"] * 4]
+    assert found(out) == brute_force(rows, rows[:20], 3)
