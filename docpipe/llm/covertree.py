@@ -184,8 +184,9 @@ class Search:
             nodes = np.concatenate(reached)
             if q.children:
                 waiting += [(child, nodes) for child in q.children]
-            else:
-                self._meet(q.points, tree, nodes)
+            else:  # equal queries are in one leaf, whatever their number
+                for at in range(0, len(q.points), LEAF_QUERIES):
+                    self._meet(q.points[at : at + LEAF_QUERIES], tree, nodes)
 
     def _meet(self, q: np.ndarray, tree: Flat, leaves: np.ndarray) -> None:
         """A leaf of queries and leaves of vectors, the most promising ones first. What each
@@ -196,21 +197,21 @@ class Search:
         bounds = queries @ tree.centres[leaves].T + length * radius + 1 + 1e-9 * length * (norm + radius)
         bounds[np.isnan(bounds)] = np.inf
         sizes = np.array([len(tree.points[i]) for i in leaves])
-        step = 8 * LEAF_POINTS
+        most = MET_AT_ONCE if self.kind else MET_AT_ONCE // 8  # without floating point, objects
+        step = 4 * self.k if (self.scores[q, -1] == NONE).any() else 8 * LEAF_POINTS
         while len(leaves):
             worst = self.scores[q, -1]
-            if unknown := (worst == NONE).any():
-                step = 4 * self.k
+            unknown = (worst == NONE).any()
             gain = (bounds if unknown else bounds - worst[:, None]).max(axis=0)
             order = np.argsort(-gain, kind="stable")
             if not unknown:
                 order = order[gain[order] >= 0]
-            now = order[: np.searchsorted(np.cumsum(sizes[order]), step) + 1]
+            now = order[: np.searchsorted(np.cumsum(sizes[order]), min(step, most)) + 1]
             if len(now):
                 self._compare(q, np.concatenate([tree.points[i] for i in leaves[now]]))
             later = order[len(now) :]
             leaves, bounds, sizes = leaves[later], bounds[:, later], sizes[later]
-            step = min(2 * step, MET_AT_ONCE)
+            step *= 2
 
     def _compare(self, q: np.ndarray, v: np.ndarray) -> None:
         own, part = self._typed[self.kind][q], self.vectors[v]

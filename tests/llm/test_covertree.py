@@ -154,3 +154,18 @@ def test_blocks_are_written_one_after_another(spark, monkeypatch):
     out = topk(df.where("vec_id < 20"), df, 3)
     assert done == ["queries", *["found"] * 4]
     assert found(out) == brute_force(rows, rows[:20], 3)
+
+
+def test_many_equal_queries_are_met_in_parts(monkeypatch):
+    monkeypatch.setattr(covertree, "LEAF_QUERIES", 16)
+    monkeypatch.setattr(covertree, "MET_AT_ONCE", 64)
+    vectors = np.random.default_rng(9).integers(-50, 50, size=(900, 6)).astype(float)
+    queries = np.repeat(vectors[:1], 100, axis=0)
+    search, met = Search(np.arange(5000, 5100), queries, 4), []
+    compare = search._compare
+    monkeypatch.setattr(search, "_compare", lambda q, v: (met.append((len(q), len(v))), compare(q, v)))
+    search.add(np.arange(900), vectors)
+    scores = inner_products(queries[:1], vectors)[0]
+    best = np.lexsort((np.arange(900), -scores))[:4]
+    assert (search.ids == best).all() and (search.scores == scores[best]).all()
+    assert max(q for q, _ in met) <= 16 and max(v for _, v in met) <= 64 + covertree.LEAF_POINTS
